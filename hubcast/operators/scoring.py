@@ -13,6 +13,11 @@ can carry -alpha*l and 2(l-y)+, the upper row +alpha*u and 2(y-u)+. The
 median row contributes (m-y)+ + (y-m)+. The unit's score is the mean over its
 rows; a missing partner (one-sided interval) or a missing prediction makes
 the unit's score NULL.
+
+Sums are kept in hundredths: every interval level alpha is a whole percent,
+so with integer-valued predictions each partial sum is an exact integer and
+the score is one correctly rounded division (order of summation cannot change
+the result, which keeps later half-even rounding stable).
 """
 
 from __future__ import annotations
@@ -59,7 +64,7 @@ def score_forecasts(fc: DataFrame, quantiles=None, round_output: bool = True) ->
         d = d.filter(F.col("_tau").isin([float(x) for x in quantiles]))
     tau = F.col("_tau")
     rng = F.bround(F.abs(F.lit(1.0) - 2 * tau) * 100, 0)                          # G5
-    alpha = F.lit(1.0) - rng / 100
+    alpha_pct = F.lit(100.0) - rng
     interval_row = ~is_point & (rng > 0)
     lower = interval_row & (tau < 0.5)
     upper = interval_row & (tau > 0.5)
@@ -72,9 +77,9 @@ def score_forecasts(fc: DataFrame, quantiles=None, round_output: bool = True) ->
         F.count(F.when(med_q | is_point, 1)).alias("_nmed"),
         F.count(F.when(interval_row, 1)).alias("_nint"),
         F.count(F.when(interval_row & q.isNull(), 1)).alias("_nnull"),
-        F.sum(F.when(lower, -alpha * q).when(upper, alpha * q)).alias("_disp"),
-        F.sum(F.when(lower, 2 * F.greatest(q - y, F.lit(0.0)))).alias("_over"),
-        F.sum(F.when(upper, 2 * F.greatest(y - q, F.lit(0.0)))).alias("_under"),
+        F.sum(F.when(lower, -alpha_pct * q).when(upper, alpha_pct * q)).alias("_disp"),
+        F.sum(F.when(lower, 200 * F.greatest(q - y, F.lit(0.0)))).alias("_over"),
+        F.sum(F.when(upper, 200 * F.greatest(y - q, F.lit(0.0)))).alias("_under"),
         (F.array_sort(F.collect_list(F.when(lower, rng)))
          == F.array_sort(F.collect_list(F.when(upper, rng)))).alias("_paired"),
         F.max(F.when(lower & (rng == 50), q)).alias("_l50"),
@@ -90,14 +95,14 @@ def score_forecasts(fc: DataFrame, quantiles=None, round_output: bool = True) ->
     yv = F.col("_y")
     has_med = F.col("_nmed") > 0
     m = F.coalesce(F.col("_mq"), F.col("_mp"))
-    med_over = F.when(has_med, F.greatest(m - yv, F.lit(0.0))).otherwise(F.lit(0.0))
-    med_under = F.when(has_med, F.greatest(yv - m, F.lit(0.0))).otherwise(F.lit(0.0))
+    med_over = F.when(has_med, 100 * F.greatest(m - yv, F.lit(0.0))).otherwise(F.lit(0.0))
+    med_under = F.when(has_med, 100 * F.greatest(yv - m, F.lit(0.0))).otherwise(F.lit(0.0))
     n_rows = F.col("_nint") + F.when(has_med, 1).otherwise(0)
     valid = (F.col("_paired") & (F.col("_nnull") == 0) & (n_rows > 0)
              & (~has_med | m.isNotNull()))
 
-    def mean_part(total):
-        return F.when(valid, total / n_rows)
+    def mean_part(total_pct):
+        return F.when(valid, total_pct / (n_rows * 100.0))
 
     disp = F.coalesce(F.col("_disp"), F.lit(0.0))
     over = F.coalesce(F.col("_over"), F.lit(0.0)) + med_over

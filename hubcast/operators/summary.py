@@ -103,9 +103,13 @@ def continuous_weeks(df: DataFrame, by: tuple[str, ...]) -> DataFrame:
 def summarise_scores(scores: DataFrame, report_date=None, report_dates: DataFrame | None = None,
                      history_weeks: int | None = None, restrict_weeks: int = 0,
                      cfg: HubConfig = HubConfig(), with_continuous_weeks: bool = False,
-                     round_output: bool = True, until=None) -> DataFrame:
+                     round_output: bool = True, until=None,
+                     bias_digits: int | None = 1) -> DataFrame:
     """M1-M16 (and M17 with ``with_continuous_weeks``): one row per report date and
-    (model, target_variable, horizon, location)."""
+    (model, target_variable, horizon, location).
+
+    ``bias_digits`` is the rounding of the scores' bias (1 for score tables
+    made by ``score_forecasts``; None for unrounded scores)."""
     by = ("report_date",)
     n_levels = cfg.n_quantiles
     locations = scores.select("location", "location_name").distinct()
@@ -122,14 +126,21 @@ def summarise_scores(scores: DataFrame, report_date=None, report_dates: DataFram
               .filter(F.coalesce(F.col("continuous_weeks"), F.lit(0)) >= restrict_weeks)
               .drop("continuous_weeks"))
     full = F.col("n_quantiles") == n_levels
-    full_bias = F.when(full, F.col("bias"))
+    if bias_digits is None:
+        full_bias = F.when(full, F.col("bias"))
+        bias_mean = F.avg(full_bias)
+    else:
+        # bias arrives rounded to `bias_digits`: summing grid steps keeps the mean exact
+        scale = 10.0 ** bias_digits
+        full_bias = F.when(full, F.bround(F.col("bias") * scale, 0))
+        bias_mean = F.sum(full_bias) / (F.count(full_bias) * scale)
     cov_cols = sorted(c for c in df.columns if c.startswith("cov_"))
     base = df.groupBy(*by, *CELL).agg(
         F.count(F.lit(1)).alias("n"),                                                # M8
         *[F.avg(c).alias(c) for c in cov_cols],                                      # M12
         F.when((F.count(F.when(full, 1)) > 0)                                        # M13
                & (F.count(full_bias) == F.count(F.when(full, 1))),
-               F.avg(full_bias)).alias("bias"))
+               bias_mean).alias("bias"))
     cell = [*by, "target_variable", "horizon", "location"]
     unit = ["location_name", "forecast_date"]
     rel_ae = relative_skill(df, "ae_median", cell, unit, cfg.baseline_model, "rel_ae")  # M9
@@ -140,7 +151,7 @@ def summarise_scores(scores: DataFrame, report_date=None, report_dates: DataFram
            .join(n_loc, keys, "left")
            .join(locations, "location", "left"))                                     # M15
     if round_output:                                                                 # M16
-        out = out.withColumns({c: F.bround(c, 2) for c in ROUNDED if c in out.columns})
+        out = out.withColumns({c: round_half_even(c, 2) for c in ROUNDED if c in out.columns})
     cols = [*by, *[c for c in SUMMARY_COLUMNS if c in out.columns]]
     if cw is not None and with_continuous_weeks:                                     # M17
         out = (out.join(cw, keys, "left")

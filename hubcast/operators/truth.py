@@ -38,9 +38,10 @@ def convert_to_weekly(df: DataFrame, week_end_day: str = "Saturday", tail_rows:
     d = d.filter((F.col("n") == F.col("_tailmax")) | (F.col("frequency") == "weekly"))  # D5
     moved = (F.col("frequency") == "weekly") & (F.date_add("date", 6) == F.col("sat_date"))
     d = d.withColumn("date", F.when(moved, F.date_add("date", 6)).otherwise(F.col("date")))  # D6
-    d = d.filter(F.col("date") == F.max("date").over(week))                             # D7
+    d = d.withColumn("_last", F.max("date").over(week))
+    d = d.filter(F.col("date") == F.col("_last"))                                       # D7
     d = d.withColumn("date", saturday_of_week("date"))                                  # D8
-    return d.drop("sat_date", "n", "frequency", "_rn", "_tailmax")
+    return d.drop("sat_date", "n", "frequency", "_rn", "_tailmax", "_last")
 
 
 def add_status(df: DataFrame, status: DataFrame) -> DataFrame:
