@@ -28,9 +28,12 @@ def pair_sums(df: DataFrame, metric: str, cell: list[str], unit: list[str]) -> D
     """(cell, model, compare_against, sum_a, sum_b) over the units both share."""
     u = (df.filter(F.col(metric).isNotNull() & ~F.isnan(metric))
            .select(*cell, *unit, "model", F.col(metric).cast("double").alias("_m")))
-    u = u.withColumn("_pat", F.array_sort(F.collect_list("model").over(
-        Window.partitionBy(*cell, *unit))))
-    per_pattern = u.groupBy(*cell, "_pat", "model").agg(F.sum("_m").alias("_s"))
+    units = (u.groupBy(*cell, *unit)
+             .agg(F.array_sort(F.collect_list(F.struct("model", "_m"))).alias("_ms"))
+             .withColumn("_pat", F.transform("_ms", lambda e: e["model"])))
+    per_pattern = (units.select(*cell, "_pat", F.explode("_ms").alias("_e"))
+                   .groupBy(*cell, "_pat", F.col("_e.model").alias("model"))
+                   .agg(F.sum("_e._m").alias("_s")))
     pairs = (per_pattern
              .select(*cell, "model", "_s", "_pat",
                      F.explode(F.array_distinct("_pat")).alias("compare_against"))

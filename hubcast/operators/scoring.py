@@ -18,6 +18,11 @@ Sums are kept in hundredths: every interval level alpha is a whole percent,
 so with integer-valued predictions each partial sum is an exact integer and
 the score is one correctly rounded division (order of summation cannot change
 the result, which keeps later half-even rounding stable).
+
+Which interval sides are present and which configured levels a unit has are
+kept as bit masks (ranges 0-99; the hub's levels), so the aggregate holds
+only fixed-width numbers: a code-generated hash aggregate with partial
+aggregation, no per-group collections.
 """
 
 from __future__ import annotations
@@ -25,6 +30,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..config import HUB_QUANTILES
 from ..functions.numeric import round_half_even
 from ..schemas import UNIT_KEYS
 
@@ -52,8 +58,16 @@ def point_to_median(fc: DataFrame) -> DataFrame:
     return rest.unionByName(med.select(*fc.columns))
 
 
-def score_forecasts(fc: DataFrame, quantiles=None, round_output: bool = True) -> DataFrame:
-    """G1-G15 on the scoring input F4 (``prediction``, ``true_value``)."""
+def score_forecasts(fc: DataFrame, quantiles=None, round_output: bool = True,
+                    levels=HUB_QUANTILES) -> DataFrame:
+    """G1-G15 on the scoring input F4 (``prediction``, ``true_value``).
+
+    ``levels`` are the hub's quantile levels (at most 62); distinct levels
+    are counted with a bit mask over them, levels outside the list are
+    counted by row.
+    """
+    if len(levels) > 62:
+        raise ValueError("at most 62 configured quantile levels")
     locations = fc.select("location", "location_name").distinct()                 # G1
     y, q = F.col("true_value"), F.col("prediction")
     is_point = F.col("type") == "point"
@@ -70,6 +84,18 @@ def score_forecasts(fc: DataFrame, quantiles=None, round_output: bool = True) ->
     upper = interval_row & (tau > 0.5)
     med_q = ~is_point & (rng == 0)
 
+    rng_i = rng.cast("int")
+    level_pos = F.array_position(F.array(*[F.lit(float(x)) for x in levels]), tau)
+
+    def bits(cond, pos, lo, hi):
+        """bit_or of 1 << (pos - lo) over rows with ``cond`` and lo <= pos < hi."""
+        return F.bit_or(F.when(cond & (pos >= lo) & (pos < hi),
+                               F.call_function("shiftleft", F.lit(1).cast("long"), pos - lo)))
+
+    side_masks = [bits(side, rng_i, lo, lo + 50).alias(f"_{name}{lo}")
+                  for name, side in (("lo", lower), ("up", upper)) for lo in (0, 50)]
+    level_masks = [bits(level_pos > 0, (level_pos - 1).cast("int"), 0, 62).alias("_lvmask"),
+                   F.count(F.when(tau.isNotNull() & (level_pos == 0), 1)).alias("_lvother")]
     g = d.groupBy(*UNIT_KEYS).agg(
         F.max(y).alias("_y"),
         F.max(F.when(med_q, q)).alias("_mq"),
@@ -80,8 +106,9 @@ def score_forecasts(fc: DataFrame, quantiles=None, round_output: bool = True) ->
         F.sum(F.when(lower, -alpha_pct * q).when(upper, alpha_pct * q)).alias("_disp"),
         F.sum(F.when(lower, 200 * F.greatest(q - y, F.lit(0.0)))).alias("_over"),
         F.sum(F.when(upper, 200 * F.greatest(y - q, F.lit(0.0)))).alias("_under"),
-        (F.array_sort(F.collect_list(F.when(lower, rng)))
-         == F.array_sort(F.collect_list(F.when(upper, rng)))).alias("_paired"),
+        F.count(F.when(lower, 1)).alias("_nlo"),
+        F.count(F.when(upper, 1)).alias("_nup"),
+        *side_masks,
         F.max(F.when(lower & (rng == 50), q)).alias("_l50"),
         F.max(F.when(upper & (rng == 50), q)).alias("_u50"),
         F.max(F.when(lower & (rng == 95), q)).alias("_l95"),
@@ -90,15 +117,20 @@ def score_forecasts(fc: DataFrame, quantiles=None, round_output: bool = True) ->
         F.min(F.when(interval_row & (q >= y), tau)).alias("_above"),
         F.min_by(F.when(lower, q), F.when(lower, rng)).alias("_lin"),
         F.min_by(F.when(upper, q), F.when(upper, rng)).alias("_uin"),
-        F.size(F.collect_set(tau)).cast("long").alias("n_quantiles"),               # G13
+        *level_masks,
     )
+    n_levels = (F.coalesce(F.bit_count("_lvmask"), F.lit(0))
+                + F.col("_lvother")).cast("long")                                   # G13
+    paired = ((F.col("_nlo") == F.col("_nup"))
+              & F.col("_lo0").eqNullSafe(F.col("_up0"))
+              & F.col("_lo50").eqNullSafe(F.col("_up50")))
     yv = F.col("_y")
     has_med = F.col("_nmed") > 0
     m = F.coalesce(F.col("_mq"), F.col("_mp"))
     med_over = F.when(has_med, 100 * F.greatest(m - yv, F.lit(0.0))).otherwise(F.lit(0.0))
     med_under = F.when(has_med, 100 * F.greatest(yv - m, F.lit(0.0))).otherwise(F.lit(0.0))
     n_rows = F.col("_nint") + F.when(has_med, 1).otherwise(0)
-    valid = (F.col("_paired") & (F.col("_nnull") == 0) & (n_rows > 0)
+    valid = (paired & (F.col("_nnull") == 0) & (n_rows > 0)
              & (~has_med | m.isNotNull()))
 
     def mean_part(total_pct):
@@ -130,10 +162,12 @@ def score_forecasts(fc: DataFrame, quantiles=None, round_output: bool = True) ->
         bias.alias("bias"),
         cov("_l50", "_u50").alias("cov_50"),                                       # G6
         cov("_l95", "_u95").alias("cov_95"),
-        "n_quantiles")
+        n_levels.alias("n_quantiles"))
     if round_output:                                                               # G15
         scored = scored.withColumns({
             "bias": round_half_even("bias", 1),
             **{c: round_half_even(c, 0) for c in ("wis", "sharpness", "underprediction",
                                                   "overprediction")}})
-    return scored.join(locations, "location", "left").select(*SCORE_COLUMNS)      # G14
+    # one row per location code and name: a geography-sized dimension
+    return (scored.join(F.broadcast(locations), "location", "left")                 # G14
+            .select(*SCORE_COLUMNS))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..config import HubConfig
 from ..functions.dates import week_end
-from ..functions.numeric import round_half_even
+from ..functions.numeric import round_decimal
 from .pairwise import relative_skill, relative_skill_and_ratio
 
 CELL = ("model", "target_variable", "location", "horizon")
@@ -61,23 +61,47 @@ def report_window(scores: DataFrame, report_date=None, report_dates: DataFrame |
             .join(F.broadcast(rd), "report_date"))
 
 
-def overall_rows(df: DataFrame) -> DataFrame:
-    """M2: every row once for its location and once as "Overall" (one scan)."""
-    return df.withColumn("location", F.explode(F.array(F.col("location"), F.lit("Overall"))))
+def overall_flags(rep: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """M3/M4 for "Overall": per (report, model, target, horizon) the number of
+    location names the model covers, the target's total, and whether the model
+    keeps an "Overall" row (covers at least half of the target's locations).
+
+    Decided on the rows *before* duplication, so the filter is a flag on a
+    table of report weeks x models x targets x horizons instead of a join
+    over every duplicated row.
+    """
+    per_model = (rep.groupBy(*by, "model", "target_variable", "horizon")
+                 .agg(F.count_distinct("location_name").alias("n_loc")))
+    nall = rep.groupBy(*by, "target_variable").agg(F.count_distinct("location_name").alias("_nall"))
+    return (per_model.join(nall, [*by, "target_variable"])
+            .withColumn("keep_overall", F.col("n_loc") >= F.col("_nall") / 2)
+            .drop("_nall"))
 
 
-def location_counts(df: DataFrame, by: tuple[str, ...]) -> DataFrame:
-    """M3: distinct location names per (model, target, location, horizon)."""
-    return df.groupBy(*by, *CELL).agg(F.count_distinct("location_name").alias("n_loc"))
+def overall_rows(rep: DataFrame, flags: DataFrame | None = None,
+                 by: tuple[str, ...] = ("report_date",)) -> DataFrame:
+    """M2 (+M4 with ``flags``): each row once for its location and once as "Overall".
+
+    One scan with ``explode``; with ``flags`` the "Overall" copy is emitted
+    only for models that keep it.
+    """
+    both = F.array(F.col("location"), F.lit("Overall"))
+    if flags is None:
+        return rep.withColumn("location", F.explode(both))
+    keys = [*by, "model", "target_variable", "horizon"]
+    return (rep.join(flags.select(*keys, "keep_overall"), keys, "left")
+            .withColumn("location", F.explode(
+                F.when(F.col("keep_overall"), both).otherwise(F.array(F.col("location")))))
+            .drop("keep_overall"))
 
 
-def overall_filter(df: DataFrame, n_loc: DataFrame, by: tuple[str, ...]) -> DataFrame:
-    """M4: keep "Overall" only where the model covers at least half of the target's locations."""
-    nall = df.groupBy(*by, "target_variable").agg(F.count_distinct("location_name").alias("_nall"))
-    keep = (n_loc.join(nall, [*by, "target_variable"])
-            .filter((F.col("location") != "Overall") | (F.col("n_loc") >= F.col("_nall") / 2))
-            .select(*by, *CELL))
-    return df.join(keep, [*by, *CELL], "left_semi")
+def location_counts(rep: DataFrame, flags: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """M3: distinct location names per (model, target, location, horizon), "Overall" included."""
+    own = rep.groupBy(*by, *CELL).agg(F.count_distinct("location_name").alias("n_loc"))
+    overall = flags.filter("keep_overall").select(*by, "model", "target_variable",
+                                                  F.lit("Overall").alias("location"),
+                                                  "horizon", "n_loc")
+    return own.unionByName(overall)
 
 
 def continuous_weeks(df: DataFrame, by: tuple[str, ...]) -> DataFrame:
@@ -113,11 +137,11 @@ def summarise_scores(scores: DataFrame, report_date=None, report_dates: DataFram
     by = ("report_date",)
     n_levels = cfg.n_quantiles
     locations = scores.select("location", "location_name").distinct()
-    df = report_window(scores, report_date, report_dates, history_weeks,
-                       cfg.forecast_week_day, until)                                # M1
-    df = overall_rows(df)                                                            # M2
-    n_loc = location_counts(df, by)                                                  # M3
-    df = overall_filter(df, n_loc, by)                                               # M4
+    rep = report_window(scores, report_date, report_dates, history_weeks,
+                        cfg.forecast_week_day, until)                               # M1
+    flags = overall_flags(rep, by)                                                  # M4
+    df = overall_rows(rep, flags, by)                                               # M2
+    n_loc = location_counts(rep, flags, by)                                         # M3
     cw = None
     if restrict_weeks > 0 or with_continuous_weeks:
         cw = continuous_weeks(df, by)                                                # M5
@@ -151,7 +175,7 @@ def summarise_scores(scores: DataFrame, report_date=None, report_dates: DataFram
            .join(n_loc, keys, "left")
            .join(locations, "location", "left"))                                     # M15
     if round_output:                                                                 # M16
-        out = out.withColumns({c: round_half_even(c, 2) for c in ROUNDED if c in out.columns})
+        out = out.withColumns({c: round_decimal(c, 2) for c in ROUNDED if c in out.columns})
     cols = [*by, *[c for c in SUMMARY_COLUMNS if c in out.columns]]
     if cw is not None and with_continuous_weeks:                                     # M17
         out = (out.join(cw, keys, "left")

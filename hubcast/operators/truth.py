@@ -55,9 +55,15 @@ def add_status(df: DataFrame, status: DataFrame) -> DataFrame:
     return df.join(st, keys, "left").fillna("final", subset=["status"])
 
 
-def attach_truth(forecasts: DataFrame, truth: DataFrame) -> DataFrame:
-    """Scoring input (F4): ``prediction`` plus ``true_value`` (NULL when not yet observed)."""
+def attach_truth(forecasts: DataFrame, truth: DataFrame, broadcast: bool = True) -> DataFrame:
+    """Scoring input (F4): ``prediction`` plus ``true_value`` (NULL when not yet observed).
+
+    Truth has one row per (location, target, week): its size is bounded by
+    geography x calendar, not by the number of forecasts, so it is broadcast
+    and the forecast side is never shuffled for this join. Pass
+    ``broadcast=False`` for daily truth over very many locations.
+    """
     keys = ["target_variable", "location", "target_end_date"]
     t = truth.select(*keys, F.col("value").alias("true_value"))
     return (forecasts.withColumnRenamed("value", "prediction")
-            .join(t, keys, "left"))
+            .join(F.broadcast(t) if broadcast else t, keys, "left"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..config import HubConfig
 from ..functions.dates import default_target_end_date, week_end
-from ..functions.numeric import round_half_even
+from ..functions.numeric import round_decimal
 from ..operators import averaging, criteria, scoring, skill, submission, summary, truth
 from ..sources import files, hubdata
 from . import runs
@@ -76,7 +76,7 @@ class Hub:
 
 
 def _r(c: str, digits: int = DIGITS):
-    return round_half_even(c, digits).alias(c)
+    return round_decimal(c, digits).alias(c)
 
 
 # --- dates and truth -------------------------------------------------------
@@ -221,19 +221,19 @@ def overall_rollup(spark, sf):
             .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("wis").alias("sum_wis")))
 
 
-def overall_half_locations(spark, sf):
-    df = summary.overall_rows(_report_rows(spark, sf))
+def _kept_rows(spark, sf):
+    rep = _report_rows(spark, sf)
     by = ("report_date",)
-    n_loc = summary.location_counts(df, by)
-    kept = summary.overall_filter(df, n_loc, by).filter(F.col("location") == "Overall")
+    return summary.overall_rows(rep, summary.overall_flags(rep, by), by)
+
+
+def overall_half_locations(spark, sf):
+    kept = _kept_rows(spark, sf).filter(F.col("location") == "Overall")
     return kept.groupBy("report_date", *summary.CELL).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def continuous_weeks(spark, sf):
-    df = summary.overall_rows(_report_rows(spark, sf))
-    by = ("report_date",)
-    df = summary.overall_filter(df, summary.location_counts(df, by), by)
-    return summary.continuous_weeks(df, by)
+    return summary.continuous_weeks(_kept_rows(spark, sf), ("report_date",))
 
 
 def _summary(spark, sf):

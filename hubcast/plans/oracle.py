@@ -174,6 +174,20 @@ sc AS (
 _CELL = "report_date, target_variable, horizon, location"
 
 
+def _rd(x: str, d: int) -> str:
+    """Half-even on the decimal value: floor of the scaled value, ties within 1e-6."""
+    y = f"(CAST({x} AS DOUBLE) * {10 ** d})"
+    return (f"(CASE WHEN NOT (abs({y}) < 1e15) OR {y} IS NULL THEN CAST({x} AS DOUBLE) ELSE "
+            f"(CASE WHEN abs({y} - floor({y}) - 0.5) < 1e-6 THEN "
+            f"(CASE WHEN CAST(floor({y}) AS BIGINT) % 2 = 0 THEN floor({y}) ELSE floor({y}) + 1 END) "
+            f"WHEN {y} - floor({y}) < 0.5 THEN floor({y}) ELSE floor({y}) + 1 END) "
+            f"/ CAST({10 ** d} AS DOUBLE) + 0.0 END)")
+
+
+def _r2(x: str) -> str:
+    return _rd(x, 2)
+
+
 def _pairwise(name: str, src: str, metric: str) -> str:
     """Self join on the unit, ratio of sums, geometric mean, scaled by the baseline."""
     return f"""
@@ -244,10 +258,9 @@ base AS (
   FROM sdf GROUP BY ALL),
 summ AS (
   SELECT b.report_date, b.model, b.target_variable, b.horizon, b.location,
-         round_even(ae.rel, 2) + 0.0 AS rel_ae, round_even(wi.rel, 2) + 0.0 AS rel_wis,
-         round_even(wi.msr, 2) + 0.0 AS msr_baseline,
-         round_even(b.cov_50, 2) + 0.0 AS cov_50, round_even(b.cov_95, 2) + 0.0 AS cov_95,
-         round_even(CAST(b.bias AS DOUBLE), 2) + 0.0 AS bias, b.n, n.n_loc, l.location_name
+         {_r2('ae.rel')} AS rel_ae, {_r2('wi.rel')} AS rel_wis, {_r2('wi.msr')} AS msr_baseline,
+         {_r2('b.cov_50')} AS cov_50, {_r2('b.cov_95')} AS cov_95,
+         {_r2('CAST(b.bias AS DOUBLE)')} AS bias, b.n, n.n_loc, l.location_name
   FROM base b
   LEFT JOIN ae_rel ae USING (report_date, model, target_variable, horizon, location)
   LEFT JOIN wi_rel wi USING (report_date, model, target_variable, horizon, location)
@@ -326,8 +339,8 @@ inc AS (
   JOIN crit c USING ({_GRID_KEYS})
   WHERE c.included_in_ensemble AND f.horizon IN (1, 2, 3, 4)),
 norm AS (
-  SELECT run_date, model, target_variable, horizon, temporal_resolution, target_end_date, location,
-         type, round_even(quantile, 3) AS quantile, value
+  SELECT run_date, model, forecast_date, target_variable, horizon, temporal_resolution,
+         target_end_date, location, type, round_even(quantile, 3) AS quantile, value
   FROM inc)"""
 
 
@@ -397,7 +410,7 @@ t7c AS (
 
 _SKILL_OUT = """
 SELECT run_date, quantile, target_variable, location, horizon,
-       round_even({v}, 6) + 0.0 AS value, COUNT(*) AS n_models
+       {r6} AS value, COUNT(*) AS n_models
 FROM {src} GROUP BY run_date, quantile, target_variable, location, horizon"""
 
 
@@ -536,22 +549,22 @@ SELECT report_date, model, target_variable, horizon, location, rel_wis FROM summ
 SELECT report_date, model, target_variable, horizon, location, msr_baseline FROM summ""")
     q["summary_table"] = _q([T, FC, S, SU], "SELECT * FROM summ")
     q["evaluation_table"] = _q([T, FC, S, SU], "SELECT * FROM evaluation")
-    q["skill_weights"] = _q([T, FC, S, SU, C0, _skill(False)], """
-SELECT run_date, model, target_variable, location, round_even(weight, 6) + 0.0 AS weight
+    q["skill_weights"] = _q([T, FC, S, SU, C0, _skill(False)], f"""
+SELECT run_date, model, target_variable, location, {_rd('weight', 6)} AS weight
 FROM weights""")
-    q["skill_weights_by_horizon"] = _q([T, FC, S, SU, C0, _skill(True)], """
+    q["skill_weights_by_horizon"] = _q([T, FC, S, SU, C0, _skill(True)], f"""
 SELECT run_date, model, target_variable, location, horizon,
-       round_even(weight, 6) + 0.0 AS weight
+       {_rd('weight', 6)} AS weight
 FROM weights""")
     mean_v = "SUM(value * weight) / NULLIF(SUM(weight), 0)"
     q["ensemble_skill_mean"] = _q([T, FC, S, SU, C0, _skill(False)],
-                                  _SKILL_OUT.format(v=mean_v, src="wf"))
+                                  _SKILL_OUT.format(r6=_rd(mean_v, 6), src="wf"))
     q["ensemble_skill_mean_by_horizon"] = _q([T, FC, S, SU, C0, _skill(True)],
-                                             _SKILL_OUT.format(v=mean_v, src="wf"))
+                                             _SKILL_OUT.format(r6=_rd(mean_v, 6), src="wf"))
     t7 = ("SUM(value * (least(greatest(hi * ns - h + 1, 0.0), 1.0)"
           " - least(greatest(lo * ns - h + 1, 0.0), 1.0)))")
     q["ensemble_skill_type7_median"] = _q([T, FC, S, SU, C0, _skill(False), _type7()],
-                                          _SKILL_OUT.format(v=t7, src="t7c"))
+                                          _SKILL_OUT.format(r6=_rd(t7, 6), src="t7c"))
     q["skill_submission"] = _q([T, FC, S, SU, C0, _skill(False), f"""
 ens AS (
   SELECT run_date, quantile, target_variable, location, horizon, {mean_v} AS value,
