@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import default_target_end_date
-from ..functions.numeric import round_half_even
+from ..functions.numeric import round_decimal
 
 SUBMISSION_COLUMNS = ("forecast_date", "target", "target_end_date", "location", "type",
                       "quantile", "value")
@@ -42,6 +42,9 @@ def format_ensemble(ensemble: DataFrame, forecast_date, temporal_resolution: str
                     by: tuple[str, ...] = ()) -> DataFrame:
     """Standard submission rows, values rounded half-to-even, point rows added.
 
+    Rounding is half-even on the decimal value (``round_decimal``): a weighted
+    mean that is exactly k + 0.5 rounds to even however its float sum was ordered.
+
     ``forecast_date`` is a date, an ISO string or a column (``run_date`` in
     batch runs). A ``temporal_resolution`` column wins over the argument, and
     ``target_end_date`` defaults to D11 when the ensemble has none.
@@ -59,5 +62,5 @@ def format_ensemble(ensemble: DataFrame, forecast_date, temporal_resolution: str
     out = df.select(*[F.col(b) for b in by],
                     F.col("_fd").alias("forecast_date"), target.alias("target"),
                     "target_end_date", "location", "type", "quantile",
-                    round_half_even("value").alias("value"))
+                    round_decimal("value", 0).alias("value"))
     return add_point_forecasts(out)

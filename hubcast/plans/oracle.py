@@ -420,7 +420,7 @@ fmt AS (
   SELECT run_date AS forecast_date,
          CAST(horizon AS VARCHAR) || ' ' || {res} || ' ahead ' || target_variable AS target,
          {ted} AS target_end_date, location, type, quantile,
-         round_even(value, 0) + 0.0 AS value
+         {_rd('value', 0)} AS value
   FROM {src}),
 sub AS (
   SELECT * FROM fmt
@@ -622,7 +622,7 @@ allf AS (
 fmt AS (
   SELECT method, run_date AS forecast_date,
          CAST(horizon AS VARCHAR) || ' ' || temporal_resolution || ' ahead ' || target_variable
-           AS target, type, quantile, round_even(value, 0) + 0.0 AS value
+           AS target, type, quantile, {_rd('value', 0)} AS value
   FROM allf),
 sub AS (
   SELECT * FROM fmt
