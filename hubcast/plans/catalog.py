@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..config import HubConfig
 from ..functions.dates import default_target_end_date, week_end
 from ..functions.numeric import round_decimal
+from ..session import cut_lineage
 from ..operators import averaging, criteria, scoring, skill, submission, summary, truth
 from ..sources import files, hubdata
 from . import runs
@@ -32,15 +33,26 @@ DIGITS = 6
 
 
 class Hub:
-    """Lazy hub tables of one scale factor (nothing is computed here)."""
+    """Hub tables of one scale factor.
+
+    The truth series (one row per location, target and week) is derived from
+    the fact tables once and checkpointed: every later table (forecasts,
+    exclusions, run dates, scores) reads the checkpoint instead of scanning
+    lineitem again. Score and evaluation tables, each read by several
+    branches of a plan, are checkpointed on first use. Everything else is lazy.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str, cfg: HubConfig = CFG):
         self.spark, self.sf_dir, self.cfg = spark, sf_dir, cfg
-        self.truth = hubdata.truth(spark, sf_dir, cfg)
+        self.truth = cut_lineage(hubdata.truth(spark, sf_dir, cfg))
         self.forecasts = hubdata.forecasts(spark, sf_dir, cfg, truth_df=self.truth)
         self.designations = hubdata.designations(spark)
         self.exclusions = hubdata.exclusions(spark, sf_dir, cfg, truth_df=self.truth)
-        self.run_dates = self.forecasts.select(F.col("forecast_date").alias("run_date")).distinct()
+        # forecast dates are origin weeks + 2 days: derived from the truth, not the forecasts
+        self.run_dates = (self.truth.select(F.date_add("target_end_date", 2).alias("run_date"))
+                          .distinct())
+        self._scores = None
+        self._evaluation = None
 
     def window(self) -> DataFrame:
         return runs.windowed_forecasts(self.forecasts, run_dates=self.run_dates)
@@ -49,12 +61,18 @@ class Hub:
         return truth.attach_truth(self.forecasts, self.truth)
 
     def scores(self, round_output: bool = True) -> DataFrame:
-        return scoring.score_forecasts(self.scoring_input(), round_output=round_output)
+        if not round_output:
+            return scoring.score_forecasts(self.scoring_input(), round_output=False)
+        if self._scores is None:
+            self._scores = cut_lineage(scoring.score_forecasts(self.scoring_input()))
+        return self._scores
 
     def evaluation(self) -> DataFrame:
-        rd = self.run_dates.select(F.col("run_date").alias("report_date"))
-        return summary.evaluation_table(self.scores(), report_dates=rd,
-                                        history_weeks=HISTORY_WEEKS, cfg=self.cfg)
+        if self._evaluation is None:
+            rd = self.run_dates.select(F.col("run_date").alias("report_date"))
+            self._evaluation = cut_lineage(summary.evaluation_table(
+                self.scores(), report_dates=rd, history_weeks=HISTORY_WEEKS, cfg=self.cfg))
+        return self._evaluation
 
     def criteria(self, with_cutoff: bool = False) -> criteria.CriteriaResult:
         return criteria.ensemble_criteria(

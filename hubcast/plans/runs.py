@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import HubConfig
-from ..functions.dates import submission_window
+from ..functions.dates import weeks_since_epoch
 from ..operators.averaging import ensemble_average, equal_weights, min_models, normalise_forecasts
 from ..operators.criteria import ensemble_criteria
 from ..operators.skill import relative_skill_ensemble, update_inclusion
@@ -45,9 +45,10 @@ def windowed_forecasts(forecasts: DataFrame, run_date=None, run_dates: DataFrame
     """Forecasts of the ``window_days`` days up to each run date, tagged ``run_date``.
 
     Single date: a range filter (pushed to the scan / partition pruning).
-    Many dates: each row is exploded to the ``window_days`` run dates that
-    would read it and kept where such a run exists (equi-join with the table
-    of run dates, one row per run: bounded by the calendar).
+    Many dates: each row is exploded to the calendar weeks its window spans
+    (two for a six-day window), equi-joined on the week with the table of run
+    dates (one row per run: bounded by the calendar, broadcast) and kept where
+    the run's window contains it. No range join, no per-day explode.
     """
     if run_dates is None:
         d = _date(run_date)
@@ -55,9 +56,14 @@ def windowed_forecasts(forecasts: DataFrame, run_date=None, run_dates: DataFrame
         return (forecasts.filter(F.col("forecast_date").between(F.lit(lo.isoformat()).cast("date"),
                                                                  F.lit(d.isoformat()).cast("date")))
                 .withColumn("run_date", F.lit(d.isoformat()).cast("date")))
-    rd = run_dates.select("run_date").distinct()
-    return (forecasts.withColumn("run_date", F.explode(submission_window("forecast_date", window_days)))
-            .join(F.broadcast(rd), "run_date"))
+    rd = run_dates.select("run_date").distinct().withColumn("_wk", weeks_since_epoch("run_date"))
+    fd = F.col("forecast_date")
+    last = F.date_add(fd, window_days - 1)
+    weeks = F.sequence(weeks_since_epoch(fd), weeks_since_epoch(last))
+    return (forecasts.withColumn("_wk", F.explode(weeks))
+            .join(F.broadcast(rd), "_wk")
+            .filter((F.col("run_date") >= fd) & (F.col("run_date") <= last))
+            .drop("_wk"))
 
 
 def _method_parts(method: str):
