@@ -35,7 +35,10 @@ def min_models(df: DataFrame, k: int, by: tuple[str, ...] = ()) -> DataFrame:
     keys = [*by, *MIN_MODEL_KEYS]
     ok = (df.groupBy(*keys).agg(F.count_distinct("model").alias("_n"))
             .filter(F.col("_n") >= k).drop("_n"))
-    return df.join(ok, keys, "left_semi")
+    ok = ok.select(*[F.col(c).alias(f"_k_{c}") for c in keys])
+    # groups with a missing key are groups too (null-safe match)
+    cond = [df[c].eqNullSafe(ok[f"_k_{c}"]) for c in keys]
+    return df.join(ok, cond, "left_semi")
 
 
 def ensemble_average(df: DataFrame, method: str = "mean", by: tuple[str, ...] = ()) -> DataFrame:

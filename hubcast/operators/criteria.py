@@ -92,6 +92,9 @@ def rel_wis_flags(grid: DataFrame, fc: DataFrame, evaluation: DataFrame | None,
     if evaluation is None:
         warnings.warn("no evaluation table; not excluding any model by relative WIS")
         return grid.withColumn("rel_wis", F.lit(True))
+    single = not by
+    if single:
+        grid, fc, by = grid.withColumn("_run", F.lit(0)), fc.withColumn("_run", F.lit(0)), ("_run",)
     dates = evaluation_dates(fc, by)
     present = evaluation.select("report_date").distinct().withColumn("_has_eval", F.lit(True))
     runs = dates.join(present, "report_date", "left")
@@ -103,7 +106,8 @@ def rel_wis_flags(grid: DataFrame, fc: DataFrame, evaluation: DataFrame | None,
            .join(ev, [*by, *GRID_KEYS], "left"))
     flag = F.when(F.col("_has_eval").isNull(), F.lit(True)).otherwise(
         F.coalesce(F.col("_below"), F.lit(False)))
-    return out.withColumn("rel_wis", flag).drop("_has_eval", "_below")
+    out = out.withColumn("rel_wis", flag).drop("_has_eval", "_below")
+    return out.drop("_run") if single else out
 
 
 def ensemble_criteria(forecasts: DataFrame, cfg: HubConfig = HubConfig(),

@@ -11,6 +11,7 @@ import datetime as dt
 import os
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,13 +52,18 @@ def read_submissions(spark: SparkSession, data_dir: str,
     ``target``), with ``location_name`` NULL as submissions do not carry it.
     """
     if dates is None:
-        paths = [os.path.join(data_dir, "*", "*.csv")]
+        path = os.path.join(data_dir, "*", "*.csv")
     else:
-        paths = [os.path.join(data_dir, "*", f"{d}-*.csv") for d in _dates(dates)]
-    raw = (spark.read.schema(schemas.SUBMISSION).option("header", True)
-           .option("nullValue", "NA").option("mode", "PERMISSIVE")
-           .csv(paths)
-           .withColumn("_path", F.col("_metadata.file_path")))
+        path = os.path.join(data_dir, "*", "{" + ",".join(_dates(dates)) + "}-*.csv")
+    reader = (spark.read.schema(schemas.SUBMISSION).option("header", True)
+              .option("nullValue", "NA").option("mode", "PERMISSIVE"))
+    try:
+        raw = reader.csv(path)
+    except AnalysisException:  # no submission file for any of the dates
+        raw = spark.createDataFrame([], schemas.SUBMISSION)
+        raw = raw.withColumn("_path", F.lit(None).cast("string"))
+    else:
+        raw = raw.withColumn("_path", F.col("_metadata.file_path"))
     df = (raw.withColumn("model", F.regexp_extract("_path", SUBMISSION_PATH_RX, 1))
              .withColumn("location_name", F.lit(None).cast("string")))
     df = parse_target(df)
