@@ -18,11 +18,13 @@ in P, which reproduces the cartesian match of duplicate units exactly.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import log_ratio, safe_div
 
+SEP = "\u0001"
+
 
 def pair_sums(df: DataFrame, metric: str, cell: list[str], unit: list[str]) -> DataFrame:
     """(cell, model, compare_against, sum_a, sum_b) over the units both share."""
@@ -30,37 +32,57 @@ def pair_sums(df: DataFrame, metric: str, cell: list[str], unit: list[str]) -> D
            .select(*cell, *unit, "model", F.col(metric).cast("double").alias("_m")))
     units = (u.groupBy(*cell, *unit)
              .agg(F.array_sort(F.collect_list(F.struct("model", "_m"))).alias("_ms"))
-             .withColumn("_pat", F.transform("_ms", lambda e: e["model"])))
+             # the pattern as one string key (models joined by an unused separator)
+             .withColumn("_pat", F.array_join(F.transform("_ms", lambda e: e["model"]), SEP)))
     per_pattern = (units.select(*cell, "_pat", F.explode("_ms").alias("_e"))
                    .groupBy(*cell, "_pat", F.col("_e.model").alias("model"))
                    .agg(F.sum("_e._m").alias("_s")))
-    pairs = (per_pattern
-             .select(*cell, "model", "_s", "_pat",
-                     F.explode(F.array_distinct("_pat")).alias("compare_against"))
-             .withColumn("_mult", F.size(F.filter("_pat", lambda x: x == F.col("compare_against"))))
-             .groupBy(*cell, "model", "compare_against")
-             .agg(F.sum(F.col("_s") * F.col("_mult")).alias("sum_a")))
-    mirror = pairs.select(*cell, F.col("compare_against").alias("model"),
-                          F.col("model").alias("compare_against"), F.col("sum_a").alias("sum_b"))
-    return pairs.join(mirror, [*cell, "model", "compare_against"])
+    members = F.split(F.col("_pat"), SEP)
+    distinct = F.array_distinct(members)
+    # multiplicity of a partner in the pattern; 1 unless a model repeats in a unit
+    mult = F.when(F.size(distinct) == F.size(members), F.lit(1)).otherwise(
+        F.size(F.filter(members, lambda x: x == F.col("compare_against"))))
+    contrib = (per_pattern
+               .select(*cell, "model", "_s", "_pat", F.explode(distinct).alias("compare_against"))
+               .withColumn("_c", F.col("_s") * mult))
+    # each contribution counts for (A, B) as A's side and for (B, A) as the partner's side,
+    # so one aggregate yields both sums of every ordered pair (no mirror self join)
+    both = F.array(
+        F.struct(F.col("model").alias("m"), F.col("compare_against").alias("o"),
+                 F.col("_c").alias("a"), F.lit(0.0).alias("b")),
+        F.struct(F.col("compare_against").alias("m"), F.col("model").alias("o"),
+                 F.lit(0.0).alias("a"), F.col("_c").alias("b")))
+    return (contrib.select(*cell, F.explode(both).alias("_p"))
+            .groupBy(*cell, F.col("_p.m").alias("model"), F.col("_p.o").alias("compare_against"))
+            .agg(F.sum("_p.a").alias("sum_a"), F.sum("_p.b").alias("sum_b")))
+
+
+def _with_ratios(p: DataFrame) -> DataFrame:
+    same = F.col("model") == F.col("compare_against")
+    return (p.withColumn("mean_scores_ratio",
+                         F.when(same, F.lit(1.0)).otherwise(safe_div("sum_a", "sum_b")))
+             .withColumn("_log", F.when(same, F.lit(0.0)).otherwise(log_ratio("sum_a", "sum_b"))))
+
+
+def _theta(p: DataFrame, cell: list[str], baseline: str) -> DataFrame:
+    """(cell, model, theta, scaled_rel_skill) for cells with at least two models.
+
+    Hash aggregates over the per-model table; no windows over the pair table.
+    """
+    theta = p.groupBy(*cell, "model").agg(F.exp(F.avg("_log")).alias("theta"))
+    cells = theta.groupBy(*cell).agg(
+        F.max(F.when(F.col("model") == baseline, F.col("theta"))).alias("_theta_base"),
+        F.count(F.lit(1)).alias("_n_models"))
+    return (theta.join(cells, cell).filter(F.col("_n_models") >= 2)
+            .withColumn("scaled_rel_skill", safe_div("theta", "_theta_base"))
+            .select(*cell, "model", "theta", "scaled_rel_skill"))
 
 
 def pairwise_comparison(df: DataFrame, metric: str, cell: list[str], unit: list[str],
                         baseline: str) -> DataFrame:
     """(cell, model, compare_against, mean_scores_ratio, theta, scaled_rel_skill)."""
-    p = pair_sums(df, metric, cell, unit)
-    same = F.col("model") == F.col("compare_against")
-    p = (p.withColumn("mean_scores_ratio",
-                      F.when(same, F.lit(1.0)).otherwise(safe_div("sum_a", "sum_b")))
-          .withColumn("_log", F.when(same, F.lit(0.0)).otherwise(log_ratio("sum_a", "sum_b"))))
-    per_model = Window.partitionBy(*cell, "model")
-    per_cell = Window.partitionBy(*cell)
-    p = p.withColumn("theta", F.exp(F.avg("_log").over(per_model)))
-    p = p.withColumn("_theta_base", F.max(F.when(F.col("model") == baseline, F.col("theta")))
-                     .over(per_cell))
-    p = p.withColumn("_n_models", F.size(F.collect_set("model").over(per_cell)))
-    return (p.filter(F.col("_n_models") >= 2)
-             .withColumn("scaled_rel_skill", safe_div("theta", "_theta_base"))
+    p = _with_ratios(pair_sums(df, metric, cell, unit))
+    return (p.join(_theta(p, cell, baseline), [*cell, "model"])
              .select(*cell, "model", "compare_against", "mean_scores_ratio", "theta",
                      "scaled_rel_skill"))
 
@@ -68,26 +90,25 @@ def pairwise_comparison(df: DataFrame, metric: str, cell: list[str], unit: list[
 def relative_skill(df: DataFrame, metric: str, cell: list[str], unit: list[str],
                    baseline: str, name: str) -> DataFrame:
     """One row per (cell, model): ``name`` = scaled relative skill."""
-    pc = pairwise_comparison(df, metric, cell, unit, baseline)
-    return (pc.filter(F.col("model") == F.col("compare_against"))
-              .select(*cell, "model", F.col("scaled_rel_skill").alias(name)))
+    p = _with_ratios(pair_sums(df, metric, cell, unit))
+    return _theta(p, cell, baseline).select(*cell, "model", F.col("scaled_rel_skill").alias(name))
 
 
 def ratio_to_baseline(df: DataFrame, metric: str, cell: list[str], unit: list[str],
                       baseline: str, name: str = "msr_baseline") -> DataFrame:
-    """Mean score ratio of each model against the baseline."""
-    pc = pairwise_comparison(df, metric, cell, unit, baseline)
-    return (pc.filter(F.col("compare_against") == baseline)
-              .select(*cell, "model", F.col("mean_scores_ratio").alias(name)))
+    """Mean score ratio of each model against the baseline (cells with two or more models)."""
+    p = _with_ratios(pair_sums(df, metric, cell, unit))
+    keep = _theta(p, cell, baseline).select(*cell, "model")
+    return (p.filter(F.col("compare_against") == baseline).join(keep, [*cell, "model"])
+            .select(*cell, "model", F.col("mean_scores_ratio").alias(name)))
 
 
 def relative_skill_and_ratio(df: DataFrame, metric: str, cell: list[str], unit: list[str],
                              baseline: str, name: str,
                              ratio_name: str = "msr_baseline") -> DataFrame:
-    """M10+M11 from one pairwise table: (cell, model, ``name``, ``ratio_name``)."""
-    pc = pairwise_comparison(df, metric, cell, unit, baseline)
-    return (pc.groupBy(*cell, "model")
-              .agg(F.max(F.when(F.col("model") == F.col("compare_against"),
-                                F.col("scaled_rel_skill"))).alias(name),
-                   F.max(F.when(F.col("compare_against") == baseline,
-                                F.col("mean_scores_ratio"))).alias(ratio_name)))
+    """M10+M11 from one pair table: (cell, model, ``name``, ``ratio_name``)."""
+    p = _with_ratios(pair_sums(df, metric, cell, unit))
+    msr = (p.filter(F.col("compare_against") == baseline)
+           .select(*cell, "model", F.col("mean_scores_ratio").alias(ratio_name)))
+    return (_theta(p, cell, baseline).join(msr, [*cell, "model"], "left")
+            .select(*cell, "model", F.col("scaled_rel_skill").alias(name), ratio_name))
