@@ -37,3 +37,26 @@ def test_skill_weights_sum_to_one(spark):
     w = catalog.skill_weights(spark, SMALL)
     sums = w.groupBy("run_date", "target_variable", "location").agg(F.sum("weight").alias("s"))
     assert sums.filter(F.abs(F.col("s") - 1) > 1e-5).count() == 0
+
+
+def test_single_relative_skill_run_by_hand(spark):
+    d = dt.date(2021, 3, 8)
+    cfg = catalog.HubConfig(quantiles=(0.5,), horizons=(1,))
+    fc = spark.createDataFrame(
+        [(m, d, "inc case", 1, "wk", dt.date(2021, 3, 13), "L", "Land", "quantile", 0.5, v)
+         for m, v in (("A", 10.0), ("B", 40.0), ("C", 70.0))],
+        "model string, forecast_date date, target_variable string, horizon int, "
+        "temporal_resolution string, target_end_date date, location string, location_name string, "
+        "type string, quantile double, value double")
+    ev = spark.createDataFrame(
+        [(d, m, "inc case", 1, "L", s, 5) for m, s in (("A", 0.5), ("B", 1.0))],
+        "report_date date, model string, target_variable string, horizon int, location string, "
+        "rel_wis double, continuous_weeks int")
+    des = spark.createDataFrame([(m, "primary") for m in "ABC"], "model string, designation string")
+    run = run_ensemble(fc, "relative_skill", d, cfg=cfg, designations=des, evaluation=ev)
+    assert rows(run.ensemble, "type", "quantile", "value", "target", "target_end_date") == [
+        ("point", None, 20.0, "1 wk ahead inc case", dt.date(2021, 3, 13)),
+        ("quantile", 0.5, 20.0, "1 wk ahead inc case", dt.date(2021, 3, 13))]
+    w = dict(rows(run.weights, "model", "weight"))
+    assert abs(w["A"] - 2 / 3) < 1e-12 and abs(w["B"] - 1 / 3) < 1e-12 and "C" not in w
+    assert dict(rows(run.criteria, "model", "included_in_ensemble")) == {"A": True, "B": True, "C": False}
