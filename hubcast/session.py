@@ -6,9 +6,7 @@ it is unset (tests, local runs) do we pick a scratch folder ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +16,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -40,13 +39,20 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder, setting a local one only if unset."""
+    """The shared checkpoint folder, set at most once per Spark application.
+
+    Order: the folder the context already uses, then ``spark.checkpoint.dir``,
+    then (local master only) a scratch folder. A cluster without the setting is
+    an error: executors do not share machine-local folders.
+    """
     sc = spark.sparkContext
-    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        current = sc.getCheckpointDir()
-        if current:
-            return current
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="hubcast-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
@@ -56,15 +62,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def write_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Materialise ``df`` as parquet under the shared checkpoint folder and read it back."""
-    spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark)
-    path = os.path.join(root, f"{name}-{uuid.uuid4().hex[:8]}")
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return spark.read.parquet(path)
