@@ -1,4 +1,4 @@
-"""Corpus pipeline: quality rules, exact deduplication, mixing, tokenisation.
+"""Corpus pipeline: quality rules, exact and near deduplication, mixing, tokenisation.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes it as
 Parquet in the shared checkpoint folder and reads it again as the next stage's docs, so
@@ -11,7 +11,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hubcast.llm import bpe, exact_dedup, mixing, quality_rules
+from hubcast.llm import bpe, exact_dedup, mixing, ngram_join, quality_rules
 from hubcast.llm.queries import TOKENIZER
 from hubcast.session import ensure_checkpoint_dir
 
@@ -27,6 +27,11 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.unique(docs, exact_dedup.fresh_index(spark))
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document for each class of similar sets of 5-word shingles (Jaccard 0.8 or more)."""
+    return ngram_join.representatives(docs, n=5, percent=80)
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix repeats them."""
     return mixing.mix(docs)
@@ -37,7 +42,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, TOKENIZER)
 
 
-STAGES = [("quality rules", quality), ("exact dedup", exact), ("mixing", mixture), ("tokens", tokens)]
+STAGES = [("quality rules", quality), ("exact dedup", exact), ("n-gram Jaccard join", near),
+          ("mixing", mixture), ("tokens", tokens)]
 
 # The learned rules of the first stage have no SQL.
 ORACLE_SQL = None

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hubcast.llm import bpe, chat_format, exact_dedup, language_id, mixing, quality_rules, token_shards, url_filter
+from hubcast.llm import bpe, chat_format, exact_dedup, language_id, mixing, ngram_join, quality_rules, token_shards, url_filter
 from hubcast.llm.common import table
 from hubcast.llm.oracle import SQL
 
@@ -54,6 +54,11 @@ def op6_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards.training_order(packed)
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents whose sets of 4-word shingles overlap by 85 %."""
+    return ngram_join.classes(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources mixed to weights 3, 1, 2 with 150 % of all words and at most two epochs."""
     plan = mixing.repetitions(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, max_epochs=2.0)
@@ -84,7 +89,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_exact_dedup, op4_language_id, op5_bpe_codec, op6_token_shards, op8_mix_sources,
+    f.__name__: f for f in (op1_quality_rules, op2_exact_dedup, op4_language_id, op5_bpe_codec, op6_token_shards, op7_ngram_jaccard, op8_mix_sources,
                             op9_url_filter, op10_chat_format)}
 
 ORACLE_SQL = {k: v for k, v in SQL.items() if k in QUERIES}
