@@ -6,7 +6,7 @@ and those are appended. Only built-in functions run here.
 
 Defined cases: a null text counts as empty; texts are equal when identical after
 each run of the six ASCII white-space characters becomes one space; of equal
-texts the smallest doc_id stays (null sorts first); a digest that the index
+texts the smallest doc_id stays (null counts as greatest); a digest that the index
 already holds keeps the doc_id stored there. Rows that repeat doc_id and text are
 one document: the decision is the same for each, ``unique`` returns one of them.
 """
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from hubcast.llm import common
 
+NO_ID = -(1 << 63)  # stands for a null doc_id in joins
 INDEX_COLUMNS = "text_digest binary, keep_id bigint, group_size bigint"
 
 
@@ -78,13 +79,16 @@ def decide(docs: DataFrame, index: DigestIndex) -> DataFrame:
 
 
 def unique(docs: DataFrame, index: DigestIndex) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns, one for each text."""
-    marked = docs.withColumn("__digest", digest(F.col("text")))
+    """The rows of ``docs`` that stay, all columns, one for each text.
+
+    The last step groups by the keys of the join before it, so the texts move once.
+    """
+    own_id = lambda c: F.coalesce(F.col(c), F.lit(NO_ID))
+    marked = docs.withColumns({"__digest": digest(F.col("text")), "__id": own_id("doc_id")})
     first = common.cut(index.add(marked.select("doc_id", F.col("__digest").alias("text_digest"))))
-    keep = first.select(F.col("text_digest").alias("__digest"), F.col("keep_id").alias("__keep"))
-    stay = marked.join(keep, (marked["__digest"] == keep["__digest"])
-                       & marked["doc_id"].eqNullSafe(keep["__keep"]), "left_semi")
-    return stay.dropDuplicates(["__digest"]).select(*docs.columns)
+    keep = first.select(F.col("text_digest").alias("__digest"), own_id("keep_id").alias("__id"))
+    stay = marked.join(keep, ["__digest", "__id"], "left_semi")
+    return stay.dropDuplicates(["__digest", "__id"]).select(*docs.columns)
 
 
 def fresh_index(spark: SparkSession) -> DigestIndex:

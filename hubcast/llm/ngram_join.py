@@ -49,7 +49,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def shingles(text: str | None, n: int) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct n-word shingles, A-Z lower-cased."""
-    w = [x for x in text.encode().lower().split()] if text else []
+    w = text.encode().lower().split() if text else []
     if not w:
         return np.empty(0, U)
     h = np.fromiter(map(xxhash.xxh3_64_intdigest, w), U, len(w))
@@ -284,7 +284,7 @@ def _compare(node: np.ndarray, n: np.ndarray, bitmaps: list[bytes], percent: int
             rows = np.concatenate([rows, fold(np.frombuffer(b"".join(bitmaps[i] for i in more), U).reshape(len(more), 2 * w))])
         for lo in range(0, len(own), block):
             hi = min(lo + block, len(own))
-            end = int(np.searchsorted(n[at], 100 * n[at[hi - 1]] // percent, "right")) if (np.diff(n[at]) >= 0).all() else len(at)
+            end = int(np.searchsorted(n[at], 100 * n[at[hi - 1]] // percent, "right"))  # wider bitmaps: larger sets
             differ = np.zeros((hi - lo, end - lo), np.int64)
             for k in range(w):
                 differ += np.bitwise_count(rows[lo:hi, k, None] ^ rows[None, lo:end, k])
@@ -405,7 +405,10 @@ def classes(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
 
 
 def representatives(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
-    """The rows of ``docs`` that stay, one of each class (the smallest doc_id), all columns."""
+    """The rows of ``docs`` that stay, one of each class (the smallest doc_id), all columns.
+
+    Rows that repeat a doc_id stay or go together.
+    """
     known = classes(docs, n, percent).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     keep = known.select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(keep, docs["doc_id"].eqNullSafe(F.col("__keep")), "left_semi").dropDuplicates(["doc_id"])
+    return docs.join(keep, docs["doc_id"].eqNullSafe(F.col("__keep")), "left_semi")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hubcast.llm import bpe, chat_format, exact_dedup, language_id, mixing, ngram_join, quality_rules, token_shards, url_filter
+from hubcast.llm import bpe, chat_format, exact_dedup, language_id, mixing, ngram_join, quality_rules, substring_dedup, token_shards, url_filter
 from hubcast.llm.common import table
 from hubcast.llm.oracle import SQL
 
@@ -34,6 +34,11 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(table(spark, sf_dir, "documents"), exact_dedup.fresh_index(spark))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages of 20 words or more that occur earlier."""
+    return substring_dedup.strip(table(spark, sf_dir, "documents"), length=20, with_text=False)
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; learned where crc32(doc_id) mod 4 is not 2."""
     docs = table(spark, sf_dir, "documents")
@@ -89,7 +94,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_exact_dedup, op4_language_id, op5_bpe_codec, op6_token_shards, op7_ngram_jaccard, op8_mix_sources,
+    f.__name__: f for f in (op1_quality_rules, op2_exact_dedup, op3_substring_dedup, op4_language_id, op5_bpe_codec, op6_token_shards, op7_ngram_jaccard, op8_mix_sources,
                             op9_url_filter, op10_chat_format)}
 
 ORACLE_SQL = {k: v for k, v in SQL.items() if k in QUERIES}
