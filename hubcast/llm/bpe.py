@@ -63,7 +63,7 @@ class Automaton:
             self._gadget(k, u, v, ids[labels[u] + labels[v]])
 
     def _gadget(self, k: int, u: int, v: int, uv: int) -> None:
-        live = self._arc(u, v, k)
+        live = self.labels[u] in self.ids and self.labels[v] in self.ids and self._arc(u, v, k)
         self.cut[u, v] = k
         if live:  # otherwise no state has an arc u to a state with an arc v
             self.born[uv], self.left[uv], self.right[uv] = k, u, v

@@ -89,8 +89,9 @@ def repetitions(docs: DataFrame, seed: int = 17, **settings) -> DataFrame:
 def mix(docs: DataFrame, seed: int = 17, **settings) -> DataFrame:
     """The rows of ``docs``, each as often as its source's plan repeats it."""
     of = plan(docs.select("source", common.word_count(F.col("text")).alias("size"),
-                          draw(F.col("doc_id"), seed).alias("draw")), **settings)
+                          draw(F.col("doc_id"), seed).alias("draw")), **settings).select(
+        F.col("of").alias("__of"), F.col("of_draw").alias("__of_draw"), F.col("repeats").alias("__repeats"))
     drawn = docs.withColumn("__draw", draw(F.col("doc_id"), seed))
-    joined = drawn.join(of, drawn["source"].eqNullSafe(of["of"]) & (drawn["__draw"] == of["of_draw"]))
-    times = F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int"))).alias("__time")
-    return joined.filter("repeats > 0").select(*[drawn[c] for c in docs.columns], times).drop("__time")
+    joined = drawn.join(of, drawn["source"].eqNullSafe(of["__of"]) & (F.col("__draw") == F.col("__of_draw")))
+    times = F.explode(F.sequence(F.lit(1), F.col("__repeats").cast("int"))).alias("__time")
+    return joined.filter("__repeats > 0").select(*docs.columns, times).drop("__time")
