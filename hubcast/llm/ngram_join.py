@@ -135,7 +135,7 @@ def signatures(s: np.ndarray, seen: np.ndarray, percent: int, frequent: float, n
             first = np.flatnonzero(np.diff(of[order], prepend=-1))
             token = mix(often[order])
             combined = np.add.reduceat(token, first) + MUL * of[order][first].astype(U)
-            out.append(mix(mix(combined) + U(scheme) * MUL + U(groups)))
+            out.append(mix(mix(combined) + mix(np.array([scheme << 32 | groups], U))))
             if len(first) > differ or groups > 64 * n:
                 break
             groups = groups * 3 // 2 + 1
@@ -170,6 +170,15 @@ def describe(docs: DataFrame, n: int, percent: int) -> DataFrame:
         run, "doc_id bigint, n_shingles bigint, node bigint, parity binary, signatures binary"))
 
 
+def _sorted_rows(rows: np.ndarray) -> np.ndarray:
+    """Distinct (sig, n, node) rows in that order."""
+    rows = rows[np.lexsort((rows["node"], rows["n"], rows["sig"]))]
+    if not len(rows):
+        return rows
+    new = (rows["sig"][1:] != rows["sig"][:-1]) | (rows["node"][1:] != rows["node"][:-1])
+    return rows[np.concatenate([[True], new])]
+
+
 def _lists(described: DataFrame, percent: int) -> DataFrame:
     """(long, x, y): pairs of nodes from short lists (long false), (signature, node) of long ones.
 
@@ -189,7 +198,7 @@ def _lists(described: DataFrame, percent: int) -> DataFrame:
             rows["sig"] = np.concatenate(sigs)
             rows["n"] = np.repeat(b.column("n_shingles").to_numpy(zero_copy_only=False), times)
             rows["node"] = np.repeat(np.array([x or 0 for x in b.column("node").to_pylist()], np.int64), times)
-            rows = np.unique(rows)
+            rows = _sorted_rows(rows)
             to = (mix(rows["sig"]) % U(buckets)).astype(np.int64)
             rows = rows[np.argsort(to, kind="stable")]
             at = np.searchsorted(np.sort(to), np.arange(buckets + 1))
@@ -204,7 +213,7 @@ def _lists(described: DataFrame, percent: int) -> DataFrame:
             for k, x in zip(b.column("bucket").to_pylist(), b.column("rows").to_pylist()):
                 by.setdefault(k, []).append(np.frombuffer(x, kind))
         for k in list(by):
-            rows = np.unique(np.concatenate(by.pop(k)))
+            rows = _sorted_rows(np.concatenate(by.pop(k)))
             first = np.flatnonzero(np.diff(rows["sig"], prepend=~rows["sig"][:1]))
             length = np.diff(np.append(first, len(rows)))
             pairs = []
