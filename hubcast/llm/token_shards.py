@@ -29,30 +29,30 @@ from pyspark.sql import functions as F
 
 from hubcast.session import ensure_checkpoint_dir
 
-ROUNDS, WALKS = 6, 128
+ROUNDS, WALKS = 6, 256
 
 
-def feistel(x: Column, bits: int, key: int) -> Column:
-    """A keyed permutation of the numbers below 2^bits; the halves differ by a bit when ``bits`` is odd."""
-    a, b = bits // 2, bits - bits // 2  # widths of the left and the right half
-    for r in range(ROUNDS):
-        left, right = F.shiftright(x, b), x.bitwiseAND(F.lit((1 << b) - 1))
-        mixed = left.bitwiseXOR(F.xxhash64(right, F.lit(key), F.lit(r)).bitwiseAND(F.lit((1 << a) - 1)))
-        x = F.shiftleft(right, a).bitwiseOR(mixed)  # the halves change places
-        a, b = b, a
-    return x
+def feistel(x: Column, half: int, key: int) -> Column:
+    """A keyed permutation of the numbers below 2^(2 * half)."""
+    mask = F.lit((1 << half) - 1)
+
+    def turn(at: Column, r: Column) -> Column:  # the halves change places, one of them mixed
+        right = at.bitwiseAND(mask)
+        mixed = F.shiftright(at, half).bitwiseXOR(F.xxhash64(right, F.lit(key), r).bitwiseAND(mask))
+        return F.shiftleft(right, half).bitwiseOR(mixed)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), x, turn)
 
 
 def slot(number: Column, total: int, key: int) -> Column:
     """Where sequence ``number`` of ``total`` goes: the permutation is walked on until it falls below ``total``.
 
-    A step misses with a chance under one half, so no walk of 128 steps is left open in practice; one that is
-    raises an error.
+    A step misses with a chance under three quarters, so a walk of 256 steps is not left open in practice; one
+    that is raises an error.
     """
-    bits = max(2, math.ceil(math.log2(max(total, 2))))
-    first = feistel(number.cast("long"), bits, key)
-    walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), first,
-                         lambda at, _: F.when(at < total, at).otherwise(feistel(at, bits, key)))
+    half = max(1, math.ceil(math.log2(max(total, 2)) / 2))
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), feistel(number.cast("long"), half, key),
+                         lambda at, _: F.when(at < total, at).otherwise(feistel(at, half, key)))
     return F.when(walked < total, walked).otherwise(F.raise_error(F.lit("cycle walk not closed")).cast("long"))
 
 
