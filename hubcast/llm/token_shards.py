@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from hubcast.session import ensure_checkpoint_dir
 
 ROUNDS, WALKS = 6, 256
+BROADCAST_PARTS = 100_000  # rows of 16 bytes up to which the tasks' offsets are broadcast; joined beyond
 
 
 def feistel(x: Column, half: int, key: int) -> Column:
@@ -104,7 +105,9 @@ def pack(docs: DataFrame, ranks_file: str, pattern: str, end_mark: int, length:
 
 
 def training_order(packed: DataFrame, rows: int = 4096, key: int = 20240229) -> DataFrame:
-    """slot, shard, row, first_doc, n_ids, ids, range-partitioned by shard and sorted by slot.
+    """slot, shard, row, first_doc, n_ids, ids; partition k is the slot range of shard k, in order.
+
+    Slots are dense, so the ranges are known and no sample has to find them.
 
     The packed sequences are staged in the shared folder, as their number must be
     known before the first of them has a slot; one count per task goes into the offsets.
@@ -114,13 +117,15 @@ def training_order(packed: DataFrame, rows: int = 4096, key: int = 20240229) ->
     packed.write.option("compression", "zstd").parquet(path)
     staged = spark.read.parquet(path)
     counts = staged.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    total, parts = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     before = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    if parts <= BROADCAST_PARTS:
+        offsets = F.broadcast(offsets)
     placed = staged.join(offsets, "part").withColumn("slot", slot(F.col("offset") + F.col("local"), total, key))
     shards = max(1, -(-total // rows))
     return (placed.withColumn("shard", F.floor(F.col("slot") / rows).cast("int"))
-            .repartitionByRange(shards, "shard").sortWithinPartitions("slot")
+            .repartitionById(shards, F.col("shard")).sortWithinPartitions("slot")
             .select("slot", "shard", (F.col("slot") % rows).cast("int").alias("row"), "first_doc", "n_ids", "ids"))
 
 
