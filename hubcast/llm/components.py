@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from hubcast.llm import common
 
+MIN_PARTS, EDGES_A_PART = 6, 500_000
+
 
 def _both(edges: DataFrame) -> DataFrame:
     return edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, large: bool, parts: int) -> DataFrame:
     """One contraction: neighbours on one side of a node move to its smallest neighbour.
 
     The smallest neighbour comes from a partial aggregation and returns by a join, so no
@@ -25,14 +27,15 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     moved = sides.join(least, sides["a"] == least["of"]).select(F.col("b").alias("a"), F.col("m").alias("b"))
     if not large:
         moved = moved.unionByName(least.select(F.col("of").alias("a"), F.col("m").alias("b")))
-    return moved.filter("a <> b").distinct()
+    return moved.filter("a <> b").coalesce(parts).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable; only nodes with links appear.
 
     Large and small stars alternate until the edges stay the same, in a number of
-    rounds that grows with the logarithm of the nodes.
+    rounds that grows with the logarithm of the nodes. Links are few next to what
+    they were found in, so a round runs in as many tasks as its edges need.
     """
     edges = common.cut(links.select("a", "b").filter("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
@@ -42,5 +45,6 @@ def components(links: DataFrame) -> DataFrame:
         if state == last or not state[0]:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
                 edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        last = state
-        edges = common.cut(_star(_star(edges, large=True), large=False))
+        last, parts = state, max(MIN_PARTS, state[0] // EDGES_A_PART)
+        stars = _star(_star(edges.coalesce(parts), True, parts), False, parts)
+        edges = common.cut(stars.coalesce(parts))
