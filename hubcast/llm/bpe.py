@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 # Unicode property; \s of the regex module also matches the separators U+001C to U+001F.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SPACE_AS_PROPERTY = [(r"[^\s", r"[^\p{White_Space}"), (r"\S", r"\P{White_Space}"), (r"\s", r"\p{White_Space}")]
-KEPT = 1 << 19  # entries of each table kept in a task
+KEPT = 1 << 18  # entries of each table kept in a task
 assert array("I").itemsize == 4 and sys.byteorder == "little"
 
 
@@ -157,6 +157,11 @@ class Codec:
                 out += map(self.known.__getitem__, self.split(part))
         return b"".join(out)
 
+    def forget(self) -> None:
+        """Drops the tables that filled themselves; workers outlive their tasks."""
+        self.known.clear()
+        self.automaton.arcs.clear()
+
     def decode(self, ids: bytes) -> str:
         return b"".join(map(self.labels.__getitem__, array("I", ids))).decode("utf-8", "replace")
 
@@ -196,5 +201,6 @@ def encode(docs: DataFrame, tokenizer_file: str, with_ids: bool = False) -> Data
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), *(pa.array(x, k) for x, k in zip(columns, kinds))],
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"][:len(columns) + 1])
+        c.forget()
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
