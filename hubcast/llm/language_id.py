@@ -166,9 +166,11 @@ def fit(docs: DataFrame, max_rows: int = 4000, **settings) -> LanguageModel:
                          pa.array([np.minimum(counts[at], 65535).astype("<u2").tobytes()])],
                         names=["h", "lang", "grams", "counts"])
 
-    sample = docs.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(max_rows)
+    hashed = docs.withColumn("h", F.xxhash64("doc_id"))
+    chosen = hashed.select("h", "doc_id").distinct().orderBy("h", "doc_id").limit(max_rows)  # a bounded table
+    sample = hashed.join(F.broadcast(chosen.select(F.col("h").alias("of"))), F.col("h") == F.col("of"), "left_semi")
     rows = sorted(sample.select("h", "text", "lang").mapInArrow(run, "h bigint, lang string, grams binary, counts binary")
-                  .collect())
+                  .collect())[:max_rows]
     model = LanguageModel(sorted({r["lang"] for r in rows}), np.log((1 + total) / (1 + df)) + 1.0)
     if not rows:
         return model
