@@ -22,9 +22,9 @@ WEEKDAYS = (
     "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday",
 )
 
-# The hub's own baseline and the name pattern of its ensembles.
-BASELINE_MODEL = "EuroCOVIDhub-baseline"
-HUB_ENSEMBLE_PATTERN = "^EuroCOVIDhub-.*ensemble"
+# Defaults for the name of the baseline and the pattern of the hub's own ensembles.
+BASELINE_MODEL = "hub-baseline"
+HUB_ENSEMBLE_PATTERN = "^hub-.*ensemble"
 
 
 def weekday_number(name: str) -> int:

@@ -15,7 +15,11 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_lgamma = np.vectorize(math.lgamma, otypes=[float])
+
+def _lgamma(x: np.ndarray) -> np.ndarray:
+    """Log-gamma of the distinct values only: a batch holds few, one or two for each cell."""
+    values, at = np.unique(x, return_inverse=True)
+    return np.array([math.lgamma(v) for v in values])[at]
 
 
 def _betacf(a: np.ndarray, b: np.ndarray, x: np.ndarray, iters: int = 300,
@@ -76,6 +80,10 @@ def betainc(x, a, b) -> np.ndarray:
 
 @F.pandas_udf(T.DoubleType())
 def beta_mass(lo: pd.Series, hi: pd.Series, a: pd.Series, b: pd.Series) -> pd.Series:
-    """I(hi; a, b) - I(lo; a, b), one Arrow batch at a time."""
-    av, bv = a.to_numpy(float), b.to_numpy(float)
-    return pd.Series(betainc(hi.to_numpy(float), av, bv) - betainc(lo.to_numpy(float), av, bv))
+    """I(hi; a, b) - I(lo; a, b), one Arrow batch at a time; missing where an input is."""
+    x = [s.to_numpy(float, na_value=np.nan) for s in (lo, hi, a, b)]
+    known = ~np.isnan(np.stack(x)).any(axis=0)
+    out = np.full(len(known), np.nan)
+    lo_k, hi_k, av, bv = (v[known] for v in x)
+    out[known] = betainc(hi_k, av, bv) - betainc(lo_k, av, bv)
+    return pd.Series(out).where(known)

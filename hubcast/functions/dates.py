@@ -39,16 +39,6 @@ def default_target_end_date(forecast_date, horizon) -> Column:
     return F.date_add(fd, F.lit(7) - F.dayofweek(fd) - F.lit(7) + F.lit(7) * h)
 
 
-def submission_window(forecast_date, window_days: int = 6) -> Column:
-    """Run dates whose ``window_days``-day submission window contains ``forecast_date``.
-
-    A run on date D reads forecast dates D-window_days+1 .. D, so a row dated
-    fd belongs to runs fd .. fd+window_days-1. The array has a fixed length.
-    """
-    fd = _col(forecast_date)
-    return F.sequence(fd, F.date_add(fd, window_days - 1))
-
-
 def weeks_since_epoch(saturday) -> Column:
     """Whole weeks between the Saturday 1970-01-03 and ``saturday``."""
     return F.floor(F.datediff(_col(saturday), F.lit("1970-01-03").cast("date")) / 7).cast("int")

@@ -29,10 +29,6 @@ def strict_avg(c) -> Column:
     return strict(F.avg(_col(c)), c)
 
 
-def strict_sum(c) -> Column:
-    return strict(F.sum(_col(c)), c)
-
-
 def strict_median(c) -> Column:
     """Exact interpolating median (mean of the two middle values), NA-propagating."""
     return strict(F.median(_col(c)), c)

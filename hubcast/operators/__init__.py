@@ -1,7 +1,7 @@
 from .averaging import (ensemble_average, equal_weights, min_models, normalise_forecasts,
                         weighted_mean, weighted_median)
 from .criteria import ensemble_criteria
-from .pairwise import pairwise_comparison
+from .pairwise import pair_changes, relative_skill
 from .scoring import point_to_median, score_forecasts
 from .skill import relative_skill_ensemble, skill_weights, update_inclusion
 from .submission import add_point_forecasts, format_ensemble

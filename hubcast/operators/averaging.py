@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.betainc import beta_mass
 from ..functions.nulls import strict, strict_avg, strict_median
-from ..functions.numeric import round_half_even, safe_div
+from ..functions.numeric import ordered_sum, round_half_even, safe_div
 from ..schemas import GROUP_KEYS_AVERAGE
 
 MIN_MODEL_KEYS = ("location", "horizon", "temporal_resolution", "target_variable", "target_end_date")
@@ -56,6 +56,16 @@ def ensemble_average(df: DataFrame, method: str = "mean", by: tuple[str, ...] =
               .agg(F.count(F.lit(1)).alias("forecasts"), agg.alias("value")))
 
 
+def ensemble_averages(df: DataFrame, methods: list[str], by: tuple[str, ...] = ()) -> DataFrame:
+    """E1/E2 for several averages from one aggregate, rows labelled ``method``."""
+    aggregates = {"mean": strict_avg, "median": strict_median}
+    found = df.groupBy(*by, *GROUP_KEYS_AVERAGE).agg(
+        F.count(F.lit(1)).alias("forecasts"), *[aggregates[m]("value").alias(f"_{m}") for m in methods])
+    each = F.explode(F.array(*[F.struct(F.lit(m).alias("method"), F.col(f"_{m}").alias("value")) for m in methods]))
+    return (found.withColumn("_e", each)
+            .select(*by, *GROUP_KEYS_AVERAGE, "forecasts", "_e.method", "_e.value"))
+
+
 def equal_weights(df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """E5: 1 / (distinct models) per target variable and location."""
     cell = [*by, "target_variable", "location"]
@@ -64,9 +74,10 @@ def equal_weights(df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 
 
 def weighted_mean(keys: list[str], df: DataFrame, x: str = "value", w: str = "weight") -> DataFrame:
-    """sum(x*w)/sum(w) per group; NULL x propagates."""
+    """sum(x*w)/sum(w) per group (at most one row per member), in the order of value and weight;
+    NULL x propagates, weights that sum to 0 give NULL."""
     return df.groupBy(*keys).agg(
-        strict(safe_div(F.sum(F.col(x) * F.col(w)), F.sum(w)), x).alias(x),
+        strict(safe_div(ordered_sum(F.col(x) * F.col(w), x, w), ordered_sum(w, x, w)), x).alias(x),
         F.count(F.lit(1)).alias("n_models"))
 
 
@@ -82,15 +93,18 @@ def weighted_median(keys: list[str], df: DataFrame, x: str = "value", w: str = "
     * ``harrell_davis``: F = regularised incomplete beta with a = p(n*+1),
       b = (1-p)(n*+1), evaluated by an Arrow-batched pandas UDF.
     * ``type7``: F(c) = clamp(c*n* - h + 1, 0, 1), h = p(n*-1) + 1 — Catalyst only.
+
+    Members of weight 0 add nothing; a group of only such members is NULL.
     """
-    grp = Window.partitionBy(*keys)
-    run = grp.orderBy(F.col(x), F.col(w)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ordered = Window.partitionBy(*keys).orderBy(F.col(x), F.col(w))
+    grp = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    run = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     d = (df.withColumn("_W", F.sum(w).over(grp))
            .withColumn("_W2", F.sum(F.col(w) * F.col(w)).over(grp))
            .withColumn("_C", F.sum(w).over(run)))
-    hi = F.col("_C") / F.col("_W")
-    lo = (F.col("_C") - F.col(w)) / F.col("_W")
-    nstar = F.col("_W") * F.col("_W") / F.col("_W2")
+    hi = safe_div("_C", "_W")
+    lo = safe_div(F.col("_C") - F.col(w), "_W")
+    nstar = safe_div(F.col("_W") * F.col("_W"), "_W2")
     if estimator == "harrell_davis":
         mass = beta_mass(lo, hi, F.lit(p) * (nstar + 1), F.lit(1 - p) * (nstar + 1))
     elif estimator == "type7":
@@ -103,7 +117,7 @@ def weighted_median(keys: list[str], df: DataFrame, x: str = "value", w: str = "
         raise ValueError(f"unknown weighted median estimator {estimator!r}")
     return (d.withColumn("_mass", mass)
              .groupBy(*keys)
-             .agg(strict(F.sum(F.col(x) * F.col("_mass")), x).alias(x),
+             .agg(strict(F.when(F.max("_W") > 0, ordered_sum(F.col(x) * F.col("_mass"), x, w)), x).alias(x),
                   F.count(F.lit(1)).alias("n_models")))
 
 

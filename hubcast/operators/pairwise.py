@@ -7,108 +7,79 @@ ratio 1, undefined ratios skipped) and the relative skill is
 theta_A / theta_baseline. Cells with a single model give no rows; a cell
 without the baseline gives NULL relative skill.
 
-Scale: a self join on the unit would emit every model pair of every unit.
-Instead each unit is labelled with the sorted multiset of models present
-("pattern", at most one entry per submitting model), scores are summed per
-(cell, pattern, model) — a pattern shared by thousands of units collapses to
-one row — and only then are pairs generated, once per pattern. For a unit of
-pattern P, A's sum over the pairs (A, B) is A's score times B's multiplicity
-in P, which reproduces the cartesian match of duplicate units exactly.
+The sums of a pair come from ``pair_changes``: per forecast unit the (bounded)
+list of members that submitted is turned into unordered pairs, both metrics at
+once, and summed by cell and day. Reports take running sums of those, and the
+"Overall" cell is the sum over locations, since its units are theirs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import log_ratio, safe_div
+from ..functions.numeric import log_ratio, ordered_mean, safe_div, settle
+from . import history
 
-SEP = "\u0001"
 
-
-def pair_sums(df: DataFrame, metric: str, cell: list[str], unit: list[str]) -> DataFrame:
-    """(cell, model, compare_against, sum_a, sum_b) over the units both share."""
-    u = (df.filter(F.col(metric).isNotNull() & ~F.isnan(metric))
-           .select(*cell, *unit, "model", F.col(metric).cast("double").alias("_m")))
-    units = (u.groupBy(*cell, *unit)
-             .agg(F.array_sort(F.collect_list(F.struct("model", "_m"))).alias("_ms"))
-             # the pattern as one string key (models joined by an unused separator)
-             .withColumn("_pat", F.array_join(F.transform("_ms", lambda e: e["model"]), SEP)))
-    per_pattern = (units.select(*cell, "_pat", F.explode("_ms").alias("_e"))
-                   .groupBy(*cell, "_pat", F.col("_e.model").alias("model"))
-                   .agg(F.sum("_e._m").alias("_s")))
-    members = F.split(F.col("_pat"), SEP)
-    distinct = F.array_distinct(members)
-    # multiplicity of a partner in the pattern; 1 unless a model repeats in a unit
-    mult = F.when(F.size(distinct) == F.size(members), F.lit(1)).otherwise(
-        F.size(F.filter(members, lambda x: x == F.col("compare_against"))))
-    contrib = (per_pattern
-               .select(*cell, "model", "_s", "_pat", F.explode(distinct).alias("compare_against"))
-               .withColumn("_c", F.col("_s") * mult))
-    # each contribution counts for (A, B) as A's side and for (B, A) as the partner's side,
-    # so one aggregate yields both sums of every ordered pair (no mirror self join)
-    both = F.array(
-        F.struct(F.col("model").alias("m"), F.col("compare_against").alias("o"),
-                 F.col("_c").alias("a"), F.lit(0.0).alias("b")),
-        F.struct(F.col("compare_against").alias("m"), F.col("model").alias("o"),
-                 F.lit(0.0).alias("a"), F.col("_c").alias("b")))
-    return (contrib.select(*cell, F.explode(both).alias("_p"))
-            .groupBy(*cell, F.col("_p.m").alias("model"), F.col("_p.o").alias("compare_against"))
-            .agg(F.sum("_p.a").alias("sum_a"), F.sum("_p.b").alias("sum_b")))
-
-
-def _with_ratios(p: DataFrame) -> DataFrame:
-    same = F.col("model") == F.col("compare_against")
-    return (p.withColumn("mean_scores_ratio",
-                         F.when(same, F.lit(1.0)).otherwise(safe_div("sum_a", "sum_b")))
-             .withColumn("_log", F.when(same, F.lit(0.0)).otherwise(log_ratio("sum_a", "sum_b"))))
-
-
-def _theta(p: DataFrame, cell: list[str], baseline: str) -> DataFrame:
-    """(cell, model, theta, scaled_rel_skill) for cells with at least two models.
-
-    Hash aggregates over the per-model table; no windows over the pair table.
+def pair_changes(rows: DataFrame, cell: list[str], unit: list[str],
+                 metrics: dict[str, Column]) -> DataFrame:
+    """(cell, a, b, day, sums): for a <= b and each metric, ``name_a`` and ``name_b`` are the sums
+    over shared units and ``name_n`` their number. Rows carry ``enter`` and ``leave``; a unit
+    that a model forecast twice counts once for each match.
     """
-    theta = p.groupBy(*cell, "model").agg(F.exp(F.avg("_log")).alias("theta"))
-    cells = theta.groupBy(*cell).agg(
-        F.max(F.when(F.col("model") == baseline, F.col("theta"))).alias("_theta_base"),
-        F.count(F.lit(1)).alias("_n_models"))
-    return (theta.join(cells, cell).filter(F.col("_n_models") >= 2)
-            .withColumn("scaled_rel_skill", safe_div("theta", "_theta_base"))
-            .select(*cell, "model", "theta", "scaled_rel_skill"))
-
-
-def pairwise_comparison(df: DataFrame, metric: str, cell: list[str], unit: list[str],
-                        baseline: str) -> DataFrame:
-    """(cell, model, compare_against, mean_scores_ratio, theta, scaled_rel_skill)."""
-    p = _with_ratios(pair_sums(df, metric, cell, unit))
-    return (p.join(_theta(p, cell, baseline), [*cell, "model"])
-             .select(*cell, "model", "compare_against", "mean_scores_ratio", "theta",
-                     "scaled_rel_skill"))
-
-
-def relative_skill(df: DataFrame, metric: str, cell: list[str], unit: list[str],
-                   baseline: str, name: str) -> DataFrame:
-    """One row per (cell, model): ``name`` = scaled relative skill."""
-    p = _with_ratios(pair_sums(df, metric, cell, unit))
-    return _theta(p, cell, baseline).select(*cell, "model", F.col("scaled_rel_skill").alias(name))
-
-
-def ratio_to_baseline(df: DataFrame, metric: str, cell: list[str], unit: list[str],
-                      baseline: str, name: str = "msr_baseline") -> DataFrame:
-    """Mean score ratio of each model against the baseline (cells with two or more models)."""
-    p = _with_ratios(pair_sums(df, metric, cell, unit))
-    keep = _theta(p, cell, baseline).select(*cell, "model")
-    return (p.filter(F.col("compare_against") == baseline).join(keep, [*cell, "model"])
-            .select(*cell, "model", F.col("mean_scores_ratio").alias(name)))
-
-
-def relative_skill_and_ratio(df: DataFrame, metric: str, cell: list[str], unit: list[str],
-                             baseline: str, name: str,
-                             ratio_name: str = "msr_baseline") -> DataFrame:
-    """M10+M11 from one pair table: (cell, model, ``name``, ``ratio_name``)."""
-    p = _with_ratios(pair_sums(df, metric, cell, unit))
-    msr = (p.filter(F.col("compare_against") == baseline)
-           .select(*cell, "model", F.col("mean_scores_ratio").alias(ratio_name)))
-    return (_theta(p, cell, baseline).join(msr, [*cell, "model"], "left")
-            .select(*cell, "model", F.col("scaled_rel_skill").alias(name), ratio_name))
+    value = {n: F.when(~F.isnan(c), c.cast("double")) for n, c in metrics.items()}
+    member = F.struct("model", "enter", "leave", *[c.alias(n) for n, c in value.items()])
+    units = rows.groupBy(*cell, *unit).agg(F.collect_list(member).alias("_ms"))
+    pairs = F.flatten(F.transform("_ms", lambda x: F.transform(
+        F.filter("_ms", lambda y: y["model"] >= x["model"]), lambda y: F.struct(x.alias("x"), y.alias("y")))))
+    p = units.select(*cell, F.explode(pairs).alias("_p"))
+    x, y = F.col("_p.x"), F.col("_p.y")
+    sums = {}
+    for n in metrics:
+        shared = x[n].isNotNull() & y[n].isNotNull()
+        sums |= {f"{n}_a": F.when(shared, x[n]).otherwise(0.0), f"{n}_b": F.when(shared, y[n]).otherwise(0.0),
+                 f"{n}_n": F.when(shared, 1).otherwise(0)}
+    p = p.withColumns({"a": x["model"], "b": y["model"], "enter": F.greatest(x["enter"], y["enter"]),
+                       "leave": F.least(x["leave"], y["leave"]), **{f"_{k}": c for k, c in sums.items()}})
+    p = p.filter(F.col("leave").isNull() | (F.col("enter") < F.col("leave")))
+    return history.changes(p, [*cell, "a", "b"], {k: F.col(f"_{k}") for k in sums})
+
+
+def sum_names(metrics) -> list[str]:
+    return [f"{n}_{s}" for n in metrics for s in "abn"]
+
+
+def relative_skill(pairs: DataFrame, cell: list[str], metrics, baseline: str) -> DataFrame:
+    """(cell, model, ``rel_<metric>``, ``msr_<metric>``) from pair sums, one aggregate for all metrics.
+
+    Logarithms are averaged in the order of the partners' names, so the result does not
+    depend on how rows arrive.
+    """
+    def side(model: str, other: str, own: str, theirs: str) -> Column:
+        return F.struct(F.col(model).alias("model"), F.col(other).alias("other"), *[
+            c for n in metrics for c in (F.col(f"{n}_{own}").alias(f"{n}_own"),
+                                         F.col(f"{n}_{theirs}").alias(f"{n}_their"), F.col(f"{n}_n").alias(f"{n}_n"))])
+
+    one = F.array(side("a", "b", "a", "b"))
+    both = F.when(F.col("a") == F.col("b"), one).otherwise(F.concat(one, F.array(side("b", "a", "b", "a"))))
+    d = pairs.select(*cell, F.explode(both).alias("_d")).select(*cell, "_d.*")
+    same = F.col("model") == F.col("other")
+    aggregates = []
+    for n in metrics:
+        shared = F.col(f"{n}_n") > 0
+        log = F.when(shared, F.when(same, F.lit(0.0)).otherwise(log_ratio(f"{n}_own", f"{n}_their")))
+        ratio = F.when(shared, F.when(same, F.lit(1.0)).otherwise(safe_div(f"{n}_own", f"{n}_their")))
+        aggregates += [F.exp(ordered_mean(log, "other")).alias(f"_theta_{n}"),
+                       F.max(F.when(same, F.col(f"{n}_n"))).alias(f"_own_{n}"),
+                       F.max(F.when(F.col("other") == baseline, ratio)).alias(f"msr_{n}")]
+    theta = d.groupBy(*cell, "model").agg(*aggregates)
+    w = Window.partitionBy(*cell)
+    out = [*cell, "model"]
+    for n in metrics:
+        present = F.col(f"_own_{n}") > 0
+        compared = present & (F.count(F.when(present, 1)).over(w) >= 2)
+        base = F.max(F.when((F.col("model") == baseline) & present, F.col(f"_theta_{n}"))).over(w)
+        out += [F.when(compared, settle(safe_div(f"_theta_{n}", base))).alias(f"rel_{n}"),
+                F.when(compared, F.col(f"msr_{n}")).alias(f"msr_{n}")]
+    return theta.select(*out)

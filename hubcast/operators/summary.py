@@ -1,183 +1,204 @@
 """Score summaries.
 
-Every step carries ``report_date``, so one plan summarises any number of
-report dates: a score row is routed to each report date whose window contains
-it (a bounded ``explode``, no range join), then every aggregate is keyed by
-report date.
+One plan summarises any number of report dates, over all history unless a number of
+weeks is given: counts, coverage, bias and pair sums are running sums over report
+weeks (``history``), so a score row is read and summed once however many reports
+hold it.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import HubConfig
-from ..functions.dates import week_end
 from ..functions.numeric import round_decimal
-from .pairwise import relative_skill, relative_skill_and_ratio
+from . import history, pairwise
+from .history import Visible, visible
 
 CELL = ("model", "target_variable", "location", "horizon")
 SUMMARY_COLUMNS = ("model", "target_variable", "horizon", "location", "rel_ae", "rel_wis",
                    "msr_baseline", "cov_50", "cov_95", "bias", "n", "n_loc", "location_name")
 ROUNDED = ("bias", "rel_wis", "msr_baseline", "rel_ae", "cov_50", "cov_95")
+OVERALL = "Overall"
+SEP = "\u0001"  # joins model names to one key
 
 
-def _date_lit(d) -> F.Column:
-    return F.lit(str(d)[:10]).cast("date")
+def overall_flags(v: Visible) -> DataFrame:
+    """M3/M4 for "Overall": per (report, model, target, horizon) the number of location names
+    the model covers and whether it keeps an "Overall" row (at least half of the target's)."""
+    per_model = history.distinct_count(v, v.rows, ["model", "target_variable", "horizon"], "location_name", "n_loc")
+    nall = history.distinct_count(v, v.rows, ["target_variable"], "location_name", "_nall")
+    return (per_model.join(nall, ["report_date", "target_variable"])
+            .withColumn("keep_overall", F.col("n_loc") >= F.col("_nall") / 2).drop("_nall"))
 
 
-def report_window(scores: DataFrame, report_date=None, report_dates: DataFrame | None = None,
-                  history_weeks: int | None = None, report_weekday: str = "Monday",
-                  until=None) -> DataFrame:
-    """M1: rows with forecast_date <= R-7 and target_end_date <= R, tagged ``report_date``.
+def kept_models(flags: DataFrame) -> DataFrame:
+    """(report_date, target_variable, horizon, kept): the models with an "Overall" row, as a sorted
+    array; its length is bounded by the hub's members."""
+    return (flags.filter("keep_overall").groupBy("report_date", "target_variable", "horizon")
+            .agg(F.array_sort(F.collect_set("model")).alias("kept")))
 
-    ``history_weeks`` = k keeps only target end dates in the k weeks up to R
-    (target_end_date > R - 7k), the ``weeks_included`` variant of an
-    evaluation. With ``report_dates`` (a table of weekly dates on
-    ``report_weekday``), each row is exploded to the report dates that
-    include it: at most k+1 of them, or up to ``until`` when k is None.
-    """
-    fd, ted = F.col("forecast_date"), F.col("target_end_date")
-    if report_dates is None:
-        r = _date_lit(report_date)
-        cond = (fd <= F.date_sub(r, 7)) & (ted <= r)
-        if history_weeks is not None:
-            cond = cond & (ted > F.date_sub(r, 7 * int(history_weeks)))
-        return scores.filter(cond).withColumn("report_date", r)
-    lo = F.greatest(F.date_add(fd, 7), ted)
-    if history_weeks is not None:
-        hi = F.date_add(ted, 7 * int(history_weeks) - 1)
-    elif until is not None:
-        hi = _date_lit(until)
-    else:
-        raise ValueError("batch summaries over all history need `until` (last report date)")
-    start = week_end(lo, report_weekday)
-    cands = F.when(start <= hi, F.sequence(start, hi, F.expr("INTERVAL 7 DAYS")))
-    rd = report_dates.select("report_date").distinct()
-    # one row per report week: bounded by the calendar, not by the data
-    return (scores.withColumn("report_date", F.explode(cands))
-            .join(F.broadcast(rd), "report_date"))
-
-
-def overall_flags(rep: DataFrame, by: tuple[str, ...]) -> DataFrame:
-    """M3/M4 for "Overall": per (report, model, target, horizon) the number of
-    location names the model covers, the target's total, and whether the model
-    keeps an "Overall" row (covers at least half of the target's locations).
-
-    Decided on the rows *before* duplication, so the filter is a flag on a
-    table of report weeks x models x targets x horizons instead of a join
-    over every duplicated row.
-    """
-    per_model = (rep.groupBy(*by, "model", "target_variable", "horizon")
-                 .agg(F.count_distinct("location_name").alias("n_loc")))
-    nall = rep.groupBy(*by, "target_variable").agg(F.count_distinct("location_name").alias("_nall"))
-    return (per_model.join(nall, [*by, "target_variable"])
-            .withColumn("keep_overall", F.col("n_loc") >= F.col("_nall") / 2)
-            .drop("_nall"))
 
+def with_overall(events: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
+    """M2: changes by location and, summed over locations, for "Overall"."""
+    rest = [k for k in keys if k != "location"]
+    whole = history.total(events, rest, sums).withColumn("location", F.lit(OVERALL))
+    return events.unionByName(whole)
 
-def overall_rows(rep: DataFrame, flags: DataFrame | None = None,
-                 by: tuple[str, ...] = ("report_date",)) -> DataFrame:
-    """M2 (+M4 with ``flags``): each row once for its location and once as "Overall".
 
-    One scan with ``explode``; with ``flags`` the "Overall" copy is emitted
-    only for models that keep it.
-    """
-    both = F.array(F.col("location"), F.lit("Overall"))
-    if flags is None:
-        return rep.withColumn("location", F.explode(both))
-    keys = [*by, "model", "target_variable", "horizon"]
-    return (rep.join(flags.select(*keys, "keep_overall"), keys, "left")
-            .withColumn("location", F.explode(
-                F.when(F.col("keep_overall"), both).otherwise(F.array(F.col("location")))))
-            .drop("keep_overall"))
+def keep_overall(df: DataFrame, kept: DataFrame, models: list[str]) -> DataFrame:
+    """M4: drops "Overall" rows of models that don't keep one."""
+    whole = F.col("location") == OVERALL
+    test = ~whole
+    inside = whole
+    for m in models:
+        inside = inside & F.coalesce(F.array_contains("kept", F.col(m)), F.lit(False))
+    return (df.join(kept, ["report_date", "target_variable", "horizon"], "left")
+            .filter(test | inside).drop("kept"))
 
 
-def location_counts(rep: DataFrame, flags: DataFrame, by: tuple[str, ...]) -> DataFrame:
+def rollup(v: Visible) -> DataFrame:
+    """M2: rows and WIS sum by report, location ("Overall" included) and target."""
+    keys = ["location", "target_variable"]
+    sums = {"n_rows": F.lit(1), "sum_wis": F.coalesce("wis", F.lit(0.0)), "_n": F.when(F.col("wis").isNull(), 0).otherwise(1)}
+    events = with_overall(history.changes(v.rows, keys, sums), keys, list(sums))
+    r = history.running(events, keys, list(sums), v).filter("n_rows > 0")
+    return r.select("report_date", *keys, "n_rows", F.when(F.col("_n") > 0, F.col("sum_wis")).alias("sum_wis"))
+
+
+def cell_sums(v: Visible, n_levels: int, bias_digits: int | None) -> DataFrame:
+    """M8, M12, M13 as running sums by report and (model, target, location, horizon); "Overall"
+    is summed over locations, whether a model keeps it or not."""
+    full = F.col("n_quantiles") == n_levels
+    scale = F.lit(1.0 if bias_digits is None else 10.0 ** bias_digits)
+    # bias rounded to ``bias_digits`` is summed in grid steps, which keeps the sum exact
+    bias = F.col("bias") if bias_digits is None else F.bround(F.col("bias") * scale, 0)
+    sums = {"n": F.lit(1), "_full": F.when(full, 1).otherwise(0),
+            "_bias_n": F.when(full & F.col("bias").isNotNull(), 1).otherwise(0),
+            "_bias": F.when(full, F.coalesce(bias, F.lit(0.0))).otherwise(0.0)}
+    covs = sorted(c for c in v.rows.columns if c.startswith("cov_"))
+    for c in covs:
+        sums |= {c: F.coalesce(c, F.lit(0.0)), f"_{c}": F.when(F.col(c).isNull(), 0).otherwise(1)}
+    events = with_overall(history.changes(v.rows, list(CELL), sums), list(CELL), list(sums))
+    r = history.running(events, list(CELL), list(sums), v).filter("n > 0")
+    means = [F.when(F.col(f"_{c}") > 0, F.col(c) / F.col(f"_{c}")).alias(c) for c in covs]
+    mean_bias = F.when((F.col("_full") > 0) & (F.col("_bias_n") == F.col("_full")),
+                       F.col("_bias") / (F.col("_full") * scale))
+    return r.select("report_date", *CELL, "n", *means, mean_bias.alias("bias"))
+
+
+def location_counts(v: Visible, flags: DataFrame) -> DataFrame:
     """M3: distinct location names per (model, target, location, horizon), "Overall" included."""
-    own = rep.groupBy(*by, *CELL).agg(F.count_distinct("location_name").alias("n_loc"))
-    overall = flags.filter("keep_overall").select(*by, "model", "target_variable",
-                                                  F.lit("Overall").alias("location"),
-                                                  "horizon", "n_loc")
-    return own.unionByName(overall)
+    own = history.distinct_count(v, v.rows, list(CELL), "location_name", "n_loc")
+    whole = flags.filter("keep_overall").select("report_date", "model", "target_variable",
+                                                F.lit(OVERALL).alias("location"), "horizon", "n_loc")
+    return own.unionByName(whole)
 
 
-def continuous_weeks(df: DataFrame, by: tuple[str, ...]) -> DataFrame:
-    """M5: consecutive most recent forecast dates a model has in its cell.
+def _streaks(present: DataFrame, cell: list[str], v: Visible) -> DataFrame:
+    """(report_date, cell, model, streak) from (cell, model, forecast_date, enter, leave).
 
-    The k-th most recent date of the model equals the k-th most recent date on
-    which any model forecast in that cell exactly for the leading run of
-    consecutive submissions. Both rankings run over distinct dates, so a
-    window partition holds at most one row per week.
+    Forecast dates of the cell are numbered; a model's dates in a row of numbers are an
+    island, and its streak on a report day is its place in the island at the cell's latest
+    date, if it has that one. In a cell (one horizon) a later forecast date never
+    becomes visible before an earlier one. Windows hold one row per model and week.
     """
-    cell = [*by, "location", "target_variable", "horizon"]
-    present = df.select(*cell, "model", "forecast_date").distinct()
-    cell_dates = (present.select(*cell, "forecast_date").distinct()
-                  .withColumn("_rc", F.row_number().over(
-                      Window.partitionBy(*cell).orderBy(F.col("forecast_date").desc()))))
-    model_dates = present.withColumn("_rm", F.row_number().over(
-        Window.partitionBy(*cell, "model").orderBy(F.col("forecast_date").desc())))
-    return (model_dates.join(cell_dates, [*cell, "forecast_date"])
-            .groupBy(*by, *CELL)
-            .agg(F.count_if(F.col("_rm") == F.col("_rc")).cast("int").alias("continuous_weeks")))
+    dates = Window.partitionBy(*cell).orderBy("forecast_date")
+    d = present.withColumn("_i", F.dense_rank().over(dates))
+    model = Window.partitionBy(*cell, "model").orderBy("forecast_date")
+    d = d.withColumn("_island", F.col("_i") - F.row_number().over(model))
+    island = Window.partitionBy(*cell, "model", "_island").orderBy("forecast_date")
+    numbered = Window.partitionBy(*cell).orderBy("_i")
+    d = d.withColumns({"streak": F.row_number().over(island),
+                       "day": F.min("enter").over(numbered.rangeBetween(0, 0)),
+                       "_next": F.min("enter").over(numbered.rangeBetween(1, 1))})
+    out = v.on_dates(history.until_next(d, F.col("_next"), v.last).select("report_date", *cell, "model", "streak"))
+    # with a limited history a streak is no longer than the cell's visible dates
+    seen = d.select(*cell, "forecast_date", "enter", "leave").distinct()
+    n = history.distinct_count(v, seen, cell, "forecast_date", "_dates")
+    return (out.join(n, ["report_date", *cell])
+            .select("report_date", *cell, "model", F.least("streak", F.col("_dates").cast("int")).alias("streak")))
+
+
+def continuous_weeks(v: Visible, base: DataFrame, kept: DataFrame) -> DataFrame:
+    """M5: consecutive most recent forecast dates of every model and cell of ``base``.
+
+    An "Overall" cell counts the dates of the models that keep a row on that report
+    day; the few sets of such models are cells of their own.
+    """
+    present = v.rows.groupBy(*CELL, "forecast_date").agg(F.min("enter").alias("enter"), F.max("leave").alias("leave"))
+    own = _streaks(present, ["location", "target_variable", "horizon"], v)
+    sets = kept.withColumn("_set", F.array_join("kept", SEP))
+    members = (sets.select("target_variable", "horizon", "_set", "kept").distinct()
+               .select("target_variable", "horizon", "_set", F.explode("kept").alias("model")))
+    whole = (present.groupBy("model", "target_variable", "horizon", "forecast_date")
+             .agg(F.min("enter").alias("enter"), F.max("leave").alias("leave"))
+             .join(members, ["model", "target_variable", "horizon"]))
+    keys = ["target_variable", "horizon", "_set"]
+    overall = (_streaks(whole, keys, v).join(sets.select("report_date", *keys), ["report_date", *keys])
+               .withColumn("location", F.lit(OVERALL)).drop("_set"))
+    streaks = own.unionByName(overall)
+    return (base.select("report_date", *CELL).join(streaks, ["report_date", *CELL], "left")
+            .select("report_date", *CELL, F.coalesce("streak", F.lit(0)).alias("continuous_weeks")))
+
+
+class Parts:
+    """The pieces that a summary is made of, each a lazy table over all report days."""
+
+    def __init__(self, scores: DataFrame, report_date=None, report_dates: DataFrame | None = None,
+                 history_weeks: int | None = None, cfg: HubConfig = HubConfig(), bias_digits: int | None = None):
+        self.cfg = cfg
+        self.v = visible(scores, report_date, report_dates, history_weeks, cfg.forecast_week_day)   # M1
+        self.flags = overall_flags(self.v)                                                     # M3, M4
+        self.kept = kept_models(self.flags)
+        self.base = keep_overall(cell_sums(self.v, cfg.n_quantiles, bias_digits), self.kept, ["model"])  # M2, M8-M13
+
+    def continuous_weeks(self) -> DataFrame:
+        return continuous_weeks(self.v, self.base, self.kept)                                  # M5
+
+    def pairs(self) -> DataFrame:
+        """Pair sums by report day for every location and "Overall"."""
+        full = F.col("n_quantiles") == self.cfg.n_quantiles
+        metrics = {"ae": F.col("ae_median"), "wis": F.when(full, F.col("wis"))}
+        cell = ["target_variable", "horizon", "location"]
+        events = pairwise.pair_changes(self.v.rows, cell, ["location_name", "forecast_date"], metrics)
+        keys, sums = [*cell, "a", "b"], pairwise.sum_names(metrics)
+        running = history.running(with_overall(events, keys, sums), keys, sums, self.v)
+        return keep_overall(running, self.kept, ["a", "b"])
 
 
 def summarise_scores(scores: DataFrame, report_date=None, report_dates: DataFrame | None = None,
                      history_weeks: int | None = None, restrict_weeks: int = 0,
                      cfg: HubConfig = HubConfig(), with_continuous_weeks: bool = False,
-                     round_output: bool = True, until=None,
-                     bias_digits: int | None = 1) -> DataFrame:
+                     round_output: bool = True, bias_digits: int | None = None) -> DataFrame:
     """M1-M16 (and M17 with ``with_continuous_weeks``): one row per report date and
     (model, target_variable, horizon, location).
 
-    ``bias_digits`` is the rounding of the scores' bias (1 for score tables
-    made by ``score_forecasts``; None for unrounded scores)."""
-    by = ("report_date",)
-    n_levels = cfg.n_quantiles
-    locations = scores.select("location", "location_name").distinct()
-    rep = report_window(scores, report_date, report_dates, history_weeks,
-                        cfg.forecast_week_day, until)                               # M1
-    flags = overall_flags(rep, by)                                                  # M4
-    df = overall_rows(rep, flags, by)                                               # M2
-    n_loc = location_counts(rep, flags, by)                                         # M3
-    cw = None
-    if restrict_weeks > 0 or with_continuous_weeks:
-        cw = continuous_weeks(df, by)                                                # M5
+    ``bias_digits`` is for scores whose bias is rounded to so many digits (1 in score
+    tables of ``score_forecasts``): its mean is then free of summation error.
+    """
+    p = Parts(scores, report_date, report_dates, history_weeks, cfg, bias_digits)
+    keys = ["report_date", *CELL]
+    base, pairs = p.base, p.pairs()
+    cw = p.continuous_weeks() if restrict_weeks > 0 or with_continuous_weeks else None
     if restrict_weeks > 0:                                                           # M6
-        df = (df.join(cw, [*by, *CELL], "left")
-              .filter(F.coalesce(F.col("continuous_weeks"), F.lit(0)) >= restrict_weeks)
-              .drop("continuous_weeks"))
-    full = F.col("n_quantiles") == n_levels
-    if bias_digits is None:
-        full_bias = F.when(full, F.col("bias"))
-        bias_mean = F.avg(full_bias)
-    else:
-        # bias arrives rounded to `bias_digits`: summing grid steps keeps the mean exact
-        scale = 10.0 ** bias_digits
-        full_bias = F.when(full, F.bround(F.col("bias") * scale, 0))
-        bias_mean = F.sum(full_bias) / (F.count(full_bias) * scale)
-    cov_cols = sorted(c for c in df.columns if c.startswith("cov_"))
-    base = df.groupBy(*by, *CELL).agg(
-        F.count(F.lit(1)).alias("n"),                                                # M8
-        *[F.avg(c).alias(c) for c in cov_cols],                                      # M12
-        F.when((F.count(F.when(full, 1)) > 0)                                        # M13
-               & (F.count(full_bias) == F.count(F.when(full, 1))),
-               bias_mean).alias("bias"))
-    cell = [*by, "target_variable", "horizon", "location"]
-    unit = ["location_name", "forecast_date"]
-    rel_ae = relative_skill(df, "ae_median", cell, unit, cfg.baseline_model, "rel_ae")  # M9
-    rel_wis = relative_skill_and_ratio(df.filter(full), "wis", cell, unit,           # M10, M11
-                                       cfg.baseline_model, "rel_wis", "msr_baseline")
-    keys = [*by, *CELL]
-    out = (base.join(rel_ae, keys, "left").join(rel_wis, keys, "left")              # M14
-           .join(n_loc, keys, "left")
+        enough = cw.filter(F.col("continuous_weeks") >= restrict_weeks)
+        base = base.join(enough.select(*keys), keys, "left_semi")
+        rest = ["report_date", "target_variable", "horizon", "location"]
+        models = enough.groupBy(*rest).agg(F.collect_set("model").alias("_in"))
+        pairs = (pairs.join(models, rest)
+                 .filter(F.array_contains("_in", F.col("a")) & F.array_contains("_in", F.col("b"))).drop("_in"))
+    rel = pairwise.relative_skill(pairs, ["report_date", "target_variable", "horizon", "location"], ["ae", "wis"],
+                         cfg.baseline_model)
+    rel = rel.select(*keys, "rel_ae", "rel_wis", F.col("msr_wis").alias("msr_baseline"))  # M9-M11
+    locations = scores.select("location", "location_name").distinct()
+    out = (base.join(rel, keys, "left").join(location_counts(p.v, p.flags), keys, "left")  # M14
            .join(locations, "location", "left"))                                     # M15
     if round_output:                                                                 # M16
         out = out.withColumns({c: round_decimal(c, 2) for c in ROUNDED if c in out.columns})
-    cols = [*by, *[c for c in SUMMARY_COLUMNS if c in out.columns]]
-    if cw is not None and with_continuous_weeks:                                     # M17
+    cols = ["report_date", *[c for c in SUMMARY_COLUMNS if c in out.columns]]
+    if with_continuous_weeks:                                                        # M17
         out = (out.join(cw, keys, "left")
                .withColumn("continuous_weeks", F.coalesce(F.col("continuous_weeks"), F.lit(0))))
         cols.append("continuous_weeks")
@@ -186,13 +207,9 @@ def summarise_scores(scores: DataFrame, report_date=None, report_dates: DataFram
 
 def evaluation_table(scores: DataFrame, report_dates: DataFrame | None = None, report_date=None,
                      history_weeks: int | None = None, cfg: HubConfig = HubConfig(),
-                     until=None) -> DataFrame:
+                     bias_digits: int | None = None) -> DataFrame:
     """Summary plus ``continuous_weeks`` and ``weeks_included`` ("All" or k)."""
     s = summarise_scores(scores, report_date, report_dates, history_weeks, 0, cfg,
-                         with_continuous_weeks=True, until=until)
+                         with_continuous_weeks=True, bias_digits=bias_digits)
     label = "All" if history_weeks is None else str(int(history_weeks))
     return s.withColumn("weeks_included", F.lit(label))
-
-
-def as_date(d) -> dt.date:
-    return d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d)[:10])

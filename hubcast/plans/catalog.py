@@ -1,15 +1,16 @@
 """Registered queries: one per operator family of the blueprint, each over the
 whole derived hub tables (every origin week, every run and report date).
 
-Each function takes (spark, sf_dir) and returns a lazy DataFrame whose column
-names match the DuckDB oracle in ``hubcast.plans.oracle``. Ensembles run for
-every run date in one plan; summaries run for every report date with the
-``weeks_included`` window below.
+Each function takes (spark, sf_dir) and returns a DataFrame whose column names
+match the DuckDB oracle in ``hubcast.plans.oracle``. Ensembles run for every run
+date in one plan, summaries for every report date over all history. Shared
+tables (truth, scores, evaluation) are checkpointed while a query is built.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,36 +24,56 @@ from ..sources import files, hubdata
 from . import runs
 
 CFG = HubConfig()
-# Evaluation window (weeks_included) of the registered evaluation tables.
-HISTORY_WEEKS = 10
 # Relative-WIS cut-off and minimum model count used by the criteria queries.
 REL_WIS_CUTOFF = 1.0
 MIN_NMODELS = 5
-# Float outputs that went through non-associative sums are reported to 6 digits.
-DIGITS = 6
+# Weeks of the one summary with a limited history, and of the one that wants steady models.
+WINDOW_WEEKS = 10
+STEADY_WEEKS = 4
+# Models left out by name, and horizons of the ensemble that takes fewer than the hub asks for.
+LEFT_OUT = ("T-m1", "T-m6")
+FEWER_HORIZONS = (1, 2)
+# Levels of the scores on a subset of the quantiles.
+SUBSET = (0.025, 0.25, 0.5, 0.75, 0.975)
+# Decimals of the Harrell-Davis medians: the incomplete beta comes from different series.
+HD_DIGITS = 3
 
 
 class Hub:
-    """Hub tables of one scale factor.
+    """Hub tables of one scale factor, each made on first use.
 
-    The truth series (one row per location, target and week) is derived from
-    the fact tables once and checkpointed: every later table (forecasts,
-    exclusions, run dates, scores) reads the checkpoint instead of scanning
-    lineitem again. Score and evaluation tables, each read by several
-    branches of a plan, are checkpointed on first use. Everything else is lazy.
+    Truth, scores and evaluation are read by several branches of most plans;
+    they are checkpointed when first asked for, which runs their jobs.
+    Everything else is lazy.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, cfg: HubConfig = CFG):
         self.spark, self.sf_dir, self.cfg = spark, sf_dir, cfg
-        self.truth = cut_lineage(hubdata.truth(spark, sf_dir, cfg))
-        self.forecasts = hubdata.forecasts(spark, sf_dir, cfg, truth_df=self.truth)
-        self.designations = hubdata.designations(spark)
-        self.exclusions = hubdata.exclusions(spark, sf_dir, cfg, truth_df=self.truth)
+
+    @cached_property
+    def truth(self) -> DataFrame:
+        return cut_lineage(hubdata.truth(self.spark, self.sf_dir, self.cfg))
+
+    @cached_property
+    def forecasts(self) -> DataFrame:
+        return hubdata.forecasts(self.spark, self.sf_dir, self.cfg, truth_df=self.truth)
+
+    @cached_property
+    def designations(self) -> DataFrame:
+        return hubdata.designations(self.spark)
+
+    @cached_property
+    def exclusions(self) -> DataFrame:
+        return hubdata.exclusions(self.spark, self.sf_dir, self.cfg, truth_df=self.truth)
+
+    @cached_property
+    def run_dates(self) -> DataFrame:
         # forecast dates are origin weeks + 2 days: derived from the truth, not the forecasts
-        self.run_dates = (self.truth.select(F.date_add("target_end_date", 2).alias("run_date"))
-                          .distinct())
-        self._scores = None
-        self._evaluation = None
+        return self.truth.select(F.date_add("target_end_date", 2).alias("run_date")).distinct()
+
+    @property
+    def report_dates(self) -> DataFrame:
+        return self.run_dates.select(F.col("run_date").alias("report_date"))
 
     def window(self) -> DataFrame:
         return runs.windowed_forecasts(self.forecasts, run_dates=self.run_dates)
@@ -61,24 +82,31 @@ class Hub:
         return truth.attach_truth(self.forecasts, self.truth)
 
     def scores(self, round_output: bool = True) -> DataFrame:
-        if not round_output:
-            return scoring.score_forecasts(self.scoring_input(), round_output=False)
-        if self._scores is None:
-            self._scores = cut_lineage(scoring.score_forecasts(self.scoring_input()))
-        return self._scores
+        return self._scores if round_output else scoring.score_forecasts(self.scoring_input(), round_output=False)
+
+    @cached_property
+    def _scores(self) -> DataFrame:
+        return cut_lineage(scoring.score_forecasts(self.scoring_input()))
+
+    def parts(self) -> summary.Parts:
+        return summary.Parts(self.scores(), report_dates=self.report_dates, cfg=self.cfg, bias_digits=1)
 
+    def summary(self, history_weeks: int | None = None, restrict_weeks: int = 0) -> DataFrame:
+        return summary.summarise_scores(self.scores(), report_dates=self.report_dates, history_weeks=history_weeks,
+                                        restrict_weeks=restrict_weeks, cfg=self.cfg, bias_digits=1)
+
+    @cached_property
     def evaluation(self) -> DataFrame:
-        if self._evaluation is None:
-            rd = self.run_dates.select(F.col("run_date").alias("report_date"))
-            self._evaluation = cut_lineage(summary.evaluation_table(
-                self.scores(), report_dates=rd, history_weeks=HISTORY_WEEKS, cfg=self.cfg))
-        return self._evaluation
+        return cut_lineage(summary.evaluation_table(self.scores(), report_dates=self.report_dates, cfg=self.cfg,
+                                                    bias_digits=1))
 
-    def criteria(self, with_cutoff: bool = False) -> criteria.CriteriaResult:
+    def criteria(self, with_cutoff: bool = False, exclude_models=None,
+                 cfg: HubConfig | None = None) -> criteria.CriteriaResult:
         return criteria.ensemble_criteria(
-            self.window(), self.cfg, runs.BY, exclude_models=self.exclusions,
+            self.window(), cfg or self.cfg, runs.BY,
+            exclude_models=self.exclusions if exclude_models is None else exclude_models,
             designations=self.designations,
-            evaluation=self.evaluation() if with_cutoff else None,
+            evaluation=self.evaluation if with_cutoff else None,
             rel_wis_cutoff=REL_WIS_CUTOFF if with_cutoff else float("inf"))
 
     def ensemble_input(self, min_nmodels: int = 0) -> DataFrame:
@@ -87,14 +115,15 @@ class Hub:
 
     def skill(self, average: str = "mean", by_horizon: bool = False,
               estimator: str = "harrell_davis") -> skill.SkillResult:
+        # the first weeks have no evaluation yet; their runs take no part
         return skill.relative_skill_ensemble(
-            self.ensemble_input(), self.evaluation(), runs.BY, continuous_weeks=4,
-            average=average, history=str(HISTORY_WEEKS), by_horizon=by_horizon,
-            estimator=estimator)
-
+            self.ensemble_input(), self.evaluation, runs.BY, continuous_weeks=4, average=average,
+            by_horizon=by_horizon, estimator=estimator, on_missing="skip")
 
-def _r(c: str, digits: int = DIGITS):
-    return round_decimal(c, digits).alias(c)
+    def batch(self, methods=runs.METHODS) -> runs.EnsembleRun:
+        return runs.run_multiple_ensembles(
+            self.forecasts, methods, self.run_dates, cfg=self.cfg, exclude_models=self.exclusions,
+            designations=self.designations, evaluation=self.evaluation, estimator="type7", on_missing="skip")
 
 
 # --- dates and truth -------------------------------------------------------
@@ -142,6 +171,20 @@ def submission_format(spark, sf):
     return submission.format_ensemble(ens, F.col("run_date"), CFG.temporal_resolution)
 
 
+def mean_submission(spark, sf):
+    ens = ensemble_mean(spark, sf)
+    return submission.format_ensemble(ens, F.col("run_date"), CFG.temporal_resolution)
+
+
+def single_run(spark, sf):
+    """The median ensemble of one run, the latest."""
+    h = Hub(spark, sf)
+    day = h.run_dates.agg(F.max("run_date")).first()[0]
+    run = runs.run_ensemble(h.forecasts, "median", day, cfg=CFG, exclude_models=h.exclusions,
+                            designations=h.designations)
+    return run.ensemble
+
+
 def min_models(spark, sf):
     fc = Hub(spark, sf).ensemble_input(MIN_NMODELS)
     return (fc.groupBy("run_date", *averaging.MIN_MODEL_KEYS)
@@ -181,8 +224,17 @@ def manual_exclusions_by_date(spark, sf):
 
 def included_forecasts(spark, sf):
     fc = Hub(spark, sf).criteria(with_cutoff=True).forecasts
-    return (fc.groupBy("run_date", *criteria.GRID_KEYS)
-            .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("value").alias("sum_value")))
+    return fc.select("run_date", "model", "forecast_date", "target_variable", "horizon", "target_end_date",
+                     "location", "quantile", "value", "included_in_ensemble")
+
+
+def criteria_left_out_by_name(spark, sf):
+    return Hub(spark, sf).criteria(exclude_models=list(LEFT_OUT)).criteria
+
+
+def included_fewer_horizons(spark, sf):
+    fc = Hub(spark, sf).criteria(cfg=CFG.with_(ensemble_horizons=FEWER_HORIZONS)).forecasts
+    return fc.select("run_date", "model", "target_variable", "horizon", "location", "quantile", "value")
 
 
 # --- scoring -----------------------------------------------------------------
@@ -194,6 +246,12 @@ def point_to_median(spark, sf):
                     "location", "location_name", "prediction", "true_value"))
 
 
+def score_quantile_subset(spark, sf):
+    s = scoring.score_forecasts(Hub(spark, sf).scoring_input(), quantiles=SUBSET, round_output=False)
+    return s.select("model", "target_variable", "forecast_date", "target_end_date", "horizon", "location",
+                    "wis", "ae_median", "cov_50", "cov_95", "n_quantiles")
+
+
 def _unit_scores(spark, sf, cols):
     s = Hub(spark, sf).scores(round_output=False)
     return s.select("model", "target_variable", "forecast_date", "target_end_date", "horizon",
@@ -226,80 +284,66 @@ def score_table(spark, sf):
 
 # --- summaries ---------------------------------------------------------------
 
-def _report_rows(spark, sf) -> DataFrame:
-    h = Hub(spark, sf)
-    rd = h.run_dates.select(F.col("run_date").alias("report_date"))
-    return summary.report_window(h.scores(), report_dates=rd, history_weeks=HISTORY_WEEKS,
-                                 report_weekday=CFG.forecast_week_day)
+_CELL = ("report_date", "model", "target_variable", "horizon", "location")
 
 
 def overall_rollup(spark, sf):
-    df = summary.overall_rows(_report_rows(spark, sf))
-    return (df.groupBy("report_date", "location", "target_variable")
-            .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("wis").alias("sum_wis")))
-
-
-def _kept_rows(spark, sf):
-    rep = _report_rows(spark, sf)
-    by = ("report_date",)
-    return summary.overall_rows(rep, summary.overall_flags(rep, by), by)
+    return summary.rollup(Hub(spark, sf).parts().v)
 
 
 def overall_half_locations(spark, sf):
-    kept = _kept_rows(spark, sf).filter(F.col("location") == "Overall")
-    return kept.groupBy("report_date", *summary.CELL).agg(F.count(F.lit(1)).alias("n_rows"))
+    base = Hub(spark, sf).parts().base.filter(F.col("location") == summary.OVERALL)
+    return base.select(*_CELL, F.col("n").alias("n_rows"))
 
 
 def continuous_weeks(spark, sf):
-    return summary.continuous_weeks(_kept_rows(spark, sf), ("report_date",))
-
-
-def _summary(spark, sf):
-    h = Hub(spark, sf)
-    rd = h.run_dates.select(F.col("run_date").alias("report_date"))
-    return summary.summarise_scores(h.scores(), report_dates=rd, history_weeks=HISTORY_WEEKS,
-                                    cfg=CFG)
+    return Hub(spark, sf).parts().continuous_weeks()
 
 
 def rel_ae(spark, sf):
-    return _summary(spark, sf).select("report_date", "model", "target_variable", "horizon",
-                                      "location", "rel_ae")
+    return Hub(spark, sf).summary().select(*_CELL, "rel_ae")
 
 
 def rel_wis(spark, sf):
-    return _summary(spark, sf).select("report_date", "model", "target_variable", "horizon",
-                                      "location", "rel_wis")
+    return Hub(spark, sf).summary().select(*_CELL, "rel_wis")
 
 
 def msr_baseline(spark, sf):
-    return _summary(spark, sf).select("report_date", "model", "target_variable", "horizon",
-                                      "location", "msr_baseline")
+    return Hub(spark, sf).summary().select(*_CELL, "msr_baseline")
 
 
 def summary_table(spark, sf):
-    return _summary(spark, sf)
+    return Hub(spark, sf).summary()
+
+
+def summary_window(spark, sf):
+    return Hub(spark, sf).summary(history_weeks=WINDOW_WEEKS)
+
+
+def summary_steady_models(spark, sf):
+    return Hub(spark, sf).summary(restrict_weeks=STEADY_WEEKS)
 
 
 def evaluation_table(spark, sf):
-    return Hub(spark, sf).evaluation()
+    return Hub(spark, sf).evaluation
 
 
 # --- relative-skill ensembles ----------------------------------------------------
 
 def skill_weights(spark, sf):
     w = Hub(spark, sf).skill().weights
-    return w.select("run_date", "model", "target_variable", "location", _r("weight"))
+    return w.select("run_date", "model", "target_variable", "location", "weight")
 
 
 def skill_weights_by_horizon(spark, sf):
     w = Hub(spark, sf).skill(by_horizon=True).weights
-    return w.select("run_date", "model", "target_variable", "location", "horizon", _r("weight"))
+    return w.select("run_date", "model", "target_variable", "location", "horizon", "weight")
 
 
-def _skill_ensemble(spark, sf, **kw):
+def _skill_ensemble(spark, sf, digits=None, **kw):
     e = Hub(spark, sf).skill(**kw).ensemble
-    return e.select("run_date", "quantile", "target_variable", "location", "horizon",
-                    _r("value"), "n_models")
+    value = F.col("value") if digits is None else round_decimal("value", digits).alias("value")
+    return e.select("run_date", "quantile", "target_variable", "location", "horizon", value, "n_models")
 
 
 def ensemble_skill_mean(spark, sf):
@@ -315,11 +359,11 @@ def ensemble_skill_type7_median(spark, sf):
 
 
 def ensemble_skill_hd_median(spark, sf):
-    return _skill_ensemble(spark, sf, average="median")
+    return _skill_ensemble(spark, sf, HD_DIGITS, average="median")
 
 
 def ensemble_skill_hd_median_by_horizon(spark, sf):
-    return _skill_ensemble(spark, sf, average="median", by_horizon=True)
+    return _skill_ensemble(spark, sf, HD_DIGITS, average="median", by_horizon=True)
 
 
 def skill_submission(spark, sf):
@@ -328,18 +372,20 @@ def skill_submission(spark, sf):
 
 
 def batch_runs(spark, sf):
-    """Four methods for every run date in one plan, summarised per run and target."""
-    h = Hub(spark, sf)
-    out = runs.run_multiple_ensembles(
-        h.forecasts, ["mean", "median", "relative_skill", "relative_skill_by_horizon"],
-        h.run_dates, cfg=CFG, exclude_models=h.exclusions, designations=h.designations,
-        evaluation=h.evaluation(), history=str(HISTORY_WEEKS))
-    return (out.groupBy("method", "forecast_date", "target", "type")
-            .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("value").alias("sum_value")))
+    """Six methods for every run date in one plan (medians by the type-7 estimator)."""
+    return Hub(spark, sf).batch().ensemble
+
+
+def batch_criteria(spark, sf):
+    return Hub(spark, sf).batch().criteria
+
+
+def batch_weights(spark, sf):
+    return Hub(spark, sf).batch().weights
 
 
 def submission_links(spark, sf):
-    return files.preview_links(hubdata.changed_files(spark, sf))
+    return files.preview_links(hubdata.changed_files(spark, sf), base_url=hubdata.PREVIEW_URL)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -350,6 +396,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "truth_status": truth_status,
     "point_rows": point_rows,
     "submission_format": submission_format,
+    "mean_submission": mean_submission,
+    "single_run": single_run,
     "ensemble_mean": ensemble_mean,
     "ensemble_median": ensemble_median,
     "min_models": min_models,
@@ -359,6 +407,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "criteria_rel_wis": criteria_rel_wis,
     "criteria_grid": criteria_grid,
     "included_forecasts": included_forecasts,
+    "criteria_left_out_by_name": criteria_left_out_by_name,
+    "included_fewer_horizons": included_fewer_horizons,
     "manual_exclusions_by_date": manual_exclusions_by_date,
     "point_to_median": point_to_median,
     "interval_coverage": interval_coverage,
@@ -367,6 +417,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bias": bias,
     "n_quantiles": n_quantiles,
     "score_table": score_table,
+    "score_quantile_subset": score_quantile_subset,
     "overall_rollup": overall_rollup,
     "overall_half_locations": overall_half_locations,
     "continuous_weeks": continuous_weeks,
@@ -374,6 +425,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rel_wis": rel_wis,
     "msr_baseline": msr_baseline,
     "summary_table": summary_table,
+    "summary_window": summary_window,
+    "summary_steady_models": summary_steady_models,
     "evaluation_table": evaluation_table,
     "skill_weights": skill_weights,
     "skill_weights_by_horizon": skill_weights_by_horizon,
@@ -384,5 +437,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ensemble_skill_hd_median_by_horizon": ensemble_skill_hd_median_by_horizon,
     "skill_submission": skill_submission,
     "batch_runs": batch_runs,
+    "batch_criteria": batch_criteria,
+    "batch_weights": batch_weights,
     "submission_links": submission_links,
 }

@@ -5,21 +5,24 @@ a different formulation:
 
 * WIS by the pinball-loss identity wis = 2/N * sum pinball (in thousandths,
   so sums are exact), its parts from an explicit interval pivot;
-* the pairwise comparison by a direct self join on the forecast unit;
-* continuous weeks from the latest gap instead of rank comparison;
+* the pairwise comparison by a direct self join on the forecast unit, summed by week
+  and then carried forward (all history) or joined to the weeks it covers (limited);
+* continuous weeks from the latest gap at every report day;
 * criteria by joins to the required levels and COUNT(DISTINCT) instead of bit masks;
-* run and report windows by range joins instead of bounded explodes.
+* run windows by range joins instead of bounded explodes;
+* the incomplete beta of the Harrell-Davis medians as a power series.
 
 Tables region nation supplier lineitem orders events pages are the driver's views.
 """
 
 from __future__ import annotations
 
-from ..config import HUB_QUANTILES
-from ..sources.hubdata import DESIGNATIONS, LINK_PREFIX, MODELS
-from .catalog import HISTORY_WEEKS, MIN_NMODELS, REL_WIS_CUTOFF
+from ..config import HUB_QUANTILES, HubConfig
+from ..sources.hubdata import DESIGNATIONS, LINK_PREFIX, MODELS, PREVIEW_URL
+from .catalog import (FEWER_HORIZONS, HD_DIGITS, LEFT_OUT, MIN_NMODELS, REL_WIS_CUTOFF, STEADY_WEEKS, SUBSET,
+                      WINDOW_WEEKS)
 
-BASE = "EuroCOVIDhub-baseline"
+BASE, OWN = HubConfig().baseline_model, HubConfig().ensemble_pattern
 NQ = len(HUB_QUANTILES)
 
 
@@ -175,10 +178,10 @@ _CELL = "report_date, target_variable, horizon, location"
 
 
 def _rd(x: str, d: int) -> str:
-    """Half-even on the decimal value: floor of the scaled value, ties within 1e-6."""
+    """Half-even on the scaled value; a tie has a fractional part of exactly one half."""
     y = f"(CAST({x} AS DOUBLE) * {10 ** d})"
     return (f"(CASE WHEN NOT (abs({y}) < 1e15) OR {y} IS NULL THEN CAST({x} AS DOUBLE) ELSE "
-            f"(CASE WHEN abs({y} - floor({y}) - 0.5) < 1e-6 THEN "
+            f"(CASE WHEN {y} - floor({y}) = 0.5 THEN "
             f"(CASE WHEN CAST(floor({y}) AS BIGINT) % 2 = 0 THEN floor({y}) ELSE floor({y}) + 1 END) "
             f"WHEN {y} - floor({y}) < 0.5 THEN floor({y}) ELSE floor({y}) + 1 END) "
             f"/ CAST({10 ** d} AS DOUBLE) + 0.0 END)")
@@ -188,110 +191,174 @@ def _r2(x: str) -> str:
     return _rd(x, 2)
 
 
-def _pairwise(name: str, src: str, metric: str) -> str:
-    """Self join on the unit, ratio of sums, geometric mean, scaled by the baseline."""
+def _carried(name: str, src: str, keys: str, sums: dict[str, str], weeks: int | None) -> str:
+    """CTE ``name``: sums of ``src`` rows (with ``seen`` and ``ted``) at every report day."""
+    inner = ", ".join(f"SUM({e}) AS {n}" for n, e in sums.items())
+    if weeks:
+        return f"""
+{name} AS (
+  SELECT r.run_date AS report_date, {keys}, {inner}
+  FROM {src} s JOIN run_dates r ON s.seen <= r.run_date AND s.ted > r.run_date - {7 * weeks}
+  GROUP BY ALL)"""
+    upto = ", ".join(f"SUM({n}) OVER w AS {n}" for n in sums)
+    return f"""
+{name}_w AS (SELECT seen, {keys}, {inner} FROM {src} GROUP BY ALL),
+{name}_c AS (
+  SELECT seen, {keys}, {upto}, lead(seen) OVER w AS nxt FROM {name}_w
+  WINDOW w AS (PARTITION BY {keys} ORDER BY seen)),
+{name} AS (
+  SELECT r.run_date AS report_date, {keys}, {", ".join(sums)}
+  FROM {name}_c c JOIN run_dates r ON r.run_date >= c.seen AND (c.nxt IS NULL OR r.run_date < c.nxt))"""
+
+
+def _relative(name: str, metric: str) -> str:
+    """Ratio of sums, geometric mean in the order of the partners, scaled by the baseline."""
     return f"""
-{name}_pairs AS (
-  SELECT a.report_date, a.target_variable, a.horizon, a.location, a.model, b.model AS other,
-         SUM(a.{metric}) AS sa, SUM(b.{metric}) AS sb
-  FROM {src} a JOIN {src} b
-    ON a.report_date = b.report_date AND a.target_variable = b.target_variable
-   AND a.horizon = b.horizon AND a.location = b.location
-   AND a.location_name IS NOT DISTINCT FROM b.location_name AND a.forecast_date = b.forecast_date
-  WHERE a.{metric} IS NOT NULL AND b.{metric} IS NOT NULL
-  GROUP BY ALL),
 {name}_theta AS (
   SELECT {_CELL}, model,
-         exp(avg(CASE WHEN model = other THEN 0.0
-                      WHEN sa = 0 AND sb = 0 THEN NULL
-                      WHEN sa = 0 THEN CAST('-inf' AS DOUBLE)
-                      WHEN sb = 0 THEN CAST('inf' AS DOUBLE)
-                      ELSE ln(sa) - ln(sb) END)) AS theta,
+         exp(SUM(CASE WHEN model = other THEN 0.0
+                      WHEN {metric}_a = 0 AND {metric}_b = 0 THEN NULL
+                      WHEN {metric}_a = 0 THEN CAST('-inf' AS DOUBLE)
+                      WHEN {metric}_b = 0 THEN CAST('inf' AS DOUBLE)
+                      ELSE ln({metric}_a / {metric}_b) END ORDER BY other)
+             / COUNT(CASE WHEN model = other OR {metric}_a <> 0 OR {metric}_b <> 0 THEN 1 END)) AS theta,
          MAX(CASE WHEN other = '{BASE}' THEN CASE WHEN model = other THEN 1.0
-                                                   ELSE sa / NULLIF(sb, 0) END END) AS msr
-  FROM {name}_pairs GROUP BY ALL),
+                                                   ELSE {metric}_a / NULLIF({metric}_b, 0) END END) AS msr
+  FROM pairs WHERE {metric}_n > 0 GROUP BY {_CELL}, model),
+{name}_cells AS (
+  SELECT {_CELL}, COUNT(*) AS models, MAX(theta) FILTER (WHERE model = '{BASE}') AS base
+  FROM {name}_theta GROUP BY ALL),
 {name}_rel AS (
   SELECT t.report_date, t.target_variable, t.horizon, t.location, t.model,
-         t.theta / NULLIF(b.theta, 0) AS rel, t.msr
-  FROM {name}_theta t
-  LEFT JOIN {name}_theta b
-    ON b.model = '{BASE}' AND b.report_date = t.report_date
-   AND b.target_variable = t.target_variable AND b.horizon = t.horizon AND b.location = t.location
-  WHERE (SELECT COUNT(*) FROM {name}_theta c
-         WHERE c.report_date = t.report_date AND c.target_variable = t.target_variable
-           AND c.horizon = t.horizon AND c.location = t.location) >= 2)"""
-
-
-SUMMARY = f"""
-rep AS (
-  SELECT s.*, r.run_date AS report_date
-  FROM sc s JOIN run_dates r
-    ON s.forecast_date <= r.run_date - 7 AND s.target_end_date <= r.run_date
-   AND s.target_end_date > r.run_date - {7 * HISTORY_WEEKS}),
-ov AS (
+         CASE WHEN t.theta / NULLIF(c.base, 0) < 1e3 THEN floor(t.theta / NULLIF(c.base, 0) * 1e12 + 0.5) / 1e12
+              ELSE t.theta / NULLIF(c.base, 0) END AS rel, t.msr
+  FROM {name}_theta t JOIN {name}_cells c USING ({_CELL})
+  WHERE c.models >= 2)"""
+
+
+def _summary(weeks: int | None = None, steady: int = 0) -> str:
+    """Scores summarised for every report day: all history, or the last ``weeks`` weeks."""
+    cell = "model, target_variable, horizon, location"
+    base = {"n": "1", "wis_s": "coalesce(wis, 0)", "wis_n": "CASE WHEN wis IS NULL THEN 0 ELSE 1 END",
+            "c50": "coalesce(cov_50, 0)", "n50": "CASE WHEN cov_50 IS NULL THEN 0 ELSE 1 END",
+            "c95": "coalesce(cov_95, 0)", "n95": "CASE WHEN cov_95 IS NULL THEN 0 ELSE 1 END",
+            "nf": f"CASE WHEN n_quantiles = {NQ} THEN 1 ELSE 0 END",
+            "nb": f"CASE WHEN n_quantiles = {NQ} AND bias IS NOT NULL THEN 1 ELSE 0 END",
+            "b10": f"CASE WHEN n_quantiles = {NQ} THEN coalesce(round(bias * 10), 0) ELSE 0 END"}
+    both = "(a.{m} IS NOT NULL AND b.{m} IS NOT NULL)"
+    pair = {f"{n}_{x}": f"CASE WHEN {both.format(m=m)} THEN {v} ELSE 0 END"
+            for n, m in (("ae", "ae_median"), ("wi", "wis23")) for x, v in (("a", f"a.{m}"), ("b", f"b.{m}"), ("n", "1"))}
+    pair_sums = ", ".join(f"SUM({e}) AS {n}" for n, e in pair.items())
+    window = f"AND s.ted > r.run_date - {7 * weeks}" if weeks else ""
+    enough = "" if not steady else f"""
+steady AS (SELECT * FROM cw WHERE continuous_weeks >= {steady}),
+sdf AS (SELECT b.* FROM sdf0 b SEMI JOIN steady USING (report_date, {cell})),
+pairs AS (
+  SELECT p.* FROM pairs0 p
+  SEMI JOIN steady a ON a.report_date = p.report_date AND a.target_variable = p.target_variable
+    AND a.horizon = p.horizon AND a.location = p.location AND a.model = p.model
+  SEMI JOIN steady b ON b.report_date = p.report_date AND b.target_variable = p.target_variable
+    AND b.horizon = p.horizon AND b.location = p.location AND b.model = p.other),"""
+    plain = "" if steady else "\nsdf AS (SELECT * FROM sdf0), pairs AS (SELECT * FROM pairs0),"
+    total = ", ".join(f"SUM({n}) AS {n}" for n in base)
+    psum = ", ".join(f"SUM({n}) AS {n}" for n in pair)
+    return f"""
+vis AS (
+  SELECT *, greatest(forecast_date + 7, target_end_date) AS seen, target_end_date AS ted,
+         CASE WHEN n_quantiles = {NQ} THEN wis END AS wis23
+  FROM sc),
+{_carried("rep", "vis", cell, base, weeks).strip()},
+allrep AS (
   SELECT * FROM rep
   UNION ALL
-  SELECT * REPLACE ('Overall' AS location) FROM rep),
+  SELECT report_date, model, target_variable, horizon, 'Overall', {total} FROM rep
+  GROUP BY report_date, model, target_variable, horizon),
+places AS (SELECT DISTINCT {cell}, location_name, seen, ted FROM vis),
+seen_places AS (
+  SELECT DISTINCT r.run_date AS report_date, {cell}, location_name
+  FROM (SELECT {cell}, location_name, seen, ted FROM places) s
+  JOIN run_dates r ON s.seen <= r.run_date {window}),
 nloc AS (
-  SELECT report_date, model, target_variable, location, horizon,
-         COUNT(DISTINCT location_name) AS n_loc
-  FROM ov GROUP BY ALL),
+  SELECT report_date, {cell}, COUNT(DISTINCT location_name) AS n_loc FROM seen_places GROUP BY ALL
+  UNION ALL
+  SELECT report_date, model, target_variable, horizon, 'Overall', COUNT(DISTINCT location_name)
+  FROM seen_places GROUP BY report_date, model, target_variable, horizon),
 nall AS (
-  SELECT report_date, target_variable, COUNT(DISTINCT location_name) AS nall
-  FROM ov GROUP BY ALL),
-sdf AS (
-  SELECT o.* FROM ov o
-  JOIN nloc n USING (report_date, model, target_variable, location, horizon)
-  JOIN nall a USING (report_date, target_variable)
-  WHERE o.location <> 'Overall' OR n.n_loc >= a.nall / 2.0),
-sdf23 AS (SELECT * FROM sdf WHERE n_quantiles = {NQ}),
-{_pairwise('ae', 'sdf', 'ae_median').strip()},
-{_pairwise('wi', 'sdf23', 'wis').strip()},
-base AS (
-  SELECT report_date, model, target_variable, horizon, location, COUNT(*) AS n,
-         SUM(cov_50) / COUNT(cov_50) AS cov_50, SUM(cov_95) / COUNT(cov_95) AS cov_95,
-         CASE WHEN COUNT(*) FILTER (WHERE n_quantiles = {NQ}) = 0 THEN NULL
-              WHEN COUNT(bias) FILTER (WHERE n_quantiles = {NQ})
-                   < COUNT(*) FILTER (WHERE n_quantiles = {NQ}) THEN NULL
-              ELSE SUM(round(bias * 10)) FILTER (WHERE n_quantiles = {NQ})
-                   / (10.0 * COUNT(*) FILTER (WHERE n_quantiles = {NQ})) END AS bias
-  FROM sdf GROUP BY ALL),
+  SELECT report_date, target_variable, COUNT(DISTINCT location_name) AS nall FROM seen_places GROUP BY ALL),
+keeps AS (
+  SELECT n.report_date, n.model, n.target_variable, n.horizon
+  FROM nloc n JOIN nall a USING (report_date, target_variable)
+  WHERE n.location = 'Overall' AND n.n_loc >= a.nall / 2.0),
+sdf0 AS (
+  SELECT b.* FROM allrep b LEFT JOIN keeps k USING (report_date, model, target_variable, horizon)
+  WHERE b.location <> 'Overall' OR k.model IS NOT NULL),
+units AS (
+  SELECT a.target_variable, a.horizon, a.location, a.model, b.model AS other,
+         greatest(a.seen, b.seen) AS seen, least(a.ted, b.ted) AS ted, {pair_sums}
+  FROM vis a JOIN vis b
+    ON a.target_variable = b.target_variable AND a.horizon = b.horizon AND a.location = b.location
+   AND a.location_name IS NOT DISTINCT FROM b.location_name AND a.forecast_date = b.forecast_date
+  GROUP BY ALL),
+{_carried("pr", "units", "target_variable, horizon, location, model, other", {n: n for n in pair}, weeks).strip()},
+allpairs AS (
+  SELECT * FROM pr
+  UNION ALL
+  SELECT report_date, target_variable, horizon, 'Overall', model, other, {psum} FROM pr
+  GROUP BY report_date, target_variable, horizon, model, other),
+pairs0 AS (
+  SELECT p.* FROM allpairs p
+  LEFT JOIN keeps a ON a.report_date = p.report_date AND a.target_variable = p.target_variable
+    AND a.horizon = p.horizon AND a.model = p.model
+  LEFT JOIN keeps b ON b.report_date = p.report_date AND b.target_variable = p.target_variable
+    AND b.horizon = p.horizon AND b.model = p.other
+  WHERE p.location <> 'Overall' OR (a.model IS NOT NULL AND b.model IS NOT NULL)),
+mdates AS (SELECT DISTINCT {cell}, forecast_date, seen, ted FROM vis),
+md AS (
+  SELECT r.run_date AS report_date, s.model, s.target_variable, s.horizon, s.location, s.forecast_date
+  FROM mdates s JOIN run_dates r ON s.seen <= r.run_date {window}),
+md_all AS (
+  SELECT DISTINCT m.report_date, m.model, m.target_variable, m.horizon, 'Overall' AS location, m.forecast_date
+  FROM md m JOIN keeps k USING (report_date, model, target_variable, horizon)),
+present AS (SELECT * FROM md UNION ALL SELECT * FROM md_all),
+cdates AS (SELECT DISTINCT report_date, target_variable, horizon, location, forecast_date FROM present),
+mcells AS (SELECT DISTINCT report_date, {cell} FROM present),
+gaps AS (
+  SELECT m.report_date, m.model, m.target_variable, m.horizon, m.location, MAX(c.forecast_date) AS last_gap
+  FROM mcells m JOIN cdates c USING (report_date, target_variable, horizon, location)
+  ANTI JOIN present x ON x.report_date = c.report_date AND x.model = m.model
+    AND x.target_variable = c.target_variable AND x.horizon = c.horizon AND x.location = c.location
+    AND x.forecast_date = c.forecast_date
+  GROUP BY ALL),
+cw AS (
+  SELECT m.report_date, m.model, m.target_variable, m.horizon, m.location,
+         CAST(COUNT(*) FILTER (WHERE g.last_gap IS NULL OR p.forecast_date > g.last_gap) AS INTEGER)
+           AS continuous_weeks
+  FROM mcells m JOIN present p USING (report_date, {cell})
+  LEFT JOIN gaps g USING (report_date, {cell})
+  GROUP BY ALL),{enough}{plain}
+{_relative("ae", "ae").strip()},
+{_relative("wi", "wi").strip()},
 summ AS (
   SELECT b.report_date, b.model, b.target_variable, b.horizon, b.location,
          {_r2('ae.rel')} AS rel_ae, {_r2('wi.rel')} AS rel_wis, {_r2('wi.msr')} AS msr_baseline,
-         {_r2('b.cov_50')} AS cov_50, {_r2('b.cov_95')} AS cov_95,
-         {_r2('CAST(b.bias AS DOUBLE)')} AS bias, b.n, n.n_loc, l.location_name
-  FROM base b
+         {_r2('CAST(b.c50 AS DOUBLE) / NULLIF(b.n50, 0)')} AS cov_50,
+         {_r2('CAST(b.c95 AS DOUBLE) / NULLIF(b.n95, 0)')} AS cov_95,
+         {_r2('CASE WHEN b.nf > 0 AND b.nb = b.nf THEN CAST(b.b10 AS DOUBLE) / (10.0::DOUBLE * b.nf) END')} AS bias,
+         CAST(b.n AS BIGINT) AS n, n.n_loc, l.location_name
+  FROM sdf b
   LEFT JOIN ae_rel ae USING (report_date, model, target_variable, horizon, location)
   LEFT JOIN wi_rel wi USING (report_date, model, target_variable, horizon, location)
   LEFT JOIN nloc n USING (report_date, model, target_variable, horizon, location)
   LEFT JOIN (SELECT DISTINCT location, location_name FROM sc) l USING (location)),
-cd AS (SELECT DISTINCT report_date, location, target_variable, horizon, forecast_date FROM sdf),
-md AS (SELECT DISTINCT report_date, model, location, target_variable, horizon, forecast_date FROM sdf),
-mc AS (SELECT DISTINCT report_date, model, location, target_variable, horizon FROM sdf),
-gaps AS (
-  SELECT m.report_date, m.model, m.location, m.target_variable, m.horizon,
-         MAX(c.forecast_date) AS last_gap
-  FROM mc m JOIN cd c USING (report_date, location, target_variable, horizon)
-  LEFT JOIN md x USING (report_date, model, location, target_variable, horizon, forecast_date)
-  WHERE x.model IS NULL
-  GROUP BY ALL),
-cw AS (
-  SELECT m.report_date, m.model, m.location, m.target_variable, m.horizon,
-         CAST(COUNT(*) FILTER (WHERE g.last_gap IS NULL OR c.forecast_date > g.last_gap)
-              AS INTEGER) AS continuous_weeks
-  FROM mc m JOIN cd c USING (report_date, location, target_variable, horizon)
-  LEFT JOIN gaps g USING (report_date, model, location, target_variable, horizon)
-  GROUP BY ALL),
 evaluation AS (
-  SELECT s.*, COALESCE(c.continuous_weeks, 0) AS continuous_weeks,
-         '{HISTORY_WEEKS}' AS weeks_included
+  SELECT s.*, COALESCE(c.continuous_weeks, 0) AS continuous_weeks, '{weeks or "All"}' AS weeks_included
   FROM summ s LEFT JOIN cw c USING (report_date, model, location, target_variable, horizon))"""
 
+
 _GRID_KEYS = "run_date, model, target_variable, location"
 
 
-def _criteria(cutoff: bool) -> str:
+def _criteria(cutoff: bool, manual: str | None = None, horizons=(1, 2, 3, 4)) -> str:
     if cutoff:
         rel = f"""
 ev_dates AS (
@@ -310,6 +377,9 @@ grid AS (
   LEFT JOIN ev_flag f USING (run_date, model, target_variable, location))"""
     else:
         rel = "\ngrid AS (SELECT g.*, TRUE AS rel_wis FROM grid1 g)"
+    by_date = """NOT EXISTS (SELECT 1 FROM exclusions e
+                     WHERE e.model = q.model AND e.forecast_date = q.run_date)"""
+    wanted = ", ".join(map(str, horizons))
     return f"""
 fq AS (SELECT * FROM win WHERE type = 'quantile'),
 q_date AS (
@@ -320,14 +390,13 @@ crit_q AS (
   SELECT {_GRID_KEYS}, bool_and(ok) AS all_quantiles_all_horizons FROM q_date GROUP BY ALL),
 crit_h AS (
   SELECT f.run_date, f.model, f.target_variable, f.location,
-         COUNT(DISTINCT h.horizon) = 4 AS all_horizons
-  FROM fq f LEFT JOIN horizons h ON f.horizon = h.horizon GROUP BY ALL),
+         COUNT(DISTINCT f.horizon) FILTER (WHERE f.horizon IN ({wanted})) = {len(horizons)} AS all_horizons
+  FROM fq f GROUP BY ALL),
 grid1 AS (
   SELECT q.*, h.all_horizons,
-         NOT EXISTS (SELECT 1 FROM exclusions e
-                     WHERE e.model = q.model AND e.forecast_date = q.run_date) AS not_excluded_manually
+         {manual or by_date} AS not_excluded_manually
   FROM crit_q q JOIN crit_h h USING ({_GRID_KEYS})
-  WHERE NOT regexp_matches(q.model, '^EuroCOVIDhub-.*ensemble')
+  WHERE NOT regexp_matches(q.model, '{OWN}')
     AND q.model IN (SELECT model FROM designations WHERE designation <> 'other')),{rel},
 crit AS (
   SELECT {_GRID_KEYS}, all_quantiles_all_horizons, all_horizons, not_excluded_manually, rel_wis,
@@ -337,7 +406,7 @@ crit AS (
 inc AS (
   SELECT f.*, TRUE AS included_in_ensemble FROM fq f
   JOIN crit c USING ({_GRID_KEYS})
-  WHERE c.included_in_ensemble AND f.horizon IN (1, 2, 3, 4)),
+  WHERE c.included_in_ensemble AND f.horizon IN ({wanted})),
 norm AS (
   SELECT run_date, model, forecast_date, target_variable, horizon, temporal_resolution,
          target_end_date, location, type, round_even(quantile, 3) AS quantile, value
@@ -371,22 +440,23 @@ sk{sfx} AS (
     else:
         sk = f"""
 sk{sfx} AS (
-  SELECT run_date, model, location, target_variable, AVG(relative_skill) AS relative_skill
-  FROM sk0{sfx} GROUP BY ALL)"""
+  SELECT run_date, model, location, target_variable,
+         SUM(relative_skill ORDER BY horizon) / COUNT(*) AS relative_skill
+  FROM sk0{sfx} GROUP BY run_date, model, location, target_variable)"""
     return f"""
 ev_dates{sfx} AS (SELECT run_date, MAX(forecast_date) AS report_date FROM norm GROUP BY run_date),
 sk0{sfx} AS (
   SELECT d.run_date, e.model, e.target_variable, e.location, e.horizon,
          CAST(e.rel_wis AS DOUBLE) AS relative_skill
   FROM evaluation e JOIN ev_dates{sfx} d ON e.report_date = d.report_date
-  WHERE e.weeks_included = '{HISTORY_WEEKS}' AND e.continuous_weeks >= 4 AND e.rel_wis IS NOT NULL
+  WHERE e.weeks_included = 'All' AND e.continuous_weeks >= 4 AND e.rel_wis IS NOT NULL
     AND EXISTS (SELECT 1 FROM norm n WHERE n.run_date = d.run_date AND n.model = e.model)),{sk},
 inv{sfx} AS (
   SELECT *, CASE WHEN relative_skill > 0 THEN 1 / relative_skill ELSE 0.0 END AS inv_skill
   FROM sk{sfx}),
+inv_sum{sfx} AS (SELECT {grp}, SUM(inv_skill ORDER BY model) AS total FROM inv{sfx} GROUP BY {grp}),
 weights{sfx} AS (
-  SELECT *, inv_skill / NULLIF(SUM(inv_skill) OVER (PARTITION BY {grp}), 0) AS weight
-  FROM inv{sfx}),
+  SELECT i.*, i.inv_skill / NULLIF(t.total, 0) AS weight FROM inv{sfx} i JOIN inv_sum{sfx} t USING ({grp})),
 wf{sfx} AS (
   SELECT n.run_date, n.quantile, n.target_variable, n.location, n.horizon, n.value, w.weight
   FROM norm n JOIN weights{sfx} w
@@ -395,23 +465,56 @@ wf{sfx} AS (
   WHERE w.weight IS NOT NULL AND NOT isnan(w.weight))"""
 
 
-def _type7() -> str:
-    return """
-t7 AS (
-  SELECT *, SUM(weight) OVER g AS w_all, SUM(weight * weight) OVER g AS w2,
-         SUM(weight) OVER (g ORDER BY value, weight ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c
-  FROM wf
-  WINDOW g AS (PARTITION BY run_date, quantile, target_variable, location, horizon)),
-t7b AS (
-  SELECT *, w_all * w_all / w2 AS ns, c / w_all AS hi, (c - weight) / w_all AS lo FROM t7),
-t7c AS (
-  SELECT *, 0.5 * (ns - 1) + 1 AS h FROM t7b)"""
+_WCELL = "run_date, quantile, target_variable, location, horizon"
+
+
+def _spread(sfx: str = "") -> str:
+    """Members of every cell in order of value with the limits of their weight."""
+    return f"""
+wl{sfx} AS (
+  SELECT {_WCELL}, list({{'v': value, 'w': weight}} ORDER BY value, weight) AS ms,
+         SUM(weight ORDER BY value, weight) AS w_all, SUM(weight * weight ORDER BY value, weight) AS w2
+  FROM wf{sfx} GROUP BY {_WCELL}),
+wm{sfx} AS (
+  SELECT {_WCELL}, w_all, w2, len(ms) AS n_models, unnest(range(1, len(ms) + 1)) AS i, ms FROM wl{sfx}),
+wc{sfx} AS (
+  SELECT {_WCELL}, w_all * w_all / w2 AS ns, n_models, i, ms[i].v AS value, ms[i].w AS weight,
+         list_sum(list_transform(ms[:i], lambda m: m.w)) / w_all AS hi,
+         (list_sum(list_transform(ms[:i], lambda m: m.w)) - ms[i].w) / w_all AS lo
+  FROM wm{sfx} WHERE w_all > 0)"""
+
+
+def _type7(sfx: str = "") -> str:
+    cdf = "least(greatest({c} * ns - (0.5 * (ns - 1) + 1) + 1, 0.0), 1.0)"
+    return _spread(sfx) + f""",
+t7{sfx} AS (
+  SELECT {_WCELL}, SUM(value * ({cdf.format(c='hi')} - {cdf.format(c='lo')}) ORDER BY i) AS value,
+         COUNT(*) AS n_models
+  FROM wc{sfx} GROUP BY {_WCELL})"""
+
+
+def _harrell_davis(sfx: str = "") -> str:
+    """I_x(a, a) with a = (ns + 1) / 2 by its power series at the smaller of x and 1 - x."""
+    return _spread(sfx) + f""",
+hx AS (
+  SELECT DISTINCT ns, x, least(x, 1 - x) AS z, (ns + 1) / 2 AS a
+  FROM (SELECT ns, hi AS x FROM wc{sfx} UNION SELECT ns, lo FROM wc{sfx}) q),
+hseries AS (
+  SELECT ns, x,
+         CASE WHEN z <= 0 THEN 0.0
+              ELSE exp(a * ln(z) + a * ln(1 - z) + lgamma(2 * a) - 2 * lgamma(a)) / a
+                   * (1 + list_sum(list_transform(range(1, 120), lambda n: exp(lgamma(2 * a + n) - lgamma(2 * a)
+                                   + lgamma(a + 1) - lgamma(a + 1 + n) + n * ln(z))))) END AS low
+  FROM hx),
+hbeta AS (SELECT ns, x, CASE WHEN x <= 0.5 THEN low ELSE 1 - low END AS mass FROM hseries),
+hd AS (
+  SELECT {", ".join("c." + k for k in _WCELL.split(", "))},
+         SUM(c.value * (u.mass - l.mass) ORDER BY c.i) AS value, COUNT(*) AS n_models
+  FROM wc{sfx} c JOIN hbeta u ON u.ns = c.ns AND u.x = c.hi JOIN hbeta l ON l.ns = c.ns AND l.x = c.lo
+  GROUP BY {", ".join("c." + k for k in _WCELL.split(", "))})"""
 
 
-_SKILL_OUT = """
-SELECT run_date, quantile, target_variable, location, horizon,
-       {r6} AS value, COUNT(*) AS n_models
-FROM {src} GROUP BY run_date, quantile, target_variable, location, horizon"""
+_MEAN = ("SUM(value * weight ORDER BY value, weight) / NULLIF(SUM(weight ORDER BY value, weight), 0)")
 
 
 def _fmt(src: str, ted: str = "target_end_date", res: str = "temporal_resolution") -> str:
@@ -434,7 +537,7 @@ def _d11(fd: str, h: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    T, FC, S, SU = TRUTH, FORECASTS, SCORES, SUMMARY
+    T, FC, S, SU = TRUTH, FORECASTS, SCORES, _summary()
     C0, C1 = _criteria(False), _criteria(True)
     q: dict[str, str] = {}
     q["week_end_target"] = f"""
@@ -489,6 +592,10 @@ UNION ALL
 SELECT * REPLACE ('point' AS type, CAST(NULL AS DOUBLE) AS quantile) FROM ens WHERE quantile = 0.5""")
     q["submission_format"] = _q([T, FC, C0, "ens AS (" + _ens_avg("median(value)") + ")",
                                  _fmt("ens")], "SELECT * FROM sub")
+    q["mean_submission"] = _q([T, FC, C0, "ens AS (" + _ens_avg("SUM(value) / COUNT(value)") + ")",
+                               _fmt("ens")], "SELECT * FROM sub")
+    q["single_run"] = _q([T, FC, C0, "ens AS (" + _ens_avg("median(value)") + ")", _fmt("ens")], """
+SELECT * FROM sub WHERE forecast_date = (SELECT MAX(run_date) FROM run_dates)""")
     q["min_models"] = _q([T, FC, C0, f"""
 ok AS (
   SELECT run_date, location, horizon, temporal_resolution, target_variable, target_end_date
@@ -509,8 +616,14 @@ FROM m""")
     q["criteria_rel_wis"] = _q([T, FC, S, SU, C1], f"SELECT {_GRID_KEYS}, rel_wis FROM crit")
     q["manual_exclusions_by_date"] = _q([T, FC, C0],
                                         f"SELECT {_GRID_KEYS}, not_excluded_manually FROM crit")
-    q["included_forecasts"] = _q([T, FC, S, SU, C1], f"""
-SELECT {_GRID_KEYS}, COUNT(*) AS n_rows, SUM(value) AS sum_value FROM inc GROUP BY ALL""")
+    q["included_forecasts"] = _q([T, FC, S, SU, C1], """
+SELECT run_date, model, forecast_date, target_variable, horizon, target_end_date, location, quantile,
+       value, included_in_ensemble FROM inc""")
+    named = ", ".join(f"'{m}'" for m in LEFT_OUT)
+    q["criteria_left_out_by_name"] = _q([T, FC, _criteria(False, manual=f"q.model NOT IN ({named})")],
+                                        "SELECT * FROM crit")
+    q["included_fewer_horizons"] = _q([T, FC, _criteria(False, horizons=FEWER_HORIZONS)], """
+SELECT run_date, model, target_variable, horizon, location, quantile, value FROM inc""")
     q["point_to_median"] = _q([T, FC, """
 fct AS (
   SELECT f.model, f.forecast_date, f.target_variable, f.horizon, f.target_end_date, f.location,
@@ -534,12 +647,18 @@ SELECT {unit}, wis, sharpness, underprediction, overprediction FROM sc_raw""")
     q["bias"] = _q([T, FC, S], f"SELECT {unit}, bias FROM sc_raw")
     q["n_quantiles"] = _q([T, FC, S], f"SELECT {unit}, n_quantiles FROM sc_raw")
     q["score_table"] = _q([T, FC, S], "SELECT * FROM sc")
+    subset = S.replace("WHERE true_value IS NOT NULL AND type IN ('quantile', 'point')",
+                       "WHERE true_value IS NOT NULL AND type IN ('quantile', 'point')"
+                       f" AND CASE WHEN type = 'point' THEN 0.5 ELSE quantile END IN ({', '.join(map(repr, SUBSET))})")
+    q["score_quantile_subset"] = _q([T, FC, subset], f"""
+SELECT {unit}, wis, ae_median, cov_50, cov_95, n_quantiles FROM sc_raw""")
     q["overall_rollup"] = _q([T, FC, S, SU], """
-SELECT report_date, location, target_variable, COUNT(*) AS n_rows, SUM(wis) AS sum_wis
-FROM ov GROUP BY ALL""")
+SELECT report_date, location, target_variable, CAST(SUM(n) AS BIGINT) AS n_rows,
+       CASE WHEN SUM(wis_n) > 0 THEN SUM(wis_s) END AS sum_wis
+FROM allrep GROUP BY ALL""")
     q["overall_half_locations"] = _q([T, FC, S, SU], """
-SELECT report_date, model, target_variable, location, horizon, COUNT(*) AS n_rows
-FROM sdf WHERE location = 'Overall' GROUP BY ALL""")
+SELECT report_date, model, target_variable, location, horizon, CAST(n AS BIGINT) AS n_rows
+FROM sdf WHERE location = 'Overall'""")
     q["continuous_weeks"] = _q([T, FC, S, SU], "SELECT * FROM cw")
     q["rel_ae"] = _q([T, FC, S, SU], """
 SELECT report_date, model, target_variable, horizon, location, rel_ae FROM summ""")
@@ -548,31 +667,28 @@ SELECT report_date, model, target_variable, horizon, location, rel_wis FROM summ
     q["msr_baseline"] = _q([T, FC, S, SU], """
 SELECT report_date, model, target_variable, horizon, location, msr_baseline FROM summ""")
     q["summary_table"] = _q([T, FC, S, SU], "SELECT * FROM summ")
+    q["summary_window"] = _q([T, FC, S, _summary(WINDOW_WEEKS)], "SELECT * FROM summ")
+    q["summary_steady_models"] = _q([T, FC, S, _summary(steady=STEADY_WEEKS)], "SELECT * FROM summ")
     q["evaluation_table"] = _q([T, FC, S, SU], "SELECT * FROM evaluation")
-    q["skill_weights"] = _q([T, FC, S, SU, C0, _skill(False)], f"""
-SELECT run_date, model, target_variable, location, {_rd('weight', 6)} AS weight
-FROM weights""")
-    q["skill_weights_by_horizon"] = _q([T, FC, S, SU, C0, _skill(True)], f"""
-SELECT run_date, model, target_variable, location, horizon,
-       {_rd('weight', 6)} AS weight
-FROM weights""")
-    mean_v = "SUM(value * weight) / NULLIF(SUM(weight), 0)"
-    q["ensemble_skill_mean"] = _q([T, FC, S, SU, C0, _skill(False)],
-                                  _SKILL_OUT.format(r6=_rd(mean_v, 6), src="wf"))
-    q["ensemble_skill_mean_by_horizon"] = _q([T, FC, S, SU, C0, _skill(True)],
-                                             _SKILL_OUT.format(r6=_rd(mean_v, 6), src="wf"))
-    t7 = ("SUM(value * (least(greatest(hi * ns - h + 1, 0.0), 1.0)"
-          " - least(greatest(lo * ns - h + 1, 0.0), 1.0)))")
-    q["ensemble_skill_type7_median"] = _q([T, FC, S, SU, C0, _skill(False), _type7()],
-                                          _SKILL_OUT.format(r6=_rd(t7, 6), src="t7c"))
+    q["skill_weights"] = _q([T, FC, S, SU, C0, _skill(False)], """
+SELECT run_date, model, target_variable, location, weight FROM weights""")
+    q["skill_weights_by_horizon"] = _q([T, FC, S, SU, C0, _skill(True)], """
+SELECT run_date, model, target_variable, location, horizon, weight FROM weights""")
+    out = f"SELECT {_WCELL}, {{value}} AS value, COUNT(*) AS n_models FROM wf GROUP BY {_WCELL}"
+    q["ensemble_skill_mean"] = _q([T, FC, S, SU, C0, _skill(False)], out.format(value=_MEAN))
+    q["ensemble_skill_mean_by_horizon"] = _q([T, FC, S, SU, C0, _skill(True)], out.format(value=_MEAN))
+    q["ensemble_skill_type7_median"] = _q([T, FC, S, SU, C0, _skill(False), _type7()], "SELECT * FROM t7")
+    for name, by_horizon in (("ensemble_skill_hd_median", False), ("ensemble_skill_hd_median_by_horizon", True)):
+        q[name] = _q([T, FC, S, SU, C0, _skill(by_horizon), _harrell_davis()], f"""
+SELECT {_WCELL}, {_rd('value', HD_DIGITS)} AS value, n_models FROM hd""")
     q["skill_submission"] = _q([T, FC, S, SU, C0, _skill(False), f"""
 ens AS (
-  SELECT run_date, quantile, target_variable, location, horizon, {mean_v} AS value,
+  SELECT run_date, quantile, target_variable, location, horizon, {_MEAN} AS value,
          COUNT(*) AS n_models
   FROM wf GROUP BY run_date, quantile, target_variable, location, horizon),
 ens2 AS (SELECT *, 'quantile' AS type, {_d11('run_date', 'horizon')} AS target_end_date FROM ens)""",
                                 _fmt("ens2", res="'wk'")], "SELECT * FROM sub")
-    q["batch_runs"] = _batch_runs(T, FC, S, SU, C0, mean_v)
+    q |= _batch(T, FC, S, SU, C0)
     q["submission_links"] = f"""
 WITH p AS (
   SELECT page_id, 'team' || CAST(page_id % 13 AS VARCHAR) AS team,
@@ -591,44 +707,58 @@ m AS (
          regexp_extract(url, 'data-processed/([a-zA-Z0-9_+]+-[a-zA-Z0-9_+]+)/[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}-(.+).csv$', 1) AS folder,
          regexp_extract(url, 'data-processed/([a-zA-Z0-9_+]+-[a-zA-Z0-9_+]+)/[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}-(.+).csv$', 2) AS file_model
   FROM u)
-SELECT page_id, url, 'https://epiforecasts.shinyapps.io/ecdc_submission/?file=' || url AS link
+SELECT page_id, url, '{PREVIEW_URL}' || url AS link
 FROM m WHERE folder <> '' AND folder = file_model"""
     return {k: v.strip() for k, v in q.items()}
 
 
-def _batch_runs(T, FC, S, SU, C0, mean_v) -> str:
-    by_h = _skill(True, "_h")
-    parts = [T, FC, S, SU, C0, _skill(False), by_h, f"""
+def _batch(T, FC, S, SU, C0) -> dict[str, str]:
+    """Ensembles, criteria and weights of the six methods."""
+    skills = [T, FC, S, SU, C0, _skill(False), _skill(True, "_h")]
+
+    def mean(sfx: str) -> str:
+        return f"SELECT {_WCELL}, {_MEAN} AS value FROM wf{sfx} GROUP BY {_WCELL}"
+
+    flat = "horizon, temporal_resolution, target_variable, target_end_date, location, type, quantile, value"
+    weighted = " UNION ALL ".join(
+        f"SELECT '{m}' AS method, run_date, horizon, 'wk', target_variable, {_d11('run_date', 'horizon')},"
+        f" location, 'quantile', quantile, value FROM ({src}) x"
+        for m, src in (("relative_skill", mean("")), ("relative_skill_by_horizon", mean("_h")),
+                       ("relative_skill_median", "SELECT * FROM t7"),
+                       ("relative_skill_by_horizon_median", "SELECT * FROM t7_h")))
+    ensembles = _q([*skills, _type7(), _type7("_h"), f"""
 e_mean AS (SELECT run_date, {ENS_KEYS}, SUM(value) / COUNT(value) AS value FROM norm GROUP BY ALL),
 e_median AS (SELECT run_date, {ENS_KEYS}, median(value) AS value FROM norm GROUP BY ALL),
-e_skill AS (
-  SELECT run_date, quantile, target_variable, location, horizon, {mean_v} AS value
-  FROM wf GROUP BY ALL),
-e_skill_h AS (
-  SELECT run_date, quantile, target_variable, location, horizon, {mean_v} AS value
-  FROM wf_h GROUP BY ALL),
 allf AS (
-  SELECT 'mean' AS method, run_date, horizon, temporal_resolution, target_variable,
-         target_end_date, location, type, quantile, value FROM e_mean
-  UNION ALL
-  SELECT 'median', run_date, horizon, temporal_resolution, target_variable, target_end_date,
-         location, type, quantile, value FROM e_median
-  UNION ALL
-  SELECT 'relative_skill', run_date, horizon, 'wk', target_variable,
-         {_d11('run_date', 'horizon')}, location, 'quantile', quantile, value FROM e_skill
-  UNION ALL
-  SELECT 'relative_skill_by_horizon', run_date, horizon, 'wk', target_variable,
-         {_d11('run_date', 'horizon')}, location, 'quantile', quantile, value FROM e_skill_h),
+  SELECT 'mean' AS method, run_date, {flat} FROM e_mean
+  UNION ALL SELECT 'median', run_date, {flat} FROM e_median
+  UNION ALL {weighted}),
 fmt AS (
   SELECT method, run_date AS forecast_date,
-         CAST(horizon AS VARCHAR) || ' ' || temporal_resolution || ' ahead ' || target_variable
-           AS target, type, quantile, {_rd('value', 0)} AS value
+         CAST(horizon AS VARCHAR) || ' ' || temporal_resolution || ' ahead ' || target_variable AS target,
+         target_end_date, location, type, quantile, {_rd('value', 0)} AS value
   FROM allf),
 sub AS (
   SELECT * FROM fmt
   UNION ALL
   SELECT * REPLACE ('point' AS type, CAST(NULL AS DOUBLE) AS quantile) FROM fmt
-  WHERE quantile = 0.5)"""]
-    return _q(parts, """
-SELECT method, forecast_date, target, type, COUNT(*) AS n_rows, SUM(value) AS sum_value
-FROM sub GROUP BY ALL""")
+  WHERE quantile = 0.5)"""], "SELECT * FROM sub")
+    keys = f"{_GRID_KEYS}, all_quantiles_all_horizons, all_horizons, not_excluded_manually, rel_wis"
+    labels = lambda *m: "unnest([" + ", ".join(f"'{x}'" for x in m) + "])"
+    flat_m, horizon_m = ("relative_skill", "relative_skill_median"), ("relative_skill_by_horizon",
+                                                                     "relative_skill_by_horizon_median")
+    by_method = " UNION ALL ".join(
+        f"SELECT {labels(*ms)} AS method, {keys}, included_in_ensemble AND EXISTS (SELECT 1 FROM {w} w"
+        f" WHERE w.run_date = c.run_date AND w.model = c.model) AS included_in_ensemble FROM crit c"
+        for ms, w in ((flat_m, "weights"), (horizon_m, "weights_h")))
+    found = _q(skills, f"""
+SELECT {labels("mean", "median")} AS method, {keys}, included_in_ensemble FROM crit
+UNION ALL {by_method}""")
+    weights = _q([*skills, """
+m AS (SELECT DISTINCT run_date, target_variable, location, model FROM norm)"""], f"""
+SELECT {labels("mean", "median")} AS method, run_date, target_variable, location, model,
+       CAST(NULL AS INTEGER) AS horizon,
+       1.0 / COUNT(*) OVER (PARTITION BY run_date, target_variable, location) AS weight FROM m
+UNION ALL SELECT {labels(*flat_m)}, run_date, target_variable, location, model, NULL, weight FROM weights
+UNION ALL SELECT {labels(*horizon_m)}, run_date, target_variable, location, model, horizon, weight FROM weights_h""")
+    return {"batch_runs": ensembles, "batch_criteria": found, "batch_weights": weights}

@@ -1,8 +1,8 @@
 """Ensemble runs (X1) and batches of runs (X4) as one lazy plan.
 
 A run is keyed by ``run_date``: the forecasts of the six days up to the run
-date are tagged with it, and every operator groups by it. A batch of dates is
-therefore the same plan with more keys, not a loop of jobs; methods are
+date are tagged with it, and every operator groups by it. A batch of
+dates is therefore the same plan with more keys, not a loop of jobs; methods are
 branches of one union whose shared inputs (window, criteria) appear as
 identical sub-plans that Spark's exchange reuse computes once.
 """
@@ -18,9 +18,11 @@ from pyspark.sql import functions as F
 
 from ..config import HubConfig
 from ..functions.dates import weeks_since_epoch
-from ..operators.averaging import ensemble_average, equal_weights, min_models, normalise_forecasts
+from ..operators.averaging import (ensemble_average, ensemble_averages, equal_weights, min_models,
+                                   normalise_forecasts)
 from ..operators.criteria import ensemble_criteria
-from ..operators.skill import relative_skill_ensemble, update_inclusion
+from ..operators.skill import (relative_skill_ensemble, skill_weights, update_inclusion,
+                               weighted_ensembles)
 from ..operators.submission import format_ensemble
 
 METHODS = ("mean", "median", "relative_skill", "relative_skill_by_horizon",
@@ -81,7 +83,7 @@ def ensemble_from_window(window: DataFrame, method: str, cfg: HubConfig = HubCon
                          evaluation: DataFrame | None = None,
                          rel_wis_cutoff: float = math.inf, continuous_weeks: int = 4,
                          history="All", estimator: str = "harrell_davis",
-                         identifier: str = "") -> EnsembleRun:
+                         identifier: str = "", on_missing: str = "error") -> EnsembleRun:
     """X1 body on forecasts already tagged with ``run_date`` (any number of runs)."""
     kind, by_horizon, average = _method_parts(method)
     crit = ensemble_criteria(window, cfg, BY, exclude_models, exclude_designated_other,
@@ -96,7 +98,8 @@ def ensemble_from_window(window: DataFrame, method: str, cfg: HubConfig = HubCon
         if evaluation is None:
             raise ValueError("relative-skill ensembles need an evaluation table")
         res = relative_skill_ensemble(fc, evaluation, BY, continuous_weeks, average,
-                                      history=history, by_horizon=by_horizon, estimator=estimator)
+                                      history=history, by_horizon=by_horizon, estimator=estimator,
+                                      on_missing=on_missing)
         ens, weights = res.ensemble, res.weights
         criteria = update_inclusion(criteria, weights, BY)                           # R11
     formatted = format_ensemble(ens, F.col("run_date"), cfg.temporal_resolution)
@@ -115,16 +118,50 @@ def run_ensemble(forecasts: DataFrame, method: str = "mean", forecast_date=None,
     return run._replace(forecast_date=d)
 
 
-def run_multiple_ensembles(forecasts: DataFrame, methods, run_dates: DataFrame,
-                           window_days: int = 6, **kw) -> DataFrame:
+def run_multiple_ensembles(forecasts: DataFrame, methods, run_dates: DataFrame, cfg: HubConfig = HubConfig(),
+                           window_days: int = 6, exclude_models=None, min_nmodels: int = 0,
+                           exclude_designated_other: bool = True, designations: DataFrame | None = None,
+                           evaluation: DataFrame | None = None, rel_wis_cutoff: float = math.inf,
+                           continuous_weeks: int = 4, history="All",
+                           estimator: str = "harrell_davis", on_missing: str = "error") -> EnsembleRun:
     """Every method for every run date in ONE plan, rows labelled ``method``.
 
-    Equivalent to the union of the single runs ``method-date``.
+    Equivalent to the single runs ``method-date``, with the criteria and weights of each. The
+    included forecasts are built once: mean and median come from one aggregate, the relative-skill
+    methods from one join that carries a weight for each way of weighting.
     """
+    parts = [(m, *_method_parts(m)) for m in methods]
     window = windowed_forecasts(forecasts, run_dates=run_dates, window_days=window_days)
-    out = None
-    for m in methods:
-        run = ensemble_from_window(window, m, **kw)
-        part = run.ensemble.withColumn("method", F.lit(run.method))
-        out = part if out is None else out.unionByName(part)
-    return out.select("method", *[c for c in out.columns if c != "method"])
+    crit = ensemble_criteria(window, cfg, BY, exclude_models, exclude_designated_other, designations,
+                             evaluation, rel_wis_cutoff)
+    fc = min_models(normalise_forecasts(crit.forecasts), min_nmodels, BY)
+    ensembles, criteria, weights = [], [], []
+
+    averages = [m for m, kind, _, _ in parts if kind == "average"]
+    if averages:
+        both = ensemble_averages(fc, averages, BY)
+        ensembles.append(format_ensemble(both, F.col("run_date"), cfg.temporal_resolution, ("method",)))
+        labels = F.explode(F.array(*[F.lit(m) for m in averages]))
+        criteria.append(crit.criteria.withColumn("method", labels))
+        weights.append(equal_weights(fc, BY).withColumn("method", labels))
+
+    skilled = [x for x in parts if x[1] == "skill"]
+    if skilled:
+        if evaluation is None:
+            raise ValueError("relative-skill ensembles need an evaluation table")
+        tables = {h: skill_weights(fc, evaluation, BY, continuous_weeks, history=history, by_horizon=h,
+                                   on_missing=on_missing) for h in sorted({x[2] for x in skilled})}
+        out = weighted_ensembles(fc, tables, {(h, a): m for m, _, h, a in skilled}, BY, estimator)
+        ensembles.append(format_ensemble(out, F.col("run_date"), cfg.temporal_resolution, ("method",)))
+        for h, w in tables.items():
+            labels = F.explode(F.array(*[F.lit(m) for m, _, own, _ in skilled if own == h]))
+            criteria.append(update_inclusion(crit.criteria, w, BY).withColumn("method", labels))   # R11
+            weights.append(w.withColumn("method", labels))
+
+    def stack(tables: list[DataFrame]) -> DataFrame:
+        out = tables[0]
+        for t in tables[1:]:
+            out = out.unionByName(t, allowMissingColumns=True)
+        return out.select("method", *[c for c in out.columns if c != "method"])
+
+    return EnsembleRun(stack(ensembles), stack(criteria), stack(weights), ",".join(methods), None)

@@ -12,17 +12,18 @@ import os
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 
-# Layout of a submission file path and of a target label.
+# Layout of a submission file path, of a valid one (the folder name "<team>-<model>"
+# repeats in the file name), of an evaluation file and of a target label.
 SUBMISSION_PATH_RX = r"/([^/]+)/(\d{4}-\d{2}-\d{2})-([^/]+)\.csv$"
 TARGET_RX = r"^(\d+) (\w+) ahead (.+)$"
+VALID_FILE_RX = r"/([a-zA-Z0-9_+]+-[a-zA-Z0-9_+]+)/\d{4}-\d{2}-\d{2}-\1.csv$"
 EVALUATION_PATH_RX = r"evaluation-(\d{4}-\d{2}-\d{2})\.csv$"
-# Preview address prepended to valid submission links.
-PREVIEW_BASE_URL = "https://epiforecasts.shinyapps.io/ecdc_submission/?file="
 
 
 def _dates(dates) -> list[str]:
@@ -43,74 +44,97 @@ def parse_target(df: DataFrame, col: str = "target") -> DataFrame:
               .withColumn("target_variable", F.regexp_extract(t, TARGET_RX, 3)))
 
 
+def rows_by_name(files: DataFrame, schema: T.StructType, required: Iterable[str] | None = None) -> DataFrame:
+    """(_path, _missing, schema) from whole files (_path, value): columns by the names in each header.
+
+    ``_missing`` lists the required columns (all of ``schema`` unless given) that a file
+    lacks. A value that doesn't fit its type is NULL, as are ``NA`` and empty fields.
+    """
+    required = [f.name for f in schema.fields] if required is None else list(required)
+
+    def cells(line: Column) -> Column:  # split at commas outside quotes
+        parts = F.split(line, r',(?=(?:[^"]*"[^"]*")*[^"]*$)')
+        return F.transform(parts, lambda c: F.regexp_replace(F.regexp_replace(F.trim(c), '^"|"$', ""), '""', '"'))
+
+    lines = F.split(F.regexp_replace("value", "^\uFEFF", ""), "\r\n|\n|\r")
+    files = files.select("_path", lines.alias("_lines")).withColumn("_names", cells(F.col("_lines")[0]))
+    missing = F.array_except(F.array(*[F.lit(c) for c in required]), F.col("_names"))
+    rows = files.select("_path", "_names", missing.alias("_missing"),
+                        F.explode(F.slice("_lines", F.lit(2), F.size("_lines"))).alias("_line"))
+    rows = rows.filter(F.trim("_line") != "").withColumn("_cells", cells(F.col("_line")))
+
+    def value(name: str, kind: T.DataType) -> Column:
+        at = F.array_position("_names", F.lit(name))
+        text = F.when(at > 0, F.get("_cells", at.cast("int") - 1))
+        text = F.when(~text.isin("NA", ""), text)
+        return text if isinstance(kind, T.StringType) else text.try_cast(kind)
+
+    return rows.select("_path", "_missing", *[value(f.name, f.dataType).alias(f.name) for f in schema.fields])
+
+
+def read_csv_by_name(spark: SparkSession, path, schema: T.StructType,
+                     required: Iterable[str] | None = None) -> DataFrame:
+    """CSV files read by column name, with ``_path``. Files may order their columns differently and
+    have more of them; one without a required column fails the job. Hub files are small and
+    many, so each is read as a whole.
+    """
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("_path"), "value")
+    rows = rows_by_name(files, schema, required)
+    stop = F.raise_error(F.concat(F.col("_path"), F.lit(" has no column "), F.array_join("_missing", ", ")))
+    return rows.withColumn("_path", F.when(F.size("_missing") > 0, stop.cast("string")).otherwise(F.col("_path"))
+                           ).drop("_missing")
+
+
 def read_submissions(spark: SparkSession, data_dir: str,
                      dates: Iterable | None = None) -> DataFrame:
     """Scan ``<data_dir>/<team-model>/<date>-<team-model>.csv`` for the given dates.
 
-    With ``dates`` only the matching files are globbed (file-level pruning);
-    the model comes from the folder name. Output follows schema F2 (plus
-    ``target``), with ``location_name`` NULL as submissions do not carry it.
+    With ``dates`` only the matching files are globbed (file-level pruning), and dates
+    without a submission give no rows; a folder without any submission is an error. The
+    model comes from the folder name. Output follows schema F2 (plus ``target``), with
+    ``location_name`` NULL as submissions do not carry it.
     """
-    if dates is None:
-        path = os.path.join(data_dir, "*", "*.csv")
-    else:
-        path = os.path.join(data_dir, "*", "{" + ",".join(_dates(dates)) + "}-*.csv")
-    reader = (spark.read.schema(schemas.SUBMISSION).option("header", True)
-              .option("nullValue", "NA").option("mode", "PERMISSIVE"))
+    every = os.path.join(data_dir, "*", "*.csv")
+    path = every if dates is None else os.path.join(data_dir, "*", "{" + ",".join(_dates(dates)) + "}-*.csv")
     try:
-        raw = reader.csv(path)
-    except AnalysisException:  # no submission file for any of the dates
-        raw = spark.createDataFrame([], schemas.SUBMISSION)
-        raw = raw.withColumn("_path", F.lit(None).cast("string"))
-    else:
-        raw = raw.withColumn("_path", F.col("_metadata.file_path"))
-    df = (raw.withColumn("model", F.regexp_extract("_path", SUBMISSION_PATH_RX, 1))
-             .withColumn("location_name", F.lit(None).cast("string")))
-    df = parse_target(df)
+        raw = read_csv_by_name(spark, path, schemas.SUBMISSION)
+    except AnalysisException as e:
+        if dates is None or e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        spark.read.text(every)  # raises where there is no submission at all
+        raw = spark.createDataFrame([], T.StructType([T.StructField("_path", T.StringType()), *schemas.SUBMISSION.fields]))
+    df = parse_target(raw.withColumn("model", F.regexp_extract("_path", SUBMISSION_PATH_RX, 1))
+                      .withColumn("location_name", F.lit(None).cast("string")))
     return df.select("model", "forecast_date", "target", "target_variable", "horizon",
                      "temporal_resolution", "target_end_date", "location", "location_name",
-                     "type", F.col("quantile").cast("double").alias("quantile"),
-                     F.col("value").cast("double").alias("value"))
+                     "type", "quantile", "value")
 
 
 def read_evaluation(spark: SparkSession, eval_dir: str, evaluation_date=None) -> DataFrame:
     """Evaluation CSVs named ``evaluation-<date>.csv``; adds ``report_date``.
 
-    Columns are read as text and cast with ``try_cast`` (a non-numeric value
-    becomes NULL, as ``as.numeric`` gives NA). With ``evaluation_date`` only
-    that file is read; a missing file raises at plan time (S2).
+    Columns are found by name in every file; those that a file lacks are NULL, except
+    for its keys. With ``evaluation_date`` only that file is read; a missing file
+    raises at plan time (S2).
     """
-    if evaluation_date is None:
-        path = os.path.join(eval_dir, "evaluation-*.csv")
-    else:
-        path = os.path.join(eval_dir, f"evaluation-{_dates([evaluation_date])[0]}.csv")
-    raw = spark.read.option("header", True).option("nullValue", "NA").csv(path)
-    cols = set(raw.columns)
-    out = []
-    for f in schemas.EVALUATION.fields:
-        if f.name in cols:
-            out.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
-    extra = [F.col(c) for c in raw.columns if c not in {f.name for f in schemas.EVALUATION.fields}]
-    return raw.select(*out, *extra,
-                      F.to_date(F.regexp_extract(F.col("_metadata.file_path"),
-                                                 EVALUATION_PATH_RX, 1)).alias("report_date"))
+    name = "evaluation-*.csv" if evaluation_date is None else f"evaluation-{_dates([evaluation_date])[0]}.csv"
+    raw = read_csv_by_name(spark, os.path.join(eval_dir, name), schemas.EVALUATION,
+                           required=("model", "target_variable", "horizon", "location"))
+    return raw.select(*[f.name for f in schemas.EVALUATION.fields],
+                      F.to_date(F.regexp_extract("_path", EVALUATION_PATH_RX, 1)).alias("report_date"))
 
 
 def read_status(spark: SparkSession, hosp_path: str, case_path: str, death_path: str) -> DataFrame:
-    """Stack three status files, tagging each with its target variable.
+    """Stack three status files by column name, tagging each with its target variable.
 
     Each file is read once; the death status comes from its own file (T11).
     """
     parts = []
     for tv, path in (("inc hosp", hosp_path), ("inc case", case_path), ("inc death", death_path)):
-        parts.append(spark.read.schema(schemas.STATUS_FILE).option("header", True)
-                     .option("nullValue", "NA").csv(path)
+        parts.append(read_csv_by_name(spark, path, schemas.STATUS_FILE)
                      .select(F.lit(tv).alias("target_variable"), "location",
                              F.col("date").alias("target_end_date"), "status"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def read_designations(spark: SparkSession, metadata_dir: str) -> DataFrame:
@@ -131,11 +155,11 @@ def read_designations(spark: SparkSession, metadata_dir: str) -> DataFrame:
 
 def submission_link_pattern(data_folder: str = "data-processed") -> str:
     """Valid submission path: folder name repeated in the file name (backreference)."""
-    return f"{data_folder}/([a-zA-Z0-9_+]+-[a-zA-Z0-9_+]+)/\\d{{4}}-\\d{{2}}-\\d{{2}}-\\1.csv$"
+    return data_folder + VALID_FILE_RX
 
 
-def preview_links(urls: DataFrame, url_col: str = "url", data_folder: str = "data-processed",
-                  base_url: str = PREVIEW_BASE_URL) -> DataFrame:
+def preview_links(urls: DataFrame, base_url: str, url_col: str = "url",
+                  data_folder: str = "data-processed") -> DataFrame:
     """Keep changed-file URLs that are valid submissions and prefix the preview address.
 
     Returns an empty DataFrame (not NULL) when nothing matches.

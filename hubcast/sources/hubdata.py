@@ -29,30 +29,31 @@ RETURNFLAG_TARGETS = (("A", "inc case"), ("N", "inc death"), ("R", "inc hosp"))
 
 # Hub members as (model, scale in eighths, quantile step).
 MODELS = (
-    ("EuroCOVIDhub-baseline", 8, 2),
+    ("hub-baseline", 8, 2),
     ("T-m1", 9, 1),
     ("T-m2", 7, 1),
     ("T-m3", 10, 2),
     ("T-m4", 6, 1),
     ("T-m5", 8, 3),
     ("T-m6", 12, 1),
-    ("EuroCOVIDhub-ensemble", 8, 1),
+    ("hub-ensemble", 8, 1),
 )
 
 # Metadata designation per model.
 DESIGNATIONS = (
-    ("EuroCOVIDhub-baseline", "secondary"),
+    ("hub-baseline", "secondary"),
     ("T-m1", "primary"),
     ("T-m2", "secondary"),
     ("T-m3", "primary"),
     ("T-m4", "primary"),
     ("T-m5", "other"),
     ("T-m6", "primary"),
-    ("EuroCOVIDhub-ensemble", "secondary"),
+    ("hub-ensemble", "secondary"),
 )
 
 # Prefix and folder names of the synthetic changed-file links.
 LINK_PREFIX = "https://raw.example.org/hub/main/"
+PREVIEW_URL = "https://preview.example.org/?file="
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -2,12 +2,11 @@
 
 The batch reader (S1) scans a folder of ``<team-model>/<date>-<team-model>.csv``
 files. A hub receives those files continuously, so the same parsing and the
-same file-name rule as the link check (S7) run here as a file-stream source:
-each micro-batch appends valid rows to a parquet table partitioned by
-``forecast_date`` (which is what the batch run windows prune on), and rows from
-files whose name breaks the rule go to a rejects table. Progress lives in a
-checkpoint under the cluster's shared ``spark.checkpoint.dir``, so a restarted
-or failed query resumes without duplicating files.
+same file-name rule as the link check (S7) run here as a file-stream source.
+Each micro-batch writes its valid rows, partitioned by ``forecast_date`` (which
+batch run windows prune on), to a folder of its epoch, and rows of other
+files to one of rejects: a repeated micro-batch replaces what it wrote before. Progress
+lies beside the tables, so a restarted intake goes on where the last one stopped.
 """
 
 from __future__ import annotations
@@ -19,40 +18,38 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
-from ..session import ensure_checkpoint_dir
-from ..sources.files import SUBMISSION_PATH_RX, parse_target
-
-# The folder name must be "<team>-<model>" and repeat in the file name.
-VALID_FILE_RX = r"/([a-zA-Z0-9_+]+-[a-zA-Z0-9_+]+)/\d{4}-\d{2}-\d{2}-\1\.csv$"
+from ..sources.files import SUBMISSION_PATH_RX, VALID_FILE_RX, parse_target, rows_by_name
 
 
 def submission_stream(spark: SparkSession, data_dir: str, max_files_per_trigger: int = 1000) -> DataFrame:
-    """Streaming DataFrame of submission rows with ``model``, parsed target and ``valid_file``."""
-    raw = (spark.readStream.schema(schemas.SUBMISSION).option("header", True)
-           .option("nullValue", "NA").option("maxFilesPerTrigger", max_files_per_trigger)
-           .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
-           .csv(data_dir)
-           .withColumn("_path", F.col("_metadata.file_path")))
-    df = parse_target(raw.withColumn("model", F.regexp_extract("_path", SUBMISSION_PATH_RX, 1)))
-    return df.withColumn("valid_file", F.col("_path").rlike(VALID_FILE_RX))
+    """Streaming rows with ``model``, parsed target and ``valid_file``: the file's name follows the
+    rule and it has all columns."""
+    files = (spark.readStream.format("text").option("wholetext", True)
+             .option("maxFilesPerTrigger", max_files_per_trigger)
+             .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(data_dir)
+             .select(F.col("_metadata.file_path").alias("_path"), "value"))
+    rows = rows_by_name(files, schemas.SUBMISSION)
+    df = parse_target(rows.withColumn("model", F.regexp_extract("_path", SUBMISSION_PATH_RX, 1)))
+    return df.withColumn("valid_file", F.col("_path").rlike(VALID_FILE_RX) & (F.size("_missing") == 0))
 
 
 def start_intake(spark: SparkSession, data_dir: str, table_dir: str, name: str = "intake",
-                 available_now: bool = False) -> StreamingQuery:
-    """Append valid submissions to ``table_dir/forecasts`` and the rest to ``table_dir/rejects``."""
-    ckpt = os.path.join(ensure_checkpoint_dir(spark), f"stream-{name}")
+                 available_now: bool = False, progress_dir: str | None = None) -> StreamingQuery:
+    """Valid submissions to ``table_dir/forecasts``, the rest to ``table_dir/rejects``.
+
+    ``progress_dir`` (``table_dir/_progress``) must stay the same from start to start.
+    """
     cols = ["model", "forecast_date", "target", "target_variable", "horizon",
             "temporal_resolution", "target_end_date", "location", "type", "quantile", "value"]
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         good = batch.filter("valid_file").select(*cols)
-        (good.write.mode("append").partitionBy("forecast_date")
-         .parquet(os.path.join(table_dir, "forecasts")))
-        (batch.filter(~F.col("valid_file")).select("_path", *cols)
-         .withColumn("epoch_id", F.lit(epoch_id))
-         .write.mode("append").parquet(os.path.join(table_dir, "rejects")))
-
-    writer = (submission_stream(spark, data_dir).writeStream
-              .foreachBatch(write_batch).option("checkpointLocation", ckpt).queryName(name))
+        (good.write.mode("overwrite").partitionBy("forecast_date")
+         .parquet(os.path.join(table_dir, "forecasts", f"epoch={epoch_id}")))
+        (batch.filter(~F.col("valid_file")).select("_path", "_missing", *cols)
+         .write.mode("overwrite").parquet(os.path.join(table_dir, "rejects", f"epoch={epoch_id}")))
+
+    writer = (submission_stream(spark, data_dir).writeStream.foreachBatch(write_batch).queryName(name)
+              .option("checkpointLocation", progress_dir or os.path.join(table_dir, "_progress")))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

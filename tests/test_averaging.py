@@ -84,3 +84,25 @@ def test_weighted_median_matches_brute_force(spark):
     df = spark.createDataFrame(data, "k string, value double, weight double")
     got = dict(rows(weighted_median(["k"], df), "k", "value"))
     assert all(math.isclose(got[k], v, abs_tol=1e-9) for k, v in expected.items())
+
+
+@pytest.mark.parametrize("estimator", ["harrell_davis", "type7"])
+def test_members_of_weight_zero_only(spark, estimator):
+    df = spark.createDataFrame([("z", 1.0, 0.0), ("z", 2.0, 0.0), ("k", 5.0, 1.0), ("k", 9.0, 0.0)],
+                               "k string, value double, weight double")
+    got = {r.k: (r.value, r.n_models) for r in weighted_median(["k"], df, estimator=estimator).collect()}
+    assert got["z"] == (None, 2) and got["k"][0] == pytest.approx(5.0)
+    means = {r.k: r.value for r in weighted_mean(["k"], df).collect()}
+    assert means == {"z": None, "k": 5.0}
+
+
+@pytest.mark.parametrize("a", [0.6, 1.0, 2.5, 7.0])
+def test_incomplete_beta_against_its_integral(a):
+    """Midpoint sums of the density, an evaluation of its own."""
+    x = np.array([0.0, 0.1, 0.37, 0.5, 0.8, 0.99, 1.0])
+    t = (np.arange(400_000) + 0.5) / 400_000
+    u = t * t * (3 - 2 * t)  # puts the points closer at both ends, where the density can be steep
+    density = u ** (a - 1) * (1 - u) ** (a - 1) * 6 * t * (1 - t)
+    total = density.sum()
+    want = [density[u <= v].sum() / total for v in x]
+    assert np.allclose(betainc(x, a, a), want, atol=2e-5)

@@ -48,12 +48,12 @@ def test_rel_wis_cutoff(spark):  # fixture 27
 
 def test_own_ensemble_and_designations(spark):  # fixture 28, C8
     cfg = HubConfig(quantiles=(0.5,), horizons=(1,))
-    data = [_row(m, 1, 0.5) for m in ("EuroCOVIDhub-ensemble", "EuroCOVIDhub-baseline", "X-other", "Y-nometa")]
-    des = spark.createDataFrame([("EuroCOVIDhub-ensemble", "primary"), ("EuroCOVIDhub-baseline", "secondary"),
+    data = [_row(m, 1, 0.5) for m in ("hub-ensemble", "hub-baseline", "X-other", "Y-nometa")]
+    des = spark.createDataFrame([("hub-ensemble", "primary"), ("hub-baseline", "secondary"),
                                  ("X-other", "other")], "model string, designation string")
     res = ensemble_criteria(spark.createDataFrame(data, FC), cfg, designations=des)
-    assert rows(res.criteria, "model", "included_in_ensemble") == [("EuroCOVIDhub-baseline", True)]
-    assert rows(res.forecasts, "model") == [("EuroCOVIDhub-baseline",)]
+    assert rows(res.criteria, "model", "included_in_ensemble") == [("hub-baseline", True)]
+    assert rows(res.forecasts, "model") == [("hub-baseline",)]
 
 
 def test_manual_exclusion_by_date(spark):

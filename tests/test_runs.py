@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import SMALL, rows
@@ -12,7 +14,7 @@ def test_batch_equals_union_of_single_runs(spark):
     dates = [r.run_date for r in h.run_dates.orderBy("run_date").limit(3).collect()]
     rd = spark.createDataFrame([(d,) for d in dates], "run_date date")
     kw = dict(exclude_models=h.exclusions, designations=h.designations)
-    batch = run_multiple_ensembles(h.forecasts, ["mean", "median"], rd, **kw)
+    batch = run_multiple_ensembles(h.forecasts, ["mean", "median"], rd, **kw).ensemble
     singles = None
     for d in dates:
         for m in ("mean", "median"):
@@ -60,3 +62,27 @@ def test_single_relative_skill_run_by_hand(spark):
     w = dict(rows(run.weights, "model", "weight"))
     assert abs(w["A"] - 2 / 3) < 1e-12 and abs(w["B"] - 1 / 3) < 1e-12 and "C" not in w
     assert dict(rows(run.criteria, "model", "included_in_ensemble")) == {"A": True, "B": True, "C": False}
+
+
+def test_batch_of_skill_methods_equals_single_runs(spark):
+    """Ensembles, criteria (R11) and weights of every method, for dates with an evaluation."""
+    h = catalog.Hub(spark, SMALL)
+    d = dt.date(1996, 6, 10)
+    rd = spark.createDataFrame([(d,)], "run_date date")
+    methods = ["median", "relative_skill", "relative_skill_by_horizon_median"]
+    kw = dict(exclude_models=h.exclusions, designations=h.designations, evaluation=h.evaluation, estimator="type7")
+    batch = run_multiple_ensembles(h.forecasts, methods, rd, **kw)
+    for m in methods:
+        one = run_ensemble(h.forecasts, m, d, **kw)
+        for part in ("ensemble", "criteria", "weights"):
+            want = getattr(one, part)
+            cols = want.columns
+            assert rows(getattr(batch, part).filter(F.col("method") == m), *cols) == rows(want, *cols), (m, part)
+
+
+def test_run_without_evaluation_stops(spark):
+    h = catalog.Hub(spark, SMALL)
+    first = h.run_dates.agg(F.min("run_date")).first()[0]
+    run = run_ensemble(h.forecasts, "relative_skill", first, designations=h.designations, evaluation=h.evaluation)
+    with pytest.raises(Exception, match="no evaluation dated"):
+        run.ensemble.collect()

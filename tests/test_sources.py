@@ -2,6 +2,9 @@ import datetime as dt
 import os
 import tempfile
 
+import pytest
+from pyspark.errors import AnalysisException
+
 from conftest import rows
 from hubcast.sources.files import (preview_links, read_designations, read_evaluation, read_status,
                                    read_submissions)
@@ -58,5 +61,37 @@ def test_preview_links(spark):  # fixture 31
     urls = spark.createDataFrame(
         [("https://x/raw/data-processed/T-m/2021-03-08-T-m.csv",),
          ("https://x/raw/data-processed/T-m/2021-03-08-T-x.csv",)], "url string")
-    out = rows(preview_links(urls), "link")
+    out = rows(preview_links(urls, "https://p.example.org/?file="), "link")
     assert len(out) == 1 and out[0][0].endswith("?file=https://x/raw/data-processed/T-m/2021-03-08-T-m.csv")
+
+
+def test_columns_are_found_by_name(spark):
+    """Shuffled and extra columns, quotes, a byte-order mark, Windows line ends; one layout per file."""
+    root = tempfile.mkdtemp(prefix="hubcast-names-")
+    _write(f"{root}/T-m/2021-03-08-T-m.csv",
+           "\ufeffvalue,type,note,target_end_date,location,target,quantile,forecast_date\r\n"
+           '10,quantile,"a, ""b""",2021-03-13,"DE",1 wk ahead inc case,0.5,2021-03-08\r\n\r\n')
+    _write(f"{root}/U-n/2021-03-08-U-n.csv",
+           "forecast_date,target,target_end_date,location,type,quantile,value\n"
+           "2021-03-08,2 wk ahead inc death,2021-03-20,FR,point,NA,x\n")
+    got = rows(read_submissions(spark, root), "model", "target_variable", "target_end_date", "location", "quantile", "value")
+    assert got == [("T-m", "inc case", D(2021, 3, 13), "DE", 0.5, 10.0),
+                   ("U-n", "inc death", D(2021, 3, 20), "FR", None, None)]
+    _write(f"{root}/s.csv", "status,extra,date,location\nfinal,1,2021-03-06,DE\n")
+    st = rows(read_status(spark, *[f"{root}/s.csv"] * 3), "target_variable", "location", "target_end_date", "status")
+    assert st[0] == ("inc case", "DE", D(2021, 3, 6), "final") and len(st) == 3
+    _write(f"{root}/ev/evaluation-2021-03-08.csv", "rel_wis,model,location,horizon,target_variable\n0.8,A,DE,1,inc case\n")
+    _write(f"{root}/ev/evaluation-2021-03-15.csv",
+           "model,target_variable,horizon,location,n,rel_wis\nA,inc case,1,DE,4,0.9\n")
+    ev = rows(read_evaluation(spark, f"{root}/ev"), "report_date", "model", "rel_wis", "n")
+    assert ev == [(D(2021, 3, 8), "A", 0.8, None), (D(2021, 3, 15), "A", 0.9, 4)]
+
+
+def test_missing_columns_and_folders_are_errors(spark):
+    root = tempfile.mkdtemp(prefix="hubcast-bad-")
+    _write(f"{root}/T-m/2021-03-08-T-m.csv", "forecast_date,target,location,type,quantile,value\n2021-03-08,x,DE,point,NA,1\n")
+    with pytest.raises(Exception, match="has no column target_end_date"):
+        read_submissions(spark, root).collect()
+    with pytest.raises(AnalysisException):
+        read_submissions(spark, f"{root}/nowhere", dates=["2021-03-08"])
+    assert read_submissions(spark, root, dates=["1999-01-01"]).collect() == []

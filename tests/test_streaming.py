@@ -21,3 +21,12 @@ def test_intake_appends_valid_files_and_rejects_others(spark):
     good = spark.read.parquet(os.path.join(out, "forecasts"))
     assert rows(good, "model", "horizon", "target_variable", "value") == [("T-m", 1, "inc case", 10.0)]
     assert spark.read.parquet(os.path.join(out, "rejects")).count() == 1
+
+    # a second start reads only what is new; columns by name, a file without one is rejected
+    _write(f"{src}/U-n/2021-03-15-U-n.csv", "value,quantile,type,location,target_end_date,target,forecast_date\n"
+                                            "7,0.5,quantile,FR,2021-03-20,1 wk ahead inc case,2021-03-15\n")
+    _write(f"{src}/U-n/2021-03-22-U-n.csv", "forecast_date,value\n2021-03-22,1\n")
+    start_intake(spark, src, out, name=f"u{os.getpid()}", available_now=True).awaitTermination(120)
+    good = spark.read.parquet(os.path.join(out, "forecasts"))
+    assert rows(good, "model", "value") == [("T-m", 10.0), ("U-n", 7.0)]
+    assert spark.read.parquet(os.path.join(out, "rejects")).count() == 2
