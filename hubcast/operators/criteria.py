@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from ..config import HubConfig
 
 GRID_KEYS = ("model", "target_variable", "location")
-_MAX_MASK_BITS = 62
 
 
 class CriteriaResult(NamedTuple):
@@ -27,30 +26,28 @@ class CriteriaResult(NamedTuple):
     criteria: DataFrame
 
 
-def _bit(values, col: Column) -> Column:
-    """1 << position of ``col`` in ``values`` (exact equality), 0 when absent."""
-    pos = F.array_position(F.array(*[F.lit(v) for v in values]), col)
-    return F.when(pos > 0, F.call_function("shiftleft", F.lit(1).cast("long"),
-                                                (pos - 1).cast("int"))).otherwise(
-        F.lit(0).cast("long"))
-
-
-def _full(n: int) -> int:
-    return (1 << n) - 1
+def _masks(values, col: Column, name: str) -> tuple[list[Column], Column]:
+    """Aggregates that mark which ``values`` occur, 62 to a word, and the test that all do."""
+    pos = F.array_position(F.array(*[F.lit(v) for v in values]), col) - 1
+    words, full = [], F.lit(True)
+    for lo in range(0, len(values), 62):
+        n = min(62, len(values) - lo)
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), (pos - lo).cast("int"))
+        words.append(F.bit_or(F.when((pos >= lo) & (pos < lo + n), bit).otherwise(F.lit(0).cast("long"))).alias(f"{name}{lo}"))
+        full = full & (F.col(f"{name}{lo}") == (1 << n) - 1)
+    return words, full
 
 
 def completeness(fc: DataFrame, cfg: HubConfig, by: tuple[str, ...] = ()) -> DataFrame:
     """``all_quantiles_all_horizons`` and ``all_horizons`` per grid key."""
-    qs, hs = cfg.quantiles, cfg.required_horizons
-    if len(qs) > _MAX_MASK_BITS or len(hs) > _MAX_MASK_BITS:
-        raise ValueError("more than 62 required quantile levels or horizons")
     keys = [*by, *GRID_KEYS]
-    per_date = (fc.groupBy(*keys, "target_end_date")
-                  .agg(F.bit_or(_bit(qs, F.col("quantile"))).alias("_qmask"),
-                       F.bit_or(_bit(hs, F.col("horizon"))).alias("_hmask")))
-    return (per_date.groupBy(*keys)
-            .agg(F.bool_and(F.col("_qmask") == _full(len(qs))).alias("all_quantiles_all_horizons"),
-                 (F.bit_or("_hmask") == _full(len(hs))).alias("all_horizons")))
+    levels, all_levels = _masks(cfg.quantiles, F.col("quantile"), "_q")
+    horizons, all_horizons = _masks(cfg.required_horizons, F.col("horizon"), "_h")
+    names = [f"_h{lo}" for lo in range(0, len(cfg.required_horizons), 62)]
+    per_date = fc.groupBy(*keys, "target_end_date").agg(*levels, *horizons)
+    return (per_date.withColumn("_all", all_levels).groupBy(*keys)
+            .agg(F.bool_and("_all").alias("all_quantiles_all_horizons"), *[F.bit_or(n).alias(n) for n in names])
+            .withColumn("all_horizons", all_horizons).drop(*names))
 
 
 def manual_flags(grid: DataFrame, exclude_models=None, by: tuple[str, ...] = ()) -> DataFrame:

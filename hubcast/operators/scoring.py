@@ -62,20 +62,17 @@ def score_forecasts(fc: DataFrame, quantiles=None, round_output: bool = True,
                     levels=HUB_QUANTILES) -> DataFrame:
     """G1-G15 on the scoring input F4 (``prediction``, ``true_value``).
 
-    ``levels`` are the hub's quantile levels (at most 62); distinct levels
-    are counted with a bit mask over them, levels outside the list are
-    counted by row.
+    ``levels`` are the hub's quantile levels: distinct ones are counted with bit
+    masks over them, levels outside the list by row. The location's name is a
+    key of the unit like its code (G1, G14).
     """
-    if len(levels) > 62:
-        raise ValueError("at most 62 configured quantile levels")
-    locations = fc.select("location", "location_name").distinct()                 # G1
     y, q = F.col("true_value"), F.col("prediction")
     is_point = F.col("type") == "point"
     d = fc.filter(F.col("true_value").isNotNull()                                  # G3
                   & F.col("type").isin("quantile", "point"))
     d = d.withColumn("_tau", F.when(is_point, F.lit(0.5)).otherwise(F.col("quantile")))  # G2
     if quantiles is not None:                                                      # G4
-        d = d.filter(F.col("_tau").isin([float(x) for x in quantiles]))
+        d = d.filter(F.bround("_tau", 3).isin([round(float(x), 3) for x in quantiles]))
     tau = F.col("_tau")
     rng = F.bround(F.abs(F.lit(1.0) - 2 * tau) * 100, 0)                          # G5
     alpha_pct = F.lit(100.0) - rng
@@ -94,9 +91,10 @@ def score_forecasts(fc: DataFrame, quantiles=None, round_output: bool = True,
 
     side_masks = [bits(side, rng_i, lo, lo + 50).alias(f"_{name}{lo}")
                   for name, side in (("lo", lower), ("up", upper)) for lo in (0, 50)]
-    level_masks = [bits(level_pos > 0, (level_pos - 1).cast("int"), 0, 62).alias("_lvmask"),
+    words = range(0, len(levels), 62)
+    level_masks = [*[bits(level_pos > 0, (level_pos - 1).cast("int"), lo, lo + 62).alias(f"_lv{lo}") for lo in words],
                    F.count(F.when(tau.isNotNull() & (level_pos == 0), 1)).alias("_lvother")]
-    g = d.groupBy(*UNIT_KEYS).agg(
+    g = d.groupBy(*UNIT_KEYS, "location_name").agg(
         F.max(y).alias("_y"),
         F.max(F.when(med_q, q)).alias("_mq"),
         F.max(F.when(is_point, q)).alias("_mp"),
@@ -119,8 +117,10 @@ def score_forecasts(fc: DataFrame, quantiles=None, round_output: bool = True,
         F.min_by(F.when(upper, q), F.when(upper, rng)).alias("_uin"),
         *level_masks,
     )
-    n_levels = (F.coalesce(F.bit_count("_lvmask"), F.lit(0))
-                + F.col("_lvother")).cast("long")                                   # G13
+    n_levels = F.col("_lvother")
+    for lo in words:
+        n_levels = n_levels + F.coalesce(F.bit_count(f"_lv{lo}"), F.lit(0))
+    n_levels = n_levels.cast("long")                                              # G13
     paired = ((F.col("_nlo") == F.col("_nup"))
               & F.col("_lo0").eqNullSafe(F.col("_up0"))
               & F.col("_lo50").eqNullSafe(F.col("_up50")))
@@ -153,7 +153,7 @@ def score_forecasts(fc: DataFrame, quantiles=None, round_output: bool = True,
              .otherwise(1 - 2 * F.coalesce(above, F.lit(1.0))))
 
     scored = g.select(
-        *UNIT_KEYS,
+        *UNIT_KEYS, "location_name",
         mean_part(disp + over + under).alias("wis"),                               # G7
         mean_part(disp).alias("sharpness"),                                        # G8
         mean_part(under).alias("underprediction"),                                 # G9
@@ -168,6 +168,4 @@ def score_forecasts(fc: DataFrame, quantiles=None, round_output: bool = True,
             "bias": round_half_even("bias", 1),
             **{c: round_half_even(c, 0) for c in ("wis", "sharpness", "underprediction",
                                                   "overprediction")}})
-    # one row per location code and name: a geography-sized dimension
-    return (scored.join(F.broadcast(locations), "location", "left")                 # G14
-            .select(*SCORE_COLUMNS))
+    return scored.select(*SCORE_COLUMNS)

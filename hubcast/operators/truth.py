@@ -14,9 +14,8 @@ def convert_to_weekly(df: DataFrame, week_end_day: str = "Saturday", tail_rows:
     """One row per series and week; the latest observation stands for the week.
 
     Ids are all columns except date/value/status/snapshot_date/type (plan-time).
-    The input is hash-partitioned on ``location`` once; every window below
-    partitions on a superset of it, so no further shuffle is planned. A
-    location's rows are one time series (days x targets), not a data-sized group.
+    Windows run over one series or one of its weeks. For the last rows of a location every
+    task sends its own ``tail_rows`` only (Spark limits the ranked groups before the shuffle).
 
     Row order matters in the original ("last 7 rows of a location"); here the
     order is explicit: date descending, then ids descending (T6).
@@ -25,23 +24,23 @@ def convert_to_weekly(df: DataFrame, week_end_day: str = "Saturday", tail_rows:
     ids = [c for c in df.columns if c not in agg_vars]
     if "location" not in ids:
         raise ValueError("convert_to_weekly needs a location column")
-    d = df.repartition("location").withColumn("sat_date", week_end("date", week_end_day))
+    d = df.withColumn("sat_date", week_end("date", week_end_day))
     week = Window.partitionBy(*ids, "sat_date")
     series = Window.partitionBy(*ids)
-    loc = Window.partitionBy("location")
     d = d.withColumn("n", F.count(F.lit(1)).over(week))                                  # D3
     d = d.withColumn("frequency", F.when(F.max("n").over(series) == 1, "weekly")         # D4
                      .otherwise("daily"))
-    recent = F.row_number().over(loc.orderBy(F.col("date").desc(), *[F.col(c).desc() for c in ids]))
-    d = d.withColumn("_rn", recent)
-    d = d.withColumn("_tailmax", F.max(F.when(F.col("_rn") <= tail_rows, F.col("n"))).over(loc))
+    recent = Window.partitionBy("location").orderBy(F.col("date").desc(), *[F.col(c).desc() for c in ids])
+    tails = (d.withColumn("_rn", F.row_number().over(recent)).filter(F.col("_rn") <= tail_rows)
+             .groupBy("location").agg(F.max("n").alias("_tailmax")))
+    d = d.join(tails.withColumnRenamed("location", "_of"), F.col("location").eqNullSafe(F.col("_of"))).drop("_of")
     d = d.filter((F.col("n") == F.col("_tailmax")) | (F.col("frequency") == "weekly"))  # D5
     moved = (F.col("frequency") == "weekly") & (F.date_add("date", 6) == F.col("sat_date"))
     d = d.withColumn("date", F.when(moved, F.date_add("date", 6)).otherwise(F.col("date")))  # D6
     d = d.withColumn("_last", F.max("date").over(week))
     d = d.filter(F.col("date") == F.col("_last"))                                       # D7
     d = d.withColumn("date", saturday_of_week("date"))                                  # D8
-    return d.drop("sat_date", "n", "frequency", "_rn", "_tailmax", "_last")
+    return d.drop("sat_date", "n", "frequency", "_tailmax", "_last")
 
 
 def add_status(df: DataFrame, status: DataFrame) -> DataFrame:
@@ -55,13 +54,11 @@ def add_status(df: DataFrame, status: DataFrame) -> DataFrame:
     return df.join(st, keys, "left").fillna("final", subset=["status"])
 
 
-def attach_truth(forecasts: DataFrame, truth: DataFrame, broadcast: bool = True) -> DataFrame:
+def attach_truth(forecasts: DataFrame, truth: DataFrame, broadcast: bool = False) -> DataFrame:
     """Scoring input (F4): ``prediction`` plus ``true_value`` (NULL when not yet observed).
 
-    Truth has one row per (location, target, week): its size is bounded by
-    geography x calendar, not by the number of forecasts, so it is broadcast
-    and the forecast side is never shuffled for this join. Pass
-    ``broadcast=False`` for daily truth over very many locations.
+    ``broadcast`` is for a caller that has checked the size of the truth series
+    (location x target x week): the forecasts then stay where they are.
     """
     keys = ["target_variable", "location", "target_end_date"]
     t = truth.select(*keys, F.col("value").alias("true_value"))

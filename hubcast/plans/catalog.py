@@ -35,6 +35,8 @@ LEFT_OUT = ("T-m1", "T-m6")
 FEWER_HORIZONS = (1, 2)
 # Levels of the scores on a subset of the quantiles.
 SUBSET = (0.025, 0.25, 0.5, 0.75, 0.975)
+# Rows of the truth series up to which it is broadcast to the forecasts; joined by key beyond.
+BROADCAST_ROWS = 200_000
 # Decimals of the Harrell-Davis medians: the incomplete beta comes from different series.
 HD_DIGITS = 3
 
@@ -79,7 +81,7 @@ class Hub:
         return runs.windowed_forecasts(self.forecasts, run_dates=self.run_dates)
 
     def scoring_input(self) -> DataFrame:
-        return truth.attach_truth(self.forecasts, self.truth)
+        return truth.attach_truth(self.forecasts, self.truth, broadcast=self.truth.count() <= BROADCAST_ROWS)
 
     def scores(self, round_output: bool = True) -> DataFrame:
         return self._scores if round_output else scoring.score_forecasts(self.scoring_input(), round_output=False)
@@ -372,8 +374,16 @@ def skill_submission(spark, sf):
 
 
 def batch_runs(spark, sf):
-    """Six methods for every run date in one plan (medians by the type-7 estimator)."""
-    return Hub(spark, sf).batch().ensemble
+    """Six methods for every run date in one plan (medians by the type-7 estimator).
+
+    One row for each method, run, target and location with all its values, in the order of type and
+    quantile.
+    """
+    rows = Hub(spark, sf).batch().ensemble
+    ordered = F.array_sort(F.collect_list(F.struct("type", "quantile", "value")))
+    text = F.transform(ordered, lambda r: F.coalesce(r["value"].cast("bigint").cast("string"), F.lit("NA")))
+    return (rows.groupBy("method", "forecast_date", "target", "target_end_date", "location")
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.array_join(text, ",").alias("values")))
 
 
 def batch_criteria(spark, sf):
@@ -381,7 +391,8 @@ def batch_criteria(spark, sf):
 
 
 def batch_weights(spark, sf):
-    return Hub(spark, sf).batch().weights
+    """Weights of every method; horizon 0 stands for weights that hold for all horizons."""
+    return Hub(spark, sf).batch().weights.withColumn("horizon", F.coalesce("horizon", F.lit(0)))
 
 
 def submission_links(spark, sf):

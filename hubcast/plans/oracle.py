@@ -742,7 +742,10 @@ sub AS (
   SELECT * FROM fmt
   UNION ALL
   SELECT * REPLACE ('point' AS type, CAST(NULL AS DOUBLE) AS quantile) FROM fmt
-  WHERE quantile = 0.5)"""], "SELECT * FROM sub")
+  WHERE quantile = 0.5)"""], """
+SELECT method, forecast_date, target, target_end_date, location, COUNT(*) AS n_rows,
+       string_agg(coalesce(CAST(CAST(value AS BIGINT) AS VARCHAR), 'NA'), ',' ORDER BY type, quantile) AS "values"
+FROM sub GROUP BY method, forecast_date, target, target_end_date, location""")
     keys = f"{_GRID_KEYS}, all_quantiles_all_horizons, all_horizons, not_excluded_manually, rel_wis"
     labels = lambda *m: "unnest([" + ", ".join(f"'{x}'" for x in m) + "])"
     flat_m, horizon_m = ("relative_skill", "relative_skill_median"), ("relative_skill_by_horizon",
@@ -757,8 +760,8 @@ UNION ALL {by_method}""")
     weights = _q([*skills, """
 m AS (SELECT DISTINCT run_date, target_variable, location, model FROM norm)"""], f"""
 SELECT {labels("mean", "median")} AS method, run_date, target_variable, location, model,
-       CAST(NULL AS INTEGER) AS horizon,
+       0 AS horizon,
        1.0 / COUNT(*) OVER (PARTITION BY run_date, target_variable, location) AS weight FROM m
-UNION ALL SELECT {labels(*flat_m)}, run_date, target_variable, location, model, NULL, weight FROM weights
+UNION ALL SELECT {labels(*flat_m)}, run_date, target_variable, location, model, 0, weight FROM weights
 UNION ALL SELECT {labels(*horizon_m)}, run_date, target_variable, location, model, horizon, weight FROM weights_h""")
     return {"batch_runs": ensembles, "batch_criteria": found, "batch_weights": weights}

@@ -15,7 +15,7 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["submission_format", "score_table", "summary_table",
+@pytest.mark.parametrize("name", ["submission_format", "score_table", "summary_table", "batch_runs",
                                   "criteria_quantiles", "weekly_truth", "truth_status",
                                   "submission_links"])
 def test_no_cartesian_or_python_row_udf(spark, name):

@@ -9,8 +9,13 @@ from hubcast.plans import catalog
 from hubcast.plans.runs import run_ensemble, run_multiple_ensembles
 
 
-def test_batch_equals_union_of_single_runs(spark):
-    h = catalog.Hub(spark, SMALL)
+@pytest.fixture(scope="module")
+def hub(spark):
+    return catalog.Hub(spark, SMALL)
+
+
+def test_batch_equals_union_of_single_runs(hub, spark):
+    h = hub
     dates = [r.run_date for r in h.run_dates.orderBy("run_date").limit(3).collect()]
     rd = spark.createDataFrame([(d,) for d in dates], "run_date date")
     kw = dict(exclude_models=h.exclusions, designations=h.designations)
@@ -24,8 +29,8 @@ def test_batch_equals_union_of_single_runs(spark):
     assert rows(batch, *cols) == rows(singles.select(*cols), *cols)
 
 
-def test_mean_ensemble_within_member_range_and_monotone(spark):
-    h = catalog.Hub(spark, SMALL)
+def test_mean_ensemble_within_member_range_and_monotone(hub, spark):
+    h = hub
     ens = catalog.ensemble_mean(spark, SMALL)
     bad = (ens.groupBy("run_date", "target_variable", "location", "horizon", "target_end_date")
            .agg(F.array_sort(F.collect_list(F.struct("quantile", "value"))).alias("qs"))
@@ -35,8 +40,8 @@ def test_mean_ensemble_within_member_range_and_monotone(spark):
     assert h.forecasts.count() > 0
 
 
-def test_skill_weights_sum_to_one(spark):
-    w = catalog.skill_weights(spark, SMALL)
+def test_skill_weights_sum_to_one(hub):
+    w = hub.skill().weights
     sums = w.groupBy("run_date", "target_variable", "location").agg(F.sum("weight").alias("s"))
     assert sums.filter(F.abs(F.col("s") - 1) > 1e-5).count() == 0
 
@@ -64,10 +69,10 @@ def test_single_relative_skill_run_by_hand(spark):
     assert dict(rows(run.criteria, "model", "included_in_ensemble")) == {"A": True, "B": True, "C": False}
 
 
-def test_batch_of_skill_methods_equals_single_runs(spark):
+def test_batch_of_skill_methods_equals_single_runs(hub, spark):
     """Ensembles, criteria (R11) and weights of every method, for dates with an evaluation."""
-    h = catalog.Hub(spark, SMALL)
-    d = dt.date(1996, 6, 10)
+    h = hub
+    d = h.run_dates.filter("run_date > '1996-06-01'").agg(F.min("run_date")).first()[0]
     rd = spark.createDataFrame([(d,)], "run_date date")
     methods = ["median", "relative_skill", "relative_skill_by_horizon_median"]
     kw = dict(exclude_models=h.exclusions, designations=h.designations, evaluation=h.evaluation, estimator="type7")
@@ -80,8 +85,8 @@ def test_batch_of_skill_methods_equals_single_runs(spark):
             assert rows(getattr(batch, part).filter(F.col("method") == m), *cols) == rows(want, *cols), (m, part)
 
 
-def test_run_without_evaluation_stops(spark):
-    h = catalog.Hub(spark, SMALL)
+def test_run_without_evaluation_stops(hub):
+    h = hub
     first = h.run_dates.agg(F.min("run_date")).first()[0]
     run = run_ensemble(h.forecasts, "relative_skill", first, designations=h.designations, evaluation=h.evaluation)
     with pytest.raises(Exception, match="no evaluation dated"):
