@@ -20,11 +20,12 @@ from hubcast.plans import catalog  # noqa: E402
 from hubcast.session import build_session  # noqa: E402
 
 HEADLINE = (
-    ("ensemble_mean_submission", catalog.submission_format),
+    ("single_run_median", catalog.single_run),
+    ("mean_ensemble_submission_all_dates", catalog.mean_submission),
     ("score_table", catalog.score_table),
-    ("summary_table", catalog.summary_table),
-    ("ensemble_relative_skill", catalog.ensemble_skill_mean),
-    ("batch_runs_4_methods", catalog.batch_runs),
+    ("summary_table_all_history", catalog.summary_table),
+    ("relative_skill_ensemble_all_dates", catalog.ensemble_skill_mean),
+    ("batch_runs_6_methods_all_dates", catalog.batch_runs),
 )
 
 
