@@ -24,7 +24,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document for each text."""
-    return exact_dedup.unique(docs, exact_dedup.fresh_index(spark))
+    index = exact_dedup.fresh_index(spark)
+    out = exact_dedup.unique(docs, index)
+    index.drop()  # its rows are checkpointed by then
+    return out
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

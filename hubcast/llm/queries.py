@@ -31,7 +31,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the one that stays for its text, by a fresh digest index."""
-    return exact_dedup.decide(table(spark, sf_dir, "documents"), exact_dedup.fresh_index(spark))
+    index = exact_dedup.fresh_index(spark)
+    out = exact_dedup.decide(table(spark, sf_dir, "documents"), index)
+    index.drop()  # decisions are checkpointed; an index that is to last gets a name and a path
+    return out
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
