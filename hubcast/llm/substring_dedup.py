@@ -41,6 +41,7 @@ MEMORY = 4 << 20  # suffixes sorted at a time
 NO_ID = -(1 << 63)
 RUN = np.dtype([("prefix", "<u8"), ("doc", "<i8"), ("start", "<i4"), ("n", "u1")])  # suffixes in a row of one tree
 SPAN = np.dtype([("doc", "<i8"), ("start", "<i4"), ("n", "<i4")])  # starts of repeated windows in a row
+RUN_MAX = 255  # suffixes that a run's n can count; a longer row goes on in the next run
 NODE = 6  # bytes of a node's name inside a tree
 
 
@@ -137,6 +138,8 @@ def _plant(docs: DataFrame, length: int, buckets: int) -> DataFrame:
             new = np.concatenate([[True], (prefix[1:] != prefix[:-1]) | (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + 1)]) \
                 if len(doc) else np.empty(0, bool)
             head = np.flatnonzero(new)
+            step = np.arange(len(doc)) - np.repeat(head, np.diff(np.append(head, len(doc))))
+            head = np.flatnonzero(step % RUN_MAX == 0)
             runs = np.empty(len(head), RUN)
             runs["prefix"], runs["doc"], runs["start"] = prefix[head], doc[head], start[head]
             runs["n"] = np.diff(np.append(head, len(doc)))

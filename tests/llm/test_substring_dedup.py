@@ -73,3 +73,22 @@ def test_passages_are_maximal(spark):
     rows = [(1, "a b " + p + " c"), (2, "d " + p + " e f"), (3, "g")]
     got = S.passages(spark.createDataFrame(rows, "doc_id long, text string"), 20).collect()
     assert [tuple(r) for r in got] == [(2, 1, 35)]
+
+
+def test_rows_of_one_tree_longer_than_a_run(spark):
+    """Lines of 12 to 15 words in which a counter changes: one prefix leads over 256 windows and more."""
+    def lines(lead, words, count):
+        return " ".join(" ".join(f"{lead}{j}" for j in range(words - 1)) + f" {i}" for i in range(count))
+
+    def longest(text):
+        prefix = S._leaves([0], [text], 20)[0]
+        return max(np.diff(np.flatnonzero(np.diff(prefix, prepend=~prefix[:1], append=~prefix[-1:]))))
+
+    r = random.Random(5)
+    other = [" ".join(f"v{r.randint(0, 10 ** 6)}" for _ in range(60)) for _ in range(40)]
+    logs = [next(t for t in (lines(f"{a}q{k}x", words, 120) for k in range(500)) if longest(t) > 512)
+            for words, a in ((12, "a"), (13, "b"), (14, "c"), (15, "d"))]
+    texts = [logs[0], *other[:20], logs[1], *other[20:], logs[2], logs[3]]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, "y " + t) for i, t in enumerate(reversed(texts))]
+    check(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), 20)
+    check(spark.createDataFrame(rows, "doc_id long, text string").repartitionByRange(4, "doc_id"), 20)
