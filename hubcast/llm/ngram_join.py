@@ -17,6 +17,11 @@ exceed the shingles that do) and give the edges of a spanning forest. Every edge
 verified on the texts; a long list with a failed edge gives all its open pairs in a
 second round. So each link is either verified or inside a class that is joined already.
 
+A list of many nodes is cut, in order of size, into blocks of bounded length that overlap
+a little; the above holds for each block, and near copies of one text come out as one
+class. Then only nodes outside the largest class of their list are compared with its
+other blocks, each block a step of its own.
+
 Defined cases: a text without words, or null, has an empty set and is linked with nothing;
 fewer words than a shingle make one shingle of all; sets of five or fewer link only
 when equal; rows that repeat a doc_id are each a member; a row with null doc_id joins
@@ -40,6 +45,9 @@ U = np.uint64
 MUL, SHIFT = U(0x9E3779B97F4A7C15), U(29)
 SKETCH_BITS, CHUNK_BITS = 20, 14
 SHORT = 8  # nodes up to which a signature's list gives its pairs
+BLOCK = 1024  # nodes of a block of a list, on average; four times as many at most
+OVERLAP = 32  # nodes of the next block that a block sees too
+CHUNK_BYTES = 8192  # about what a row of nodes that go to another block holds
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -179,8 +187,24 @@ def _sorted_rows(rows: np.ndarray) -> np.ndarray:
     return rows[np.concatenate([[True], new])]
 
 
-def _lists(described: DataFrame, percent: int) -> DataFrame:
-    """(long, x, y): pairs of nodes from short lists (long false), (signature, node) of long ones.
+def _blocks(rows: np.ndarray, block: int) -> np.ndarray:
+    """The number of the block of each row in its list, for whole lists in order of (sig, n, node).
+
+    Blocks begin at nodes of certain hashes, so lists of almost the same nodes have almost the same blocks.
+    """
+    at = np.arange(len(rows))
+    first = np.diff(rows["sig"], prepend=~rows["sig"][:1]) != 0
+    begin = np.flatnonzero(first)
+    length = np.diff(np.append(begin, len(rows)))
+    cut = first | ((mix(rows["node"].astype(U)) % U(block) == 0) & np.repeat(length > 2 * block, length))
+    within = at - np.maximum.accumulate(np.where(cut, at, 0))
+    number = np.cumsum(cut | (within % (4 * block) == 0))
+    return (number - np.repeat(number[begin], length)).astype(np.int32)
+
+
+def _lists(described: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+    """(long, x, y, block, home): pairs of nodes from short lists (long false), (signature, node) of long
+    ones by block; the nodes that the block before sees too are there again, with home false.
 
     Signatures travel packed, a row for each batch and bucket; a node is sent once
     for a signature and batch, however many copies it has there.
@@ -226,14 +250,24 @@ def _lists(described: DataFrame, percent: int) -> DataFrame:
                         pairs.append(np.stack([np.minimum(a["node"], b2["node"])[ok], np.maximum(a["node"], b2["node"])[ok]], 1))
             p = np.unique(np.concatenate(pairs), axis=0)
             long = rows[np.repeat(length > SHORT, length)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(p) + len(long)) >= len(p)),
-                 pa.array(np.concatenate([p[:, 0], long["sig"].view(np.int64)])),
-                 pa.array(np.concatenate([p[:, 1], long["node"]]))], names=["long", "x", "y"])
+            of = _blocks(long, block)
+            begins = np.flatnonzero(np.diff(of, prepend=-1))
+            within = np.arange(len(of)) - np.repeat(begins, np.diff(np.append(begins, len(of))))
+            seen = (of > 0) & (within < OVERLAP)
+            long, of, home = np.concatenate([long, long[seen]]), np.concatenate([of, of[seen] - 1]), np.arange(len(of) + seen.sum()) < len(of)
+            for lo in range(0, len(p) + len(long), 100_000):
+                ps, ls = p[lo:lo + 100_000], slice(max(0, lo - len(p)), max(0, lo + 100_000 - len(p)))
+                pad = lambda x, fill: np.concatenate([np.full(len(ps), fill, x.dtype), x[ls]])  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(pad(np.ones(len(long), bool), False)),
+                     pa.array(np.concatenate([ps[:, 0], long["sig"].view(np.int64)[ls]])),
+                     pa.array(np.concatenate([ps[:, 1], long["node"][ls]])),
+                     pa.array(pad(of, 0)), pa.array(pad(home, True))], names=["long", "x", "y", "block", "home"])
 
     dealt = described.filter("length(signatures) > 0").select("n_shingles", "node", "signatures").mapInArrow(
         deal, "bucket int, rows binary")
-    return common.cut(dealt.repartition(buckets, "bucket").mapInArrow(meet, "long boolean, x bigint, y bigint"))
+    return common.cut(dealt.repartition(buckets, "bucket").mapInArrow(
+        meet, "long boolean, x bigint, y bigint, block int, home boolean"))
 
 
 def _close(na: np.ndarray, nb: np.ndarray, differ: np.ndarray, percent: int) -> np.ndarray:
@@ -309,21 +343,22 @@ def _compare(node: np.ndarray, n: np.ndarray, bitmaps: list[bytes], percent: int
 
 
 def _long_edges(entries: DataFrame, percent: int, grouped: bool) -> DataFrame:
-    """(sig, a, b) from rows (sig, node, n, parity, grp), one list at a time in order of size."""
+    """(sig, block, a, b) from rows (sig, block, node, n, parity, grp), one block at a time in order of size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
 
         def done() -> Iterator[pa.RecordBatch]:
-            node, n, bitmaps, group = zip(*(r[1:] for r in held))
+            node, n, bitmaps, group = zip(*(r[2:] for r in held))
             e = _compare(np.array(node), np.array(n), list(bitmaps), percent, np.array(group) if grouped else None)
             if e:
                 a, b = (pa.array(list(map(int, x)), pa.int64()) for x in zip(*e))
-                yield pa.RecordBatch.from_arrays([pa.array([held[0][0]] * len(e), pa.int64()), a, b], names=["sig", "a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array([held[0][0]] * len(e), pa.int64()), pa.array([held[0][1]] * len(e), pa.int32()), a, b],
+                                                 names=["sig", "block", "a", "b"])
 
         for batch in batches:
-            for r in zip(*(batch.column(c).to_pylist() for c in ("sig", "node", "n", "parity", "grp"))):
-                if held and held[0][0] != r[0]:
+            for r in zip(*(batch.column(c).to_pylist() for c in ("sig", "block", "node", "n", "parity", "grp"))):
+                if held and held[0][:2] != r[:2]:
                     yield from done()
                     held = []
                 held.append(r)
@@ -331,8 +366,119 @@ def _long_edges(entries: DataFrame, percent: int, grouped: bool) -> DataFrame:
             yield from done()
 
     n = common.partitions(entries.sparkSession)
-    return entries.repartition(n, "sig").sortWithinPartitions("sig", "n", "node").mapInArrow(
-        run, "sig bigint, a bigint, b bigint")
+    return entries.repartition(n, "sig", "block").sortWithinPartitions("sig", "block", "n", "node").mapInArrow(
+        run, "sig bigint, block int, a bigint, b bigint")
+
+
+def _apart(entries: DataFrame, links: DataFrame) -> DataFrame:
+    """``entries`` of lists whose nodes lie in several classes, with the class (grp) and whether it is not the list's largest."""
+    grouped = entries.join(components(links), "node", "left").select(
+        "sig", "block", "node", "n", "parity", F.coalesce("component", "node").alias("grp"))
+    sizes = grouped.groupBy("sig", "grp").agg(F.count(F.lit(1)).alias("k"))
+    main = sizes.groupBy("sig").agg(F.max(F.struct("k", "grp"))["grp"].alias("main"), F.count(F.lit(1)).alias("classes"))
+    return common.cut(grouped.join(main.filter("classes > 1"), "sig").select(
+        *grouped.columns, (F.col("grp") != F.col("main")).alias("minor")))
+
+
+def _cross_edges(apart: DataFrame, percent: int, every: bool) -> DataFrame:
+    """(sig, a, b): pairs that may be similar, from different blocks of a list and different classes.
+
+    The nodes outside the largest class go, some to a row, to each block whose sizes fit; a
+    task holds one block. A block gives a spanning forest of the classes, or ``every`` pair.
+    """
+    lists = "nodes array<bigint>, ns array<bigint>, grps array<bigint>, bitmaps array<binary>"
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sig, block, n, bitmaps = (batch.column(c).to_pylist() for c in ("sig", "block", "n", "parity"))
+            cuts, held = [0], 0
+            for i in range(batch.num_rows):
+                if i and ((sig[i], block[i]) != (sig[i - 1], block[i - 1]) or held > CHUNK_BYTES):
+                    cuts.append(i)
+                    held = 0
+                held += len(bitmaps[i]) + 24
+            ends = pa.array([*cuts, batch.num_rows], pa.int32())
+            cuts = cuts if batch.num_rows else []
+            ends = ends if cuts else pa.array([0], pa.int32())
+            cols = [pa.ListArray.from_arrays(ends, batch.column(c)) for c in ("node", "n", "grp", "parity")]
+            last = [*cuts[1:], batch.num_rows]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([sig[i] for i in cuts], pa.int64()), pa.array([block[i] for i in cuts], pa.int32()),
+                 pa.array([min(n[i:j]) for i, j in zip(cuts, last)], pa.int64()), pa.array([max(n[i:j]) for i, j in zip(cuts, last)], pa.int64()), *cols],
+                names=["sig", "home", "low", "high", "nodes", "ns", "grps", "bitmaps"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, own, by, up = None, [], None, {}
+
+        def root(x: int) -> int:
+            while up.get(x, x) != x:
+                x = up[x]
+            return x
+
+        for batch in batches:
+            out = []
+            for sig, block, home, minor, *member in zip(*(batch.column(c).to_pylist() for c in (
+                    "sig", "block", "home", "minor", "nodes", "ns", "grps", "bitmaps"))):
+                if at != (sig, block):
+                    at, own, by, up = (sig, block), [], None, {}
+                if home < 0:
+                    own.append((member[0][0], member[1][0], member[2][0], member[3][0], minor))
+                    continue
+                if by is None:
+                    by = _by_width(*zip(*own)) if own else []
+                for c in _by_width(*member, [True] * len(member[0])):
+                    for o in by:
+                        x, y = c[-1], o[-1]
+                        if x.shape[1] == 2 * y.shape[1]:
+                            x = fold(x)
+                        elif 2 * x.shape[1] == y.shape[1]:
+                            y = fold(y)
+                        if x.shape[1] != y.shape[1]:
+                            continue
+                        differ = np.zeros((len(x), len(y)), np.int32)
+                        for k in range(x.shape[1]):
+                            differ += np.bitwise_count(x[:, k, None] ^ y[None, :, k])
+                        ok = _close(c[1][:, None], o[1][None], differ, percent) & (c[2][:, None] != o[2][None])
+                        if block < home:
+                            ok &= ~o[3][None]  # pairs of two such nodes meet in the later block
+                        i, j = np.nonzero(ok)
+                        if every:
+                            out += [(sig, a, b) for a, b in zip(c[0][i].tolist(), o[0][j].tolist())]
+                            continue
+                        near = np.argsort(differ[i, j], kind="stable")
+                        i, j = i[near], j[near]
+                        first = np.unique(np.stack([c[2][i], o[2][j]], 1), axis=0, return_index=True)[1]
+                        for f in np.sort(first):
+                            a, b = root(int(c[2][i[f]])), root(int(o[2][j[f]]))
+                            if a != b:
+                                up[max(a, b)] = min(a, b)
+                                out.append((sig, int(c[0][i[f]]), int(o[0][j[f]])))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(3)], names=["sig", "a", "b"])
+
+    parts = common.partitions(apart.sparkSession)
+    chunks = apart.filter("minor").repartition(parts, "sig", "block").sortWithinPartitions("sig", "block", "n", "node").mapInArrow(
+        pack, f"sig bigint, home int, low bigint, high bigint, {lists}")
+    ranges = apart.groupBy("sig", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.bool_and("minor").alias("only"))
+    sent = chunks.join(ranges, "sig").filter(
+        (F.col("block") > F.col("home")) | ((F.col("block") < F.col("home")) & ~F.col("only"))).filter(
+        (percent * F.col("low") <= 100 * F.col("most")) & (percent * F.col("least") <= 100 * F.col("high")))
+    cols = ["sig", "block", "home", "minor", "nodes", "ns", "grps", "bitmaps"]
+    own = apart.select("sig", "block", F.lit(-1).alias("home"), "minor", F.array("node").alias("nodes"), F.array("n").alias("ns"),
+                       F.array("grp").alias("grps"), F.array("parity").alias("bitmaps"))
+    rows = own.unionByName(sent.withColumn("minor", F.lit(True)).select(*cols)).repartition(parts, "sig", "block")
+    return rows.sortWithinPartitions("sig", "block", "home").mapInArrow(run, "sig bigint, a bigint, b bigint").select(
+        "sig", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def _by_width(node, n, group, bitmaps, minor) -> list[tuple[np.ndarray, ...]]:
+    """(node, n, group, minor, bitmaps) of some nodes for each width of bitmaps."""
+    width = np.array([len(x) // 8 for x in bitmaps])
+    out = []
+    for w in np.unique(width):
+        at = np.flatnonzero(width == w)
+        out.append((*(np.array(x)[at] for x in (node, n, group, minor)),
+                    np.frombuffer(b"".join(bitmaps[i] for i in at), U).reshape(len(at), w)))
+    return out
 
 
 def _verify(edges: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -365,45 +511,60 @@ def _verify(edges: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFra
     return rows.sortWithinPartitions("a", F.col("a") != F.col("b")).mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def link(docs: DataFrame, n: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
+def link(docs: DataFrame, n: int = 4, percent: int = 85, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """(members, links): members has doc_id, n_shingles and node (one set) for every row;
     links are verified pairs of nodes that connect whatever similar sets connect."""
     described = describe(docs, n, percent)
     nodes = common.cut(described.filter("length(signatures) > 0").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("parity").alias("parity")))
-    lists = _lists(described, percent)
+    lists = _lists(described, percent, block)
 
     pairs = lists.filter("NOT long").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
     left = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("parity").alias("pa"))
     right = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("pb"))
     short = _filter_pairs(pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "pa", "pb"), percent)
-    entries = lists.filter("long").select(F.col("x").alias("sig"), F.col("y").alias("node")).join(
+    entries = lists.filter("long").select(F.col("x").alias("sig"), F.col("y").alias("node"), "block", "home").join(
         nodes.select("node", "n", "parity"), "node")
     forest = _long_edges(entries.withColumn("grp", F.lit(0).cast("bigint")), percent, False)
-    edges = common.cut(short.select(F.lit(None).cast("bigint").alias("sig"), "a", "b").unionByName(
-        forest.select("sig", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))))
+    edges = common.cut(short.select(F.lit(None).cast("bigint").alias("sig"), F.lit(None).cast("int").alias("block"), "a", "b").unionByName(
+        forest.select("sig", "block", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))))
+
+    def texts_of(pairs: DataFrame) -> DataFrame:
+        ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        reps = ends.join(nodes.select("node", "rep"), "node").filter("rep IS NOT NULL")
+        return common.cut(docs.select("doc_id", "text").join(reps, F.col("doc_id") == F.col("rep")).select("node", "text"))
 
     distinct = edges.select("a", "b").distinct()
-    ends = distinct.select(F.col("a").alias("node")).unionByName(distinct.select(F.col("b").alias("node"))).distinct()
-    reps = ends.join(nodes.select("node", "rep"), "node").filter("rep IS NOT NULL")
-    texts = common.cut(docs.select("doc_id", "text").join(reps, F.col("doc_id") == F.col("rep")).select("node", "text"))
+    texts = texts_of(distinct)
     links = common.cut(_verify(distinct, texts, n, percent))
 
-    failed = edges.filter("sig IS NOT NULL").join(links, ["a", "b"], "left_anti").select("sig").distinct()
-    open_lists = common.cut(entries.join(failed, "sig", "left_semi"))
+    failed = edges.filter("sig IS NOT NULL").join(links, ["a", "b"], "left_anti").select("sig", "block").distinct()
+    open_lists = common.cut(entries.join(failed, ["sig", "block"], "left_semi"))
     if not open_lists.isEmpty():
         known = components(links)
         grouped = open_lists.join(known, "node", "left").select(
-            "sig", "node", "n", "parity", F.coalesce("component", "node").alias("grp"))
+            "sig", "block", "node", "n", "parity", F.coalesce("component", "node").alias("grp"))
         again = _long_edges(grouped, percent, True).select(
             F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(edges.select("a", "b"), ["a", "b"], "left_anti")
         links = common.cut(links.unionByName(_verify(common.cut(again), texts, n, percent)))
+
+    wide = common.cut(lists.filter("long AND block > 0").select(F.col("x").alias("sig")).distinct())
+    if not wide.isEmpty():  # lists of several blocks: a forest of their classes first, then the open pairs
+        whole = common.cut(entries.filter("home").drop("home").join(wide, "sig", "left_semi"))
+        for every in (False, True):
+            cross = common.cut(_cross_edges(_apart(whole, links), percent, every))
+            new = common.cut(cross.select("a", "b").distinct().join(links, ["a", "b"], "left_anti"))
+            if new.isEmpty():
+                break
+            links = common.cut(links.unionByName(_verify(new, texts_of(new), n, percent)))
+            failed = cross.join(links, ["a", "b"], "left_anti").select("sig").distinct()
+            whole = common.cut(whole.join(failed, "sig", "left_semi"))
     return described.select("doc_id", "n_shingles", "node"), links
 
 
-def classes(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
+def classes(docs: DataFrame, n: int = 4, percent: int = 85, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) for every row."""
-    members, links = link(docs, n, percent)
+    members, links = link(docs, n, percent, block)
     found = components(links)
     of_node = members.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("first"))
     labelled = of_node.join(found, "node", "left").select("node", "first", F.coalesce("component", "node").alias("component"))

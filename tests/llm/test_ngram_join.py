@@ -119,3 +119,26 @@ def test_components_of_long_chains(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long").repartition(3)).collect()}
     assert got == {i: 0 for i in range(201)} | {i: 500 for i in range(500, 560)}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_long_lists_go_in_bounded_blocks(spark):
+    """Near copies of two texts and rows that only share a passage, in lists of many blocks."""
+    r = random.Random(4)
+    rows = copies(1, 1, 400, 60, 6)
+    other = rows[0][1].split()
+    for i in range(300):  # around a text at some distance, so lists hold classes that link rarely or not at all
+        w = list(other)
+        for k in range(0, 12, 4):
+            w[k] = "v"
+        for _ in range(r.randint(0, 4)):
+            w[r.randrange(60)] = f"e{r.randint(0, 10 ** 6)}"
+        rows.append((1000 + i, " ".join(w[:r.randint(52, 60)])))
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows += [(2000 + i, passage + " " + " ".join(f"q{r.randint(0, 9999)}" for _ in range(r.randint(1, 6)))) for i in range(330)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    lists = J._lists(J.describe(df, 4, 85), 85, block=16).filter("long")
+    sizes = [x["count"] for x in lists.groupBy("x", "block").count().collect()]
+    assert max(sizes) <= 4 * 16 + J.OVERLAP < max(x["count"] for x in lists.filter("home").groupBy("x").count().collect())
+    want = brute(rows, 4, 85)
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in J.classes(df, 4, 85, block=16).collect()} == want
+    assert len({c for _, c in want.values()}) > 1
