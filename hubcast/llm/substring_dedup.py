@@ -1,13 +1,12 @@
 """Substring deduplication: word passages that occur earlier in the corpus are removed.
 
-The suffixes that start at the words of all texts are indexed by prefix-partitioned
-suffix trees. A suffix belongs to the tree of the five-word prefix that has the least
-hash among those inside its first ``length`` words (the same one wherever the same words
-occur), and what a tree must tell is which of its nodes at depth ``length`` have more than
-one leaf. So a leaf carries the name of its node at that depth, the hash of ``length``
-words, and the levels between are left out. Prefixes are dealt to buckets, and a bucket
-with more suffixes than fit in memory is cut by longer prefixes into parts that do.
-Consecutive suffixes below repeated nodes are chained to maximal repeats.
+The suffixes that start at the words of all texts are grouped by a hash of their first
+``length`` words; no tree is built. A suffix is dealt by the five-word prefix that has the
+least hash among those inside its first ``length`` words (the same one wherever the same
+words occur), and carries the hash of ``length`` words as the name of its node. The prefix
+always has five words: all suffixes of a frequent one come to one bucket, whose arrays are
+made whole, so memory grows with it. Only the sort of a large bucket goes in parts, by the
+hash. Consecutive suffixes below repeated nodes are chained to maximal repeats.
 
 Every part of a batch finds its own repeats first and sends one leaf for each node, so a
 passage that very many documents share is sent a few times only.
@@ -37,7 +36,7 @@ U = np.uint64
 MUL = U(0x9E3779B97F4A7C15)
 PREFIX = 5  # words of a tree's prefix
 PART = 4 << 20  # characters of text whose windows a task holds at a time
-MEMORY = 4 << 20  # suffixes sorted at a time
+MEMORY = 4 << 20  # suffixes sorted at a time, on average; the arrays of the whole bucket exist by then
 NO_ID = -(1 << 63)
 RUN = np.dtype([("prefix", "<u8"), ("doc", "<i8"), ("start", "<i4"), ("n", "u1")])  # suffixes in a row of one tree
 SPAN = np.dtype([("doc", "<i8"), ("start", "<i4"), ("n", "<i4")])  # starts of repeated windows in a row
@@ -174,7 +173,7 @@ def _tree_repeats(runs: np.ndarray, names: np.ndarray) -> np.ndarray:
     start = (np.repeat(runs["start"], times) + step).astype(np.int32)
     parts = max(1, -(-len(key) // MEMORY))
     after = np.zeros(len(key), bool)
-    for p in range(parts):  # longer prefixes: a part holds whole nodes
+    for p in range(parts):  # by hash: a part holds whole nodes
         mine = np.flatnonzero(key % U(parts) == p) if parts > 1 else slice(None)
         after[mine] = later(key[mine], doc[mine], start[mine])[1]
     return chains(doc[after], start[after])
