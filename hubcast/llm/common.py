@@ -33,3 +33,23 @@ def words(text: str | None) -> list[bytes]:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def lower_ascii(word: Column) -> Column:
+    """A-Z lower-cased, everything else unchanged; text of ASCII alone takes the short way."""
+    return F.when(F.octet_length(word) == F.length(word), F.lower(word)).otherwise(F.translate(word, UPPER, LOWER))
+
+
+def small(df: DataFrame, limit: int = 32 << 20) -> DataFrame:
+    """``df`` (checkpointed) with a broadcast hint if its rows, summed, stay below ``limit`` bytes; else unchanged."""
+    strings = [f.name for f in df.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    arrays = [f.name for f in df.schema.fields if f.dataType.typeName() == "array"]
+    width = F.lit(16 * len(df.columns)).cast("long")
+    for c in strings:
+        width = width + F.coalesce(F.octet_length(c), F.lit(0))
+    for c in arrays:
+        width = width + 32 * F.size(c) + F.octet_length(F.col(c).cast("string"))
+    return F.broadcast(df) if (df.agg(F.sum(width)).first()[0] or 0) <= limit else df

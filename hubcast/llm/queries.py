@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hubcast.llm import bpe, chat_format, exact_dedup, language_id, mixing, ngram_join, quality_rules, substring_dedup, token_shards, url_filter
-from hubcast.llm.common import table
+from hubcast.llm import (bpe, chat_format, conversation_trie, decontamination, exact_dedup, language_id, mixing, ngram_join, quality_rules,
+                         spelling, substring_dedup, token_shards, url_filter)
+from hubcast.llm.common import cut, lower_ascii, table
 from hubcast.llm.oracle import SQL
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -96,8 +97,41 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of five letters or more that occurs three times or more, with its near words, form and root.
+
+    One run in 97, chosen by a hash of document and run, loses a letter first.
+    """
+    letters = F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z\x{C0}-\x{FF}]+"), F.lit(0))).alias("run")
+    runs = table(spark, sf_dir, "documents").select("doc_id", letters).filter(F.length("run") >= 5).select(
+        "doc_id", lower_ascii(F.col("run")).alias("run"))
+    told = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), "run")
+    runs = runs.select("run", F.crc32(told.cast("binary")).alias("h")).withColumn("at", (F.col("h") % F.length("run")).cast("int"))
+    lost = F.concat(F.substring("run", F.lit(1), F.col("at")), F.substring("run", F.col("at") + 2, F.length("run")))
+    words = runs.select(F.when(F.col("h") % 97 == 0, lost).otherwise(F.col("run")).alias("word")).filter(F.length("word") >= 5)
+    counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter("n >= 3")
+    return spelling.variants(counted).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, each begun by up to five turns of the first of its hundred."""
+    c = F.col("conv_id")
+    taken = (F.crc32(c.cast("string").cast("binary")) % 6).cast("int")
+    rows = conversation_trie.with_heads(conversation_trie.turns_of(table(spark, sf_dir, "conversations")), c - c % 100, taken, most=5)
+    return conversation_trie.trie(rows)
+
+
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the words that stand in a passage of 10 words of a benchmark item."""
+    docs = table(spark, sf_dir, "documents")
+    index = decontamination.PositionalIndex.fresh(spark).add(docs)
+    out = cut(decontamination.flag(docs, table(spark, sf_dir, "benchmark"), index, length=10))
+    index.drop()  # the result is checkpointed; an index that is to last gets a path
+    return out
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_quality_rules, op2_exact_dedup, op3_substring_dedup, op4_language_id, op5_bpe_codec, op6_token_shards, op7_ngram_jaccard, op8_mix_sources,
-                            op9_url_filter, op10_chat_format)}
+                            op9_url_filter, op10_chat_format, op11_spelling_variants, op12_conversation_trie, op13_decontaminate)}
 
 ORACLE_SQL = {k: v for k, v in SQL.items() if k in QUERIES}
