@@ -62,10 +62,10 @@ def normalise(df: pd.DataFrame, sig: int | None) -> list[tuple]:
 def compare(spark, con, name, fn, sql, sf_dir):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
-    s_pd = sdf.toPandas()
+    s_pd = sdf.toArrow().to_pandas(integer_object_nulls=True)
     ts = time.time() - t0
     t0 = time.time()
-    d_pd = con.sql(sql).df() if sql else None
+    d_pd = con.sql(sql).to_arrow_table().to_pandas(integer_object_nulls=True) if sql else None
     td = time.time() - t0
     out = {"query": name, "spark_rows": len(s_pd), "spark_s": round(ts, 1)}
     if d_pd is None:
