@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from hubcast.llm import (bpe, chat_format, conversation_trie, decontamination, exact_dedup, language_id, mixing, ngram_join, quality_rules,
                          spelling, substring_dedup, token_shards, url_filter)
-from hubcast.llm.common import cut, lower_ascii, table
+from hubcast.llm.common import lower_ascii, table
 from hubcast.llm.oracle import SQL
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -125,8 +125,8 @@ def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the words that stand in a passage of 10 words of a benchmark item."""
     docs = table(spark, sf_dir, "documents")
     index = decontamination.PositionalIndex.fresh(spark).add(docs)
-    out = cut(decontamination.flag(docs, table(spark, sf_dir, "benchmark"), index, length=10))
-    index.drop()  # the result is checkpointed; an index that is to last gets a path
+    out = decontamination.flag(docs, table(spark, sf_dir, "benchmark"), index, length=10)
+    index.drop()  # its matches are checkpointed; an index that is to last gets a path
     return out
 
 
