@@ -14,8 +14,10 @@ and the combination in each group is a signature. Similar documents share a sign
 Documents with equal sets are one node from the start. Short lists of a signature give
 pairs, long ones are compared in place by parity bitmaps (the bits that differ never
 exceed the shingles that do) and give the edges of a spanning forest. Every edge is
-verified on the texts; a long list with a failed edge gives all its open pairs in a
-second round. So each link is either verified or inside a class that is joined already.
+verified on the texts. A node counts in its largest list at first, so a group that shares many
+signatures gives its edges once; then lists whose nodes are still in several classes give
+edges between the classes, and a list with a failed edge gives all its open pairs. So each
+link is either verified or inside a class that is joined already.
 
 A list of many nodes is cut, in order of size, into blocks of bounded length that overlap
 a little; the above holds for each block, and near copies of one text come out as one
@@ -309,15 +311,17 @@ class _Forest:
         return i != j
 
 
-def _compare(node: np.ndarray, n: np.ndarray, bitmaps: list[bytes], percent: int, group: np.ndarray | None,
+def _compare(node: np.ndarray, n: np.ndarray, bitmaps: list[bytes], percent: int, group: np.ndarray, every: bool,
              block: int = 256) -> list[tuple[int, int]]:
-    """Edges among the nodes of one list, in order of size.
+    """Edges among the nodes of one list, in order of size: pairs of different groups that may be similar.
 
-    Without ``group``: a spanning forest of the pairs that may be similar. With it: all of
-    them that lie in different groups.
+    ``every`` one of them, or a spanning forest of the groups.
     """
     width = np.array([len(x) // 8 for x in bitmaps])
     forest, edges = _Forest(len(node)), []
+    _, first, of = np.unique(group, return_index=True, return_inverse=True)
+    for i, j in enumerate(first[of]):
+        forest.join(i, int(j))
     for w in np.unique(width):
         own = np.flatnonzero(width == w)
         more = np.flatnonzero(width == 2 * w)
@@ -332,9 +336,10 @@ def _compare(node: np.ndarray, n: np.ndarray, bitmaps: list[bytes], percent: int
             for k in range(w):
                 differ += np.bitwise_count(rows[lo:hi, k, None] ^ rows[None, lo:end, k])
             ok = np.triu(_close(n[at[lo:hi], None], n[at[lo:end]][None], differ, percent), 1)
-            for i, j in np.argwhere(ok):
-                i, j = at[lo + i], at[lo + j]
-                if group is not None:
+            i, j = np.nonzero(ok)
+            near = np.argsort(differ[i, j], kind="stable")  # the closest first: those are the likeliest links
+            for i, j in zip(at[lo + i[near]], at[lo + j[near]]):
+                if every:
                     if group[i] != group[j]:
                         edges.append((node[i], node[j]))
                 elif forest.join(int(i), int(j)):
@@ -342,7 +347,7 @@ def _compare(node: np.ndarray, n: np.ndarray, bitmaps: list[bytes], percent: int
     return edges
 
 
-def _long_edges(entries: DataFrame, percent: int, grouped: bool) -> DataFrame:
+def _long_edges(entries: DataFrame, percent: int, every: bool) -> DataFrame:
     """(sig, block, a, b) from rows (sig, block, node, n, parity, grp), one block at a time in order of size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -350,7 +355,7 @@ def _long_edges(entries: DataFrame, percent: int, grouped: bool) -> DataFrame:
 
         def done() -> Iterator[pa.RecordBatch]:
             node, n, bitmaps, group = zip(*(r[2:] for r in held))
-            e = _compare(np.array(node), np.array(n), list(bitmaps), percent, np.array(group) if grouped else None)
+            e = _compare(np.array(node), np.array(n), list(bitmaps), percent, np.array(group), every)
             if e:
                 a, b = (pa.array(list(map(int, x)), pa.int64()) for x in zip(*e))
                 yield pa.RecordBatch.from_arrays([pa.array([held[0][0]] * len(e), pa.int64()), pa.array([held[0][1]] * len(e), pa.int32()), a, b],
@@ -370,6 +375,19 @@ def _long_edges(entries: DataFrame, percent: int, grouped: bool) -> DataFrame:
         run, "sig bigint, block int, a bigint, b bigint")
 
 
+def _classed(entries: DataFrame, links: DataFrame) -> DataFrame:
+    """``entries`` with the class (grp) of their nodes, of those blocks whose nodes lie in several classes.
+
+    Of blocks of the same nodes (by 128 bits of their hashes) one stays; they would give the same edges.
+    """
+    grouped = entries.join(components(links), "node", "left").withColumn("grp", F.coalesce("component", "node")).drop("component")
+    several = grouped.groupBy("sig", "block").agg(
+        F.min("grp").alias("least"), F.max("grp").alias("most"), F.count(F.lit(1)).alias("k"),
+        F.bit_xor(F.xxhash64("node")).alias("h1"), F.bit_xor(F.xxhash64("node", F.lit(7))).alias("h2")).filter("least < most")
+    one = several.groupBy("k", "h1", "h2").agg(F.min(F.struct("sig", "block")).alias("of")).select("of.sig", "of.block")
+    return common.cut(grouped.join(one, ["sig", "block"], "left_semi"))
+
+
 def _apart(entries: DataFrame, links: DataFrame) -> DataFrame:
     """``entries`` of lists whose nodes lie in several classes, with the class (grp) and whether it is not the list's largest."""
     grouped = entries.join(components(links), "node", "left").select(
@@ -523,30 +541,38 @@ def link(docs: DataFrame, n: int = 4, percent: int = 85, block: int = BLOCK) ->
     left = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("parity").alias("pa"))
     right = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("pb"))
     short = _filter_pairs(pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "pa", "pb"), percent)
-    entries = lists.filter("long").select(F.col("x").alias("sig"), F.col("y").alias("node"), "block", "home").join(
-        nodes.select("node", "n", "parity"), "node")
-    forest = _long_edges(entries.withColumn("grp", F.lit(0).cast("bigint")), percent, False)
-    edges = common.cut(short.select(F.lit(None).cast("bigint").alias("sig"), F.lit(None).cast("int").alias("block"), "a", "b").unionByName(
-        forest.select("sig", "block", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))))
+    entries = common.cut(lists.filter("long").select(F.col("x").alias("sig"), F.col("y").alias("node"), "block", "home").join(
+        nodes.select("node", "n", "parity"), "node"))
+    sizes = entries.groupBy("sig", "block").agg(F.count(F.lit(1)).alias("k"))
+    home = entries.join(sizes, ["sig", "block"]).groupBy("node").agg(F.max(F.struct("k", "sig", "block")).alias("of"))
+    begin = entries.join(home, "node").filter((F.col("sig") == F.col("of.sig")) & (F.col("block") == F.col("of.block")))
+
+    def ordered(edges: DataFrame) -> DataFrame:
+        return edges.withColumns({"a": F.least("a", "b"), "b": F.greatest("a", "b")})
 
     def texts_of(pairs: DataFrame) -> DataFrame:
         ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
         reps = ends.join(nodes.select("node", "rep"), "node").filter("rep IS NOT NULL")
         return common.cut(docs.select("doc_id", "text").join(reps, F.col("doc_id") == F.col("rep")).select("node", "text"))
 
-    distinct = edges.select("a", "b").distinct()
-    texts = texts_of(distinct)
-    links = common.cut(_verify(distinct, texts, n, percent))
-
-    failed = edges.filter("sig IS NOT NULL").join(links, ["a", "b"], "left_anti").select("sig", "block").distinct()
-    open_lists = common.cut(entries.join(failed, ["sig", "block"], "left_semi"))
-    if not open_lists.isEmpty():
-        known = components(links)
-        grouped = open_lists.join(known, "node", "left").select(
-            "sig", "block", "node", "n", "parity", F.coalesce("component", "node").alias("grp"))
-        again = _long_edges(grouped, percent, True).select(
-            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(edges.select("a", "b"), ["a", "b"], "left_anti")
-        links = common.cut(links.unionByName(_verify(common.cut(again), texts, n, percent)))
+    def more(links: DataFrame, pairs: DataFrame) -> DataFrame:
+        return links if pairs.isEmpty() else common.cut(links.unionByName(_verify(pairs, texts_of(pairs), n, percent)))
+
+    # each node in its largest list only, so a group that many lists hold gives its edges once
+    first = ordered(_long_edges(begin.withColumn("grp", F.col("node")), percent, False)).select("a", "b")
+    tried = common.cut(short.unionByName(first).distinct())
+    links = common.cut(_verify(tried, texts_of(tried), n, percent))
+
+    # then the classes that a list still holds apart
+    apart = _classed(entries, links)
+    between = common.cut(ordered(_long_edges(apart, percent, False)))
+    links = more(links, common.cut(between.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")))
+
+    # where an edge failed, all pairs that are still open
+    failed = between.join(links, ["a", "b"], "left_anti").select("sig", "block").distinct()
+    rest = _classed(apart.drop("grp").join(failed, ["sig", "block"], "left_semi"), links)
+    pairs = ordered(_long_edges(rest, percent, True)).select("a", "b").distinct()
+    links = more(links, common.cut(pairs.join(tried.unionByName(between.select("a", "b")), ["a", "b"], "left_anti")))
 
     wide = common.cut(lists.filter("long AND block > 0").select(F.col("x").alias("sig")).distinct())
     if not wide.isEmpty():  # lists of several blocks: a forest of their classes first, then the open pairs

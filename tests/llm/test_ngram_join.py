@@ -142,3 +142,19 @@ def test_long_lists_go_in_bounded_blocks(spark):
     want = brute(rows, 4, 85)
     assert {x.doc_id: (x.n_shingles, x.component_id) for x in J.classes(df, 4, 85, block=16).collect()} == want
     assert len({c for _, c in want.values()}) > 1
+
+
+def test_a_group_in_many_lists_gives_its_edges_once(spark, monkeypatch):
+    rows = copies(1, 1, 800, 60, 1)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    made, plain = [], J._long_edges
+
+    def counted(*args):
+        out = J.common.cut(plain(*args))
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(J, "_long_edges", counted)
+    check(df, 5, 80)
+    entries = J._lists(J.describe(df, 5, 80), 80).filter("long").count()
+    assert sum(made) <= 2 * len(rows) < entries
