@@ -9,11 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.betainc import beta_mass
 from ..functions.nulls import strict, strict_avg, strict_median
 from ..functions.numeric import ordered_sum, round_half_even, safe_div
+from ..functions.quantiles import harrell_davis, type7
 from ..schemas import GROUP_KEYS_AVERAGE
 
+ESTIMATORS = {"harrell_davis": harrell_davis, "type7": type7}
 MIN_MODEL_KEYS = ("location", "horizon", "temporal_resolution", "target_variable", "target_end_date")
 
 
@@ -85,40 +86,27 @@ def weighted_median(keys: list[str], df: DataFrame, x: str = "value", w: str = "
                     estimator: str = "harrell_davis", p: float = 0.5) -> DataFrame:
     """Weighted quantile ``p`` per group.
 
-    Members are ordered by value inside their group (a group is one ensemble
-    cell, so at most one row per model); cumulative normalised weights give
-    each member an interval [lo, hi] of the weight distribution and the
-    estimate is sum(x * (F(hi) - F(lo))). ``n*`` is Kish's effective size.
+    A group is one ensemble cell, so it holds at most one row per model: one aggregate
+    gathers its members in the order of their values, and the estimate is a fold over them
+    (``functions.quantiles``), with Kish's effective size of the weights.
 
-    * ``harrell_davis``: F = regularised incomplete beta with a = p(n*+1),
-      b = (1-p)(n*+1), evaluated by an Arrow-batched pandas UDF.
-    * ``type7``: F(c) = clamp(c*n* - h + 1, 0, 1), h = p(n*-1) + 1 — Catalyst only.
+    * ``harrell_davis``: beta masses with a = p(n*+1), b = (1-p)(n*+1), by quadrature.
+    * ``type7``: F(c) = clamp(c*n* - h + 1, 0, 1), h = p(n*-1) + 1.
 
     Members of weight 0 add nothing; a group of only such members is NULL.
     """
-    ordered = Window.partitionBy(*keys).orderBy(F.col(x), F.col(w))
-    grp = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    run = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    d = (df.withColumn("_W", F.sum(w).over(grp))
-           .withColumn("_W2", F.sum(F.col(w) * F.col(w)).over(grp))
-           .withColumn("_C", F.sum(w).over(run)))
-    hi = safe_div("_C", "_W")
-    lo = safe_div(F.col("_C") - F.col(w), "_W")
-    nstar = safe_div(F.col("_W") * F.col("_W"), "_W2")
-    if estimator == "harrell_davis":
-        mass = beta_mass(lo, hi, F.lit(p) * (nstar + 1), F.lit(1 - p) * (nstar + 1))
-    elif estimator == "type7":
-        h = F.lit(p) * (nstar - 1) + 1
-
-        def cdf(c):
-            return F.least(F.greatest(c * nstar - h + 1, F.lit(0.0)), F.lit(1.0))
-        mass = cdf(hi) - cdf(lo)
-    else:
+    if estimator not in ESTIMATORS:
         raise ValueError(f"unknown weighted median estimator {estimator!r}")
-    return (d.withColumn("_mass", mass)
-             .groupBy(*keys)
-             .agg(strict(F.when(F.max("_W") > 0, ordered_sum(F.col(x) * F.col("_mass"), x, w)), x).alias(x),
-                  F.count(F.lit(1)).alias("n_models")))
+    member = F.struct(F.col(x).cast("double").alias("x"), F.coalesce(F.col(w).cast("double"), F.lit(0.0)).alias("w"))
+    d = df.groupBy(*keys).agg(F.array_sort(F.collect_list(member)).alias("_members"), F.count(F.lit(1)).alias("n_models"),
+                              F.count(x).alias("_known"))
+    total = F.aggregate("_members", F.lit(0.0), lambda s, m: s + m["w"])
+    squares = F.aggregate("_members", F.lit(0.0), lambda s, m: s + m["w"] * m["w"])
+    d = d.withColumns({"_total": total, "_squares": squares})
+    d = d.withColumn("_size", safe_div(F.col("_total") * F.col("_total"), "_squares"))
+    known = (F.col("_known") == F.col("n_models")) & (F.col("_total") > 0)
+    return ESTIMATORS[estimator](d, "_members", "_total", "_size", p).select(
+        *keys, F.when(known, F.col("estimate")).alias(x), "n_models")
 
 
 def weighted_average(keys: list[str], df: DataFrame, average: str = "mean",

@@ -38,6 +38,11 @@ def _as_col(v) -> Column:
     return F.col(v)
 
 
+def target_label(horizon: str, resolution: Column, target_variable: str) -> Column:
+    """``"<h> <res> ahead <variable>"``."""
+    return F.concat_ws(" ", F.col(horizon).cast("int").cast("string"), resolution, F.lit("ahead"), F.col(target_variable))
+
+
 def format_ensemble(ensemble: DataFrame, forecast_date, temporal_resolution: str = "wk",
                     by: tuple[str, ...] = ()) -> DataFrame:
     """Standard submission rows, values rounded half-to-even, point rows added.
@@ -57,8 +62,7 @@ def format_ensemble(ensemble: DataFrame, forecast_date, temporal_resolution: str
     if "type" not in cols:
         df = df.withColumn("type", F.lit("quantile"))
     res = F.col("temporal_resolution") if "temporal_resolution" in cols else F.lit(temporal_resolution)
-    target = F.concat_ws(" ", F.col("horizon").cast("int").cast("string"), res, F.lit("ahead"),
-                         F.col("target_variable"))
+    target = target_label("horizon", res, "target_variable")
     out = df.select(*[F.col(b) for b in by],
                     F.col("_fd").alias("forecast_date"), target.alias("target"),
                     "target_end_date", "location", "type", "quantile",

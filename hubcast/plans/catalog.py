@@ -9,6 +9,7 @@ tables (truth, scores, evaluation) are checkpointed while a query is built.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -18,9 +19,10 @@ from pyspark.sql import functions as F
 from ..config import HubConfig
 from ..functions.dates import default_target_end_date, week_end
 from ..functions.numeric import round_decimal
-from ..session import cut_lineage
+from .. import schemas
+from ..session import cut_lineage, ensure_checkpoint_dir
 from ..operators import averaging, criteria, scoring, skill, submission, summary, truth
-from ..sources import files, hubdata
+from ..sources import csvscan, files, hubdata
 from . import runs
 
 CFG = HubConfig()
@@ -37,8 +39,8 @@ FEWER_HORIZONS = (1, 2)
 SUBSET = (0.025, 0.25, 0.5, 0.75, 0.975)
 # Rows of the truth series up to which it is broadcast to the forecasts; joined by key beyond.
 BROADCAST_ROWS = 200_000
-# Decimals of the Harrell-Davis medians: the incomplete beta comes from different series.
-HD_DIGITS = 3
+# Decimals of the Harrell-Davis medians: quadrature here, a power series in the SQL.
+HD_DIGITS = 6
 
 
 class Hub:
@@ -150,6 +152,13 @@ def weekly_truth(spark, sf):
     return truth.convert_to_weekly(hubdata.daily_truth(spark, sf), CFG.week_end_day)
 
 
+def weekly_truth_mixed(spark, sf):
+    """Daily series beside weekly ones that are dated six days before their week's end."""
+    weekly = hubdata.truth(spark, sf, CFG).select(
+        "location", "target_variable", F.date_sub("target_end_date", 6).alias("date"), "value")
+    return truth.convert_to_weekly(hubdata.daily_truth(spark, sf).unionByName(weekly), CFG.week_end_day)
+
+
 def truth_status(spark, sf):
     return truth.add_status(hubdata.truth(spark, sf, CFG), hubdata.status(spark, sf, CFG))
 
@@ -395,6 +404,46 @@ def batch_weights(spark, sf):
     return Hub(spark, sf).batch().weights.withColumn("horizon", F.coalesce("horizon", F.lit(0)))
 
 
+def csv_submissions(spark, sf):
+    """All submissions written as CSV files in three layouts and read back by column name; a row per unit.
+
+    Models take turns: the plain layout, one in another order, and one with a column of
+    remarks that hold quotes, commas and line breaks.
+    """
+    fc = Hub(spark, sf).forecasts
+    turn = F.pmod(F.crc32(F.col("model").cast("binary")), F.lit(3))
+    label = submission.target_label("horizon", F.lit(CFG.temporal_resolution), "target_variable")
+    plain = [f.name for f in schemas.SUBMISSION.fields]
+    layouts = [plain, plain[::-1], ["remark", *plain[3:], *plain[:3]]]
+    rows = cut_lineage(fc.select("model", turn.alias("turn"), label.alias("target"), *[c for c in plain if c != "target"],
+                                 F.concat(F.lit('said "'), "location", F.lit('",\nthen left')).alias("remark")))
+    folder = f"{ensure_checkpoint_dir(spark)}/submissions-{uuid.uuid4().hex}"
+    for i, columns in enumerate(layouts):
+        (rows.filter(F.col("turn") == i).select("model", *columns)
+         .write.partitionBy("model").csv(f"{folder}/{i}", header=True, escape='"', nullValue="NA"))
+    back = csvscan.read_by_name(spark, f"{folder}/*/*/*.csv", schemas.SUBMISSION)
+    back = files.parse_target(back.withColumn("model", F.regexp_extract("_path", "/model=([^/]+)/", 1)))
+    ordered = F.array_sort(F.collect_list(F.struct("type", "quantile", "value")))
+    text = F.transform(ordered, lambda r: F.concat_ws(":", r["type"], r["quantile"].cast("decimal(4,3)").cast("string"),
+                                                      r["value"].cast("bigint").cast("string")))
+    return (back.groupBy("model", "forecast_date", "target_variable", "horizon", "temporal_resolution", "target_end_date", "location")
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.array_join(text, ",").alias("values")))
+
+
+def csv_status(spark, sf):
+    """Status files of three targets, statuses with line breaks and quotes, written and read back."""
+    rows = cut_lineage(hubdata.status(spark, sf, CFG))
+    text = F.when(F.col("status").isNotNull(), F.concat(F.lit('"open",\n'), "status"))
+    folder = f"{ensure_checkpoint_dir(spark)}/status-{uuid.uuid4().hex}"
+    paths = []
+    for i, target in enumerate(("inc hosp", "inc case", "inc death")):
+        columns = ["location", F.col("target_end_date").alias("date"), text.alias("status")]
+        paths.append(f"{folder}/{i}")
+        (rows.filter(F.col("target_variable") == target).select(*(columns[i:] + columns[:i]))
+         .write.csv(paths[-1], header=True, escape='"'))
+    return files.read_status(spark, *paths)
+
+
 def submission_links(spark, sf):
     return files.preview_links(hubdata.changed_files(spark, sf), base_url=hubdata.PREVIEW_URL)
 
@@ -404,6 +453,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "week_end_forecast": week_end_forecast,
     "default_target_end": default_target_end,
     "weekly_truth": weekly_truth,
+    "weekly_truth_mixed": weekly_truth_mixed,
     "truth_status": truth_status,
     "point_rows": point_rows,
     "submission_format": submission_format,
@@ -451,4 +501,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_criteria": batch_criteria,
     "batch_weights": batch_weights,
     "submission_links": submission_links,
+    "csv_submissions": csv_submissions,
+    "csv_status": csv_status,
 }

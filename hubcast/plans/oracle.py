@@ -551,11 +551,11 @@ FROM lineitem"""
 WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS forecast_date FROM orders)
 SELECT forecast_date, h.horizon, {_d11('forecast_date', 'h.horizon')} AS target_end_date
 FROM d CROSS JOIN (SELECT CAST(unnest([1, 2, 3, 4]) AS INTEGER) AS horizon) h"""
-    q["weekly_truth"] = f"""
-WITH daily AS (
+    events = """
   SELECT event_type AS location, 'inc case' AS target_variable, CAST(ts AS DATE) AS date,
          CAST(COUNT(*) AS DOUBLE) AS value
-  FROM events GROUP BY 1, 2, 3),
+  FROM events GROUP BY 1, 2, 3"""
+    weekly = f"""
 dw AS (SELECT *, {_sat('date')} AS sat_date FROM daily),
 dn AS (SELECT *, COUNT(*) OVER (PARTITION BY location, target_variable, sat_date) AS n FROM dw),
 dfq AS (
@@ -574,8 +574,12 @@ dmove AS (
   FROM dtail WHERE n = tailmax OR frequency = 'weekly'),
 dlast AS (
   SELECT *, MAX(date) OVER (PARTITION BY location, target_variable, sat_date) AS last_date
-  FROM dmove)
-SELECT location, target_variable, {_sat('date')} AS date, value FROM dlast WHERE date = last_date"""
+  FROM dmove)"""
+    last = f"SELECT location, target_variable, {_sat('date')} AS date, value FROM dlast WHERE date = last_date"
+    q["weekly_truth"] = _q([f"daily AS ({events})", weekly], last)
+    q["weekly_truth_mixed"] = _q([T, f"""
+daily AS ({events}
+  UNION ALL SELECT location, target_variable, target_end_date - 6, value FROM truth)""", weekly], last)
     q["truth_status"] = _q([T, """
 status AS (
   SELECT target_variable, location, target_end_date,
@@ -584,6 +588,15 @@ status AS (
 SELECT t.location, t.location_name, t.target_variable, t.target_end_date, t.value,
        COALESCE(s.status, 'final') AS status
 FROM truth t LEFT JOIN status s USING (target_variable, location, target_end_date)""")
+    q["csv_submissions"] = _q([T, FC], """
+SELECT model, forecast_date, target_variable, horizon, temporal_resolution, target_end_date, location, COUNT(*) AS n_rows,
+       string_agg(concat_ws(':', type, CAST(CAST(quantile AS DECIMAL(4, 3)) AS VARCHAR), CAST(CAST(value AS BIGINT) AS VARCHAR)), ','
+                  ORDER BY type, quantile) AS "values"
+FROM fc GROUP BY ALL""")
+    q["csv_status"] = _q([T], """
+SELECT target_variable, location, target_end_date,
+       CASE WHEN n_open > n - n_open THEN '"open",' || chr(10) || 'near-final' END AS status
+FROM obs WHERE n_open >= n - n_open""")
     q["ensemble_mean"] = _q([T, FC, C0], _ens_avg("SUM(value) / COUNT(value)"))
     q["ensemble_median"] = _q([T, FC, C0], _ens_avg("median(value)"))
     q["point_rows"] = _q([T, FC, C0, "ens AS (" + _ens_avg("SUM(value) / COUNT(value)") + ")"], """

@@ -1,8 +1,8 @@
 """File sources of a hub repository (S1, S2/S3, S4, S6) and the link filter.
 
-All readers take explicit schemas and return lazy DataFrames; file names that
-carry a date or a model are parsed from ``_metadata.file_path`` so nothing is
-listed or opened on the driver beyond Spark's own file index.
+All readers take explicit schemas; CSV files are scanned by layout (``csvscan``), whose
+census of headers runs when a reader is called. File names that carry a date or a model
+are parsed from ``_metadata.file_path``.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from .csvscan import read_by_name
 
 # Layout of a submission file path, of a valid one (the folder name "<team>-<model>"
 # repeats in the file name), of an evaluation file and of a target label.
@@ -45,7 +46,7 @@ def parse_target(df: DataFrame, col: str = "target") -> DataFrame:
 
 
 def rows_by_name(files: DataFrame, schema: T.StructType, required: Iterable[str] | None = None) -> DataFrame:
-    """(_path, _missing, schema) from whole files (_path, value): columns by the names in each header.
+    """(_path, _missing, schema) from whole files (_path, value) of a stream: columns by the names in each header.
 
     ``_missing`` lists the required columns (all of ``schema`` unless given) that a file
     lacks. A value that doesn't fit its type is NULL, as are ``NA`` and empty fields.
@@ -56,7 +57,10 @@ def rows_by_name(files: DataFrame, schema: T.StructType, required: Iterable[str]
         parts = F.split(line, r',(?=(?:[^"]*"[^"]*")*[^"]*$)')
         return F.transform(parts, lambda c: F.regexp_replace(F.regexp_replace(F.trim(c), '^"|"$', ""), '""', '"'))
 
-    lines = F.split(F.regexp_replace("value", "^\uFEFF", ""), "\r\n|\n|\r")
+    # pieces between quotes alternate; only those outside break lines
+    pieces = F.transform(F.split(F.regexp_replace("value", "^\uFEFF", ""), '"', -1),
+                         lambda p, i: F.when(i % 2 == 0, F.regexp_replace(p, "\r\n|\n|\r", "\u001e")).otherwise(p))
+    lines = F.split(F.array_join(pieces, '"'), "\u001e")
     files = files.select("_path", lines.alias("_lines")).withColumn("_names", cells(F.col("_lines")[0]))
     missing = F.array_except(F.array(*[F.lit(c) for c in required]), F.col("_names"))
     rows = files.select("_path", "_names", missing.alias("_missing"),
@@ -72,19 +76,6 @@ def rows_by_name(files: DataFrame, schema: T.StructType, required: Iterable[str]
     return rows.select("_path", "_missing", *[value(f.name, f.dataType).alias(f.name) for f in schema.fields])
 
 
-def read_csv_by_name(spark: SparkSession, path, schema: T.StructType,
-                     required: Iterable[str] | None = None) -> DataFrame:
-    """CSV files read by column name, with ``_path``. Files may order their columns differently and
-    have more of them; one without a required column fails the job. Hub files are small and
-    many, so each is read as a whole.
-    """
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("_path"), "value")
-    rows = rows_by_name(files, schema, required)
-    stop = F.raise_error(F.concat(F.col("_path"), F.lit(" has no column "), F.array_join("_missing", ", ")))
-    return rows.withColumn("_path", F.when(F.size("_missing") > 0, stop.cast("string")).otherwise(F.col("_path"))
-                           ).drop("_missing")
-
-
 def read_submissions(spark: SparkSession, data_dir: str,
                      dates: Iterable | None = None) -> DataFrame:
     """Scan ``<data_dir>/<team-model>/<date>-<team-model>.csv`` for the given dates.
@@ -97,7 +88,7 @@ def read_submissions(spark: SparkSession, data_dir: str,
     every = os.path.join(data_dir, "*", "*.csv")
     path = every if dates is None else os.path.join(data_dir, "*", "{" + ",".join(_dates(dates)) + "}-*.csv")
     try:
-        raw = read_csv_by_name(spark, path, schemas.SUBMISSION)
+        raw = read_by_name(spark, path, schemas.SUBMISSION)
     except AnalysisException as e:
         if dates is None or e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -118,7 +109,7 @@ def read_evaluation(spark: SparkSession, eval_dir: str, evaluation_date=None) ->
     raises at plan time (S2).
     """
     name = "evaluation-*.csv" if evaluation_date is None else f"evaluation-{_dates([evaluation_date])[0]}.csv"
-    raw = read_csv_by_name(spark, os.path.join(eval_dir, name), schemas.EVALUATION,
+    raw = read_by_name(spark, os.path.join(eval_dir, name), schemas.EVALUATION,
                            required=("model", "target_variable", "horizon", "location"))
     return raw.select(*[f.name for f in schemas.EVALUATION.fields],
                       F.to_date(F.regexp_extract("_path", EVALUATION_PATH_RX, 1)).alias("report_date"))
@@ -131,7 +122,7 @@ def read_status(spark: SparkSession, hosp_path: str, case_path: str, death_path:
     """
     parts = []
     for tv, path in (("inc hosp", hosp_path), ("inc case", case_path), ("inc death", death_path)):
-        parts.append(read_csv_by_name(spark, path, schemas.STATUS_FILE)
+        parts.append(read_by_name(spark, path, schemas.STATUS_FILE)
                      .select(F.lit(tv).alias("target_variable"), "location",
                              F.col("date").alias("target_end_date"), "status"))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])

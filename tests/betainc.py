@@ -1,19 +1,10 @@
-"""Regularised incomplete beta function, vectorised with numpy.
-
-Used by the weighted Harrell-Davis median (E7): each ensemble member i gets
-the weight I(C_i; a, b) - I(C_{i-1}; a, b) of the Beta(a, b) distribution
-between its cumulative normalised weights. scipy is not available, so the
-continued fraction (modified Lentz) is evaluated for whole Arrow batches.
-"""
+"""Regularised incomplete beta function by its continued fraction (modified Lentz), for the tests."""
 
 from __future__ import annotations
 
 import math
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def _lgamma(x: np.ndarray) -> np.ndarray:
@@ -76,14 +67,3 @@ def betainc(x, a, b) -> np.ndarray:
         res[flip] = 1.0 - front[flip] * _betacf(bi[flip], ai[flip], 1.0 - xi[flip]) / bi[flip]
     out[inner] = res
     return out
-
-
-@F.pandas_udf(T.DoubleType())
-def beta_mass(lo: pd.Series, hi: pd.Series, a: pd.Series, b: pd.Series) -> pd.Series:
-    """I(hi; a, b) - I(lo; a, b), one Arrow batch at a time; missing where an input is."""
-    x = [s.to_numpy(float, na_value=np.nan) for s in (lo, hi, a, b)]
-    known = ~np.isnan(np.stack(x)).any(axis=0)
-    out = np.full(len(known), np.nan)
-    lo_k, hi_k, av, bv = (v[known] for v in x)
-    out[known] = betainc(hi_k, av, bv) - betainc(lo_k, av, bv)
-    return pd.Series(out).where(known)

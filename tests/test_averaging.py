@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from conftest import rows
-from hubcast.functions.betainc import betainc
+from betainc import betainc
 from hubcast.operators.averaging import (ensemble_average, min_models, weighted_mean,
                                          weighted_median)
 from hubcast.operators.skill import skill_weights
@@ -86,6 +86,22 @@ def test_weighted_median_matches_brute_force(spark):
     assert all(math.isclose(got[k], v, abs_tol=1e-9) for k, v in expected.items())
 
 
+def test_weighted_median_of_many_members(spark):
+    """Up to 300 members, equal, slanted and lopsided weights: the quadrature holds to 11 digits."""
+    rng = np.random.default_rng(11)
+    data, expected = [], {}
+    for g, k in enumerate([2, 3, 30, 150, 300] * 3):
+        xs = rng.normal(size=k).round(3)
+        ws = [np.ones(k), rng.uniform(0.05, 1.0, size=k).round(3), np.append([float(k)], rng.uniform(0.01, 0.02, size=k - 1))][g % 3]
+        expected[f"g{g}"] = _hd_numpy(xs, ws)
+        data += [(f"g{g}", float(x), float(w)) for x, w in zip(xs, ws)]
+    found = weighted_median(["k"], spark.createDataFrame(data, "k string, value double, weight double"))
+    got = dict(rows(found, "k", "value"))
+    assert all(math.isclose(got[k], v, abs_tol=1e-11) for k, v in expected.items()), [(got[k] - v) for k, v in expected.items()]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Window" not in plan
+
+
 @pytest.mark.parametrize("estimator", ["harrell_davis", "type7"])
 def test_members_of_weight_zero_only(spark, estimator):
     df = spark.createDataFrame([("z", 1.0, 0.0), ("z", 2.0, 0.0), ("k", 5.0, 1.0), ("k", 9.0, 0.0)],

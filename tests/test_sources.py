@@ -6,8 +6,10 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from conftest import rows
+from hubcast import schemas
+from hubcast.sources import csvscan
 from hubcast.sources.files import (preview_links, read_designations, read_evaluation, read_status,
-                                   read_submissions)
+                                   read_submissions, rows_by_name)
 
 D = dt.date
 
@@ -95,3 +97,33 @@ def test_missing_columns_and_folders_are_errors(spark):
     with pytest.raises(AnalysisException):
         read_submissions(spark, f"{root}/nowhere", dates=["2021-03-08"])
     assert read_submissions(spark, root, dates=["1999-01-01"]).collect() == []
+
+
+def test_cells_with_line_breaks_and_repeated_names(spark):
+    """A torn cell stays one cell; files of the same header without one are a scan of their own."""
+    root = tempfile.mkdtemp(prefix="hubcast-torn-")
+    for name in "abc":
+        _write(f"{root}/{name}.csv", f"date,location,status,status\n2021-03-06,{name},final,x\n\n2021-03-13, {name} ,NA,\n")
+    _write(f"{root}/d d.csv", 'date,location,status,status\r\n2021-03-06,"A",\"near\nfinal, ""or"" not",y\r\n2021-03-13,B,"","z"\r\n')
+    _write(f"{root}/e.csv", "location,status\nE,final\n")
+    _write(f"{root}/empty.csv", "")
+    _write(f"{root}/f.csv", "status,location,date\n")
+    layouts = csvscan.census(spark, f"{root}/*.csv")
+    assert sorted((x.names, x.torn, len(x.files)) for x in layouts) == [
+        (["date", "location", "status", "status"], False, 3), (["date", "location", "status", "status"], True, 1),
+        (["location", "status"], False, 1), (["status", "location", "date"], False, 1)]
+    with pytest.raises(ValueError, match="e.csv has no column date"):
+        csvscan.read_by_name(spark, f"{root}/*.csv", schemas.STATUS_FILE)
+    df = csvscan.read_by_name(spark, f"{root}/*.csv", schemas.STATUS_FILE, required=["location"])
+    first, second = D(2021, 3, 6), D(2021, 3, 13)
+    assert rows(df, "location", "date", "status") == sorted(
+        [(n, first, "final") for n in "abc"] + [(n, second, None) for n in "abc"]
+        + [("A", first, 'near\nfinal, "or" not'), ("B", second, None), ("E", None, "final")], key=lambda t: tuple((x is not None, x) for x in t))
+    plan = df.select("location")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<c1:string>" in plan and "c3:string" not in plan
+
+
+def test_stream_rows_keep_torn_cells(spark):
+    text = "﻿status,date,location\r\n\"near\nfinal\",2021-03-06,\"A,B\"\r\nfinal,x,C\n"
+    df = rows_by_name(spark.createDataFrame([("p", text)], "_path string, value string"), schemas.STATUS_FILE)
+    assert rows(df, "location", "date", "status") == [("A,B", D(2021, 3, 6), "near\nfinal"), ("C", None, "final")]
