@@ -7,43 +7,139 @@ ratio 1, undefined ratios skipped) and the relative skill is
 theta_A / theta_baseline. Cells with a single model give no rows; a cell
 without the baseline gives NULL relative skill.
 
-The sums of a pair come from ``pair_changes``: per forecast unit the (bounded)
-list of members that submitted is turned into unordered pairs, both metrics at
-once, and summed by cell and day. Reports take running sums of those, and the
+The sums of a pair come from ``pair_changes``: score rows meet by cell, and a task
+adds the vectors of each forecast unit (values, zero where a model has none, and counts)
+to dense matrices of the cell and day, both metrics at once. A matrix is sent once,
+however many units it holds. Reports take running sums of those, and the
 "Overall" cell is the sum over locations, since its units are theirs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.numeric import log_ratio, ordered_mean, safe_div, settle
 from . import history
 
+OPEN = 8  # matrices of a cell that a task holds at once
+SALTS = 8  # tasks that the units of one cell are dealt to, so a cell that holds most rows is shared
+
+
+class _Block:
+    """Sums over the units of one cell and day for every two members, by their numbers.
+
+    ``both`` counts the matches, ``sums[k][i, j]`` adds what i scored by metric k where j has a score too,
+    ``counts[k][i, j]`` counts those.
+    """
+
+    def __init__(self, metrics: int):
+        self.both, self.sums, self.counts = np.zeros((0, 0)), np.zeros((metrics, 0, 0)), np.zeros((metrics, 0, 0))
+
+    def grow(self, size: int) -> None:
+        if size > len(self.both):
+            more = max(8, 2 * size) - len(self.both)
+            self.both = np.pad(self.both, (0, more))
+            self.sums, self.counts = (np.pad(x, ((0, 0), (0, more), (0, more))) for x in (self.sums, self.counts))
+
+    def add(self, x: tuple, y: tuple) -> None:
+        """Members (numbers, matches, sums, counts) of a unit against members of the same unit."""
+        at = np.ix_(x[0], y[0])
+        self.both[at] += np.outer(x[1], y[1])
+        for k in range(len(self.sums)):
+            self.sums[k][at] += np.outer(x[2][k], y[3][k])
+            self.counts[k][at] += np.outer(x[3][k], y[3][k])
+
+
+def _members(rows: list[tuple], number: dict[str, int], metrics: int) -> tuple:
+    """(numbers, matches, sums, counts) of the rows (model, values) of a unit, a model once."""
+    of: dict[int, list[tuple]] = {}
+    for model, *values in rows:
+        of.setdefault(number.setdefault(model, len(number)), []).append(values)
+    at = np.array(list(of))
+    values = [[[v[k] for v in vs if v[k] is not None] for vs in of.values()] for k in range(metrics)]
+    return (at, np.array([len(vs) for vs in of.values()], float),
+            [np.array([sum(v) for v in x], float) for x in values], [np.array([len(v) for v in x], float) for x in values])
+
 
 def pair_changes(rows: DataFrame, cell: list[str], unit: list[str],
                  metrics: dict[str, Column]) -> DataFrame:
     """(cell, a, b, day, sums): for a <= b and each metric, ``name_a`` and ``name_b`` are the sums
     over shared units and ``name_n`` their number. Rows carry ``enter`` and ``leave``; a unit
     that a model forecast twice counts once for each match.
+
+    Units arrive in order of ``unit``, whose first column should go with time: a task holds
+    the matrices of the few days around it.
     """
-    value = {n: F.when(~F.isnan(c), c.cast("double")) for n, c in metrics.items()}
-    member = F.struct("model", "enter", "leave", *[c.alias(n) for n, c in value.items()])
-    units = rows.groupBy(*cell, *unit).agg(F.collect_list(member).alias("_ms"))
-    pairs = F.flatten(F.transform("_ms", lambda x: F.transform(
-        F.filter("_ms", lambda y: y["model"] >= x["model"]), lambda y: F.struct(x.alias("x"), y.alias("y")))))
-    p = units.select(*cell, F.explode(pairs).alias("_p"))
-    x, y = F.col("_p.x"), F.col("_p.y")
-    sums = {}
-    for n in metrics:
-        shared = x[n].isNotNull() & y[n].isNotNull()
-        sums |= {f"{n}_a": F.when(shared, x[n]).otherwise(0.0), f"{n}_b": F.when(shared, y[n]).otherwise(0.0),
-                 f"{n}_n": F.when(shared, 1).otherwise(0)}
-    p = p.withColumns({"a": x["model"], "b": y["model"], "enter": F.greatest(x["enter"], y["enter"]),
-                       "leave": F.least(x["leave"], y["leave"]), **{f"_{k}": c for k, c in sums.items()}})
-    p = p.filter(F.col("leave").isNull() | (F.col("enter") < F.col("leave")))
-    return history.changes(p, [*cell, "a", "b"], {k: F.col(f"_{k}") for k in sums})
+    names = list(metrics)
+    values = [F.when(~F.isnan(c), c.cast("double")).alias(f"_{n}") for n, c in metrics.items()]
+    flat = rows.filter(F.col("model").isNotNull()).select(
+        *[F.col(c).alias(f"_c{i}") for i, c in enumerate(cell)], *[F.col(c).alias(f"_u{i}") for i, c in enumerate(unit)],
+        "enter", "leave", "model", *values)
+    n_cell, n_unit = len(cell), len(unit)
+    keys = [f"_c{i}" for i in range(n_cell)]
+    units = [f"_u{i}" for i in range(n_unit)]
+    schema = T.StructType([*flat.select(*keys).schema.fields, T.StructField("a", T.StringType()), T.StructField("b", T.StringType()),
+                           T.StructField("enter", T.DateType()), T.StructField("leave", T.DateType()),
+                           *[T.StructField(f"_{c}", T.DoubleType()) for c in sum_names(names)]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, number, blocks, held = None, {}, {}, []
+        kinds = None
+
+        def close() -> None:
+            """Adds the unit that is held to its matrices."""
+            days: dict[tuple, list] = {}
+            for r in held:
+                days.setdefault(r[n_cell + n_unit:n_cell + n_unit + 2], []).append(r[n_cell + n_unit + 2:])
+            parts = [(d, _members(x, number, len(names))) for d, x in days.items()]
+            for (enter, leave), x in parts:
+                for (enter2, leave2), y in parts:
+                    day = (max(enter, enter2), min((d for d in (leave, leave2) if d), default=None))
+                    if day[1] is None or day[0] < day[1]:
+                        block = blocks.setdefault(day, _Block(len(names)))
+                        block.grow(len(number))
+                        block.add(x, y)
+
+        def send() -> Iterator[pa.RecordBatch]:
+            order = sorted(number, key=number.get)
+            for (enter, leave), block in blocks.items():
+                i, j = np.nonzero(block.both)
+                keep = np.array([order[x] <= order[y] for x, y in zip(i, j)], bool)
+                i, j = i[keep], j[keep]
+                sums = [c for k in range(len(names)) for c in (block.sums[k][i, j], block.sums[k][j, i], block.counts[k][i, j])]
+                own = [pa.array([v] * len(i), t) for v, t in zip((*at, enter, leave), (*kinds[:n_cell], pa.date32(), pa.date32()))]
+                yield pa.RecordBatch.from_arrays(
+                    [*own[:n_cell], pa.array([order[x] for x in i], pa.string()), pa.array([order[x] for x in j], pa.string()),
+                     *own[n_cell:], *map(pa.array, sums)], names=[f.name for f in schema.fields])
+            blocks.clear()
+
+        for b in batches:
+            kinds = [c.type for c in b.columns]
+            for r in zip(*(c.to_pylist() for c in b.columns)):
+                if held and r[:n_cell + n_unit] != held[0][:n_cell + n_unit]:
+                    close()
+                    held = []
+                    if r[:n_cell] != at or len(blocks) >= OPEN:
+                        yield from send()
+                    if r[:n_cell] != at:
+                        number = {}
+                at = r[:n_cell]
+                held.append(r)
+        if held:
+            close()
+            yield from send()
+
+    salt = F.pmod(F.xxhash64(*units), F.lit(SALTS))
+    summed = flat.repartition(*keys, salt).sortWithinPartitions(*keys, *units).mapInArrow(run, schema)
+    summed = summed.select(*[F.col(k).alias(c) for k, c in zip(keys, cell)], "a", "b", "enter", "leave",
+                           *[f"_{c}" for c in sum_names(names)])
+    return history.changes(summed, [*cell, "a", "b"], {c: F.col(f"_{c}") for c in sum_names(names)})
 
 
 def sum_names(metrics) -> list[str]:

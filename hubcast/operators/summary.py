@@ -162,7 +162,7 @@ class Parts:
         full = F.col("n_quantiles") == self.cfg.n_quantiles
         metrics = {"ae": F.col("ae_median"), "wis": F.when(full, F.col("wis"))}
         cell = ["target_variable", "horizon", "location"]
-        events = pairwise.pair_changes(self.v.rows, cell, ["location_name", "forecast_date"], metrics)
+        events = pairwise.pair_changes(self.v.rows, cell, ["forecast_date", "location_name"], metrics)
         keys, sums = [*cell, "a", "b"], pairwise.sum_names(metrics)
         running = history.running(with_overall(events, keys, sums), keys, sums, self.v)
         return keep_overall(running, self.kept, ["a", "b"])
