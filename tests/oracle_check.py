@@ -8,6 +8,7 @@ match at 9 significant digits.
 
 from __future__ import annotations
 
+import decimal
 import math
 import os
 import sys
@@ -35,6 +36,8 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 def _norm_value(v, sig: int | None):
     if v is None:
         return None
+    if isinstance(v, decimal.Decimal):  # DuckDB's decimal literals and wide integers
+        v = int(v) if v == v.to_integral_value() and v.as_tuple().exponent >= 0 else float(v)
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
