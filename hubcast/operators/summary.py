@@ -8,7 +8,7 @@ hold it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import HubConfig
@@ -21,6 +21,9 @@ SUMMARY_COLUMNS = ("model", "target_variable", "horizon", "location", "rel_ae",
                    "msr_baseline", "cov_50", "cov_95", "bias", "n", "n_loc", "location_name")
 ROUNDED = ("bias", "rel_wis", "msr_baseline", "rel_ae", "cov_50", "cov_95")
 OVERALL = "Overall"
+METRICS = ("ae", "wis")
+PAIR = ["target_variable", "horizon", "location", "a", "b"]
+PAIR_SUMS = pairwise.sum_names(METRICS)
 SEP = "\u0001"  # joins model names to one key
 
 
@@ -67,30 +70,47 @@ def rollup(v: Visible) -> DataFrame:
     return r.select("report_date", *keys, "n_rows", F.when(F.col("_n") > 0, F.col("sum_wis")).alias("sum_wis"))
 
 
-def cell_sums(v: Visible, n_levels: int, bias_digits: int | None) -> DataFrame:
-    """M8, M12, M13 as running sums by report and (model, target, location, horizon); "Overall"
-    is summed over locations, whether a model keeps it or not."""
+def cell_columns(scores: DataFrame, n_levels: int, bias_digits: int | None) -> dict[str, Column]:
+    """What M8, M12 and M13 sum over the score rows of a cell."""
     full = F.col("n_quantiles") == n_levels
-    scale = F.lit(1.0 if bias_digits is None else 10.0 ** bias_digits)
     # bias rounded to ``bias_digits`` is summed in grid steps, which keeps the sum exact
-    bias = F.col("bias") if bias_digits is None else F.bround(F.col("bias") * scale, 0)
+    bias = F.col("bias") if bias_digits is None else F.bround(F.col("bias") * _scale(bias_digits), 0)
     sums = {"n": F.lit(1), "_full": F.when(full, 1).otherwise(0),
             "_bias_n": F.when(full & F.col("bias").isNotNull(), 1).otherwise(0),
             "_bias": F.when(full, F.coalesce(bias, F.lit(0.0))).otherwise(0.0)}
-    covs = sorted(c for c in v.rows.columns if c.startswith("cov_"))
-    for c in covs:
+    for c in sorted(c for c in scores.columns if c.startswith("cov_")):
         sums |= {c: F.coalesce(c, F.lit(0.0)), f"_{c}": F.when(F.col(c).isNull(), 0).otherwise(1)}
-    events = with_overall(history.changes(v.rows, list(CELL), sums), list(CELL), list(sums))
-    r = history.running(events, list(CELL), list(sums), v).filter("n > 0")
+    return sums
+
+
+def _scale(bias_digits: int | None) -> Column:
+    return F.lit(1.0 if bias_digits is None else 10.0 ** bias_digits)
+
+
+def cell_means(sums: DataFrame, bias_digits: int | None) -> DataFrame:
+    """M8, M12, M13 from the sums of ``cell_columns`` by (report_date, CELL)."""
+    covs = sorted(c for c in sums.columns if c.startswith("cov_"))
     means = [F.when(F.col(f"_{c}") > 0, F.col(c) / F.col(f"_{c}")).alias(c) for c in covs]
     mean_bias = F.when((F.col("_full") > 0) & (F.col("_bias_n") == F.col("_full")),
-                       F.col("_bias") / (F.col("_full") * scale))
-    return r.select("report_date", *CELL, "n", *means, mean_bias.alias("bias"))
+                       F.col("_bias") / (F.col("_full") * _scale(bias_digits)))
+    return sums.filter("n > 0").select("report_date", *CELL, "n", *means, mean_bias.alias("bias"))
+
+
+def cell_sums(v: Visible, n_levels: int, bias_digits: int | None) -> DataFrame:
+    """M8, M12, M13 as running sums by report and (model, target, location, horizon); "Overall"
+    is summed over locations, whether a model keeps it or not."""
+    sums = cell_columns(v.rows, n_levels, bias_digits)
+    events = with_overall(history.changes(v.rows, list(CELL), sums), list(CELL), list(sums))
+    return cell_means(history.running(events, list(CELL), list(sums), v), bias_digits)
 
 
 def location_counts(v: Visible, flags: DataFrame) -> DataFrame:
     """M3: distinct location names per (model, target, location, horizon), "Overall" included."""
-    own = history.distinct_count(v, v.rows, list(CELL), "location_name", "n_loc")
+    return with_overall_counts(history.distinct_count(v, v.rows, list(CELL), "location_name", "n_loc"), flags)
+
+
+def with_overall_counts(own: DataFrame, flags: DataFrame) -> DataFrame:
+    """Counts of single locations with those of "Overall" beside them."""
     whole = flags.filter("keep_overall").select("report_date", "model", "target_variable",
                                                 F.lit(OVERALL).alias("location"), "horizon", "n_loc")
     return own.unionByName(whole)
@@ -143,6 +163,13 @@ def continuous_weeks(v: Visible, base: DataFrame, kept: DataFrame) -> DataFrame:
             .select("report_date", *CELL, F.coalesce("streak", F.lit(0)).alias("continuous_weeks")))
 
 
+def pair_events(rows: DataFrame, cfg: HubConfig) -> DataFrame:
+    """Pair sums of both metrics by (PAIR, day) from rows with ``enter`` and ``leave``."""
+    full = F.col("n_quantiles") == cfg.n_quantiles
+    metrics = {"ae": F.col("ae_median"), "wis": F.when(full, F.col("wis"))}
+    return pairwise.pair_changes(rows, PAIR[:3], ["forecast_date", "location_name"], metrics)
+
+
 class Parts:
     """The pieces that a summary is made of, each a lazy table over all report days."""
 
@@ -159,12 +186,8 @@ class Parts:
 
     def pairs(self) -> DataFrame:
         """Pair sums by report day for every location and "Overall"."""
-        full = F.col("n_quantiles") == self.cfg.n_quantiles
-        metrics = {"ae": F.col("ae_median"), "wis": F.when(full, F.col("wis"))}
-        cell = ["target_variable", "horizon", "location"]
-        events = pairwise.pair_changes(self.v.rows, cell, ["forecast_date", "location_name"], metrics)
-        keys, sums = [*cell, "a", "b"], pairwise.sum_names(metrics)
-        running = history.running(with_overall(events, keys, sums), keys, sums, self.v)
+        events = pair_events(self.v.rows, self.cfg)
+        running = history.running(with_overall(events, PAIR, PAIR_SUMS), PAIR, PAIR_SUMS, self.v)
         return keep_overall(running, self.kept, ["a", "b"])
 
 
@@ -179,9 +202,16 @@ def summarise_scores(scores: DataFrame, report_date=None, report_dates: DataFram
     tables of ``score_forecasts``): its mean is then free of summation error.
     """
     p = Parts(scores, report_date, report_dates, history_weeks, cfg, bias_digits)
-    keys = ["report_date", *CELL]
-    base, pairs = p.base, p.pairs()
     cw = p.continuous_weeks() if restrict_weeks > 0 or with_continuous_weeks else None
+    return assemble(p.base, p.pairs(), location_counts(p.v, p.flags), scores.select("location", "location_name").distinct(),
+                    cfg, cw, restrict_weeks, with_continuous_weeks, round_output)
+
+
+def assemble(base: DataFrame, pairs: DataFrame, counts: DataFrame, locations: DataFrame, cfg: HubConfig,
+             cw: DataFrame | None = None, restrict_weeks: int = 0, with_continuous_weeks: bool = False,
+             round_output: bool = True) -> DataFrame:
+    """The summary from its pieces, each keyed by report date."""
+    keys = ["report_date", *CELL]
     if restrict_weeks > 0:                                                           # M6
         enough = cw.filter(F.col("continuous_weeks") >= restrict_weeks)
         base = base.join(enough.select(*keys), keys, "left_semi")
@@ -189,11 +219,10 @@ def summarise_scores(scores: DataFrame, report_date=None, report_dates: DataFram
         models = enough.groupBy(*rest).agg(F.collect_set("model").alias("_in"))
         pairs = (pairs.join(models, rest)
                  .filter(F.array_contains("_in", F.col("a")) & F.array_contains("_in", F.col("b"))).drop("_in"))
-    rel = pairwise.relative_skill(pairs, ["report_date", "target_variable", "horizon", "location"], ["ae", "wis"],
+    rel = pairwise.relative_skill(pairs, ["report_date", "target_variable", "horizon", "location"], list(METRICS),
                          cfg.baseline_model)
     rel = rel.select(*keys, "rel_ae", "rel_wis", F.col("msr_wis").alias("msr_baseline"))  # M9-M11
-    locations = scores.select("location", "location_name").distinct()
-    out = (base.join(rel, keys, "left").join(location_counts(p.v, p.flags), keys, "left")  # M14
+    out = (base.join(rel, keys, "left").join(counts, keys, "left")                   # M14
            .join(locations, "location", "left"))                                     # M15
     if round_output:                                                                 # M16
         out = out.withColumns({c: round_decimal(c, 2) for c in ROUNDED if c in out.columns})

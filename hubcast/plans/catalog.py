@@ -21,7 +21,7 @@ from ..functions.dates import default_target_end_date, week_end
 from ..functions.numeric import round_decimal
 from .. import schemas
 from ..session import cut_lineage, ensure_checkpoint_dir
-from ..operators import averaging, criteria, scoring, skill, submission, summary, truth
+from ..operators import averaging, criteria, scoring, skill, submission, summary, truth, upkeep
 from ..sources import csvscan, files, hubdata
 from . import runs
 
@@ -32,6 +32,8 @@ MIN_NMODELS = 5
 # Weeks of the one summary with a limited history, and of the one that wants steady models.
 WINDOW_WEEKS = 10
 STEADY_WEEKS = 4
+# Report weeks added one by one to a stored evaluation.
+UPKEEP_WEEKS = 3
 # Models left out by name, and horizons of the ensemble that takes fewer than the hub asks for.
 LEFT_OUT = ("T-m1", "T-m6")
 FEWER_HORIZONS = (1, 2)
@@ -339,6 +341,19 @@ def evaluation_table(spark, sf):
     return Hub(spark, sf).evaluation
 
 
+def evaluation_upkeep(spark, sf):
+    """The evaluation of all report days, of which the last weeks are added to a store one by one."""
+    h = Hub(spark, sf)
+    days = [r[0] for r in h.report_dates.orderBy("report_date").collect()]  # a row per week of the calendar
+    folder = f"{ensure_checkpoint_dir(spark)}/evaluation-{uuid.uuid4().hex}"
+    scores = upkeep.write_scores(h.scores(), f"{folder}/scores", CFG)
+    store = upkeep.EvaluationStore(spark, f"{folder}/store", CFG, bias_digits=1)
+    store.start(scores.drop(upkeep.VISIBLE_ON), spark.createDataFrame([(d,) for d in days[:-UPKEEP_WEEKS]], "report_date date"))
+    for day in days[-UPKEEP_WEEKS:]:
+        store.add(scores, day)
+    return store.evaluation()
+
+
 # --- relative-skill ensembles ----------------------------------------------------
 
 def skill_weights(spark, sf):
@@ -489,6 +504,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "summary_window": summary_window,
     "summary_steady_models": summary_steady_models,
     "evaluation_table": evaluation_table,
+    "evaluation_upkeep": evaluation_upkeep,
     "skill_weights": skill_weights,
     "skill_weights_by_horizon": skill_weights_by_horizon,
     "ensemble_skill_mean": ensemble_skill_mean,

@@ -682,7 +682,7 @@ SELECT report_date, model, target_variable, horizon, location, msr_baseline FROM
     q["summary_table"] = _q([T, FC, S, SU], "SELECT * FROM summ")
     q["summary_window"] = _q([T, FC, S, _summary(WINDOW_WEEKS)], "SELECT * FROM summ")
     q["summary_steady_models"] = _q([T, FC, S, _summary(steady=STEADY_WEEKS)], "SELECT * FROM summ")
-    q["evaluation_table"] = _q([T, FC, S, SU], "SELECT * FROM evaluation")
+    q["evaluation_table"] = q["evaluation_upkeep"] = _q([T, FC, S, SU], "SELECT * FROM evaluation")
     q["skill_weights"] = _q([T, FC, S, SU, C0, _skill(False)], """
 SELECT run_date, model, target_variable, location, weight FROM weights""")
     q["skill_weights_by_horizon"] = _q([T, FC, S, SU, C0, _skill(True)], """
