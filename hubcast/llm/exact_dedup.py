@@ -7,7 +7,8 @@ and those are appended. Only built-in functions run here.
 Defined cases: a null text counts as empty; texts are equal when identical after
 each run of the six ASCII white-space characters becomes one space; of equal
 texts the smallest doc_id stays (null counts as greatest); a digest that the index
-already holds keeps the doc_id stored there. Rows that repeat doc_id and text are
+already holds keeps the doc_id stored there, and its group_size is the number of rows in the
+batch that brought it (later batches don't raise it). Rows that repeat doc_id and text are
 one document: the decision is the same for each, ``unique`` returns one of them.
 """
 
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +32,31 @@ def digest(text: Column) -> Column:
     return F.unhex(F.sha2(one_space.cast("binary"), 256))
 
 
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def _buckets(spark: SparkSession, path: str, wanted: int | None) -> int:
+    """The number of buckets of the index at ``path``; stored there if the index is new."""
+    beside = path.rstrip("/") + ".buckets"
+    record = _stored(spark, beside)
+    if record is not None:
+        (n,) = record.first()
+        if wanted not in (None, n):
+            raise ValueError(f"the index at {path} has {n} buckets, not {wanted}")
+        return n
+    if wanted is None and _stored(spark, path) is not None:
+        raise ValueError(f"the index at {path} has no stored number of buckets: name it")
+    n = wanted or common.partitions(spark)
+    spark.range(1).select(F.lit(n).alias("buckets")).write.parquet(beside)
+    return n
+
+
 class DigestIndex:
     """Digests seen so far: table ``name``, bucketed and sorted by digest.
 
@@ -37,15 +64,20 @@ class DigestIndex:
     table and path goes on with them; without, the table lies in the warehouse.
     Appends commit once per job, and a repeated ``add`` after a failure appends
     nothing twice, since the anti-join drops what was stored.
+
+    The number of buckets belongs to the files: it is stored in ``<path>.buckets`` when the
+    index is made and holds from then on, whatever the session's shuffle setting. Asking for
+    another number is an error (``copy`` makes an index with other buckets), and so are files
+    without a stored number, unless ``buckets`` names it.
     """
 
     def __init__(self, spark: SparkSession, name: str, path: str | None = None,
                  buckets: int | None = None):
         self.spark, self.name = spark, name
-        buckets = buckets or common.partitions(spark)
+        self.buckets = _buckets(spark, path, buckets) if path else buckets or common.partitions(spark)
         at = f" LOCATION '{path}'" if path else ""
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({INDEX_COLUMNS}) USING parquet "
-                  f"CLUSTERED BY (text_digest) SORTED BY (text_digest) INTO {buckets} BUCKETS{at}")
+                  f"CLUSTERED BY (text_digest) SORTED BY (text_digest) INTO {self.buckets} BUCKETS{at}")
 
     def rows(self) -> DataFrame:
         return self.spark.table(self.name)
@@ -59,6 +91,16 @@ class DigestIndex:
         self.spark.catalog.refreshTable(self.name)
         return self.rows()
 
+    def copy(self, name: str, path: str | None = None, buckets: int | None = None) -> DigestIndex:
+        """A new index with the same rows, one sorted file a bucket: merges the files that each ``add``
+        left, or changes the number of buckets. This one stays as it is until it is dropped."""
+        new = DigestIndex(self.spark, name, path, buckets or self.buckets)
+        # by bucket number, not by digest: Spark leaves that step out where the old buckets seem to serve
+        bucket = F.pmod(F.hash("text_digest"), F.lit(new.buckets))
+        self.rows().repartition(new.buckets, bucket).write.insertInto(name)
+        self.spark.catalog.refreshTable(name)
+        return new
+
     def drop(self) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 

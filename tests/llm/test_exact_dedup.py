@@ -1,6 +1,7 @@
 import hashlib
 import re
 
+import pytest
 from llm_cases import EDGE, SMALL, edge, empty  # noqa: F401
 
 from hubcast.llm import exact_dedup as E
@@ -50,3 +51,33 @@ def test_index_persists_and_second_batch_is_checked_against_it(spark, tmp_path):
     plan = again.rows()._jdf.queryExecution().toString()
     assert "text_digest" in plan
     again.drop()
+
+
+def test_index_keeps_its_buckets_under_another_shuffle_setting(spark, tmp_path):
+    path, before = str(tmp_path / "index"), spark.conf.get("spark.sql.shuffle.partitions")
+    seen = spark.range(200).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        assert E.decide(seen, E.DigestIndex(spark, "digests_b", path)).filter("kept").count() == 200
+        spark.sql("DROP TABLE digests_b")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        again = E.DigestIndex(spark, "digests_b", path)
+        assert again.buckets == 8
+        more = seen.selectExpr("doc_id + 1000 AS doc_id", "text").unionByName(
+            spark.createDataFrame([(5000, "other")], seen.schema))
+        got = E.decide(more, again).collect()
+        assert len(got) == 201 and [r.doc_id for r in got if r.kept] == [5000]
+        assert again.rows().count() == 201
+        with pytest.raises(ValueError, match="8 buckets"):
+            E.DigestIndex(spark, "digests_b", path, buckets=4)
+        for n in (4, 8):
+            one = again.copy(f"digests_b{n}", str(tmp_path / f"copy{n}"), n)
+            assert one.rows().count() == 201 and len(list((tmp_path / f"copy{n}").glob("*.parquet"))) <= n
+            assert E.decide(more, one).filter("kept").count() == 1
+            one.drop()
+        again.drop()
+        with pytest.raises(ValueError, match="no stored number"):
+            (tmp_path / "index.buckets").rename(tmp_path / "elsewhere")
+            E.DigestIndex(spark, "digests_b", path)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
