@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from hubcast.llm import common
 
 DRAWS = 3  # hexadecimal digits of a document's draw: 4096 classes for each source
+HEAVY = 16  # a class with more than this part of its source's words is decided on before the others
 
 
 def draw(doc_id: Column, seed: int) -> Column:
@@ -59,22 +60,37 @@ def plan(sized: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float =
          max_epochs: float = 2.0) -> DataFrame:
     """(of, of_draw, source_size, target, repeats) from (source, size, draw) rows.
 
-    The documents that get one more repetition are those of the lowest draw
-    classes of their source; the last class joins when that comes nearer to the
-    target. Sizes are summed by (source, class) before anything is ordered, so
-    the result has at most 4096 rows for each source.
+    Documents with one more repetition: a source's classes are gone through in order of
+    their draw, those with more than a ``HEAVY``-th of its words first, and each joins that
+    fits in what the target still lacks; in the end the smallest class left joins if that
+    comes nearer. So a source misses its target by at most half of its smallest class left
+    out. Sizes are summed by (source, class) before anything is ordered, so
+    the lists have at most 4096 entries for each source, the marks as many characters.
     """
     classes = common.cut(sized.groupBy("source", "draw").agg(F.sum("size").alias("class_size")))
     targets = fill(classes.groupBy("source").agg(F.sum("class_size").alias("source_size")),
                    weights, share, max_epochs).withColumnRenamed("source", "of")
-    running = Window.partitionBy("source").orderBy("draw").rowsBetween(Window.unboundedPreceding, 0)
+    listed = (classes.join(targets, F.col("source").eqNullSafe(F.col("of")))
+              .withColumn("light", HEAVY * F.col("class_size") <= F.col("source_size"))
+              .groupBy("of", "source_size", "target")
+              .agg(F.array_sort(F.collect_list(F.struct("light", "draw", "class_size"))).alias("classes")))
     whole = F.when(F.col("source_size") == 0, F.lit(0)).otherwise(F.floor(F.col("target") / F.col("source_size")))
-    extra = F.col("target") - F.col("whole") * F.col("source_size")
-    joins = (extra > 0) & (2 * F.col("upto") - F.col("class_size") <= 2 * extra)
-    return (classes.withColumn("upto", F.sum("class_size").over(running))
-            .join(targets, F.col("source").eqNullSafe(F.col("of"))).withColumn("whole", whole.cast("long"))
-            .select("of", F.col("draw").alias("of_draw"), "source_size", "target",
-                    (F.col("whole") + F.when(joins, 1).otherwise(0)).alias("repeats")))
+    lacking = F.col("target") - whole * F.col("source_size")
+
+    def step(state: Column, entry: Column) -> Column:
+        joins = (state["gap"] > 0) & (entry["class_size"] <= state["gap"])
+        return F.struct((state["gap"] - F.when(joins, entry["class_size"].cast("double")).otherwise(0.0)).alias("gap"),
+                        F.concat(state["marks"], F.when(joins, "1").otherwise("0")).alias("marks"))
+
+    drawn = listed.withColumn("state", F.aggregate("classes", F.struct(lacking.alias("gap"), F.lit("").alias("marks")), step))
+    mark = lambda i: F.substring(F.col("state.marks"), i + 1, F.lit(1))
+    least = F.array_min(F.transform(F.filter("classes", lambda c, i: mark(i) == "0"),
+                                    lambda c: F.struct(c["class_size"], c["draw"])))
+    drawn = drawn.withColumn("least", least).select("*", F.posexplode("classes").alias("i", "entry"))
+    nearest = (F.col("entry.draw") == F.col("least.draw")) & (F.col("least.class_size") < 2 * F.col("state.gap"))
+    more = F.when((mark(F.col("i")) == "1") | F.coalesce(nearest, F.lit(False)), 1).otherwise(0)
+    return drawn.select("of", F.col("entry.draw").alias("of_draw"), "source_size", "target",
+                        (whole.cast("long") + more).alias("repeats"))
 
 
 def repetitions(docs: DataFrame, seed: int = 17, **settings) -> DataFrame:

@@ -12,7 +12,7 @@ FROM d JOIN g USING (text_sha256)
 
 # The level of the water-filling is found by trying every count of capped sources.
 MIX = f"""
-WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{WORD}')), 0)::BIGINT AS size,
+WITH RECURSIVE d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{WORD}')), 0)::BIGINT AS size,
                   md5('17/' || coalesce(doc_id::VARCHAR, ''))[1:3] AS draw FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, 2.0::DOUBLE * sum(size) AS cap,
              [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight
@@ -25,14 +25,25 @@ level AS (SELECT max(rest / open) AS lvl FROM levels WHERE rest / open <= ratio)
 t AS (SELECT source, source_size,
              CASE WHEN source_size = 0 THEN 0.0 ELSE least(cap, coalesce(lvl * weight, cap)) END::DOUBLE AS target FROM s, level),
 q AS (SELECT source, draw, sum(size) AS part FROM d GROUP BY source, draw),
-c AS (SELECT *, sum(part) OVER (PARTITION BY source ORDER BY draw) AS upto FROM q),
-p AS (SELECT c.source, c.draw, t.source_size, t.target,
-             CASE WHEN t.source_size = 0 THEN 0 ELSE floor(t.target / t.source_size)::BIGINT END AS whole, part, upto
-      FROM c JOIN t ON c.source IS NOT DISTINCT FROM t.source),
-r AS (SELECT *, target - whole * source_size AS extra FROM p)
-SELECT d.doc_id, d.size, r.source_size, r.target,
-       (d.size * (whole + CASE WHEN extra > 0 AND 2 * upto - part <= 2 * extra THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source AND d.draw = r.draw
+c AS (SELECT q.source, q.draw, q.part, t.source_size, t.target,
+             CASE WHEN t.source_size = 0 THEN 0 ELSE floor(t.target / t.source_size)::BIGINT END AS whole,
+             row_number() OVER (PARTITION BY q.source ORDER BY 16 * q.part > t.source_size DESC, q.draw) AS i
+      FROM q JOIN t ON q.source IS NOT DISTINCT FROM t.source),
+walk AS (SELECT source, 0::BIGINT AS i, any_value(target - whole * source_size)::DOUBLE AS gap, NULL::VARCHAR AS draw, 0::HUGEINT AS part, true AS joins
+         FROM c GROUP BY source
+         UNION ALL
+         SELECT c.source, c.i, CASE WHEN w.gap > 0 AND c.part <= w.gap THEN w.gap - c.part ELSE w.gap END, c.draw, c.part,
+                w.gap > 0 AND c.part <= w.gap
+         FROM walk w JOIN c ON c.source IS NOT DISTINCT FROM w.source AND c.i = w.i + 1),
+rest AS (SELECT source, arg_max(gap, i) AS gap FROM walk GROUP BY source),
+least AS (SELECT source, draw, part FROM walk WHERE NOT joins
+          QUALIFY row_number() OVER (PARTITION BY source ORDER BY part, draw) = 1),
+more AS (SELECT source, draw FROM walk WHERE joins AND i > 0
+         UNION ALL SELECT l.source, l.draw FROM least l JOIN rest ON l.source IS NOT DISTINCT FROM rest.source AND l.part < 2 * rest.gap)
+SELECT d.doc_id, d.size, c.source_size, c.target,
+       (d.size * (whole + CASE WHEN m.draw IS NOT NULL THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM d JOIN c ON d.source IS NOT DISTINCT FROM c.source AND d.draw = c.draw
+LEFT JOIN more m ON d.source IS NOT DISTINCT FROM m.source AND d.draw = m.draw
 """
 
 CONTROL = r"\### Assistant: </turn> ok"

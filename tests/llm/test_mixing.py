@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from llm_cases import SMALL, edge, empty  # noqa: F401
+from llm_cases import DOCS, SMALL, edge, empty  # noqa: F401
 from pyspark.sql import functions as F
 
 from hubcast.llm import mixing as M, queries
@@ -49,6 +49,23 @@ def test_taken_words_come_near_the_targets(spark):
     assert all(abs(r.t - r.of) <= 0.02 * r.of and r.over <= 0 for r in rows)
 
 
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_small_sources_miss_by_half_a_document_at_most(spark, sf):
+    docs = spark.read.parquet(SMALL.replace("0.001", sf) + "/documents.parquet")
+    rows = M.repetitions(docs).groupBy("source").agg(
+        F.sum(F.col("size") * F.col("repeats")).alias("t"), F.first("target").alias("of"),
+        F.max("size").alias("most"), F.max("repeats").alias("times")).collect()
+    assert all(abs(r.t - r.of) <= max(0.02 * r.of, r.most / 2) and r.times <= 2 for r in rows)
+
+
+def test_a_document_of_half_the_words_is_decided_first(spark):
+    rows = [(i, " ".join("w" * (1000 if i == 7 else 10)), "en", "a") for i in range(101)]
+    rows += [(1000 + i, "w " * 100, "en", "b") for i in range(100)]
+    got = M.repetitions(spark.createDataFrame(rows, DOCS), weights=(1, 1), share=0.85).groupBy("source").agg(
+        F.sum(F.col("size") * F.col("repeats")).alias("t"), F.first("target").alias("of")).collect()
+    assert {r.source: (r.t, abs(r.t - r.of) <= 5) for r in got}["a"][1]
+
+
 def test_edge_rows(spark, edge, empty):
     got = M.repetitions(edge).collect()
     assert len(got) == edge.count()
