@@ -27,6 +27,8 @@ aggregation, no per-group collections.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +36,8 @@ from ..config import HUB_QUANTILES
 from ..functions.numeric import round_half_even
 from ..schemas import UNIT_KEYS
 
+# Levels off the hub's list up to which they get a place in the bit masks.
+MAX_OTHER_LEVELS = 256
 SCORE_COLUMNS = ("model", "target_variable", "forecast_date", "target_end_date", "horizon",
                  "location", "location_name", "wis", "sharpness", "underprediction",
                  "overprediction", "ae_median", "bias", "cov_50", "cov_95", "n_quantiles")
@@ -58,14 +62,27 @@ def point_to_median(fc: DataFrame) -> DataFrame:
     return rest.unionByName(med.select(*fc.columns))
 
 
+def other_levels(fc: DataFrame, levels=HUB_QUANTILES, at_most: int = MAX_OTHER_LEVELS) -> list[float] | None:
+    """The quantile levels of ``fc`` that are not among ``levels``, in order; None if more than ``at_most``.
+
+    A census of one column, summed up before it is shuffled; the driver gets a bounded list.
+    """
+    tau = F.when(F.col("type") == "point", F.lit(0.5)).otherwise(F.col("quantile"))
+    found = (fc.filter(F.col("type").isin("quantile", "point")).select(tau.alias("tau"))
+             .filter(~F.col("tau").isin([float(x) for x in levels])).distinct().limit(at_most + 1).collect())
+    return sorted(r.tau for r in found) if len(found) <= at_most else None
+
+
 def score_forecasts(fc: DataFrame, quantiles=None, round_output: bool = True,
-                    levels=HUB_QUANTILES) -> DataFrame:
+                    levels=HUB_QUANTILES, others: Sequence[float] | None = None) -> DataFrame:
     """G1-G15 on the scoring input F4 (``prediction``, ``true_value``).
 
-    ``levels`` are the hub's quantile levels: distinct ones are counted with bit
-    masks over them, levels outside the list by row. The location's name is a
-    key of the unit like its code (G1, G14).
+    ``levels`` are the hub's quantile levels and ``others`` all further ones that occur
+    (``other_levels``): a unit's distinct levels are counted with bit masks over both. Without
+    ``others`` (None) levels off the list are counted by a distinct aggregate, which sorts every row by its
+    level first. The location's name is a key of the unit like its code (G1, G14).
     """
+    distinct, levels = others is None, [*levels, *(others or [])]
     y, q = F.col("true_value"), F.col("prediction")
     is_point = F.col("type") == "point"
     d = fc.filter(F.col("true_value").isNotNull()                                  # G3
@@ -92,8 +109,9 @@ def score_forecasts(fc: DataFrame, quantiles=None, round_output: bool = True,
     side_masks = [bits(side, rng_i, lo, lo + 50).alias(f"_{name}{lo}")
                   for name, side in (("lo", lower), ("up", upper)) for lo in (0, 50)]
     words = range(0, len(levels), 62)
-    level_masks = [*[bits(level_pos > 0, (level_pos - 1).cast("int"), lo, lo + 62).alias(f"_lv{lo}") for lo in words],
-                   F.count(F.when(tau.isNotNull() & (level_pos == 0), 1)).alias("_lvother")]
+    level_masks = [bits(level_pos > 0, (level_pos - 1).cast("int"), lo, lo + 62).alias(f"_lv{lo}") for lo in words]
+    if distinct:
+        level_masks.append(F.count_distinct(F.when(level_pos == 0, tau)).alias("_lvother"))
     g = d.groupBy(*UNIT_KEYS, "location_name").agg(
         F.max(y).alias("_y"),
         F.max(F.when(med_q, q)).alias("_mq"),
@@ -117,7 +135,7 @@ def score_forecasts(fc: DataFrame, quantiles=None, round_output: bool = True,
         F.min_by(F.when(upper, q), F.when(upper, rng)).alias("_uin"),
         *level_masks,
     )
-    n_levels = F.col("_lvother")
+    n_levels = F.col("_lvother") if distinct else F.lit(0)
     for lo in words:
         n_levels = n_levels + F.coalesce(F.bit_count(f"_lv{lo}"), F.lit(0))
     n_levels = n_levels.cast("long")                                              # G13

@@ -22,7 +22,7 @@ from ..functions.numeric import round_decimal
 from .. import schemas
 from ..session import cut_lineage, ensure_checkpoint_dir
 from ..operators import averaging, criteria, scoring, skill, submission, summary, truth, upkeep
-from ..sources import csvscan, files, hubdata
+from ..sources import csvscan, files, hubdata, store
 from . import runs
 
 CFG = HubConfig()
@@ -39,6 +39,8 @@ LEFT_OUT = ("T-m1", "T-m6")
 FEWER_HORIZONS = (1, 2)
 # Levels of the scores on a subset of the quantiles.
 SUBSET = (0.025, 0.25, 0.5, 0.75, 0.975)
+# What is added to levels to move them off the hub's list; exact in binary.
+OFF_LIST = (1 / 1024, 1 / 512)
 # Rows of the truth series up to which it is broadcast to the forecasts; joined by key beyond.
 BROADCAST_ROWS = 200_000
 # Decimals of the Harrell-Davis medians: quadrature here, a power series in the SQL.
@@ -87,12 +89,18 @@ class Hub:
     def scoring_input(self) -> DataFrame:
         return truth.attach_truth(self.forecasts, self.truth, broadcast=self.truth.count() <= BROADCAST_ROWS)
 
+    @cached_property
+    def other_levels(self) -> list[float] | None:
+        return scoring.other_levels(self.forecasts, self.cfg.quantiles)
+
     def scores(self, round_output: bool = True) -> DataFrame:
-        return self._scores if round_output else scoring.score_forecasts(self.scoring_input(), round_output=False)
+        return self._scores if round_output else scoring.score_forecasts(
+            self.scoring_input(), round_output=False, levels=self.cfg.quantiles, others=self.other_levels)
 
     @cached_property
     def _scores(self) -> DataFrame:
-        return cut_lineage(scoring.score_forecasts(self.scoring_input()))
+        return cut_lineage(scoring.score_forecasts(self.scoring_input(), levels=self.cfg.quantiles,
+                                                   others=self.other_levels))
 
     def parts(self) -> summary.Parts:
         return summary.Parts(self.scores(), report_dates=self.report_dates, cfg=self.cfg, bias_digits=1)
@@ -260,7 +268,9 @@ def point_to_median(spark, sf):
 
 
 def score_quantile_subset(spark, sf):
-    s = scoring.score_forecasts(Hub(spark, sf).scoring_input(), quantiles=SUBSET, round_output=False)
+    h = Hub(spark, sf)
+    s = scoring.score_forecasts(h.scoring_input(), quantiles=SUBSET, round_output=False, levels=CFG.quantiles,
+                                others=h.other_levels)
     return s.select("model", "target_variable", "forecast_date", "target_end_date", "horizon", "location",
                     "wis", "ae_median", "cov_50", "cov_95", "n_quantiles")
 
@@ -291,6 +301,15 @@ def n_quantiles(spark, sf):
     return _unit_scores(spark, sf, ["n_quantiles"])
 
 
+def n_quantiles_off_list(spark, sf):
+    """G13 where every level below the median also comes, twice, a little higher and off the hub's list."""
+    fc = Hub(spark, sf).scoring_input()
+    moved = F.when(F.col("quantile") < 0.5, F.array(*[F.lit(x) for x in (0.0, *OFF_LIST, *OFF_LIST)])).otherwise(F.array(F.lit(0.0)))
+    fc = fc.withColumn("moved", F.explode(moved)).withColumn("quantile", F.col("quantile") + F.col("moved"))
+    s = scoring.score_forecasts(fc, levels=CFG.quantiles, others=scoring.other_levels(fc, CFG.quantiles))
+    return s.select("model", "target_variable", "forecast_date", "target_end_date", "horizon", "location", "n_quantiles")
+
+
 def score_table(spark, sf):
     return Hub(spark, sf).scores()
 
@@ -419,6 +438,16 @@ def batch_weights(spark, sf):
     return Hub(spark, sf).batch().weights.withColumn("horizon", F.coalesce("horizon", F.lit(0)))
 
 
+def stored_reruns(spark, sf):
+    """The runs with a manual exclusion, computed again from forecasts stored by date."""
+    h = Hub(spark, sf)
+    stored = store.write_forecasts(h.forecasts, f"{ensure_checkpoint_dir(spark)}/forecasts-{uuid.uuid4().hex}")
+    days = store.bounded(h.exclusions.select(F.col("forecast_date").alias("run_date")).distinct())
+    run = runs.run_multiple_ensembles(stored, ("mean", "median"), days, cfg=CFG, exclude_models=h.exclusions,
+                                      designations=h.designations)
+    return run.ensemble
+
+
 def csv_submissions(spark, sf):
     """All submissions written as CSV files in three layouts and read back by column name; a row per unit.
 
@@ -492,6 +521,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ae_median": ae_median,
     "bias": bias,
     "n_quantiles": n_quantiles,
+    "n_quantiles_off_list": n_quantiles_off_list,
     "score_table": score_table,
     "score_quantile_subset": score_quantile_subset,
     "overall_rollup": overall_rollup,
@@ -516,6 +546,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_runs": batch_runs,
     "batch_criteria": batch_criteria,
     "batch_weights": batch_weights,
+    "stored_reruns": stored_reruns,
     "submission_links": submission_links,
     "csv_submissions": csv_submissions,
     "csv_status": csv_status,

@@ -609,6 +609,19 @@ SELECT * REPLACE ('point' AS type, CAST(NULL AS DOUBLE) AS quantile) FROM ens WH
                                _fmt("ens")], "SELECT * FROM sub")
     q["single_run"] = _q([T, FC, C0, "ens AS (" + _ens_avg("median(value)") + ")", _fmt("ens")], """
 SELECT * FROM sub WHERE forecast_date = (SELECT MAX(run_date) FROM run_dates)""")
+    q["stored_reruns"] = _q([T, FC, C0, f"""
+ens AS (
+  SELECT 'mean' AS method, * FROM ({_ens_avg("SUM(value) / COUNT(value)")}) a
+  UNION ALL SELECT 'median' AS method, * FROM ({_ens_avg("median(value)")}) b),
+chosen AS (SELECT * FROM ens WHERE run_date IN (SELECT forecast_date FROM exclusions)),
+fmt AS (
+  SELECT method, run_date AS forecast_date,
+         CAST(horizon AS VARCHAR) || ' ' || temporal_resolution || ' ahead ' || target_variable AS target,
+         target_end_date, location, type, quantile, {_rd('value', 0)} AS value
+  FROM chosen)"""], """
+SELECT * FROM fmt
+UNION ALL
+SELECT * REPLACE ('point' AS type, CAST(NULL AS DOUBLE) AS quantile) FROM fmt WHERE quantile = 0.5""")
     q["min_models"] = _q([T, FC, C0, f"""
 ok AS (
   SELECT run_date, location, horizon, temporal_resolution, target_variable, target_end_date
@@ -659,6 +672,11 @@ SELECT {unit}, wis, sharpness, underprediction, overprediction FROM sc_raw""")
     q["ae_median"] = _q([T, FC, S], f"SELECT {unit}, ae_median FROM sc_raw")
     q["bias"] = _q([T, FC, S], f"SELECT {unit}, bias FROM sc_raw")
     q["n_quantiles"] = _q([T, FC, S], f"SELECT {unit}, n_quantiles FROM sc_raw")
+    q["n_quantiles_off_list"] = _q([T, FC, S, f"""
+lv AS (SELECT {unit}, CASE WHEN type = 'point' THEN 0.5::DOUBLE ELSE quantile END
+              + unnest(CASE WHEN quantile < 0.5 THEN [0.0::DOUBLE, 1.0::DOUBLE / 1024, 1.0::DOUBLE / 512] ELSE [0.0::DOUBLE] END) AS level
+       FROM fct WHERE true_value IS NOT NULL AND type IN ('quantile', 'point'))"""],
+                                   f"SELECT {unit}, COUNT(DISTINCT level) AS n_quantiles FROM lv GROUP BY {unit}")
     q["score_table"] = _q([T, FC, S], "SELECT * FROM sc")
     subset = S.replace("WHERE true_value IS NOT NULL AND type IN ('quantile', 'point')",
                        "WHERE true_value IS NOT NULL AND type IN ('quantile', 'point')"

@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import HubConfig
-from ..functions.dates import weeks_since_epoch
 from ..operators.averaging import (ensemble_average, ensemble_averages, equal_weights, min_models,
                                    normalise_forecasts)
 from ..operators.criteria import ensemble_criteria
@@ -47,10 +46,10 @@ def windowed_forecasts(forecasts: DataFrame, run_date=None, run_dates: DataFrame
     """Forecasts of the ``window_days`` days up to each run date, tagged ``run_date``.
 
     Single date: a range filter (pushed to the scan / partition pruning).
-    Many dates: each row is exploded to the calendar weeks its window spans
-    (two for a six-day window), equi-joined on the week with the table of run
-    dates (one row per run: bounded by the calendar, broadcast) and kept where
-    the run's window contains it. No range join, no per-day explode.
+    Many dates: each run date is exploded to the days of its window (six rows a run:
+    bounded by the calendar, broadcast) and equi-joined on the forecast date, so forecasts
+    stored by date are pruned to the windows while the plan runs. No range join, no forecast
+    row is copied but to the runs that hold it.
     """
     if run_dates is None:
         d = _date(run_date)
@@ -58,14 +57,9 @@ def windowed_forecasts(forecasts: DataFrame, run_date=None, run_dates: DataFrame
         return (forecasts.filter(F.col("forecast_date").between(F.lit(lo.isoformat()).cast("date"),
                                                                  F.lit(d.isoformat()).cast("date")))
                 .withColumn("run_date", F.lit(d.isoformat()).cast("date")))
-    rd = run_dates.select("run_date").distinct().withColumn("_wk", weeks_since_epoch("run_date"))
-    fd = F.col("forecast_date")
-    last = F.date_add(fd, window_days - 1)
-    weeks = F.sequence(weeks_since_epoch(fd), weeks_since_epoch(last))
-    return (forecasts.withColumn("_wk", F.explode(weeks))
-            .join(F.broadcast(rd), "_wk")
-            .filter((F.col("run_date") >= fd) & (F.col("run_date") <= last))
-            .drop("_wk"))
+    days = F.sequence(F.date_add("run_date", 1 - window_days), F.col("run_date"))
+    windows = run_dates.select("run_date").distinct().select("run_date", F.explode(days).alias("forecast_date"))
+    return forecasts.join(F.broadcast(windows), "forecast_date").select(*forecasts.columns, "run_date")
 
 
 def _method_parts(method: str):

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 
 from conftest import rows
-from hubcast.operators.scoring import point_to_median, score_forecasts
+from hubcast.operators.scoring import other_levels, point_to_median, score_forecasts
 
 D = dt.date
 SCHEMA = ("model string, location string, location_name string, target_variable string, "
@@ -63,3 +63,14 @@ def test_bias_outside_all_quantiles(spark):
 
 def test_forecasts_without_truth_are_dropped(spark):
     assert score_forecasts(_fc(spark, [(0.5, 1.0)], None)).count() == 0
+
+
+def test_levels_off_the_list_count_once(spark):
+    odd = [(0.1234, 1.0), (0.1234, 1.0), (0.5, 3.0), (0.777, 4.0), (0.25, 2.0), (0.25, 2.0)]
+    fc = _fc(spark, odd, 10.0).unionByName(_fc(spark, [(0.9, 5.0)], 10.0, model="B", point=3.0))
+    found = other_levels(fc, (0.25, 0.9))
+    assert found == [0.1234, 0.5, 0.777]  # a point forecast stands at 0.5
+    assert other_levels(fc, (0.25, 0.9), at_most=2) is None
+    for others in (found, None):
+        got = score_forecasts(fc, round_output=False, levels=(0.25, 0.9), others=others)
+        assert {r["model"]: r["n_quantiles"] for r in got.collect()} == {"A": 4, "B": 2}
