@@ -46,28 +46,49 @@ def messages_of(turns: DataFrame) -> DataFrame:
                     "role", "text", F.lit(0.0).alias("score")))
 
 
+def heads(messages: DataFrame) -> DataFrame:
+    """(message_id, parent_id, score), one row per message; a null score is 0."""
+    first = F.min(F.struct("parent_id", F.coalesce("score", F.lit(0.0)).alias("score"))).alias("first")
+    return (messages.filter("message_id IS NOT NULL").groupBy("message_id").agg(first)
+            .select("message_id", "first.parent_id", "first.score"))
+
+
+def bodies(messages: DataFrame) -> DataFrame:
+    """(message_id, conv_id, role, text): of rows that repeat an id, the one that ``heads`` takes."""
+    order = Window.partitionBy("message_id").orderBy("parent_id", F.coalesce("score", F.lit(0.0)), "conv_id", "role", "text")
+    return (messages.filter("message_id IS NOT NULL").select(
+        "message_id", "conv_id", "role", "text", F.row_number().over(order).alias("nth"))
+            .filter("nth = 1").drop("nth"))
+
+
 def paths(messages: DataFrame) -> DataFrame:
     """(leaf, message_id, above): the messages from every leaf up to its root.
 
     ``up`` holds a jump of 2^k ancestors; a round joins the paths with it and
     ``up`` with itself, so a tree of depth d takes log2(d) rounds.
     """
-    ids = messages.select("message_id", "parent_id")
-    present = messages.select(F.col("message_id").alias("there"))
+    ids = heads(messages).select("message_id", "parent_id")
+    present = ids.select(F.col("message_id").alias("there"))
     up = common.cut(ids.join(present, ids["parent_id"] == present["there"], "left").select(
         "message_id", F.col("there").alias("above_id")))
     leaves = up.join(up.select(F.col("above_id").alias("message_id")).filter("message_id IS NOT NULL"),
                      "message_id", "left_anti")
     found = common.cut(leaves.select(F.col("message_id").alias("leaf"), "message_id", F.lit(0).alias("above")))
-    reach = 1
-    while not up.filter("above_id IS NOT NULL").isEmpty():
-        step = up.filter("above_id IS NOT NULL")
+    reach, before = 1, None
+    step = up.filter("above_id IS NOT NULL")
+    left = step.count()
+    # As long as some jump still has to end at a root, a round ends some; what stays has none.
+    while left and left != before:
         higher = found.join(step, "message_id").select(
             "leaf", F.col("above_id").alias("message_id"), (F.col("above") + reach).alias("above"))
         found = common.cut(found.unionByName(higher))
         second = step.select(F.col("message_id").alias("above_id"), F.col("above_id").alias("next_id"))
-        up = common.cut(step.join(second, "above_id", "left").select("message_id", F.col("next_id").alias("above_id")))
-        reach *= 2
+        step = common.cut(step.join(second, "above_id").select("message_id", F.col("next_id").alias("above_id")))
+        reach, before, left = 2 * reach, left, step.count()
+    if left:
+        alone = step.select(F.col("message_id").alias("leaf"))
+        found = found.join(alone, "leaf", "left_anti").unionByName(
+            alone.select("leaf", F.col("leaf").alias("message_id"), F.lit(0).alias("above")))
     return found
 
 
@@ -80,13 +101,12 @@ def conversations(messages: DataFrame, per_tree: int = 1) -> DataFrame:
     assistant texts in ``formatted``.
     """
     on = paths(messages).withColumnRenamed("message_id", "mid")
-    scored = on.join(messages.select("message_id", F.coalesce("score", F.lit(0.0)).alias("score")),
-                     F.col("mid") == F.col("message_id"))
+    scored = on.join(heads(messages).select("message_id", "score"), F.col("mid") == F.col("message_id"))
     leaves = scored.groupBy("leaf").agg(F.avg("score").alias("path_score"),
                                         F.max_by("mid", "above").alias("root"))
     rank = F.row_number().over(Window.partitionBy("root").orderBy(F.desc("path_score"), "leaf"))
     chosen = leaves.withColumn("rank", rank).filter(F.col("rank") <= per_tree).select("leaf", "rank")
-    turn = (on.join(chosen, "leaf").join(messages, F.col("mid") == F.col("message_id"))
+    turn = (on.join(chosen, "leaf").join(bodies(messages), F.col("mid") == F.col("message_id"))
             .withColumn("head", F.concat(F.lit(TURN), escape(F.coalesce("role", F.lit(""))), F.lit(">")))
             .withColumn("body", escape(F.coalesce("text", F.lit(""))))
             .withColumn("block", F.concat("head", "body", F.lit(END))))

@@ -64,3 +64,25 @@ def test_long_chain_takes_few_rounds(spark):
     (r,) = formatted(spark, rows)
     assert r.n_turns == 300 and r.loss == "".join(f"t{i}" for i in range(1, 300, 2))
     assert hashlib.sha256(r.formatted.encode()).hexdigest()
+
+
+MESSAGES = "conv_id long, message_id string, parent_id string, role string, text string, score double"
+
+
+def test_cycles_end_and_keep_every_message(spark):
+    rows = [(1, "a", "b", "user", "A", 0.0), (1, "b", "a", "assistant", "B", 1.0), (1, "c", "b", "user", "C", 0.0),
+            (2, "s", "s", "user", "S", 0.0), (3, "r", None, "user", "R", 0.0)]
+    rows += [(3, f"r{i}", f"r{i - 1}" if i else "r", "assistant", str(i), 0.0) for i in range(9)]
+    got = {r.leaf: [t.text for t in r.turns] for r in C.conversations(spark.createDataFrame(rows, MESSAGES), per_tree=9)
+           .select("leaf", C.read_back(F.col("formatted")).alias("turns")).collect()}
+    assert got == {"a": ["A"], "b": ["B"], "c": ["C"], "s": ["S"], "r8": ["R", *map(str, range(9))]}
+
+
+def test_repeated_ids_are_one_message_and_other_columns_take_no_part(spark):
+    rows = [(1, "a", None, "user", "A", 0.0), (1, "b", "a", "assistant", "B", 1.0)] * 3
+    rows += [(1, "b", "x", "assistant", "later", 0.0), (1, None, "a", "user", "no id", 9.0), (1, "a", None, "user", None, 0.5)]
+    clashing = ["leaf", "rank", "above", "mid", "head", "body", "block", "start", "nth", "root", "path_score"]
+    df = spark.createDataFrame(rows, MESSAGES).withColumns({c: F.lit("x") for c in clashing}).repartition(4)
+    (r,) = C.conversations(df).collect()
+    assert (r.conv_id, r.leaf, r["rank"], r.n_turns) == (1, "b", 1, 2)
+    assert r.formatted == "<turn user>A</turn>\n<turn assistant>B</turn>\n"
