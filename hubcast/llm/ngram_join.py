@@ -19,6 +19,11 @@ signatures gives its edges once; then lists whose nodes are still in several cla
 edges between the classes, and a list with a failed edge gives all its open pairs. So each
 link is either verified or inside a class that is joined already.
 
+Lists that hold almost the same nodes share the node of the smallest hash, as a rule, and are
+merged by it into one list of all their nodes, unless that were longer than a block or had
+far more pairs than the lists by themselves. So near copies, which share most of their signatures,
+come once and not once for each signature; no pair that shares a signature is lost by it.
+
 A list of many nodes is cut, in order of size, into blocks of bounded length that overlap
 a little; the above holds for each block, and near copies of one text come out as one
 class. Then only nodes outside the largest class of their list are compared with its
@@ -48,6 +53,7 @@ MUL, SHIFT = U(0x9E3779B97F4A7C15), U(29)
 SKETCH_BITS, CHUNK_BITS = 20, 14
 SHORT = 8  # nodes up to which a signature's list gives its pairs
 BLOCK = 1024  # nodes of a block of a list, on average; four times as many at most
+ROW_PAIRS = 64  # pairs compared in the time that one row of a list takes, about
 OVERLAP = 32  # nodes of the next block that a block sees too
 CHUNK_BYTES = 8192  # about what a row of nodes that go to another block holds
 
@@ -205,8 +211,9 @@ def _blocks(rows: np.ndarray, block: int) -> np.ndarray:
 
 
 def _lists(described: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
-    """(long, x, y, block, home): pairs of nodes from short lists (long false), (signature, node) of long
-    ones by block; the nodes that the block before sees too are there again, with home false.
+    """(long, x, y, block, home, key, size): pairs of nodes from short lists (long false), (signature, node) of
+    long ones by block; the nodes that the block before sees too are there again, with home false.
+    ``key`` is the smallest hash of a block's own nodes, ``size`` its number of rows.
 
     Signatures travel packed, a row for each batch and bucket; a node is sent once
     for a signature and batch, however many copies it has there.
@@ -253,9 +260,13 @@ def _lists(described: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
             p = np.unique(np.concatenate(pairs), axis=0)
             long = rows[np.repeat(length > SHORT, length)]
             of = _blocks(long, block)
-            begins = np.flatnonzero(np.diff(of, prepend=-1))
+            begins = np.flatnonzero((np.diff(of, prepend=-1) != 0) | (np.diff(long["sig"], prepend=~long["sig"][:1]) != 0))
             within = np.arange(len(of)) - np.repeat(begins, np.diff(np.append(begins, len(of))))
             seen = (of > 0) & (within < OVERLAP)
+            at = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, len(of))))  # its block's place among all
+            at = np.concatenate([at, at[seen] - 1])
+            keys = np.minimum.reduceat(mix(long["node"].astype(U)), begins) if len(begins) else np.empty(0, U)
+            key, in_block = keys.view(np.int64)[at], np.bincount(at, minlength=len(begins))[at]
             long, of, home = np.concatenate([long, long[seen]]), np.concatenate([of, of[seen] - 1]), np.arange(len(of) + seen.sum()) < len(of)
             for lo in range(0, len(p) + len(long), 100_000):
                 ps, ls = p[lo:lo + 100_000], slice(max(0, lo - len(p)), max(0, lo + 100_000 - len(p)))
@@ -264,12 +275,28 @@ def _lists(described: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
                     [pa.array(pad(np.ones(len(long), bool), False)),
                      pa.array(np.concatenate([ps[:, 0], long["sig"].view(np.int64)[ls]])),
                      pa.array(np.concatenate([ps[:, 1], long["node"][ls]])),
-                     pa.array(pad(of, 0)), pa.array(pad(home, True))], names=["long", "x", "y", "block", "home"])
+                     pa.array(pad(of, 0)), pa.array(pad(home, True)), pa.array(pad(key, 0)), pa.array(pad(in_block, 0))],
+                    names=["long", "x", "y", "block", "home", "key", "size"])
 
     dealt = described.filter("length(signatures) > 0").select("n_shingles", "node", "signatures").mapInArrow(
         deal, "bucket int, rows binary")
     return common.cut(dealt.repartition(buckets, "bucket").mapInArrow(
-        meet, "long boolean, x bigint, y bigint, block int, home boolean"))
+        meet, "long boolean, x bigint, y bigint, block int, home boolean, key bigint, size bigint"))
+
+
+def _merged(lists: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(sig, block, node) of the long lists; those with the same key are one, of block -1, where they fit together.
+
+    They fit if all their nodes are no more than a block holds and the pairs of these cost no more than
+    the rows and pairs of the lists apart.
+    """
+    long = lists.filter("long").select(F.col("x").alias("sig"), "block", F.col("y").alias("node"), "key", "size")
+    members = common.cut(long.groupBy("key", "node").agg(F.sum(F.col("size") + ROW_PAIRS).alias("cost")))
+    whole = members.groupBy("key").agg(F.count(F.lit(1)).alias("nodes"), F.sum("cost").alias("cost"))
+    alone = common.small(common.cut(whole.filter(
+        (F.col("nodes") > 4 * block + OVERLAP) | (F.col("nodes") * F.col("nodes") > F.col("cost"))).select("key")))
+    return members.join(alone, "key", "left_anti").select(F.col("key").alias("sig"), F.lit(-1).alias("block"), "node").unionByName(
+        long.join(alone, "key", "left_semi").select("sig", "block", "node"))
 
 
 def _close(na: np.ndarray, nb: np.ndarray, differ: np.ndarray, percent: int) -> np.ndarray:
@@ -312,10 +339,11 @@ class _Forest:
 
 
 def _compare(node: np.ndarray, n: np.ndarray, bitmaps: list[bytes], percent: int, group: np.ndarray, every: bool,
-             block: int = 256) -> list[tuple[int, int]]:
+             hubs: bool = False, block: int = 256) -> list[tuple[int, int]]:
     """Edges among the nodes of one list, in order of size: pairs of different groups that may be similar.
 
-    ``every`` one of them, or a spanning forest of the groups.
+    ``every`` one of them, or a spanning forest of the groups: of the closest pairs, or of those
+    with the nodes that are close to most (``hubs``), for groups that their closest pairs left apart.
     """
     width = np.array([len(x) // 8 for x in bitmaps])
     forest, edges = _Forest(len(node)), []
@@ -337,7 +365,7 @@ def _compare(node: np.ndarray, n: np.ndarray, bitmaps: list[bytes], percent: int
                 differ += np.bitwise_count(rows[lo:hi, k, None] ^ rows[None, lo:end, k])
             ok = np.triu(_close(n[at[lo:hi], None], n[at[lo:end]][None], differ, percent), 1)
             i, j = np.nonzero(ok)
-            near = np.argsort(differ[i, j], kind="stable")  # the closest first: those are the likeliest links
+            near = np.lexsort((differ[i, j], -np.maximum(ok.sum(1)[i], ok.sum(0)[j]) * hubs))
             for i, j in zip(at[lo + i[near]], at[lo + j[near]]):
                 if every:
                     if group[i] != group[j]:
@@ -347,7 +375,7 @@ def _compare(node: np.ndarray, n: np.ndarray, bitmaps: list[bytes], percent: int
     return edges
 
 
-def _long_edges(entries: DataFrame, percent: int, every: bool) -> DataFrame:
+def _long_edges(entries: DataFrame, percent: int, every: bool, hubs: bool = False) -> DataFrame:
     """(sig, block, a, b) from rows (sig, block, node, n, parity, grp), one block at a time in order of size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,7 +383,7 @@ def _long_edges(entries: DataFrame, percent: int, every: bool) -> DataFrame:
 
         def done() -> Iterator[pa.RecordBatch]:
             node, n, bitmaps, group = zip(*(r[2:] for r in held))
-            e = _compare(np.array(node), np.array(n), list(bitmaps), percent, np.array(group), every)
+            e = _compare(np.array(node), np.array(n), list(bitmaps), percent, np.array(group), every, hubs)
             if e:
                 a, b = (pa.array(list(map(int, x)), pa.int64()) for x in zip(*e))
                 yield pa.RecordBatch.from_arrays([pa.array([held[0][0]] * len(e), pa.int64()), pa.array([held[0][1]] * len(e), pa.int32()), a, b],
@@ -375,15 +403,17 @@ def _long_edges(entries: DataFrame, percent: int, every: bool) -> DataFrame:
         run, "sig bigint, block int, a bigint, b bigint")
 
 
-def _classed(entries: DataFrame, links: DataFrame) -> DataFrame:
+def _classed(entries: DataFrame, links: DataFrame, only: DataFrame | None = None) -> DataFrame:
     """``entries`` with the class (grp) of their nodes, of those blocks whose nodes lie in several classes.
 
-    Of blocks of the same nodes (by 128 bits of their hashes) one stays; they would give the same edges.
+    ``only`` (sig, block) names the blocks to look at, else all. Of blocks of the same nodes (by 128 bits of their hashes) one stays; they would give the same edges.
     """
     grouped = entries.join(components(links), "node", "left").withColumn("grp", F.coalesce("component", "node")).drop("component")
     several = grouped.groupBy("sig", "block").agg(
         F.min("grp").alias("least"), F.max("grp").alias("most"), F.count(F.lit(1)).alias("k"),
         F.bit_xor(F.xxhash64("node")).alias("h1"), F.bit_xor(F.xxhash64("node", F.lit(7))).alias("h2")).filter("least < most")
+    if only is not None:
+        several = several.join(only, ["sig", "block"], "left_semi")
     one = several.groupBy("k", "h1", "h2").agg(F.min(F.struct("sig", "block")).alias("of")).select("of.sig", "of.block")
     return common.cut(grouped.join(one, ["sig", "block"], "left_semi"))
 
@@ -541,8 +571,7 @@ def link(docs: DataFrame, n: int = 4, percent: int = 85, block: int = BLOCK) ->
     left = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("parity").alias("pa"))
     right = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("pb"))
     short = _filter_pairs(pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "pa", "pb"), percent)
-    entries = common.cut(lists.filter("long").select(F.col("x").alias("sig"), F.col("y").alias("node"), "block", "home").join(
-        nodes.select("node", "n", "parity"), "node"))
+    entries = common.cut(_merged(lists, block).join(nodes.select("node", "n", "parity"), "node"))
     sizes = entries.groupBy("sig", "block").agg(F.count(F.lit(1)).alias("k"))
     home = entries.join(sizes, ["sig", "block"]).groupBy("node").agg(F.max(F.struct("k", "sig", "block")).alias("of"))
     begin = entries.join(home, "node").filter((F.col("sig") == F.col("of.sig")) & (F.col("block") == F.col("of.block")))
@@ -565,18 +594,19 @@ def link(docs: DataFrame, n: int = 4, percent: int = 85, block: int = BLOCK) ->
 
     # then the classes that a list still holds apart
     apart = _classed(entries, links)
-    between = common.cut(ordered(_long_edges(apart, percent, False)))
+    between = common.cut(ordered(_long_edges(apart, percent, False, True)))
     links = more(links, common.cut(between.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")))
 
     # where an edge failed, all pairs that are still open
     failed = between.join(links, ["a", "b"], "left_anti").select("sig", "block").distinct()
-    rest = _classed(apart.drop("grp").join(failed, ["sig", "block"], "left_semi"), links)
+    rest = _classed(apart.drop("grp"), links, failed)
     pairs = ordered(_long_edges(rest, percent, True)).select("a", "b").distinct()
     links = more(links, common.cut(pairs.join(tried.unionByName(between.select("a", "b")), ["a", "b"], "left_anti")))
 
     wide = common.cut(lists.filter("long AND block > 0").select(F.col("x").alias("sig")).distinct())
     if not wide.isEmpty():  # lists of several blocks: a forest of their classes first, then the open pairs
-        whole = common.cut(entries.filter("home").drop("home").join(wide, "sig", "left_semi"))
+        own = lists.filter("long AND home").select(F.col("x").alias("sig"), "block", F.col("y").alias("node"))
+        whole = common.cut(own.join(wide, "sig", "left_semi").join(nodes.select("node", "n", "parity"), "node"))
         for every in (False, True):
             cross = common.cut(_cross_edges(_apart(whole, links), percent, every))
             new = common.cut(cross.select("a", "b").distinct().join(links, ["a", "b"], "left_anti"))

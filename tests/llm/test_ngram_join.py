@@ -158,3 +158,40 @@ def test_a_group_in_many_lists_gives_its_edges_once(spark, monkeypatch):
     check(df, 5, 80)
     entries = J._lists(J.describe(df, 5, 80), 80).filter("long").count()
     assert sum(made) <= 2 * len(rows) < entries
+
+
+def test_lists_of_almost_the_same_nodes_are_compared_as_one(spark, monkeypatch):
+    """Near copies at the threshold, whose classes stay apart: their rows don't come once for each signature."""
+    rows = copies(1, 1, 300, 60, 4)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    made, plain = [], J._classed
+
+    def counted(*args):
+        out = plain(*args)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(J, "_classed", counted)
+    check(df, 5, 80)
+    entries = J._lists(J.describe(df, 5, 80), 80).filter("long").count()
+    assert 0 < max(made) < entries / 2
+
+
+def test_merged_lists_hold_every_pair_of_the_lists(spark):
+    rows = copies(3, 3, 60, 40, 3) + copies(1, 1, 300, 60, 6)
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string").repartition(4)
+    for block in (8, J.BLOCK):
+        lists = J._lists(J.describe(df, 4, 85), 85, block).cache()
+        merged = J._merged(lists, block)
+
+        def pairs(members):
+            by = {}
+            for *of, node in members:
+                by.setdefault(tuple(of), set()).add(node)
+            return by, {(a, b) for s in by.values() for a in s for b in s}
+
+        apart, wanted = pairs((r.x, r.block, r.y) for r in lists.filter("long").collect())
+        whole, held = pairs((r.sig, r.block, r.node) for r in merged.collect())
+        assert wanted <= held and len(whole) < len(apart)
+        assert max(map(len, whole.values())) <= 4 * block + J.OVERLAP
+        assert sum(map(len, whole.values())) < sum(map(len, apart.values()))
