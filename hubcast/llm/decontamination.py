@@ -3,7 +3,9 @@
 ``PositionalIndex`` stores a posting (term, doc_id, sig, pos) for every word of every
 document. Each input split is a shard: its postings lie together, in order of term, then
 document and position, so a reader of few terms skips the rest, and nothing is shuffled to
-build it. ``sig`` (a hash of the text) tells rows apart that repeat a doc_id.
+build it. ``sig`` (a hash of the text) tells rows apart that repeat a doc_id. The empty term,
+which no word is, has one posting for every row: after its last word, so its place is the
+number of words, and texts are split into words once.
 
 ``phrases`` finds the passages of test items. Every window of an item names its two rarest
 terms as anchors, by their counts in the index. Lists of the anchors, with the anchor's place
@@ -36,6 +38,7 @@ from hubcast.session import ensure_checkpoint_dir
 # Words are runs of digits, ASCII letters and everything beyond ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 DOC = ("doc_id", "sig")
+END = ""  # the term of a row's length
 
 
 def _words(text: Column) -> Column:
@@ -65,7 +68,8 @@ class PositionalIndex:
         return cls(spark, f"{ensure_checkpoint_dir(spark)}/postings-{uuid.uuid4().hex}")
 
     def add(self, docs: DataFrame) -> PositionalIndex:
-        places = _keyed(docs).select(*DOC, F.posexplode(_words(F.col("text"))).alias("pos", "word"))
+        words = F.concat(F.coalesce(_words(F.col("text")), F.array().cast("array<string>")), F.array(F.lit(END)))
+        places = _keyed(docs).select(*DOC, F.posexplode(words).alias("pos", "word"))
         (places.select(common.lower_ascii(F.col("word")).alias("term"), *DOC, "pos")
          .sortWithinPartitions("term", *DOC, "pos").write.mode("append").parquet(self.path))
         return self
@@ -74,6 +78,10 @@ class PositionalIndex:
         found = self.spark.read.schema("term string, doc_id bigint, sig bigint, pos int").parquet(self.path)
         return found if terms is None else found.join(terms, "term", "left_semi")
 
+    def lengths(self) -> DataFrame:
+        """(doc_id, sig, n_words): one row for each text of a doc_id; rows without words have 0."""
+        return self.postings().filter(F.col("term") == END).groupBy(*DOC).agg(F.max("pos").cast("long").alias("n_words"))
+
     def counts(self, terms: DataFrame) -> DataFrame:
         """(term, cf): occurrences of those terms that occur."""
         return self.postings(terms).groupBy("term").agg(F.count(F.lit(1)).alias("cf"))
@@ -165,9 +173,11 @@ def flag(docs: DataFrame, items: DataFrame, index: PositionalIndex, length: int
     named = (found.select("item", *DOC).distinct().join(common.small(tests.select("item", "item_id")), "item")
              .groupBy(*DOC).agg(F.sort_array(F.collect_set(F.coalesce(F.col("item_id").cast("string"), F.lit("")))).alias("ids")))
     held = hit.join(named, _same(hit, named)).select(hit["doc_id"], hit["sig"], "n_hit", "ids")
-    every = _keyed(docs).select(*DOC, F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"))
+    lengths = common.cut(index.lengths())
+    told = lengths.join(held, _same(lengths, held), "left").select(lengths["doc_id"], lengths["sig"], "n_words", "n_hit", "ids")
+    every = _keyed(docs).select(*DOC)
     ids = F.coalesce("ids", F.array().cast("array<string>"))
-    return every.join(held, _same(every, held), "left").select(
+    return every.join(told, _same(every, told), "left").select(
         every["doc_id"], "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.size(ids).cast("long").alias("n_items"), F.sha2(F.array_join(ids, ",").cast("binary"), 256).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"))

@@ -91,3 +91,14 @@ def test_index_grows_and_finds_terms_that_are_close(spark):
     items = D.prepare(spark.createDataFrame([("i", "alpha beta gamma x x x unseen")], ITEMS))
     assert {(r.doc_id, r.first, r.last) for r in D.proximity(index, items, terms=3, within=8).collect()} == {(1, 0, 5), (3, 0, 2)}
     assert {(r.doc_id, r["first"], r.n) for r in D.phrases(index, D.prepare(spark.createDataFrame([("j", "alpha beta")], ITEMS))).collect()} == {(3, 1, 2)}
+
+
+def test_lengths_come_from_the_index(spark, monkeypatch):
+    """Texts are split into words once, for the index."""
+    docs = spark.createDataFrame([(1, "One two, three"), (1, "four"), (1, "four"), (2, None), (3, " .,; "), (None, "É 5")], DOCS)
+    index = D.PositionalIndex.fresh(spark).add(docs).add(spark.createDataFrame([(4, "not asked for")], DOCS))
+    monkeypatch.setattr(D, "WORD", "no such word")
+    items = spark.createDataFrame([], ITEMS)
+    assert sorted(((r.doc_id, r.n_words) for r in D.flag(docs, items, index).collect()), key=str) == [
+        (1, 1), (1, 1), (1, 3), (2, 0), (3, 0), (None, 2)]
+    assert {r.term for r in index.postings().collect() if r.doc_id in (2, 3)} == {""}
