@@ -56,9 +56,9 @@ class Automaton:
         self.born = [-1] * size  # number of the merge that made the token; -1: a byte
         self.left, self.right = [-1] * size, [-1] * size
         self.cut: dict[tuple[int, int], int] = {}  # the gadget that took arc v from the state after u
-        self.arcs: dict[tuple[int, int], bool] = {}
+        self.arcs: dict[int, bool] = {}  # state << 32 | arc: one number is looked up faster than a pair
         self.ids: dict[bytes, int] = {labels[t]: t for t in labels if len(labels[t]) == 1}
-        self.reach: dict[bytes, int] = {}  # the longest label that starts with these two bytes
+        self.reach: dict[bytes, int] = {}  # the longest label that starts with these four bytes
         for k, (u, v) in enumerate(merges):
             self._gadget(k, u, v, ids[labels[u] + labels[v]])
 
@@ -69,7 +69,7 @@ class Automaton:
             self.born[uv], self.left[uv], self.right[uv] = k, u, v
             self.ids[self.labels[uv]] = uv
             label = self.labels[uv]
-            self.reach[label[:2]] = max(self.reach.get(label[:2], 1), len(label))
+            self.reach[label[:4]] = max(self.reach.get(label[:4], 3), len(label))
 
     def _arc(self, s: int, t: int, at: int) -> bool:
         """Whether the state after s has an arc t once the merges before number ``at`` are in."""
@@ -84,28 +84,32 @@ class Automaton:
                 at, t = self.born[t] + 1, self.left[t]
 
     def arc(self, s: int, t: int) -> bool:
-        got = self.arcs.get((s, t))
+        got = self.arcs.get(s << 32 | t)
         if got is None:
             if len(self.arcs) >= KEPT:
                 self.arcs.clear()
-            got = self.arcs[s, t] = self._arc(s, t, len(self.cut) + 1)
+            got = self.arcs[s << 32 | t] = self._arc(s, t, len(self.cut) + 1)
         return got
 
     def encode(self, word: bytes) -> list[int]:
         """The one accepted path over ``word``."""
-        n, ids, arc, reach = len(word), self.ids, self.arc, self.reach
+        n, ids, arc, known, reach = len(word), self.ids, self.arc, self.arcs.get, self.reach
         path: list[tuple[int, int, int]] = []  # (start, end, token)
-        at, last, end, dead = 0, -1, min(n, reach.get(word[:2], 1)), set()
+        at, last, end, dead = 0, -1, min(n, reach.get(word[:4], 3)), set()
         while at < n:
             while end > at:
                 if end not in dead:
                     t = ids.get(word[at:end])
-                    if t is not None and (last < 0 or arc(last, t)):
-                        break
+                    if t is not None:
+                        if last < 0:
+                            break
+                        ok = known(last << 32 | t)
+                        if ok or ok is None and arc(last, t):
+                            break
                 end -= 1
             if end > at:
                 path.append((at, end, t))
-                at, last, end = end, t, min(n, end + reach.get(word[end:end + 2], 1))
+                at, last, end = end, t, min(n, end + reach.get(word[end:end + 4], 3))
             else:  # a position from which no arc goes on is dead: its last token is fixed by what precedes it
                 dead.add(at)
                 start, stop, _ = path.pop()

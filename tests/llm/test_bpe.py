@@ -89,3 +89,12 @@ def test_automaton_accepts_one_path_the_merges_give(seed):
                             if t is not None and (last < 0 or a.arc(last, t)):
                                 states[end, t] = states.get((end, t), 0) + count
             assert sum(c for (p, _), c in states.items() if p == n) == 1, (merges, word)
+
+
+def test_the_longest_label_is_bounded_by_four_bytes():
+    a = bpe.Codec(FILE).automaton
+    longest = {}
+    for label in a.ids:
+        if len(label) > 3:
+            longest[label[:4]] = max(longest.get(label[:4], 0), len(label))
+    assert longest and all(a.reach[k] == v for k, v in longest.items())
