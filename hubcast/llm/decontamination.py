@@ -27,6 +27,7 @@ hits; other columns are ignored.
 
 from __future__ import annotations
 
+import string
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -35,8 +36,9 @@ from pyspark.sql import functions as F
 from hubcast.llm import common
 from hubcast.session import ensure_checkpoint_dir
 
-# Words are runs of digits, ASCII letters and everything beyond ASCII.
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# Words are runs of digits, ASCII letters and everything beyond ASCII. The ASCII ones are named one by one,
+# which Java looks up in a table of bits; ranges are tried in turn for every character.
+WORD = f"[{string.ascii_letters}{string.digits}" r"\x80-\x{10FFFF}]+"
 DOC = ("doc_id", "sig")
 END = ""  # the term of a row's length
 
