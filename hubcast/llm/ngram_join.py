@@ -579,10 +579,11 @@ def link(docs: DataFrame, n: int = 4, percent: int = 85, block: int = BLOCK) ->
     def ordered(edges: DataFrame) -> DataFrame:
         return edges.withColumns({"a": F.least("a", "b"), "b": F.greatest("a", "b")})
 
-    def texts_of(pairs: DataFrame) -> DataFrame:
+    def texts_of(pairs: DataFrame) -> DataFrame:  # only the texts asked for are sent, if the ids that ask fit a broadcast
         ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        reps = ends.join(nodes.select("node", "rep"), "node").filter("rep IS NOT NULL")
-        return common.cut(docs.select("doc_id", "text").join(reps, F.col("doc_id") == F.col("rep")).select("node", "text"))
+        reps = common.cut(ends.join(nodes.select("node", "rep"), "node").filter("rep IS NOT NULL"))
+        asked = docs.select("doc_id", "text").join(common.small(reps.select(F.col("rep").alias("asked"))), F.col("doc_id") == F.col("asked"), "left_semi")
+        return common.cut(asked.join(reps, F.col("doc_id") == F.col("rep")).select("node", "text"))
 
     def more(links: DataFrame, pairs: DataFrame) -> DataFrame:
         return links if pairs.isEmpty() else common.cut(links.unionByName(_verify(pairs, texts_of(pairs), n, percent)))
@@ -633,8 +634,9 @@ def classes(docs: DataFrame, n: int = 4, percent: int = 85, block: int = BLOCK)
 def representatives(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """The rows of ``docs`` that stay, one of each class (the smallest doc_id), all columns.
 
-    Rows that repeat a doc_id stay or go together.
+    Rows that repeat a doc_id stay or go together. The ids that go are few next to those that stay.
     """
-    known = classes(docs, n, percent).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = known.select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(keep, docs["doc_id"].eqNullSafe(F.col("__keep")), "left_semi")
+    stays = F.bool_or(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    gone = classes(docs, n, percent).groupBy("doc_id").agg(stays.alias("stays")).filter("NOT stays")
+    gone = common.small(common.cut(gone.select(F.col("doc_id").alias("__gone"))))
+    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("__gone")), "left_anti")

@@ -195,3 +195,30 @@ def test_merged_lists_hold_every_pair_of_the_lists(spark):
         assert wanted <= held and len(whole) < len(apart)
         assert max(map(len, whole.values())) <= 4 * block + J.OVERLAP
         assert sum(map(len, whole.values())) < sum(map(len, apart.values()))
+
+
+def test_only_texts_that_are_compared_are_sent(spark, monkeypatch):
+    """No shuffle of the whole documents: those without a partner stay where they are read."""
+    r = random.Random(5)
+    rows = copies(1, 6, 10, 60, 3)
+    rows += [(1000 + i, " ".join(f"q{r.randint(0, 99999)}" for _ in range(60))) for i in range(400)]
+    rows += [(3, rows[30][1]), (None, rows[2][1]), (None, rows[2][1]), (2000, None), (2000, rows[40][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    plans, plain, small = [], J.common.cut, J.common.small
+
+    def cut(df):
+        if df.columns == ["node", "text"]:
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df)
+
+    monkeypatch.setattr(J.common, "cut", cut)
+    kept = J.representatives(docs, 4, 85)
+    assert plans and all("BroadcastHashJoin" in p and "LeftSemi" in p for p in plans)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+    classes = J.classes(docs, 4, 85).collect()
+    stay = {x.doc_id for x in classes if x.doc_id == x.component_id}
+    want = sorted((x for x in rows if x[0] in stay), key=str)
+    assert sorted(map(tuple, kept.collect()), key=str) == want and 400 < len(want) < len(rows)
+    monkeypatch.setattr(J.common, "small", lambda df: small(df, 0))  # beyond the limit of a broadcast
+    assert sorted(map(tuple, J.representatives(docs, 4, 85).collect()), key=str) == want
