@@ -37,6 +37,7 @@ only documents of equal set; an empty table gives no rows.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,7 +51,9 @@ from hubcast.llm.components import components
 
 U = np.uint64
 MUL, SHIFT = U(0x9E3779B97F4A7C15), U(29)
-SKETCH_BITS, CHUNK_BITS = 20, 14
+SKETCH_BITS, CHUNK_BITS = 23, 17
+STEPS = 8  # codes of a count for each power of two
+COUNTS = 2.0 ** (np.arange(256) / STEPS) - 1  # what the codes stand for
 SHORT = 8  # nodes up to which a signature's list gives its pairs
 BLOCK = 1024  # nodes of a block of a list, on average; four times as many at most
 ROW_PAIRS = 64  # pairs compared in the time that one row of a list takes, about
@@ -92,40 +95,41 @@ def fold(rows: np.ndarray) -> np.ndarray:
     return rows[:, :half] ^ rows[:, half:]
 
 
-def sketch(docs: DataFrame, n: int) -> np.ndarray:
-    """How many documents hold a shingle of each hash class, over all documents.
+def sketch(docs: DataFrame, n: int) -> tuple[np.ndarray, float]:
+    """How many documents hold a shingle of each hash class, over all documents, as codes of COUNTS; the mean count.
 
-    2^SKETCH_BITS counts (4 MB) at any input size: a task sends its own in chunks, which are
-    added up chunk by chunk; only the sum comes to the driver.
+    2^SKETCH_BITS codes of a byte (8 MB) at any input size: a task sends its own counts in compressed
+    chunks, which are added up chunk by chunk; only the codes of the sums come to the driver.
     """
     size, chunk = 1 << SKETCH_BITS, 1 << CHUNK_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.zeros(size, np.int64)
+        own = np.zeros(size, "<u4")
         for b in batches:
             for t in b.column(0).to_pylist():
-                np.add.at(own, (shingles(t, n) >> U(64 - SKETCH_BITS)).astype(np.int64), 1)
-        if own.any():
-            parts = own.astype("<u4").reshape(-1, chunk)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(parts), dtype=np.int32)),
-                                              pa.array([p.tobytes() for p in parts], pa.binary())], names=["chunk", "counts"])
+                own[(shingles(t, n) >> U(64 - SKETCH_BITS)).astype(np.int64)] += 1  # once for a document
+        for i, part in enumerate(own.reshape(-1, chunk)):
+            if part.any():  # the lowest bytes by themselves, as the others are nearly all zero
+                packed = zlib.compress(part.astype(np.uint8).tobytes() + (part >> 8).tobytes(), 1)
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([packed], pa.binary())], names=["chunk", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for b in batches:
             for c, x in zip(b.column("chunk").to_pylist(), b.column("counts").to_pylist()):
-                sums[c] = sums.get(c, 0) + np.frombuffer(x, "<u4").astype(np.int64)
+                x = zlib.decompress(x)
+                sums[c] = sums.get(c, 0) + np.frombuffer(x, np.uint8, chunk) + (np.frombuffer(x, "<u4", offset=chunk).astype(np.int64) << 8)
+        codes = [np.minimum(STEPS * np.log2(v + 1.0), 255).astype(np.uint8).tobytes() for v in sums.values()]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(sums), pa.int32()), pa.array([np.minimum(v, 2**32 - 1).astype("<u4").tobytes() for v in sums.values()], pa.binary())],
-            names=["chunk", "counts"])
+            [pa.array(list(sums), pa.int32()), pa.array(codes, pa.binary()), pa.array([int(v.sum()) for v in sums.values()], pa.int64())],
+            names=["chunk", "codes", "total"])
 
-    schema = "chunk int, counts binary"
-    got = (docs.select("text").mapInArrow(count, schema).repartition(size // chunk, "chunk")
-           .mapInArrow(add, schema).collect())
-    out = np.zeros(size, np.int64)
+    got = (docs.select("text").mapInArrow(count, "chunk int, counts binary").repartition(size // chunk, "chunk")
+           .mapInArrow(add, "chunk int, codes binary, total bigint").collect())
+    out = np.zeros(size, np.uint8)
     for r in got:
-        out[r["chunk"] * chunk:(r["chunk"] + 1) * chunk] = np.frombuffer(r["counts"], "<u4")
-    return out
+        out[r["chunk"] * chunk:(r["chunk"] + 1) * chunk] = np.frombuffer(r["codes"], np.uint8)
+    return out, sum(r["total"] for r in got) / size
 
 
 def signatures(s: np.ndarray, seen: np.ndarray, percent: int, frequent: float, noise: float) -> np.ndarray:
@@ -160,10 +164,10 @@ def signatures(s: np.ndarray, seen: np.ndarray, percent: int, frequent: float, n
 
 def describe(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """doc_id, n_shingles, node (hash of the set), parity and signatures, written to the shared folder."""
-    counts = sketch(docs, n)
-    noise = max(1.0, 2.0 * counts.mean())
+    codes, mean = sketch(docs, n)
+    noise = max(1.0, 2.0 * mean)
     frequent = max(256.0, 4 * noise)
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
+    shared = docs.sparkSession.sparkContext.broadcast(codes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = shared.value
@@ -175,7 +179,7 @@ def describe(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     if not len(s):
                         rows.append((0, None, b"", b""))
                         continue
-                    sig = signatures(s, seen[(s >> U(64 - SKETCH_BITS)).astype(np.int64)], percent, frequent, noise)
+                    sig = signatures(s, COUNTS[seen[(s >> U(64 - SKETCH_BITS)).astype(np.int64)]], percent, frequent, noise)
                     rows.append((len(s), set_hash(s), parity(s).tobytes() if len(sig) else b"", sig.tobytes()))
                 cols = list(zip(*rows))
                 kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
@@ -404,7 +408,7 @@ def _long_edges(entries: DataFrame, percent: int, every: bool, hubs: bool = Fals
 
 
 def _classed(entries: DataFrame, links: DataFrame, only: DataFrame | None = None) -> DataFrame:
-    """``entries`` with the class (grp) of their nodes, of those blocks whose nodes lie in several classes.
+    """``entries`` (sig, block, node) with the class (grp) of their nodes, of those blocks whose nodes lie in several classes.
 
     ``only`` (sig, block) names the blocks to look at, else all. Of blocks of the same nodes (by 128 bits of their hashes) one stays; they would give the same edges.
     """
@@ -419,13 +423,11 @@ def _classed(entries: DataFrame, links: DataFrame, only: DataFrame | None = None
 
 
 def _apart(entries: DataFrame, links: DataFrame) -> DataFrame:
-    """``entries`` of lists whose nodes lie in several classes, with the class (grp) and whether it is not the list's largest."""
-    grouped = entries.join(components(links), "node", "left").select(
-        "sig", "block", "node", "n", "parity", F.coalesce("component", "node").alias("grp"))
+    """``entries`` (sig, block, node) of lists whose nodes lie in several classes, with the class (grp) and whether it is not the list's largest."""
+    grouped = entries.join(components(links), "node", "left").select("sig", "block", "node", F.coalesce("component", "node").alias("grp"))
     sizes = grouped.groupBy("sig", "grp").agg(F.count(F.lit(1)).alias("k"))
     main = sizes.groupBy("sig").agg(F.max(F.struct("k", "grp"))["grp"].alias("main"), F.count(F.lit(1)).alias("classes"))
-    return common.cut(grouped.join(main.filter("classes > 1"), "sig").select(
-        *grouped.columns, (F.col("grp") != F.col("main")).alias("minor")))
+    return grouped.join(main.filter("classes > 1"), "sig").select(*grouped.columns, (F.col("grp") != F.col("main")).alias("minor"))
 
 
 def _cross_edges(apart: DataFrame, percent: int, every: bool) -> DataFrame:
@@ -571,10 +573,13 @@ def link(docs: DataFrame, n: int = 4, percent: int = 85, block: int = BLOCK) ->
     left = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("parity").alias("pa"))
     right = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("pb"))
     short = _filter_pairs(pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "pa", "pb"), percent)
-    entries = common.cut(_merged(lists, block).join(nodes.select("node", "n", "parity"), "node"))
+    entries = common.cut(_merged(lists, block))
     sizes = entries.groupBy("sig", "block").agg(F.count(F.lit(1)).alias("k"))
     home = entries.join(sizes, ["sig", "block"]).groupBy("node").agg(F.max(F.struct("k", "sig", "block")).alias("of"))
-    begin = entries.join(home, "node").filter((F.col("sig") == F.col("of.sig")) & (F.col("block") == F.col("of.block")))
+    begin = home.select("of.sig", "of.block", "node", F.col("node").alias("grp"))
+
+    def with_bitmaps(entries: DataFrame) -> DataFrame:  # bitmaps join only rows that are compared next, lists are sorted out without
+        return entries.join(nodes.select("node", "n", "parity"), "node")
 
     def ordered(edges: DataFrame) -> DataFrame:
         return edges.withColumns({"a": F.least("a", "b"), "b": F.greatest("a", "b")})
@@ -589,27 +594,27 @@ def link(docs: DataFrame, n: int = 4, percent: int = 85, block: int = BLOCK) ->
         return links if pairs.isEmpty() else common.cut(links.unionByName(_verify(pairs, texts_of(pairs), n, percent)))
 
     # each node in its largest list only, so a group that many lists hold gives its edges once
-    first = ordered(_long_edges(begin.withColumn("grp", F.col("node")), percent, False)).select("a", "b")
+    first = ordered(_long_edges(with_bitmaps(begin), percent, False)).select("a", "b")
     tried = common.cut(short.unionByName(first).distinct())
     links = common.cut(_verify(tried, texts_of(tried), n, percent))
 
     # then the classes that a list still holds apart
     apart = _classed(entries, links)
-    between = common.cut(ordered(_long_edges(apart, percent, False, True)))
+    between = common.cut(ordered(_long_edges(with_bitmaps(apart), percent, False, True)))
     links = more(links, common.cut(between.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")))
 
     # where an edge failed, all pairs that are still open
     failed = between.join(links, ["a", "b"], "left_anti").select("sig", "block").distinct()
     rest = _classed(apart.drop("grp"), links, failed)
-    pairs = ordered(_long_edges(rest, percent, True)).select("a", "b").distinct()
+    pairs = ordered(_long_edges(with_bitmaps(common.small(rest)), percent, True)).select("a", "b").distinct()
     links = more(links, common.cut(pairs.join(tried.unionByName(between.select("a", "b")), ["a", "b"], "left_anti")))
 
     wide = common.cut(lists.filter("long AND block > 0").select(F.col("x").alias("sig")).distinct())
     if not wide.isEmpty():  # lists of several blocks: a forest of their classes first, then the open pairs
         own = lists.filter("long AND home").select(F.col("x").alias("sig"), "block", F.col("y").alias("node"))
-        whole = common.cut(own.join(wide, "sig", "left_semi").join(nodes.select("node", "n", "parity"), "node"))
+        whole = common.cut(own.join(wide, "sig", "left_semi"))
         for every in (False, True):
-            cross = common.cut(_cross_edges(_apart(whole, links), percent, every))
+            cross = common.cut(_cross_edges(common.cut(with_bitmaps(_apart(whole, links))), percent, every))
             new = common.cut(cross.select("a", "b").distinct().join(links, ["a", "b"], "left_anti"))
             if new.isEmpty():
                 break

@@ -222,3 +222,33 @@ def test_only_texts_that_are_compared_are_sent(spark, monkeypatch):
     assert sorted(map(tuple, kept.collect()), key=str) == want and 400 < len(want) < len(rows)
     monkeypatch.setattr(J.common, "small", lambda df: small(df, 0))  # beyond the limit of a broadcast
     assert sorted(map(tuple, J.representatives(docs, 4, 85).collect()), key=str) == want
+
+
+def test_lists_are_sorted_out_without_bitmaps(spark, monkeypatch):
+    """Bitmaps join a list's rows only where they are compared; before, every step on the lists sent them along."""
+    seen, plain = [], J._classed
+
+    def classed(entries, *args):
+        out = plain(entries, *args)
+        seen.extend([entries.columns, out.columns])
+        return out
+
+    monkeypatch.setattr(J, "_classed", classed)
+    df = spark.createDataFrame(copies(1, 1, 300, 60, 4), "doc_id long, text string").repartition(4)
+    check(df, 5, 80)
+    assert len(seen) == 4 and all("parity" not in c and "n" not in c for c in seen)
+
+
+def test_sketch_tells_rare_shingles_from_others(spark):
+    """Two million shingles of one document each and a passage of 40: the cells of a smaller sketch hold two each."""
+    r = np.random.default_rng(2)
+    passage = " ".join(f"p{i}" for i in range(12))
+    rows = [(i, " ".join(map(str, r.integers(0, 10 ** 9, 5000))) + (" " + passage if i < 40 else "")) for i in range(400)]
+    df = spark.createDataFrame(rows + [(-1, None), (-2, "")], "doc_id long, text string").repartition(3)
+    codes, mean = J.sketch(df, 4)
+    held = [J.COUNTS[codes[(J.shingles(t, 4) >> np.uint64(64 - J.SKETCH_BITS)).astype(np.int64)]] for _, t in rows]
+    whole = sum(map(len, held))
+    assert 0.99 * whole <= mean * len(codes) <= whole and mean < 0.5 and codes.nbytes <= 8 << 20
+    assert np.median(np.concatenate(held)) == 1
+    often = J.COUNTS[codes[(J.shingles(passage, 4) >> np.uint64(64 - J.SKETCH_BITS)).astype(np.int64)]]
+    assert often.min() >= 36 and often.max() <= 50
