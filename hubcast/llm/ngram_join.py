@@ -11,6 +11,9 @@ and the combination in each group is a signature. Similar documents share a sign
 * if one is extended, it lists all its rare shingles, and the other's prefix holds one of them;
 * if both are, either a rare shingle is common, or all differences outnumbered by the groups.
 
+The first rare shingle that two similar documents share stands early in the order of both: what comes before it in
+one is lacking in the other. So a short list gives only pairs for which its shingle may be that first one.
+
 Documents with equal sets are one node from the start. Short lists of a signature give
 pairs, long ones are compared in place by parity bitmaps (the bits that differ never
 exceed the shingles that do) and give the edges of a spanning forest. Every edge is
@@ -22,7 +25,8 @@ link is either verified or inside a class that is joined already.
 Lists that hold almost the same nodes share the node of the smallest hash, as a rule, and are
 merged by it into one list of all their nodes, unless that were longer than a block or had
 far more pairs than the lists by themselves. So near copies, which share most of their signatures,
-come once and not once for each signature; no pair that shares a signature is lost by it.
+come once and not once for each signature; no pair that shares a signature is lost by it. Lists that meet
+in one bucket are merged there, before they are written.
 
 A list of many nodes is cut, in order of size, into blocks of bounded length that overlap
 a little; the above holds for each block, and near copies of one text come out as one
@@ -132,19 +136,22 @@ def sketch(docs: DataFrame, n: int) -> tuple[np.ndarray, float]:
     return out, sum(r["total"] for r in got) / size
 
 
-def signatures(s: np.ndarray, seen: np.ndarray, percent: int, frequent: float, noise: float) -> np.ndarray:
-    """The signatures of a set; ``seen`` is the sketch's count of each of its shingles."""
+def signatures(s: np.ndarray, seen: np.ndarray, percent: int, frequent: float, noise: float = 0.0) -> np.ndarray:
+    """The signatures of a set, first the rare shingles in their order; ``seen`` is the sketch's count of each of its shingles.
+
+    The order is by the count itself, which is never too low: also below ``noise``, which takes no
+    part, the smallest counts are those of shingles that few documents hold.
+    """
     n = len(s)
     lacking = n - -(-percent * n // 100)  # shingles that a partner may lack
     if lacking == 0 and 100 * n < percent * (n + 1):
         return np.empty(0, U)  # links only to its equal
     rare = seen < frequent
-    level = np.frexp(seen / noise)[1].clip(0)
-    order = np.lexsort((s, level))
+    order = np.lexsort((s, seen))
     order = order[rare[order]]
     if len(order) > lacking:
         return s[order[:lacking + 1]]
-    out, often, ratio = [s[rare]], s[~rare], 100 / percent
+    out, often, ratio = [], s[~rare], 100 / percent
     band = int(np.log(n) / np.log(ratio) + 1e-9)
     for scheme in (band, band + 1):  # two similar sets lie in one band or in neighbours
         differ = int((100 - percent) / percent * ratio ** (scheme + 1)) + 1
@@ -159,14 +166,16 @@ def signatures(s: np.ndarray, seen: np.ndarray, percent: int, frequent: float, n
             if len(first) > differ or groups > 64 * n:
                 break
             groups = groups * 3 // 2 + 1
-    return np.unique(np.concatenate(out))
+    return np.concatenate([s[order], np.unique(np.concatenate(out))])
 
 
 def describe(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """doc_id, n_shingles, node (hash of the set), parity and signatures, written to the shared folder."""
+    """doc_id, n_shingles, node (hash of the set), parity and signatures, written to the shared folder.
+
+    ``ranked`` is how many of the signatures, the first ones, are rare shingles in their order.
+    """
     codes, mean = sketch(docs, n)
-    noise = max(1.0, 2.0 * mean)
-    frequent = max(256.0, 4 * noise)
+    frequent = max(256.0, 8 * mean)
     shared = docs.sparkSession.sparkContext.broadcast(codes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,17 +186,19 @@ def describe(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 for t in part.column("text").to_pylist():
                     s = shingles(t, n)
                     if not len(s):
-                        rows.append((0, None, b"", b""))
+                        rows.append((0, None, b"", b"", 0))
                         continue
-                    sig = signatures(s, COUNTS[seen[(s >> U(64 - SKETCH_BITS)).astype(np.int64)]], percent, frequent, noise)
-                    rows.append((len(s), set_hash(s), parity(s).tobytes() if len(sig) else b"", sig.tobytes()))
+                    often = COUNTS[seen[(s >> U(64 - SKETCH_BITS)).astype(np.int64)]]
+                    sig = signatures(s, often, percent, frequent)
+                    ranked = min(len(sig), int((often < frequent).sum()))
+                    rows.append((len(s), set_hash(s), parity(s).tobytes() if len(sig) else b"", sig.tobytes(), ranked))
                 cols = list(zip(*rows))
-                kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+                kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int32())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(list(c), k) for c, k in zip(cols, kinds))],
-                                                 names=["doc_id", "n_shingles", "node", "parity", "signatures"])
+                                                 names=["doc_id", "n_shingles", "node", "parity", "signatures", "ranked"])
 
     return common.cut(docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id bigint, n_shingles bigint, node bigint, parity binary, signatures binary"))
+        run, "doc_id bigint, n_shingles bigint, node bigint, parity binary, signatures binary, ranked int"))
 
 
 def _sorted_rows(rows: np.ndarray) -> np.ndarray:
@@ -199,6 +210,27 @@ def _sorted_rows(rows: np.ndarray) -> np.ndarray:
     return rows[np.concatenate([[True], new])]
 
 
+def _united(rows: np.ndarray, block: int) -> np.ndarray:
+    """Whole long lists in order of (sig, n, node), those of one block with the same smallest node hash as one list, of
+    their smallest sig, if it is of one block too and its pairs cost no more than the rows and pairs of the lists apart."""
+    if not len(rows):
+        return rows
+    begin = np.flatnonzero(np.diff(rows["sig"], prepend=~rows["sig"][:1]))
+    length = np.diff(np.append(begin, len(rows)))
+    hashed = mix(rows["node"].astype(U))
+    keys, of = np.unique(np.minimum.reduceat(hashed, begin), return_inverse=True)
+    one = length <= 2 * block
+    member = np.stack([np.repeat(of, length), hashed.view(np.int64)], 1)[np.repeat(one, length)]
+    nodes = np.bincount(np.unique(member, axis=0)[:, 0], minlength=len(keys))
+    cost = np.bincount(of, one * length * (length + ROW_PAIRS), len(keys))
+    fits = (nodes <= 2 * block) & (nodes * nodes <= cost)
+    least = np.full(len(keys), ~U(0))
+    np.minimum.at(least, of[one], rows["sig"][begin[one]])
+    rows = rows.copy()
+    rows["sig"] = np.repeat(np.where(one & fits[of], least[of], rows["sig"][begin]), length)
+    return _sorted_rows(rows)
+
+
 def _blocks(rows: np.ndarray, block: int) -> np.ndarray:
     """The number of the block of each row in its list, for whole lists in order of (sig, n, node).
 
@@ -217,13 +249,14 @@ def _blocks(rows: np.ndarray, block: int) -> np.ndarray:
 def _lists(described: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
     """(long, x, y, block, home, key, size): pairs of nodes from short lists (long false), (signature, node) of
     long ones by block; the nodes that the block before sees too are there again, with home false.
-    ``key`` is the smallest hash of a block's own nodes, ``size`` its number of rows.
+    ``key`` is the smallest hash of a block's own nodes, ``size`` its number of rows. Long lists of almost the same
+    nodes that meet in a bucket are one already.
 
     Signatures travel packed, a row for each batch and bucket; a node is sent once
     for a signature and batch, however many copies it has there.
     """
     buckets = common.partitions(described.sparkSession)
-    kind = np.dtype([("sig", "<u8"), ("n", "<i8"), ("node", "<i8")])
+    kind = np.dtype([("sig", "<u8"), ("n", "<i4"), ("rank", "<i4"), ("node", "<i8")])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -234,6 +267,8 @@ def _lists(described: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
             times = [len(x) for x in sigs]
             rows["sig"] = np.concatenate(sigs)
             rows["n"] = np.repeat(b.column("n_shingles").to_numpy(zero_copy_only=False), times)
+            place = np.arange(len(rows)) - np.repeat(np.cumsum(times) - times, times)
+            rows["rank"] = np.where(place < np.repeat(b.column("ranked").to_numpy(zero_copy_only=False), times), place, 0)
             rows["node"] = np.repeat(np.array([x or 0 for x in b.column("node").to_pylist()], np.int64), times)
             rows = _sorted_rows(rows)
             to = (mix(rows["sig"]) % U(buckets)).astype(np.int64)
@@ -259,10 +294,12 @@ def _lists(described: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
                 for i in range(size):
                     for j in range(i + 1, size):
                         a, b2 = rows[at[:, i]], rows[at[:, j]]  # n is in order
-                        ok = (100 * a["n"] >= percent * b2["n"]) & (a["node"] != b2["node"])
+                        na, nb = a["n"].astype(np.int64), b2["n"].astype(np.int64)
+                        both = -(-percent * (na + nb) // (100 + percent))  # shingles that similar sets share
+                        ok = (100 * na >= percent * nb) & (a["rank"] <= na - both) & (b2["rank"] <= nb - both) & (a["node"] != b2["node"])
                         pairs.append(np.stack([np.minimum(a["node"], b2["node"])[ok], np.maximum(a["node"], b2["node"])[ok]], 1))
             p = np.unique(np.concatenate(pairs), axis=0)
-            long = rows[np.repeat(length > SHORT, length)]
+            long = _united(rows[np.repeat(length > SHORT, length)], block)
             of = _blocks(long, block)
             begins = np.flatnonzero((np.diff(of, prepend=-1) != 0) | (np.diff(long["sig"], prepend=~long["sig"][:1]) != 0))
             within = np.arange(len(of)) - np.repeat(begins, np.diff(np.append(begins, len(of))))
@@ -282,7 +319,7 @@ def _lists(described: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
                      pa.array(pad(of, 0)), pa.array(pad(home, True)), pa.array(pad(key, 0)), pa.array(pad(in_block, 0))],
                     names=["long", "x", "y", "block", "home", "key", "size"])
 
-    dealt = described.filter("length(signatures) > 0").select("n_shingles", "node", "signatures").mapInArrow(
+    dealt = described.filter("length(signatures) > 0").select("n_shingles", "node", "signatures", "ranked").mapInArrow(
         deal, "bucket int, rows binary")
     return common.cut(dealt.repartition(buckets, "bucket").mapInArrow(
         meet, "long boolean, x bigint, y bigint, block int, home boolean, key bigint, size bigint"))

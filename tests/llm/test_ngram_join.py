@@ -252,3 +252,42 @@ def test_sketch_tells_rare_shingles_from_others(spark):
     assert np.median(np.concatenate(held)) == 1
     often = J.COUNTS[codes[(J.shingles(passage, 4) >> np.uint64(64 - J.SKETCH_BITS)).astype(np.int64)]]
     assert often.min() >= 36 and often.max() <= 50
+
+
+def test_prefix_takes_the_smallest_counts_below_the_noise_too():
+    r = np.random.default_rng(1)
+    s = np.unique(r.integers(0, 2**63, 300).astype(np.uint64))
+    seen = r.integers(1, 14, len(s)).astype(float)
+    of = dict(zip(s.tolist(), seen))
+    got = [of[x] for x in J.signatures(s, seen, 80, 256.0, 14.0).tolist()]
+    assert got == sorted(seen)[:61]
+    wide = J.signatures(s, np.where(seen > 2, 1000.0, seen), 80, 256.0)  # extended: all rare ones in their order, then combinations
+    rare = int((seen <= 2).sum())
+    assert [of[x] for x in wide[:rare].tolist()] == sorted(seen)[:rare] and not set(wide[rare:].tolist()) & set(s.tolist())
+
+
+def test_short_lists_give_pairs_whose_first_common_shingle_they_may_be(spark):
+    """Two sets of 300 are similar if they share 267, so at most 33 of either come before the first they share."""
+    for place, ranked, want in [(33, 61, 1), (34, 61, 0), (60, 61, 0), (60, 40, 1)]:  # the last: a combination has no place
+        x, y = np.arange(1, 62, dtype=np.uint64), np.arange(101, 162, dtype=np.uint64)
+        y[place] = x[place]
+        df = spark.createDataFrame([(300, 7, x.tobytes(), ranked), (300, 8, y.tobytes(), ranked)],
+                                   "n_shingles long, node long, signatures binary, ranked int")
+        assert [(r.x, r.y) for r in J._lists(df, 80).collect()] == [(7, 8)] * want
+
+
+def test_lists_that_meet_in_a_bucket_are_one(spark):
+    """Copies share most signatures: a bucket writes their nodes about once, with every pair of its lists."""
+    docs = spark.createDataFrame(copies(2, 4, 150, 60, 2), "doc_id long, text string").repartition(4)
+    described = J.describe(docs, 5, 80)
+    apart = {}
+    for x in described.collect():
+        for sig in np.frombuffer(x.signatures, np.uint64):
+            apart.setdefault(int(sig), set()).add(x.node)
+    apart = [v for v in apart.values() if len(v) > J.SHORT]
+    whole = {}
+    for x in J._lists(described, 80).filter("long").collect():
+        whole.setdefault(x.x, set()).add(x.y)
+    pairs = lambda lists: {(a, b) for v in lists for a in v for b in v}
+    assert pairs(apart) <= pairs(whole.values())
+    assert sum(map(len, whole.values())) < sum(map(len, apart)) / 2 > 0
