@@ -147,10 +147,10 @@ def signatures(s: np.ndarray, seen: np.ndarray, percent: int, frequent: float, n
     if lacking == 0 and 100 * n < percent * (n + 1):
         return np.empty(0, U)  # links only to its equal
     rare = seen < frequent
-    order = np.lexsort((s, seen))
-    order = order[rare[order]]
-    if len(order) > lacking:
-        return s[order[:lacking + 1]]
+    ranked = np.lexsort((s, seen))
+    ranked = s[ranked[rare[ranked]]]
+    if len(ranked) > lacking:
+        return ranked[:lacking + 1]
     out, often, ratio = [], s[~rare], 100 / percent
     band = int(np.log(n) / np.log(ratio) + 1e-9)
     for scheme in (band, band + 1):  # two similar sets lie in one band or in neighbours
@@ -166,7 +166,7 @@ def signatures(s: np.ndarray, seen: np.ndarray, percent: int, frequent: float, n
             if len(first) > differ or groups > 64 * n:
                 break
             groups = groups * 3 // 2 + 1
-    return np.concatenate([s[order], np.unique(np.concatenate(out))])
+    return np.concatenate([ranked, np.unique(np.concatenate(out))])
 
 
 def describe(docs: DataFrame, n: int, percent: int) -> DataFrame:
